@@ -18,13 +18,16 @@ def _block(order: str, width: int):
     return F.floor(F.col(order) / F.lit(width)).cast("bigint")
 
 
-def global_index(df: DataFrame, order: str, block_width: int = DEFAULT_BLOCK, col: str = "idx") -> DataFrame:
-    """0-based dense position of each row in ``order`` (numeric, unique)."""
+def global_index(df: DataFrame, order: str, block_width: int = DEFAULT_BLOCK, col: str = "idx",
+                 total_col: str | None = None) -> DataFrame:
+    """0-based dense position of each row in ``order`` (numeric, unique);
+    with ``total_col`` also the total row count (from the block table)."""
     d = df.withColumn("_blk", _block(order, block_width))
     cnt = d.groupBy("_blk").agg(F.count(F.lit(1)).alias("_n"))
     # the block table has (max(order) - min(order)) / block_width rows
     wb = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    cnt = cnt.select("_blk", F.coalesce(F.sum("_n").over(wb), F.lit(0)).cast("bigint").alias("_base"))
+    extra = [F.sum("_n").over(Window.partitionBy()).cast("bigint").alias(total_col)] if total_col else []
+    cnt = cnt.select("_blk", F.coalesce(F.sum("_n").over(wb), F.lit(0)).cast("bigint").alias("_base"), *extra)
     lrn = F.row_number().over(Window.partitionBy("_blk").orderBy(order)) - 1
     return (d.withColumn("_l", lrn).join(cnt, on="_blk")
              .withColumn(col, F.col("_base") + F.col("_l")).drop("_blk", "_l", "_base"))

@@ -83,7 +83,8 @@ def keyed_neighbours(df: DataFrame, key: str | list[str], ts: str, cols: list[st
                             *[F.col(f"_n_{c}").alias(f"_v_{c}") for c in cols])
         fixed = fixed.join(tgt, on=keys + ["seq"], how="left")
         for c in cols:
-            fixed = fixed.withColumn(name(c, j), F.col(f"_v_{c}")).drop(f"_v_{c}")
+            # inside the bucket the window value is right; the lookup fills the edge
+            fixed = fixed.withColumn(name(c, j), F.coalesce(F.col(name(c, j)), F.col(f"_v_{c}"))).drop(f"_v_{c}")
     out_cols = inner.columns
     return inner.unionByName(fixed.select(*out_cols)).drop("_edge", "_bkt", "_lrn", "_bcnt")
 
