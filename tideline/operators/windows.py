@@ -101,10 +101,10 @@ def cumulative_window(df: DataFrame, key, ts: str, step: str, max_size: str,
     n = mx // st
     keys = _keys(key)
     w_us = F.floor(epoch_us(ts) / F.lit(mx)).cast("bigint") * F.lit(mx)
-    i = F.floor((epoch_us(ts) - w_us) / F.lit(st)).cast("int")
+    i = F.floor((epoch_us(ts) - w_us) / F.lit(st)).cast("bigint")
     part_aggs = [F.count(F.lit(1)).alias("_c")] + ([F.sum(value).alias("_s")] if value else [])
     pre = df.groupBy(*keys, w_us.alias("_w"), i.alias("_i")).agg(*part_aggs)
-    fan = pre.withColumn("_j", F.explode(F.sequence(F.col("_i"), F.lit(n - 1))))
+    fan = pre.withColumn("_j", F.explode(F.sequence(F.col("_i"), F.lit(n - 1).cast("bigint"))))
     fin_aggs = [F.sum("_c").cast("bigint").alias("cnt")] + ([F.sum("_s").alias("total")] if value else [])
     out = fan.groupBy(*keys, "_w", "_j").agg(*fin_aggs)
     return (out.withColumn("window_start", ntz_from_us("_w"))
@@ -125,9 +125,9 @@ def early_fire(df: DataFrame, key, ts: str, size: str, step: str) -> DataFrame:
     keys = _keys(key)
     w_us = F.floor(epoch_us(ts) / F.lit(sz)).cast("bigint") * F.lit(sz)
     # first firing index whose time is >= ts: ceil((ts - start) / step)
-    i0 = F.ceil((epoch_us(ts) - w_us) / F.lit(st)).cast("int")
+    i0 = F.ceil((epoch_us(ts) - w_us) / F.lit(st)).cast("bigint")
     pre = df.groupBy(*keys, w_us.alias("_w"), i0.alias("_i")).agg(F.count(F.lit(1)).alias("_c"))
-    fan = pre.withColumn("_j", F.explode(F.sequence(F.col("_i"), F.lit(n))))
+    fan = pre.withColumn("_j", F.explode(F.sequence(F.col("_i"), F.lit(n).cast("bigint"))))
     out = fan.groupBy(*keys, "_w", "_j").agg(F.sum("_c").cast("bigint").alias("cnt"))
     return (out.withColumn("window_start", ntz_from_us("_w"))
                .withColumn("window_end", ntz_from_us(F.col("_w") + F.lit(sz)))

@@ -69,8 +69,8 @@ def cumulative_count(df: DataFrame, key, ts: str, step: str, max_size: str, dela
     d = with_event_time(df, ts, delay)
     w = F.window("et", _iv(max_size))
     d = d.withColumn("w", w)
-    i = F.floor((F.unix_micros("et") - F.unix_micros(F.col("w.start"))) / F.lit(st)).cast("int")
-    d = d.withColumn("_j", F.explode(F.sequence(i, F.lit(n - 1))))
+    i = F.floor((F.unix_micros("et") - F.unix_micros(F.col("w.start"))) / F.lit(st)).cast("bigint")
+    d = d.withColumn("_j", F.explode(F.sequence(i, F.lit(n - 1).cast("bigint"))))
     out = d.groupBy(*_keys(key), "w", "_j").agg(F.count(F.lit(1)).alias("cnt"))
     return (out.withColumn("window_start", to_ntz(F.col("w.start")))
                .withColumn("window_end", to_ntz(F.timestamp_micros(F.unix_micros(F.col("w.start"))
