@@ -43,7 +43,7 @@ def test_inner_join_and_rules_golden(spark):
     acts = frame(spark, [("Alice", "login", 1), ("Alice", "pay", 2), ("Bob", "login", 3), ("Bob", "buy", 4)],
                  "user_id string, action string, ms long")
     rules = spark.createDataFrame([("login", "pay"), ("login", "buy")], "action1 string, action2 string")
-    out = joins.consecutive_pair_rules(acts, "user_id", "ts", "action", rules)
+    out = joins.consecutive_pair_rules(acts, "user_id", "ts", "action", rules, bucket="1 millisecond", hot_threshold=1)
     assert rows_set(out, "user_id", "prev_action", "action") == [("Alice", "login", "pay"), ("Bob", "login", "buy")]
 
 
@@ -57,7 +57,7 @@ LOGIN = "user_id string, ip string, event_type string, ms long"
 def test_three_fails_golden(spark):
     df = frame(spark, F14, LOGIN)
     f = F.col("event_type") == "fail"
-    out = patterns.strict_sequence(df, "user_id", "ts", [f, f, f], ["ms"], bucket="1 second")
+    out = patterns.strict_sequence(df, "user_id", "ts", [f, f, f], ["ms"], bucket="1 second", hot_threshold=None)
     assert rows_set(out, "user_id", "ms_1", "ms_2", "ms_3") == [("user_1", 2000, 3000, 5000)]
     tr = [(s, "fail" if e == "error" else "success", n) for s, e, n in LOGIN_FAIL_TRANSITIONS]
     sm = scan.run_state_machine(df, "user_id", "ts", "event_type", tr, "Initial", "Matched", "Terminal", ["ms"])
@@ -125,5 +125,5 @@ def test_sequence_hot_key_split(spark):
                                              bucket="365 days"), "event_id_1", "event_id_2")
     for b in ["1 hour", "6 hours"]:
         got = rows_set(patterns.strict_sequence(ev, "user_id", "ts", [e, e], ["event_id"], tiebreak="event_id",
-                                                bucket=b), "event_id_1", "event_id_2")
+                                                bucket=b, hot_threshold=100), "event_id_1", "event_id_2")
         assert got == base and len(base) > 0

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.time import duration_us, epoch_us, ntz_from_us
-from tideline.operators.sequence import keyed_neighbours
+from tideline.operators.sequence import DEFAULT_HOT_THRESHOLD, keyed_neighbours
 
 
 def _keys(key) -> list[str]:
@@ -118,12 +118,13 @@ def equi_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: l
 
 def consecutive_pair_rules(df: DataFrame, key, ts: str, action: str, rules: DataFrame,
                            first: str = "action1", second: str = "action2", tiebreak: str | None = None,
-                           bucket: str = "1 day") -> DataFrame:
+                           bucket: str = "1 day", hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """O-68: rows whose (previous action of the key, this action) equals a
     rule.  The previous action comes from the bucketed neighbour lookup (no
     key-wide window); the rules table is broadcast after a size check."""
     keys = _keys(key)
-    d = keyed_neighbours(df, keys, ts, [action], [-1], tiebreak=tiebreak, bucket=bucket)
+    d = keyed_neighbours(df, keys, ts, [action], [-1], tiebreak=tiebreak, bucket=bucket,
+                         hot_threshold=hot_threshold)
     prev = f"{action}_prev1"
     r = broadcast_if_small(rules.select(F.col(first).alias("_r1"), F.col(second).alias("_r2")))
     return (d.join(r, (F.col(prev) == F.col("_r1")) & (F.col(action) == F.col("_r2")), "inner")

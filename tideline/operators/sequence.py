@@ -14,8 +14,11 @@ carried by small per-bucket summary tables:
   first/last ``k`` rows of the other buckets (a neighbour at distance <= k is
   always among the first/last k rows of its own bucket).
 
-The bucket width is a parameter; it only changes how work is split, never the
-answer.
+Only *hot* keys are split: a first partial aggregate counts rows per key and
+keys above ``hot_threshold`` rows (at most ``rows / hot_threshold`` of them,
+so the list has a proven size bound and is broadcast) use time buckets; every
+other key is one bucket, which keeps the edge work to k rows per key.  The
+bucket width and threshold only change how work is split, never the answer.
 """
 
 from __future__ import annotations
@@ -26,42 +29,64 @@ from pyspark.sql import functions as F
 from tideline.functions.time import duration_us, epoch_us
 
 DEFAULT_BUCKET = "1 day"
+DEFAULT_HOT_THRESHOLD = 1_000_000
 
 
 def _bucket(ts: str, bucket: str | int) -> Column:
     return F.floor(epoch_us(ts) / F.lit(duration_us(bucket))).cast("bigint")
 
 
+def with_split(df: DataFrame, keys: list[str], ts: str, bucket: str | int,
+               hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+    """Add ``_hot`` (key has more than ``hot_threshold`` rows) and ``_bkt``
+    (time bucket for hot keys, 0 otherwise).  ``hot_threshold=None`` splits
+    every key."""
+    if hot_threshold is None:
+        return df.withColumn("_hot", F.lit(True)).withColumn("_bkt", _bucket(ts, bucket))
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kc"))
+             .where(F.col("_kc") > F.lit(hot_threshold)).select(*keys, F.lit(True).alias("_hot")))
+    # at most rows / hot_threshold keys can pass the filter: a proven size bound
+    d = df.join(F.broadcast(hot), on=keys, how="left").withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
+    return d.withColumn("_bkt", F.when(F.col("_hot"), _bucket(ts, bucket)).otherwise(F.lit(0).cast("bigint")))
+
+
+def _bucket_window(keys: list[str], order: list[Column]) -> Window:
+    # _hot is a function of the key; listing it lets filters on it move below the window
+    return Window.partitionBy(*keys, "_hot", "_bkt").orderBy(*order)
+
+
 def keyed_seq(df: DataFrame, key: str | list[str], ts: str, tiebreak: str | None = None,
-              bucket: str | int = DEFAULT_BUCKET, seq_col: str = "seq") -> DataFrame:
+              bucket: str | int = DEFAULT_BUCKET, seq_col: str = "seq",
+              hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """Add ``seq``: 1-based position of each row within its key, ordered by ts
-    (then ``tiebreak``).  Also leaves ``_bkt`` (time bucket) and ``_lrn`` (row
-    number inside the bucket) and ``_bcnt`` (rows in the bucket) for callers."""
+    (then ``tiebreak``).  Also leaves ``_hot``, ``_bkt`` (split bucket),
+    ``_lrn`` (row number inside the bucket) and ``_bcnt`` (rows in the bucket)."""
     keys = [key] if isinstance(key, str) else list(key)
     order = [F.col(ts)] + ([F.col(tiebreak)] if tiebreak else [])
-    d = df.withColumn("_bkt", _bucket(ts, bucket))
-    part = keys + ["_bkt"]
-    counts = d.groupBy(*part).agg(F.count(F.lit(1)).alias("_bcnt"))
+    d = with_split(df, keys, ts, bucket, hot_threshold)
+    wl = _bucket_window(keys, order)
+    whole = Window.partitionBy(*keys, "_hot", "_bkt")
+    d = d.withColumn("_lrn", F.row_number().over(wl).cast("bigint")).withColumn("_bcnt", F.count(F.lit(1)).over(whole))
+    # rows of earlier buckets, for hot keys only (cold keys are a single bucket)
+    counts = d.where(F.col("_hot")).groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     wk = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_base", F.coalesce(F.sum("_bcnt").over(wk), F.lit(0)).cast("bigint"))
-    wl = Window.partitionBy(*part).orderBy(*order)
-    d = d.withColumn("_lrn", F.row_number().over(wl).cast("bigint"))
-    d = d.join(counts, on=part, how="inner")
-    return d.withColumn(seq_col, F.col("_base") + F.col("_lrn")).drop("_base")
+    counts = counts.select(*keys, "_bkt", F.coalesce(F.sum("_n").over(wk), F.lit(0)).cast("bigint").alias("_base"))
+    d = d.join(counts, on=keys + ["_bkt"], how="left")
+    return d.withColumn(seq_col, F.coalesce(F.col("_base"), F.lit(0)) + F.col("_lrn")).drop("_base")
 
 
 def keyed_neighbours(df: DataFrame, key: str | list[str], ts: str, cols: list[str],
                      offsets: list[int], tiebreak: str | None = None,
-                     bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
+                     bucket: str | int = DEFAULT_BUCKET,
+                     hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """For each offset j (positive = lead, negative = lag) and column c add
     ``{c}_{'next' if j>0 else 'prev'}{|j|}`` holding c of the row j positions
     away within the key (null past either end)."""
     keys = [key] if isinstance(key, str) else list(key)
     k_max = max(abs(j) for j in offsets)
-    d = keyed_seq(df, keys, ts, tiebreak, bucket)
-    part = keys + ["_bkt"]
     order = [F.col(ts)] + ([F.col(tiebreak)] if tiebreak else [])
-    wl = Window.partitionBy(*part).orderBy(*order)
+    d = keyed_seq(df, keys, ts, tiebreak, bucket, hot_threshold=hot_threshold)
+    wl = _bucket_window(keys, order)
 
     def name(c, j):
         return f"{c}_{'next' if j > 0 else 'prev'}{abs(j)}"
@@ -70,12 +95,11 @@ def keyed_neighbours(df: DataFrame, key: str | list[str], ts: str, cols: list[st
         for c in cols:
             d = d.withColumn(name(c, j), F.lead(c, j).over(wl) if j > 0 else F.lag(c, -j).over(wl))
 
-    # rows within k_max of either end of their bucket may need values from other buckets
-    edge = (F.col("_lrn") <= k_max) | (F.col("_lrn") > F.col("_bcnt") - k_max)
+    # only rows of hot keys within k_max of a bucket edge can have a neighbour in another bucket
+    edge = F.col("_hot") & ((F.col("_lrn") <= k_max) | (F.col("_lrn") > F.col("_bcnt") - k_max))
     d = d.withColumn("_edge", edge)
     inner = d.where(~F.col("_edge"))
     rim = d.where(F.col("_edge"))
-    # rim rows are the only possible neighbours across an edge; look them up by (key, seq)
     lookup = rim.select(*keys, F.col("seq").alias("_nseq"), *[F.col(c).alias(f"_n_{c}") for c in cols])
     fixed = rim
     for j in offsets:
@@ -86,35 +110,33 @@ def keyed_neighbours(df: DataFrame, key: str | list[str], ts: str, cols: list[st
             # inside the bucket the window value is right; the lookup fills the edge
             fixed = fixed.withColumn(name(c, j), F.coalesce(F.col(name(c, j)), F.col(f"_v_{c}"))).drop(f"_v_{c}")
     out_cols = inner.columns
-    return inner.unionByName(fixed.select(*out_cols)).drop("_edge", "_bkt", "_lrn", "_bcnt")
+    return inner.unionByName(fixed.select(*out_cols)).drop("_edge", "_hot", "_bkt", "_lrn", "_bcnt")
 
 
 def running_aggregates(df: DataFrame, key: str | list[str], ts: str, value: str,
-                       tiebreak: str | None = None, bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
+                       tiebreak: str | None = None, bucket: str | int = DEFAULT_BUCKET,
+                       hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """Running count / sum / min / max of ``value`` per key in ts order (O-34, O-35).
 
-    Prefix values of earlier buckets come from a per-bucket summary table, so
-    no task sees more than one (key, bucket)."""
+    Prefix values of earlier buckets (hot keys only) come from a per-bucket
+    summary table, so no task sees more than one (key, bucket)."""
     keys = [key] if isinstance(key, str) else list(key)
     order = [F.col(ts)] + ([F.col(tiebreak)] if tiebreak else [])
-    d = df.withColumn("_bkt", _bucket(ts, bucket))
-    part = keys + ["_bkt"]
-    summ = d.groupBy(*part).agg(F.count(F.lit(1)).alias("_c"), F.sum(value).alias("_s"),
-                                F.min(value).alias("_mn"), F.max(value).alias("_mx"))
+    d = with_split(df, keys, ts, bucket, hot_threshold)
+    summ = d.where(F.col("_hot")).groupBy(*keys, "_bkt").agg(
+        F.count(F.lit(1)).alias("_c"), F.sum(value).alias("_s"), F.min(value).alias("_mn"), F.max(value).alias("_mx"))
     wk = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    summ = summ.select(*part,
-                       F.coalesce(F.sum("_c").over(wk), F.lit(0)).alias("_pc"),
-                       F.coalesce(F.sum("_s").over(wk), F.lit(0)).alias("_ps"),
-                       F.min("_mn").over(wk).alias("_pmn"),
-                       F.max("_mx").over(wk).alias("_pmx"))
-    wl = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summ = summ.select(*keys, "_bkt",
+                       F.sum("_c").over(wk).alias("_pc"), F.sum("_s").over(wk).alias("_ps"),
+                       F.min("_mn").over(wk).alias("_pmn"), F.max("_mx").over(wk).alias("_pmx"))
+    wl = _bucket_window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
     d = (d.withColumn("_lc", F.count(F.lit(1)).over(wl))
           .withColumn("_ls", F.sum(value).over(wl))
           .withColumn("_lmn", F.min(value).over(wl))
           .withColumn("_lmx", F.max(value).over(wl)))
-    d = d.join(summ, on=part, how="inner")
-    return (d.withColumn("running_count", (F.col("_pc") + F.col("_lc")).cast("bigint"))
-             .withColumn("running_sum", F.col("_ps") + F.col("_ls"))
+    d = d.join(summ, on=keys + ["_bkt"], how="left")
+    return (d.withColumn("running_count", (F.coalesce(F.col("_pc"), F.lit(0)) + F.col("_lc")).cast("bigint"))
+             .withColumn("running_sum", F.coalesce(F.col("_ps"), F.lit(0)) + F.col("_ls"))
              .withColumn("running_min", F.least("_pmn", "_lmn"))
              .withColumn("running_max", F.greatest("_pmx", "_lmx"))
-             .drop("_bkt", "_c", "_lc", "_ls", "_lmn", "_lmx", "_pc", "_ps", "_pmn", "_pmx"))
+             .drop("_hot", "_bkt", "_lc", "_ls", "_lmn", "_lmx", "_pc", "_ps", "_pmn", "_pmx"))
