@@ -7,7 +7,7 @@ from tideline.functions.time import epoch_us
 from tideline.operators import scan, windows
 from tideline.plans.event_patterns import LOGIN_FAIL_TRANSITIONS
 from tideline.sources.tables import read_table
-from tideline.streaming import ops, stateful
+from tideline.streaming import ops, sinks, stateful
 from tideline.streaming.replay import replay_to_files, run_to_memory, stream_parts
 
 
@@ -119,3 +119,85 @@ def test_stream_equals_batch_on_events(spark, scratch):
     b = b.withColumn("fire_ms", F.floor(F.col("fire_us") / 1000).cast("bigint")).where(F.col("fire_ms") <= wm_ms)
     got = rows_set(pv.withColumnRenamed("k", "user_id"), "user_id", "fire_ms", "cnt")
     assert got == rows_set(b, "user_id", "fire_ms", "cnt")
+
+
+def test_reconcile_and_joins_stream_golden(spark, scratch):
+    app = [("order-1", "app", 1000), ("order-2", "app", 2000)]
+    pay = [("order-1", "third-party", 3000), ("order-3", "third-party", 4000)]
+    later_a = [("zz", "app", 60000)]
+    later_p = [("zz", "third-party", 60000)]
+    a = _stream_batches(spark, [app, later_a], "oid string, src string, ms long", scratch, "a")
+    p = _stream_batches(spark, [pay, later_p], "oid string, src string, ms long", scratch, "p")
+    out = run_to_memory(ops.reconcile(a, p, "oid", "ts", "ts", "5 seconds"), "append", os.path.join(scratch, "ck"))
+    got = sorted((r.l_oid or r.r_oid, r.status) for r in out.collect() if (r.l_oid or r.r_oid) != "zz")
+    assert got == [("order-1", "matched"), ("order-2", "right_missing"), ("order-3", "left_missing")]
+
+    l = _stream_batches(spark, [[("a", 1000), ("b", 2000)]], "k string, ms long", scratch, "l")
+    r = _stream_batches(spark, [[("a", 3000), ("b", 4000)]], "k2 string, ms2 long", scratch, "r")
+    j = run_to_memory(ops.equi_join(l, r, "k", "k2"), "append", os.path.join(scratch, "ck2"))
+    assert rows_set(j, "k", "ms", "ms2") == [("a", 1000, 3000), ("b", 2000, 4000)]
+
+
+def test_window_join_cogroup_stream_golden(spark, scratch):
+    lrows = [("a", 1000), ("b", 1000), ("a", 2000), ("b", 2000)]
+    rrows = [("a", 3000), ("b", 3000), ("a", 4000), ("b", 4000)]
+    l = _stream_batches(spark, [lrows, [("z", 20000)]], "k string, ms long", scratch, "l")
+    r = _stream_batches(spark, [rrows, [("z", 20000)]], "k string, ms long", scratch, "r")
+    j = run_to_memory(ops.window_join(l, r, "k", "ts", "ts", "5 seconds"), "append", os.path.join(scratch, "ck"))
+    assert j.where("l_k != 'z'").count() == 8
+    l2 = _stream_batches(spark, [lrows, [("z", 20000)]], "k string, ms long", scratch, "l2")
+    r2 = _stream_batches(spark, [rrows, [("z", 20000)]], "k string, ms long", scratch, "r2")
+    g = run_to_memory(ops.window_cogroup(l2, r2, "k", "ts", "ts", "5 seconds", "ms", "ms"), "append",
+                      os.path.join(scratch, "ck2"))
+    assert rows_set(g, "k", "left_values", "right_values") == [("a", [1000, 2000], [3000, 4000]),
+                                                                ("b", [1000, 2000], [3000, 4000])]
+
+
+def test_rules_and_first_n_stream(spark, scratch):
+    acts = [("Alice", "login", 1), ("Alice", "pay", 2), ("Bob", "login", 3), ("Bob", "buy", 4)]
+    s = _stream_batches(spark, [acts[:1] + acts[2:3], acts[1:2] + acts[3:]], "user_id string, action string, ms long",
+                        scratch)
+    rules = spark.createDataFrame([("login", "pay"), ("login", "buy")], "action1 string, action2 string")
+    out = run_to_memory(stateful.rule_matches_stream(s, "user_id", "ts", "action", "ms", rules), "append",
+                        os.path.join(scratch, "ck"))
+    assert rows_set(out, "k", "prev_action", "action") == [("Alice", "login", "pay"), ("Bob", "login", "buy")]
+    rows = [("u", "x", 1000 * i) for i in range(1, 8)]
+    s2 = _stream_batches(spark, [rows[:3], rows[3:]], EV, scratch, "n")
+    avg = run_to_memory(stateful.first_n_average_stream(s2, "users", "ts", 5), "append", os.path.join(scratch, "ck2"))
+    assert rows_set(avg, "k", "avg_ms") == [("u", 3000)]
+
+
+def test_sinks_stream(spark, scratch):
+    ev = read_table(spark, SF_SMALL, "events")
+    parts = replay_to_files(ev, scratch, 3, "event_id")
+    s = stream_parts(spark, parts, ev.schema, os.path.join(scratch, "landing"))
+    q = sinks.buffered_batches_sink(s.select("event_id"), "event_id", 7, os.path.join(scratch, "out"),
+                                    os.path.join(scratch, "state"), os.path.join(scratch, "ck"))
+    q.awaitTermination(180)
+    out = spark.read.parquet(os.path.join(scratch, "out"))
+    n = ev.count()
+    assert out.count() == (n // 7) * 7
+    assert rows_set(out.select("event_id").orderBy("event_id").limit(3), "event_id") == [(0,), (1,), (2,)]
+    s2 = stream_parts(spark, parts, ev.schema, os.path.join(scratch, "landing2"))
+    q2 = sinks.rolling_file_sink(s2, os.path.join(scratch, "files"), os.path.join(scratch, "ck2"),
+                                 max_records_per_file=100, available_now=True)
+    q2.awaitTermination(180)
+    files = spark.read.parquet(os.path.join(scratch, "files"))
+    assert files.count() == n
+
+
+def test_late_split_stream_matches_batch(spark, scratch):
+    from tideline.operators import eventtime
+    ev = read_table(spark, SF_SMALL, "events").select("event_id", "ts")
+    ev = ev.withColumn("arrival", F.col("event_id") + F.pmod(F.col("event_id") * 37, F.lit(50)))
+    # stream in arrival order: order files by arrival
+    evk = ev.withColumn("arrival_key", F.col("arrival") * 10000 + F.col("event_id"))
+    parts = replay_to_files(evk, scratch, 3, "arrival_key")
+    s = stream_parts(spark, parts, evk.schema, os.path.join(scratch, "landing"))
+    q = sinks.late_split_sink(s, "ts", "arrival_key", "1 hour", "5 minutes", os.path.join(scratch, "out"),
+                              os.path.join(scratch, "state"), os.path.join(scratch, "ck"))
+    q.awaitTermination(180)
+    got = spark.read.parquet(os.path.join(scratch, "out"))
+    b = eventtime.split_late(evk, "ts", "arrival_key", "1 hour", "5 minutes")
+    assert rows_set(got.where("route = 'late'"), "event_id") == rows_set(b.where("is_late"), "event_id")
+    assert b.where("is_late").count() > 0

@@ -37,10 +37,10 @@ def prefix_max_before(df: DataFrame, order: str, value: str, block_width: int =
                       tiebreak: str | None = None, col: str = "prev_max") -> DataFrame:
     """max(value) over all rows strictly earlier in (order, tiebreak)."""
     d = df.withColumn("_blk", _block(order, block_width))
-    bm = d.groupBy("_blk").agg(F.max(value).alias("_m"))
+    bm = d.groupBy("_blk").agg(F.max(value).alias("_pfx_m"))
     wb = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    bm = bm.select("_blk", F.max("_m").over(wb).alias("_pm"))
+    bm = bm.select("_blk", F.max("_pfx_m").over(wb).alias("_pfx_b"))
     ob = [F.col(order)] + ([F.col(tiebreak)] if tiebreak else [])
     wl = Window.partitionBy("_blk").orderBy(*ob).rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("_lm", F.max(value).over(wl)).join(bm, on="_blk")
-    return d.withColumn(col, F.greatest("_pm", "_lm")).drop("_blk", "_lm", "_pm")
+    d = d.withColumn("_pfx_l", F.max(value).over(wl)).join(bm, on="_blk")
+    return d.withColumn(col, F.greatest("_pfx_b", "_pfx_l")).drop("_blk", "_pfx_l", "_pfx_b")

@@ -144,3 +144,30 @@ def processing_time_window_count(df: DataFrame, key, size: str) -> DataFrame:
     micro-batch time, then windowed (rows-only checkable)."""
     d = df.withColumn("pt", F.current_timestamp())
     return _flat(d.groupBy(*_keys(key), F.window("pt", _iv(size)).alias("window")).agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def reconcile(left: DataFrame, right: DataFrame, key: str, l_ts: str, r_ts: str, tolerance: str,
+              delay: str = "0 seconds") -> DataFrame:
+    """O-46 on streams: full outer stream-stream join on key with
+    |Δt| <= tolerance.  Matches come out as they happen; a row with no
+    partner comes out (other side null) once the watermark passes
+    ts + tolerance.  Adds ``status``."""
+    j = interval_join(left, right, key, l_ts, r_ts, f"-{duration_us(tolerance)} microseconds",
+                      f"{duration_us(tolerance)} microseconds", delay, how="full_outer")
+    st = (F.when(F.col(f"l_{key}").isNull(), F.lit("left_missing"))
+           .when(F.col(f"r_{key}").isNull(), F.lit("right_missing")).otherwise(F.lit("matched")))
+    return j.withColumn("status", st)
+
+
+def equi_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
+    """O-47 on streams: inner stream-stream equi-join.  Without watermarks its
+    state grows without bound; give both inputs a watermark and a time
+    condition (``interval_join``) for long-running jobs."""
+    return left.join(right, left[left_on] == right[right_on], "inner")
+
+
+def window_count_with_lateness(df: DataFrame, key, ts: str, size: str, delay: str, lateness: str) -> DataFrame:
+    """O-53: windows stay updatable for ``lateness`` beyond the disorder
+    bound; run in ``update`` output mode — the last row per window is final."""
+    total = f"{duration_us(delay) + duration_us(lateness)} microseconds"
+    return window_count(df, key, ts, size, None, total)
