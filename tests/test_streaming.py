@@ -8,7 +8,7 @@ from tideline.operators import scan, windows
 from tideline.plans.event_patterns import LOGIN_FAIL_TRANSITIONS
 from tideline.sources.tables import read_table
 from tideline.streaming import ops, sinks, stateful
-from tideline.streaming.replay import replay_to_files, run_to_memory, stream_parts
+from tideline.streaming.replay import read_replay, replay_to_files, run_to_memory, stream_parts
 
 
 def _stream_batches(spark, batches, schema, scratch, name="in"):
@@ -101,7 +101,7 @@ def test_stream_equals_batch_on_events(spark, scratch):
     has passed."""
     ev = read_table(spark, SF_SMALL, "events")
     parts = replay_to_files(ev, scratch, 4, "event_id")
-    s = stream_parts(spark, parts, ev.schema, os.path.join(scratch, "landing"))
+    s = read_replay(spark, parts[0], ev.schema)
     out = run_to_memory(ops.window_count(s, "event_type", "ts", "6 hours", delay="1 hour"), "append",
                         os.path.join(scratch, "ck"))
     max_ts = ev.agg(F.max("ts")).first()[0]
@@ -111,7 +111,7 @@ def test_stream_equals_batch_on_events(spark, scratch):
     cols = ["event_type", "window_start", "window_end", "cnt"]
     assert rows_set(out, *cols) == rows_set(batch, *cols)
 
-    s2 = stream_parts(spark, parts, ev.schema, os.path.join(scratch, "landing2"))
+    s2 = read_replay(spark, parts[0], ev.schema)
     pv = run_to_memory(stateful.periodic_count_stream(s2, "user_id", "ts", "10 hours"), "append",
                        os.path.join(scratch, "ck2"))
     wm_ms = int((max_ts - datetime.datetime(1970, 1, 1)).total_seconds() * 1000)
@@ -170,7 +170,7 @@ def test_rules_and_first_n_stream(spark, scratch):
 def test_sinks_stream(spark, scratch):
     ev = read_table(spark, SF_SMALL, "events")
     parts = replay_to_files(ev, scratch, 3, "event_id")
-    s = stream_parts(spark, parts, ev.schema, os.path.join(scratch, "landing"))
+    s = read_replay(spark, parts[0], ev.schema)
     q = sinks.buffered_batches_sink(s.select("event_id"), "event_id", 7, os.path.join(scratch, "out"),
                                     os.path.join(scratch, "state"), os.path.join(scratch, "ck"))
     q.awaitTermination(180)
@@ -178,7 +178,7 @@ def test_sinks_stream(spark, scratch):
     n = ev.count()
     assert out.count() == (n // 7) * 7
     assert rows_set(out.select("event_id").orderBy("event_id").limit(3), "event_id") == [(0,), (1,), (2,)]
-    s2 = stream_parts(spark, parts, ev.schema, os.path.join(scratch, "landing2"))
+    s2 = read_replay(spark, parts[0], ev.schema)
     q2 = sinks.rolling_file_sink(s2, os.path.join(scratch, "files"), os.path.join(scratch, "ck2"),
                                  max_records_per_file=100, available_now=True)
     q2.awaitTermination(180)
@@ -193,7 +193,7 @@ def test_late_split_stream_matches_batch(spark, scratch):
     # stream in arrival order: order files by arrival
     evk = ev.withColumn("arrival_key", F.col("arrival") * 10000 + F.col("event_id"))
     parts = replay_to_files(evk, scratch, 3, "arrival_key")
-    s = stream_parts(spark, parts, evk.schema, os.path.join(scratch, "landing"))
+    s = read_replay(spark, parts[0], evk.schema)
     q = sinks.late_split_sink(s, "ts", "arrival_key", "1 hour", "5 minutes", os.path.join(scratch, "out"),
                               os.path.join(scratch, "state"), os.path.join(scratch, "ck"))
     q.awaitTermination(180)

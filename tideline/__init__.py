@@ -6,6 +6,18 @@ strategy.  Where an operator has a streaming form it lives in
 ``tideline.streaming``; batch forms live in ``tideline.operators``.
 """
 
-from tideline.session import get_session, checkpoint_dir  # noqa: F401
+import sys as _sys
+
+# Python-side pieces (pandas UDFs, mapInPandas, transformWithState processors)
+# are shipped to workers by value, so executors and Spark's planning-time
+# Python runners need no copy of this package on their path.
+try:
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - very old pyspark
+    pass
+
+from tideline.session import get_session, checkpoint_dir  # noqa: E402,F401
 
 __all__ = ["get_session", "checkpoint_dir"]

@@ -2,4 +2,4 @@
 ``events`` / ``orders`` / ``lineitem`` tables and carries its DuckDB SQL."""
 
 from tideline.plans.registry import QUERIES, ORACLE_SQL, register  # noqa: F401
-from tideline.plans import event_windows, event_rows, event_joins, event_patterns  # noqa: F401,E402
+from tideline.plans import event_windows, event_rows, event_joins, event_patterns, event_streams  # noqa: F401,E402

@@ -15,15 +15,26 @@ from pyspark.sql import functions as F
 from tideline.operators.ordering import global_index
 
 
-def replay_to_files(df: DataFrame, out_dir: str, n_files: int, order: str, block_width: int = 100_000) -> list[str]:
-    """Write ``df`` as ``n_files`` parquet parts in ``order``; returns the part
-    folders in the order they must be streamed."""
+def replay_to_files(df: DataFrame, out_dir: str, n_files: int, order: str, block_width: int = 100_000,
+                    files_per_part: int = 4) -> list[str]:
+    """Write ``df`` as ``n_files`` consecutive parts in ``order`` into one
+    folder (one write job per part, so every file of part i is older than
+    every file of part i+1).  Each part is range-partitioned into
+    ``files_per_part`` files — the write stays parallel.  Returns the folder
+    as a one-element list (``read_replay`` streams it)."""
     d = global_index(df, order, block_width, col="_idx", total_col="_n")
-    d = d.withColumn("_part", F.floor(F.col("_idx") * F.lit(n_files) / F.col("_n")).cast("int"))
-    d = d.drop("_idx", "_n").repartition("_part").sortWithinPartitions("_part", order)
-    staged = os.path.join(out_dir, "_staged")
-    d.write.mode("overwrite").partitionBy("_part").parquet(staged)
-    return [os.path.join(staged, f"_part={i}") for i in range(n_files)]
+    d = d.withColumn("_part", F.floor(F.col("_idx") * F.lit(n_files) / F.col("_n")).cast("int")).drop("_idx", "_n")
+    landing = os.path.join(out_dir, "replay")
+    for i in range(n_files):
+        (d.where(F.col("_part") == i).drop("_part").repartitionByRange(files_per_part, order)
+          .sortWithinPartitions(order).write.mode("append").parquet(landing))
+    return [landing]
+
+
+def read_replay(spark: SparkSession, folder: str, schema, files_per_trigger: int = 4) -> DataFrame:
+    """Stream a replay folder oldest file first, about one part per micro-batch."""
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+                 .parquet(folder))
 
 
 def stream_parts(spark: SparkSession, parts: list[str], schema, landing: str) -> DataFrame:

@@ -303,8 +303,9 @@ class FollowedByWithin(StatefulProcessor):
 
 def followed_by_stream(df: DataFrame, key: str, ts: str, is_start, is_end, within: str, id_col: str,
                        delay: str = "0 seconds") -> DataFrame:
+    # no filter here: Catalyst would push it below the watermark, which must
+    # follow every row of the stream; the processor skips other rows
     d = _prep(df, key, ts, delay, [F.col(id_col).alias("tb"), is_start.alias("is_start"), is_end.alias("is_end")])
-    d = d.where(F.col("is_start") | F.col("is_end"))
     kt = df.schema[key].dataType.simpleString()
     return d.groupBy("k").transformWithState(
         FollowedByWithin(duration_us(within) // 1000),
