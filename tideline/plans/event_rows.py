@@ -305,3 +305,12 @@ def repartition_roundtrip(spark, sf_dir):
     keyed = layout.key_by(ev, "event_type")
     out = keyed.groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"), F.round(F.sum("value"), 6).alias("total"))
     return layout.to_single(out)
+
+
+@register("decode_json_payload", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+""")
+def decode_payload(spark, sf_dir):
+    """O-05: message value (JSON text) -> typed columns, as after a Kafka source."""
+    ev = _events(spark, sf_dir, "event_id", "props")
+    return codec.decode_kafka_value(ev, "k bigint", value="props", keep=["event_id"])

@@ -37,8 +37,9 @@ def kafka_records(df: DataFrame, key: Column, fields: list[Column], sep: str = "
     return df.select(key.alias("key"), F.concat_ws(sep, *fields).alias("value"))
 
 
-def decode_kafka_value(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
+def decode_kafka_value(df: DataFrame, schema: str, value: str = "value", keep: list[str] | None = None) -> DataFrame:
     """O-05: Kafka value bytes (JSON) -> columns.  The Kafka connector jar is
     not bundled; this is the decode step applied after
     ``readStream.format('kafka')``."""
-    return df.select(F.from_json(F.col(value).cast("string"), schema).alias("_v")).select("_v.*")
+    keep = keep or []
+    return df.select(*keep, F.from_json(F.col(value).cast("string"), schema).alias("_v")).select(*keep, "_v.*")
