@@ -27,7 +27,7 @@ _EPOCH = "TIMESTAMP '1970-01-01'"
 def _run(spark, sf_dir, name, build, cols=("event_id", "ts", "user_id", "event_type")):
     base = os.path.join(checkpoint_dir(spark), "tideline-streams", f"{name}-{uuid.uuid4().hex[:8]}")
     ev = read_table(spark, sf_dir, "events").select(*cols)
-    folder = replay_to_files(ev, base, 4, "event_id", block_width=10_000)[0]
+    folder = replay_to_files(ev, base, 4, "event_id")[0]
     stream = read_replay(spark, folder, ev.schema)
     out = os.path.join(base, "out")
     run_to_parquet(build(stream), out, os.path.join(base, "ck"))

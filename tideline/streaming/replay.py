@@ -12,22 +12,27 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.operators.ordering import global_index
 
 
-def replay_to_files(df: DataFrame, out_dir: str, n_files: int, order: str, block_width: int = 100_000,
-                    files_per_part: int = 4) -> list[str]:
-    """Write ``df`` as ``n_files`` consecutive parts in ``order`` into one
-    folder (one write job per part, so every file of part i is older than
-    every file of part i+1).  Each part is range-partitioned into
-    ``files_per_part`` files — the write stays parallel.  Returns the folder
-    as a one-element list (``read_replay`` streams it)."""
-    d = global_index(df, order, block_width, col="_idx", total_col="_n")
-    d = d.withColumn("_part", F.floor(F.col("_idx") * F.lit(n_files) / F.col("_n")).cast("int")).drop("_idx", "_n")
+def replay_to_files(df: DataFrame, out_dir: str, n_files: int, order: str, files_per_part: int = 4) -> list[str]:
+    """Write ``df`` as ``n_files`` consecutive parts of the numeric ``order``
+    range into one folder — one write job per part, so every file of part i
+    is older than every file of part i+1 (the file source streams oldest
+    first).  Each part is a range filter on the source (pushed into the
+    parquet scan) and is written by ``files_per_part`` parallel tasks.
+    Returns the folder as a one-element list (``read_replay`` streams it)."""
+    lo, hi = df.agg(F.min(order), F.max(order)).first()
     landing = os.path.join(out_dir, "replay")
+    if lo is None:
+        return [landing]
+    width = (hi - lo) / n_files
     for i in range(n_files):
-        (d.where(F.col("_part") == i).drop("_part").repartitionByRange(files_per_part, order)
-          .sortWithinPartitions(order).write.mode("append").parquet(landing))
+        a = lo + width * i
+        cond = (F.col(order) >= F.lit(a)) if i == 0 else (F.col(order) > F.lit(a))
+        if i < n_files - 1:
+            cond = cond & (F.col(order) <= F.lit(lo + width * (i + 1)))
+        (df.where(cond).repartitionByRange(files_per_part, order).sortWithinPartitions(order)
+           .write.mode("append").parquet(landing))
     return [landing]
 
 
