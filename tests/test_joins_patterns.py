@@ -127,3 +127,35 @@ def test_sequence_hot_key_split(spark):
         got = rows_set(patterns.strict_sequence(ev, "user_id", "ts", [e, e], ["event_id"], tiebreak="event_id",
                                                 bucket=b, hot_threshold=100), "event_id_1", "event_id_2")
         assert got == base and len(base) > 0
+
+
+def test_state_machine_split_equals_sequential(spark):
+    """The bucketed state machine (entry state per bucket from composed
+    functions) equals a plain sequential run, for cold keys, hot keys and one
+    key holding every row."""
+    import pandas as pd
+    ev = read_table(spark, SF_SMALL, "events").select("user_id", "event_id", "ts", "event_type")
+    pdf = ev.toPandas().sort_values(["ts", "event_id"])
+    table = {(s, a): n for s, a, n in LOGIN_FAIL_TRANSITIONS}
+
+    def brute(frame):
+        out, state = [], {}
+        for r in frame.itertuples():
+            st = state.get(r.user_id, "Initial")
+            nxt = table.get((st, r.event_type), "Initial")
+            if nxt == "Matched":
+                out.append(r.event_id)
+            else:
+                state[r.user_id] = "Initial" if nxt == "Terminal" else nxt
+        return sorted(out)
+
+    want = brute(pdf)
+    for bucket, hot in [("1 day", None), ("6 hours", 5), ("1 day", 10**9)]:
+        got = scan.run_state_machine(ev, "user_id", "ts", "event_type", LOGIN_FAIL_TRANSITIONS, "Initial", "Matched",
+                                     "Terminal", ["event_id"], tiebreak="event_id", bucket=bucket, hot_threshold=hot)
+        assert sorted(r.event_id for r in got.collect()) == want
+    one = ev.withColumn("user_id", F.lit(7))
+    want_one = brute(pdf.assign(user_id=7))
+    got = scan.run_state_machine(one, "user_id", "ts", "event_type", LOGIN_FAIL_TRANSITIONS, "Initial", "Matched",
+                                 "Terminal", ["event_id"], tiebreak="event_id", bucket="2 hours", hot_threshold=100)
+    assert sorted(r.event_id for r in got.collect()) == want_one and len(want_one) > 0

@@ -1,11 +1,20 @@
-"""Sequential per-key operators (O-76, O-80) as sorted partition scans.
+"""Sequential per-key operators (O-76, O-80).
 
 Some semantics are a fold over a key's rows in time order where each step
 depends on the previous state (a timer anchored at the first row after the
 last firing; a state machine).  Spark hash-partitions by key, sorts within
 partitions, and a ``mapInPandas`` task walks its Arrow batches carrying only
-the state of the current key — memory is O(batch), never O(group).  The
-state survives batch boundaries; a key never spans two tasks."""
+the state of the current key — memory is O(batch), never O(group).
+
+``run_state_machine`` is split further: a finite state machine step is a
+function on a small state set, and functions compose.  Each (key, time
+bucket) is run once from *every* possible entry state; buckets report their
+composed function, a per-key fold over bucket summaries (bounded by the
+number of buckets) gives each bucket's true entry state, and the candidate
+alerts are kept for that state.  So even a key holding a third of the rows
+is processed by many tasks.  ``periodic_count`` (a timer anchored at the
+first row after each firing — an unbounded continuous state) remains a
+sequential fold per key."""
 
 from __future__ import annotations
 
@@ -17,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.time import duration_us, epoch_us
+from tideline.operators.sequence import DEFAULT_HOT_THRESHOLD, with_split
 
 
 def _sorted(df: DataFrame, key: str, order: list[str], n: int | None) -> DataFrame:
@@ -65,35 +75,80 @@ def periodic_count(df: DataFrame, key: str, ts: str, interval: str, tiebreak: st
 
 def run_state_machine(df: DataFrame, key: str, ts: str, symbol: str, transitions: list[tuple[str, str, str]],
                       initial: str, accept: str, reset: str, carry: list[str],
-                      tiebreak: str | None = None, partitions: int | None = None) -> DataFrame:
+                      tiebreak: str | None = None, bucket: str = "1 day",
+                      hot_threshold: int | None = DEFAULT_HOT_THRESHOLD, partitions: int | None = None) -> DataFrame:
     """O-80: explicit state machine per key.
 
     ``transitions`` = (state, symbol, next).  A symbol with no transition from
     the current state sends the key back to ``initial``; reaching ``reset``
     does the same; reaching ``accept`` emits the row (an alert) and the key
     stays in the state it was in.  Output: key + carried columns of alert rows."""
-    table = {(s, a): n for s, a, n in transitions}
-    cols = [key, symbol, ts] + [c for c in carry if c not in (key, symbol, ts)] + \
-           ([tiebreak] if tiebreak and tiebreak not in carry else [])
-    d = _sorted(df.select(*cols), key, [ts] + ([tiebreak] if tiebreak else []), partitions)
-    out_schema = df.select(key, *carry).schema
+    states = sorted({initial} | {s for s, _, _ in transitions} |
+                    {n for _, _, n in transitions if n not in (accept, reset)})
+    idx = {s: i for i, s in enumerate(states)}
+    n_states = len(states)
+    init_i = idx[initial]
+    # per symbol: next stable state and emit flag for each current state
+    step: dict[str, tuple[list[int], list[bool]]] = {}
+    for sym in {a for _, a, _ in transitions}:
+        nxt, emit = [], []
+        for s in states:
+            t = dict(((st, a), n) for st, a, n in transitions).get((s, sym), initial)
+            emit.append(t == accept)
+            nxt.append(idx[s] if t == accept else (init_i if t in (reset, initial) else idx[t]))
+        step[sym] = (nxt, emit)
+    reset_all = ([init_i] * n_states, [False] * n_states)
+
+    keys = [key]
+    order = [ts] + ([tiebreak] if tiebreak else [])
+    cols = list(dict.fromkeys([key, symbol, ts] + carry + ([tiebreak] if tiebreak else [])))
+    d = with_split(df.select(*cols), keys, ts, bucket, hot_threshold).drop("_hot")
+    d = d.repartition(partitions, key, "_bkt") if partitions else d.repartition(key, "_bkt")
+    d = d.sortWithinPartitions(key, "_bkt", *order)
+    kt = df.schema[key].dataType.simpleString()
+    carry_schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in carry)
+    out_schema = f"kind string, k {kt}, _bkt long, fn array<int>, flags array<boolean>, {carry_schema}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur, state = object(), initial
+        cur_k, cur_b, cur = None, None, None
+        summaries = []
         for b in batches:
-            keep = np.zeros(len(b), dtype=bool)
-            ks, syms = b[key].to_numpy(), b[symbol].to_numpy()
+            ks, bs, syms = b[key].to_numpy(), b["_bkt"].to_numpy(), b[symbol].to_numpy()
+            cand_rows, cand_flags = [], []
             for i in range(len(b)):
-                if ks[i] != cur:
-                    cur, state = ks[i], initial
-                nxt = table.get((state, syms[i]), initial)
-                if nxt == accept:
-                    keep[i] = True
-                elif nxt == reset:
-                    state = initial
-                else:
-                    state = nxt
-            if keep.any():
-                yield b.loc[keep, [key] + carry]
-
-    return d.mapInPandas(run, out_schema)
+                if ks[i] != cur_k or bs[i] != cur_b:
+                    if cur is not None:
+                        summaries.append((cur_k, int(cur_b), list(cur)))
+                    cur_k, cur_b, cur = ks[i], bs[i], list(range(n_states))
+                nxt, emit = step.get(syms[i], reset_all)
+                flags = [emit[c] for c in cur]
+                if any(flags):
+                    cand_rows.append(i)
+                    cand_flags.append(flags)
+                cur = [nxt[c] for c in cur]
+            if cand_rows:
+                c = b.iloc[cand_rows]
+                yield pd.DataFrame({"kind": "alert", "k": c[key].to_numpy(), "_bkt": c["_bkt"].to_numpy(),
+                                    "fn": [None] * len(c), "flags": cand_flags,
+                                    **{col: c[col].to_numpy() for col in carry}})
+        if cur is not None:
+            summaries.append((cur_k, int(cur_b), list(cur)))
+        if summaries:
+            yield pd.DataFrame({"kind": "bucket", "k": [s[0] for s in summaries], "_bkt": [s[1] for s in summaries],
+                                "fn": [s[2] for s in summaries], "flags": [None] * len(summaries),
+                                **{col: [None] * len(summaries) for col in carry}})
+
+    res = d.mapInPandas(run, out_schema).persist()
+    # entry state of every bucket: fold the composed functions of earlier buckets of the key
+    fns = res.where(F.col("kind") == "bucket").groupBy("k").agg(
+        F.array_sort(F.collect_list(F.struct("_bkt", "fn"))).alias("_fs"))
+    entry = fns.select("k", F.aggregate(
+        "_fs", F.struct(F.lit(init_i).alias("s"), F.array().cast("array<struct<_bkt:bigint,s:int>>").alias("out")),
+        lambda acc, x: F.struct(F.element_at(x["fn"], acc["s"] + 1).alias("s"),
+                                F.array_append(acc["out"], F.struct(x["_bkt"].alias("_bkt"), acc["s"].alias("s")))
+                                .alias("out")))["out"].alias("_e"))
+    entry = entry.select("k", F.explode("_e").alias("_x")).select("k", F.col("_x._bkt").alias("_bkt"),
+                                                                   F.col("_x.s").alias("_entry"))
+    alerts = res.where(F.col("kind") == "alert").join(entry, on=["k", "_bkt"], how="inner")
+    alerts = alerts.where(F.element_at("flags", F.col("_entry") + 1))
+    return alerts.select(F.col("k").alias(key), *carry)
