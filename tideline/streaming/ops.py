@@ -171,3 +171,25 @@ def window_count_with_lateness(df: DataFrame, key, ts: str, size: str, delay: st
     bound; run in ``update`` output mode — the last row per window is final."""
     total = f"{duration_us(delay) + duration_us(lateness)} microseconds"
     return window_count(df, key, ts, size, None, total)
+
+
+def running_aggregate(df: DataFrame, key, aggs: list[Column]) -> DataFrame:
+    """O-32…O-36 on a stream: keyed aggregate in ``update`` output mode — each
+    micro-batch emits the changed keys with their values so far (per batch,
+    not per row)."""
+    return df.groupBy(*_keys(key)).agg(*aggs)
+
+
+def early_fire_count(df: DataFrame, key, ts: str, size: str, step: str, delay: str = "0 seconds") -> DataFrame:
+    """O-51 on a stream: snapshots at ``start + i*step`` (rows with ts <= T)
+    plus the full window at its end; the window stays a grouping key so the
+    watermark closes each group with its window."""
+    sz, st = duration_us(size), duration_us(step)
+    n = sz // st
+    d = with_event_time(df, ts, delay).withColumn("w", F.window("et", _iv(size)))
+    i0 = F.ceil((F.unix_micros("et") - F.unix_micros(F.col("w.start"))) / F.lit(st)).cast("bigint")
+    d = d.withColumn("_j", F.explode(F.sequence(i0, F.lit(n).cast("bigint"))))
+    out = d.groupBy(*_keys(key), "w", "_j").agg(F.count(F.lit(1)).alias("cnt"))
+    fire = F.timestamp_micros(F.unix_micros(F.col("w.start")) + F.col("_j") * F.lit(st))
+    return (out.withColumn("window_start", to_ntz(F.col("w.start"))).withColumn("window_end", to_ntz(F.col("w.end")))
+               .withColumn("fire_time", to_ntz(fire)).drop("w", "_j"))

@@ -363,3 +363,96 @@ class LastSeenTTL(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class CountWindow(StatefulProcessor):
+    """O-48 on a stream: after every ``step``-th row of a key, the count and
+    sum of its last ``size`` rows (tumbling when step == size, which emits
+    only complete blocks).  List state holds at most ``size`` recent values."""
+
+    def __init__(self, size: int, step: int, tumbling: bool):
+        self.size, self.step, self.tumbling = size, step, tumbling
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.recent = handle.getListState("recent", "v double")
+        self.seen = handle.getValueState("seen", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        recent = [t[0] for t in self.recent.get()] if self.recent.exists() else []
+        n = self.seen.get()[0] if self.seen.exists() else 0
+        out = []
+        for r in sorted(rows, key=lambda r: (r.ms, r.tb)):
+            n += 1
+            recent.append(float(r.v))
+            recent = recent[-self.size:]
+            if n % self.step == 0:
+                if self.tumbling:
+                    out.append(Row(k=key[0], fire_seq=n, cnt=len(recent), total=sum(recent)))
+                    recent = []
+                else:
+                    out.append(Row(k=key[0], fire_seq=n, cnt=len(recent), total=sum(recent)))
+        self.recent.clear()
+        if recent:
+            self.recent.put([(v,) for v in recent])
+        self.seen.update((n,))
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+def count_window_stream(df: DataFrame, key: str, ts: str, value: str, tiebreak: str, size: int,
+                        step: int | None = None) -> DataFrame:
+    step = step or size
+    d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"), F.col(tiebreak).alias("tb"),
+                  F.col(value).cast("double").alias("v"))
+    kt = df.schema[key].dataType.simpleString()
+    return d.groupBy("k").transformWithState(CountWindow(size, step, step == size),
+                                              f"k {kt}, fire_seq long, cnt long, total double", "Append", "None")
+
+
+class StrictSequence(StatefulProcessor):
+    """O-78 on a stream: k consecutive rows of a key matching k step flags
+    (``_m0`` … ``_m{k-1}``); keeps the last k-1 rows in list state.
+    Overlapping matches are all reported."""
+
+    def __init__(self, k: int):
+        self.k = k
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getListState("last", "tb long, flags array<boolean>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        last = [(t[0], list(t[1])) for t in self.last.get()] if self.last.exists() else []
+        out = []
+        for r in sorted(rows, key=lambda r: (r.ms, r.tb)):
+            flags = [bool(getattr(r, f"_m{j}")) for j in range(self.k)]
+            window = (last + [(r.tb, flags)])[-self.k:]
+            if len(window) == self.k and all(window[j][1][j] for j in range(self.k)):
+                out.append(Row(k=key[0], ids=[w[0] for w in window]))
+            last = window[-(self.k - 1):] if self.k > 1 else []
+        self.last.clear()
+        if last:
+            self.last.put(last)
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+def strict_sequence_stream(df: DataFrame, key: str, ts: str, tiebreak: str, steps: list) -> DataFrame:
+    d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"), F.col(tiebreak).cast("long").alias("tb"),
+                  *[s.alias(f"_m{j}") for j, s in enumerate(steps)])
+    kt = df.schema[key].dataType.simpleString()
+    return d.groupBy("k").transformWithState(StrictSequence(len(steps)), f"k {kt}, ids array<long>", "Append", "None")
+
+
+def current_watermark_ms(query) -> int | None:
+    """O-58: the watermark a running query has reached (from its progress)."""
+    p = query.lastProgress
+    wm = (p or {}).get("eventTime", {}).get("watermark")
+    if not wm:
+        return None
+    import datetime
+    t = datetime.datetime.strptime(wm.replace("Z", ""), "%Y-%m-%dT%H:%M:%S.%f")
+    return int((t - datetime.datetime(1970, 1, 1)).total_seconds() * 1000)
