@@ -65,3 +65,18 @@ def test_window_identities(spark, rows):
     assert rows_set(last, "k", "window_start", "cnt") == rows_set(tum, "k", "window_start", "cnt")
     sl = windows.sliding_count(df, "k", "ts", "1 minute", "20 seconds")
     assert sl.agg(F.sum("cnt")).first()[0] == 3 * len(rows)
+
+
+@SETTINGS
+@given(EVENTS, st.sampled_from(["3 seconds", "20 seconds"]), st.sampled_from(["10 seconds", "1 minute"]),
+       st.sampled_from([None, 2, 10**6]))
+def test_session_split_equals_plain(spark, rows, gap, bucket, hot):
+    df = frame(spark, rows, SCHEMA)
+    plain = windows.session_windows(df, "k", "ts", gap, aggs=[F.count(F.lit(1)).alias("cnt")])
+    split = windows.session_windows(df, "k", "ts", gap, bucket=bucket, hot_threshold=hot)
+    cols = ["k", "session_start", "session_end", "cnt"]
+    assert rows_set(split, *cols) == rows_set(plain, *cols)
+    dyn = F.concat((F.length("e") * 4).cast("string"), F.lit(" seconds"))
+    p2 = windows.session_windows(df, "k", "ts", dyn, aggs=[F.count(F.lit(1)).alias("cnt")])
+    s2 = windows.session_windows(df, "k", "ts", dyn, bucket=bucket, hot_threshold=hot)
+    assert rows_set(s2, *cols) == rows_set(p2, *cols)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.time import duration_us, epoch_us, ntz_from_us
+from tideline.operators.sequence import DEFAULT_HOT_THRESHOLD, with_split
 
 
 def _keys(key) -> list[str]:
@@ -75,16 +76,45 @@ def manual_tumbling_count(df: DataFrame, key, ts: str, size: str) -> DataFrame:
 
 
 def session_windows(df: DataFrame, key, ts: str, gap: str | Column,
-                    aggs: list[Column] | None = None) -> DataFrame:
+                    aggs: list[Column] | None = None, bucket: str = "1 day",
+                    hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """O-44 fixed gap (string) / O-45 dynamic gap (Column holding an interval
     string per row).  A row exactly ``gap`` after the previous one joins the
-    session (Spark's rule); session_end = last ts + gap."""
-    aggs = aggs or [F.count(F.lit(1)).alias("cnt")]
+    session (Spark's rule); session_end = max(ts + gap).  Output: key(s),
+    session_start, session_end, cnt.
+
+    Spark's own session aggregate sorts every row of a key in one task.  Here
+    hot keys (more than ``hot_threshold`` rows) are first sessionized per
+    time bucket; only the first and last partial session of each bucket can
+    touch another bucket, so just those are merged per key (a running max of
+    session ends) and interior sessions are already final.  With ``aggs``
+    given, the plain single-stage plan is used (arbitrary aggregates are not
+    mergeable)."""
+    keys = _keys(key)
     g = _spark_interval(gap) if isinstance(gap, (str, int)) else gap
-    sw = F.session_window(ts, g)
-    out = df.groupBy(*_keys(key), sw.alias("session")).agg(*aggs)
-    return (out.withColumn("session_start", F.col("session.start"))
-               .withColumn("session_end", F.col("session.end")).drop("session"))
+    if aggs is not None:
+        out = df.groupBy(*keys, F.session_window(ts, g).alias("session")).agg(*aggs)
+        return (out.withColumn("session_start", F.col("session.start"))
+                   .withColumn("session_end", F.col("session.end")).drop("session"))
+    d = with_split(df, keys, ts, bucket, hot_threshold)
+    part = d.groupBy(*keys, "_hot", "_bkt", F.session_window(ts, g).alias("session")).agg(
+        F.count(F.lit(1)).alias("cnt"))
+    part = part.select(*keys, "_hot", "_bkt", F.col("session.start").alias("session_start"),
+                       F.col("session.end").alias("session_end"), "cnt")
+    wb = Window.partitionBy(*keys, "_hot", "_bkt")
+    first = F.row_number().over(wb.orderBy("session_start")) == 1
+    last = F.row_number().over(wb.orderBy(F.col("session_start").desc())) == 1
+    part = part.withColumn("_edge", F.col("_hot") & (first | last))
+    final = part.where(~F.col("_edge")).select(*keys, "session_start", "session_end", "cnt")
+    edges = part.where(F.col("_edge"))
+    wk = Window.partitionBy(*keys).orderBy("session_start", "session_end")
+    prev_end = F.max("session_end").over(wk.rowsBetween(Window.unboundedPreceding, -1))
+    edges = edges.withColumn("_new", F.when(prev_end.isNull() | (F.col("session_start") > prev_end), 1).otherwise(0))
+    edges = edges.withColumn("_sid", F.sum("_new").over(wk.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = edges.groupBy(*keys, "_sid").agg(F.min("session_start").alias("session_start"),
+                                              F.max("session_end").alias("session_end"),
+                                              F.sum("cnt").cast("bigint").alias("cnt"))
+    return final.unionByName(merged.drop("_sid"))
 
 
 def cumulative_window(df: DataFrame, key, ts: str, step: str, max_size: str,
