@@ -334,3 +334,25 @@ def test_processing_time_operators(spark, scratch):
         q3.stop()
     got = sorted((r.previous or "", r.current) for r in spark.table("ttl_out").collect())
     assert got == [("", "x"), ("x", "y")]
+
+
+def test_keep_last_and_lateness_stream(spark, scratch):
+    ev = read_table(spark, SF_SMALL, "events")
+    folder = replay_to_files(ev, scratch, 4, "event_id")[0]
+    max_ts = ev.agg(F.max("ts")).first()[0]
+    s = read_replay(spark, folder, ev.schema)
+    kl = run_to_memory(stateful.keep_last_stream(s, "event_type", "ts", "value", "event_id", "1 day", 10), "append",
+                       os.path.join(scratch, "ck1"))
+    b = windows.keep_last(ev, "event_type", "ts", "1 day", 10, "value", tiebreak="event_id").where(
+        F.col("window_end") <= F.lit(max_ts))
+    b = b.withColumn("window_start_ms", F.floor(epoch_us("window_start") / 1000).cast("bigint"))
+    assert rows_set(kl.withColumnRenamed("k", "event_type").withColumn("total", F.round("total", 6)),
+                    "event_type", "window_start_ms", "cnt", "total") == \
+        rows_set(b.withColumn("total", F.round("total", 6)), "event_type", "window_start_ms", "cnt", "total")
+
+    s = read_replay(spark, folder, ev.schema)
+    up = run_to_memory(ops.window_count_with_lateness(s, "event_type", "ts", "6 hours", "5 minutes", "1 hour"),
+                       "update", os.path.join(scratch, "ck2"))
+    last = up.groupBy("event_type", "window_start").agg(F.max("cnt").alias("cnt"))
+    full = windows.tumbling_count(ev, "event_type", "ts", "6 hours")
+    assert rows_set(last, "event_type", "window_start", "cnt") == rows_set(full, "event_type", "window_start", "cnt")

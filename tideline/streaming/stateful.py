@@ -456,3 +456,48 @@ def current_watermark_ms(query) -> int | None:
     import datetime
     t = datetime.datetime.strptime(wm.replace("Z", ""), "%Y-%m-%dT%H:%M:%S.%f")
     return int((t - datetime.datetime(1970, 1, 1)).total_seconds() * 1000)
+
+
+class KeepLastWindow(StatefulProcessor):
+    """O-52 on a stream: tumbling window per key that keeps only its last
+    ``n`` rows (evictor) and reports their count and sum when the watermark
+    passes the window end.  Map state: window start -> last n (ms, tb, v)."""
+
+    def __init__(self, size_ms: int, n: int):
+        self.size, self.n = size_ms, n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.wins = handle.getMapState("wins", "w long", "rows array<struct<ms:long, tb:long, v:double>>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        by_w: dict[int, list] = {}
+        for r in rows:
+            m = _ms(r.ms)
+            by_w.setdefault(m - m % self.size, []).append((m, int(r.tb), float(r.v)))
+        for w, new in by_w.items():
+            old = [tuple(x) for x in self.wins.getValue((w,))[0]] if self.wins.containsKey((w,)) else []
+            if not old:
+                self.handle.registerTimer(w + self.size)
+            keep = sorted(old + new)[-self.n:]
+            self.wins.updateValue((w,), (keep,))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        w = expiredTimerInfo.getExpiryTimeInMs() - self.size
+        if self.wins.containsKey((w,)):
+            keep = self.wins.getValue((w,))[0]
+            self.wins.removeKey((w,))
+            yield Row(k=key[0], window_start_ms=w, cnt=len(keep), total=float(sum(x[2] for x in keep)))
+
+    def close(self) -> None:
+        pass
+
+
+def keep_last_stream(df: DataFrame, key: str, ts: str, value: str, tiebreak: str, size: str, n: int,
+                     delay: str = "0 seconds") -> DataFrame:
+    d = _prep(df, key, ts, delay, [F.col(tiebreak).cast("long").alias("tb"), F.col(value).cast("double").alias("v")])
+    kt = df.schema[key].dataType.simpleString()
+    return d.groupBy("k").transformWithState(KeepLastWindow(duration_us(size) // 1000, n),
+                                              f"k {kt}, window_start_ms long, cnt long, total double",
+                                              "Append", "EventTime")
