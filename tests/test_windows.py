@@ -33,8 +33,9 @@ def test_window_top2_golden(spark):
     want = sorted([("Alice", ntz(hm(1)), 3, 1), ("Bob", ntz(hm(1)), 1, 2), ("Cary", ntz(hm(2)), 2, 1),
                    ("Bob", ntz(hm(2)), 1, 2)])
     assert rows_set(out, "users", "window_end", "cnt", "rn") == want
-    agg = topn.top_n_by_aggregate(c, ["window_end"], "users", "cnt", 2)
-    assert rows_set(agg, "users", "window_end", "cnt", "rn") == want
+    for bounded in (True, False):
+        agg = topn.top_n_by_aggregate(c, ["window_end"], "users", "cnt", 2, bounded=bounded)
+        assert rows_set(agg, "users", "window_end", "cnt", "rn") == want
 
 
 def test_early_fire_snapshots(spark):

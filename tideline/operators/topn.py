@@ -17,13 +17,18 @@ def top_n_per_group(df: DataFrame, group: list[str], score: str, n: int, tiebrea
               .where(F.col(rank_col) <= n))
 
 
-def top_n_by_aggregate(df: DataFrame, group: list[str], item: str, score: str, n: int) -> DataFrame:
-    """O-70/O-71 two-stage top-N as an aggregate (no row_number), usable on
-    streams in append mode: per group keep the n best ``(score desc, item asc)``.
-
-    ``max_by``-style bounded selection: ``slice(sort_array(collect_list))`` is
-    applied to the already reduced per-(group, item) counts, so a group holds
-    one entry per distinct item, never raw rows."""
+def top_n_by_aggregate(df: DataFrame, group: list[str], item: str, score: str, n: int,
+                       bounded: bool = True) -> DataFrame:
+    """O-70/O-71 second stage: regroup (item, score) rows by ``group`` and keep
+    the n best ``(score desc, item asc)`` with their rank.
+
+    ``bounded=True`` (batch): a ``row_number`` filter that Catalyst runs as a
+    WindowGroupLimit — n rows per group per task, whatever the group size.
+    ``bounded=False``: an aggregate (``slice(sort_array(collect_list))``), the
+    only form append-mode streams accept; a group then holds one entry per
+    distinct item."""
+    if bounded:
+        return top_n_per_group(df, group, score, n, [item]).select(*group, item, score, "rn")
     packed = F.struct((-F.col(score)).alias("neg"), F.col(item).alias("item"), F.col(score).alias("score"))
     agg = df.groupBy(*group).agg(F.slice(F.sort_array(F.collect_list(packed)), 1, n).alias("_top"))
     ex = agg.select(*group, F.posexplode("_top").alias("_pos", "_e"))
