@@ -111,10 +111,11 @@ def count_window_sliding(df: DataFrame, key, ts: str, size: int, step: int, valu
     fires = F.sequence(first_f, F.greatest(first_f, last_f - F.pmod(last_f, F.lit(step))), F.lit(step))
     ex = d.select(*keys, "seq", F.col(value), F.explode(fires).alias("fire_seq"))
     ex = ex.where(F.col("fire_seq") - F.col("seq") < size)
-    # a firing exists only if the key reached that position
-    last = d.groupBy(*keys).agg(F.max("seq").alias("_n"))
-    out = ex.groupBy(*keys, "fire_seq").agg(F.count(F.lit(1)).alias("cnt"), F.sum(value).alias("total"))
-    return out.join(last, on=keys).where(F.col("fire_seq") <= F.col("_n")).drop("_n")
+    # a firing exists only where the key has a row at that position: the row
+    # itself is in its own group, so no join with per-key totals is needed
+    out = ex.groupBy(*keys, "fire_seq").agg(F.count(F.lit(1)).alias("cnt"), F.sum(value).alias("total"),
+                                            F.max(F.col("seq") == F.col("fire_seq")).alias("_here"))
+    return out.where(F.col("_here")).drop("_here")
 
 
 def changelog_count(df: DataFrame, key, ts: str, tiebreak: str | None = None,
