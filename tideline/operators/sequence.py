@@ -40,11 +40,17 @@ def with_split(df: DataFrame, keys: list[str], ts: str, bucket: str | int,
                hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """Add ``_hot`` (key has more than ``hot_threshold`` rows) and ``_bkt``
     (time bucket for hot keys, 0 otherwise).  ``hot_threshold=None`` splits
-    every key."""
+    every key.
+
+    A statistics pass (one key column, partially aggregated) checks whether
+    any key is hot.  If none is, ``_hot``/``_bkt`` are constants and Catalyst
+    folds the cross-bucket branches away, leaving a plain per-key plan."""
     if hot_threshold is None:
         return df.withColumn("_hot", F.lit(True)).withColumn("_bkt", _bucket(ts, bucket))
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kc"))
              .where(F.col("_kc") > F.lit(hot_threshold)).select(*keys, F.lit(True).alias("_hot")))
+    if hot.limit(1).count() == 0:
+        return df.withColumn("_hot", F.lit(False)).withColumn("_bkt", F.lit(0).cast("bigint"))
     # at most rows / hot_threshold keys can pass the filter: a proven size bound
     d = df.join(F.broadcast(hot), on=keys, how="left").withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
     return d.withColumn("_bkt", F.when(F.col("_hot"), _bucket(ts, bucket)).otherwise(F.lit(0).cast("bigint")))
