@@ -159,3 +159,23 @@ def test_state_machine_split_equals_sequential(spark):
     got = scan.run_state_machine(one, "user_id", "ts", "event_type", LOGIN_FAIL_TRANSITIONS, "Initial", "Matched",
                                  "Terminal", ["event_id"], tiebreak="event_id", bucket="2 hours", hot_threshold=100)
     assert sorted(r.event_id for r in got.collect()) == want_one and len(want_one) > 0
+
+
+def test_periodic_count_across_arrow_batches(spark):
+    """State carried across Arrow batches and keys: tiny batches, one key with
+    every row, and the normal layout all equal brute force."""
+    import pandas as pd
+    ev = read_table(spark, SF_SMALL, "events").select("user_id", "ts", "event_id")
+    pdf = ev.toPandas()
+    pdf["us"] = (pdf.ts - pd.Timestamp("1970-01-01")) // pd.Timedelta(microseconds=1)
+    iv = 3 * 3600 * 10**6
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = scan.periodic_count(ev, "user_id", "ts", "3 hours", tiebreak="event_id", partitions=2)
+        assert rows_set(got, "user_id", "fire_us", "cnt") == _brute_periodic(pdf, iv)
+        one = ev.withColumn("user_id", F.lit(1))
+        got1 = scan.periodic_count(one, "user_id", "ts", "3 hours", tiebreak="event_id")
+        assert rows_set(got1, "user_id", "fire_us", "cnt") == _brute_periodic(pdf.assign(user_id=1), iv)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)

@@ -45,26 +45,34 @@ def periodic_count(df: DataFrame, key: str, ts: str, interval: str, tiebreak: st
     d = _sorted(d, "k", ["us"] + (["tb"] if tiebreak else []), partitions)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # carried across batches: current key, its running count, pending fire time
         cur, cnt, fire = None, 0, None
-        out_k, out_f, out_c = [], [], []
         for b in batches:
-            ks, us = b["k"].to_numpy(), b["us"].to_numpy()
-            for i in range(len(ks)):
-                k, t = ks[i], int(us[i])
-                if k != cur:
+            ks, us = b["k"].to_numpy(), b["us"].to_numpy().astype("int64")
+            out_k, out_f, out_c = [], [], []
+            cuts = np.concatenate(([0], np.flatnonzero(ks[1:] != ks[:-1]) + 1, [len(ks)]))
+            for s0, s1 in zip(cuts[:-1], cuts[1:]):
+                if s0 == s1:
+                    continue
+                if ks[s0] != cur:
                     if cur is not None and fire is not None:
                         out_k.append(cur), out_f.append(fire), out_c.append(cnt)
-                    cur, cnt, fire = k, 0, None
-                if fire is not None and t > fire:
-                    out_k.append(k), out_f.append(fire), out_c.append(cnt)
-                    fire = None
-                cnt += 1
-                if fire is None:
-                    fire = t + iv
+                    cur, cnt, fire = ks[s0], 0, None
+                seg = us[s0:s1]
+                pos = 0
+                # the loop runs once per firing, not once per row: searchsorted jumps
+                while pos < len(seg):
+                    if fire is None:
+                        fire = int(seg[pos]) + iv
+                    j = int(np.searchsorted(seg, fire, side="right"))
+                    cnt += j - pos
+                    pos = j
+                    if pos < len(seg):
+                        out_k.append(cur), out_f.append(fire), out_c.append(cnt)
+                        fire = None
             if out_k:
                 yield pd.DataFrame({"k": out_k, "fire_us": np.array(out_f, dtype="int64"),
                                     "cnt": np.array(out_c, dtype="int64")})
-                out_k, out_f, out_c = [], [], []
         if cur is not None and fire is not None:
             yield pd.DataFrame({"k": [cur], "fire_us": np.array([fire], dtype="int64"),
                                 "cnt": np.array([cnt], dtype="int64")})
