@@ -78,9 +78,3 @@ def pandas_mean(col: str) -> Column:
     def _mean(v: pd.Series) -> float:
         return float(v.mean())
     return _mean(F.col(col))
-
-
-def average_struct_fold(col: str) -> Column:
-    """O-19 accumulator form (sum, count) with a real merge: built-in
-    ``avg`` carries exactly that accumulator through partial aggregation."""
-    return F.avg(F.col(col))

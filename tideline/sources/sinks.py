@@ -1,4 +1,5 @@
-"""Sinks (O-07, O-08) — batch and streaming writers."""
+"""Batch form of the buffering sink (O-08); streaming sinks are in
+``tideline.streaming.sinks``."""
 
 from __future__ import annotations
 
@@ -17,16 +18,3 @@ def assign_batches(df: DataFrame, order: str, n: int, block_width: int = DEFAULT
     if hold_back_partial:
         d = d.where(F.col("_idx") < F.floor(F.col("_n") / F.lit(n)) * F.lit(n))
     return d.drop("_idx", "_n")
-
-
-def write_rolling_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                        roll_interval: str = "15 minutes", max_records_per_file: int = 1_000_000,
-                        partition_by: list[str] | None = None):
-    """O-07 rolling file sink for a streaming DataFrame: a new set of files
-    every ``roll_interval`` (trigger), at most ``max_records_per_file`` rows
-    per file; exactly-once through the checkpoint."""
-    w = (df.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
-           .option("maxRecordsPerFile", max_records_per_file).trigger(processingTime=roll_interval))
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    return w.start()

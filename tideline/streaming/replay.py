@@ -43,8 +43,9 @@ def read_replay(spark: SparkSession, folder: str, schema, files_per_trigger: int
 
 
 def stream_parts(spark: SparkSession, parts: list[str], schema, landing: str) -> DataFrame:
-    """Move replay parts into ``landing`` one at a time (oldest first) and return
-    a streaming reader over it with one file per trigger."""
+    """Local fixtures only (tests): copy each part's files into ``landing``
+    with increasing modification times and stream one file per trigger.
+    Cluster replays use ``replay_to_files`` + ``read_replay``."""
     import shutil
     os.makedirs(landing, exist_ok=True)
     for i, p in enumerate(parts):
