@@ -80,3 +80,24 @@ def test_session_split_equals_plain(spark, rows, gap, bucket, hot):
     p2 = windows.session_windows(df, "k", "ts", dyn, aggs=[F.count(F.lit(1)).alias("cnt")])
     s2 = windows.session_windows(df, "k", "ts", dyn, bucket=bucket, hot_threshold=hot)
     assert rows_set(s2, *cols) == rows_set(p2, *cols)
+
+
+@SETTINGS
+@given(EVENTS, st.integers(min_value=1, max_value=40), st.sampled_from(["1 minute", "5 minutes"]))
+def test_periodic_count_split_bruteforce(spark, rows, iv_s, bucket):
+    from tideline.operators import scan
+    df = frame(spark, rows, SCHEMA)
+    iv = iv_s * 10**6
+    want = []
+    for k in {r[0] for r in rows}:
+        ts = sorted(r[2] * 1000 for r in rows if r[0] == k)
+        i = 0
+        while i < len(ts):
+            fire = ts[i] + iv
+            j = i
+            while j < len(ts) and ts[j] <= fire:
+                j += 1
+            want.append((k, fire, j))
+            i = j
+    got = scan.periodic_count(df, "k", "ts", f"{iv_s} seconds", bucket=bucket, hot_threshold=None)
+    assert rows_set(got, "k", "fire_us", "cnt") == sorted(want)

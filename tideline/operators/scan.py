@@ -22,11 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.time import duration_us, epoch_us
-from tideline.operators.sequence import DEFAULT_HOT_THRESHOLD, with_split
+from tideline.operators.sequence import DEFAULT_HOT_THRESHOLD, hot_keys, with_split
 
 
 def _sorted(df: DataFrame, key: str, order: list[str], n: int | None) -> DataFrame:
@@ -35,14 +35,40 @@ def _sorted(df: DataFrame, key: str, order: list[str], n: int | None) -> DataFra
 
 
 def periodic_count(df: DataFrame, key: str, ts: str, interval: str, tiebreak: str | None = None,
-                   partitions: int | None = None) -> DataFrame:
+                   partitions: int | None = None, bucket: str = "1 day",
+                   hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """O-76: per key a timer is set ``interval`` after the first row seen while
     no timer is pending; when it fires it reports the cumulative row count of
     the key (never reset) over rows with ts <= fire time.  At end of input the
-    pending timer fires.  Output: key, fire_us (epoch µs), cnt."""
+    pending timer fires.  Output: key, fire_us (epoch µs), cnt.
+
+    Keys with at most ``hot_threshold`` rows run as a sequential fold per key
+    (bounded work per task).  Hot keys are split by time bucket and stitched
+    across buckets by pointer doubling (``_periodic_hot``)."""
     iv = duration_us(interval)
-    d = df.select(F.col(key).alias("k"), epoch_us(ts).alias("us"), *([F.col(tiebreak).alias("tb")] if tiebreak else []))
-    d = _sorted(d, "k", ["us"] + (["tb"] if tiebreak else []), partitions)
+    cols = [F.col(key).alias("k"), F.col(ts).alias("_ts"), *([F.col(tiebreak).alias("tb")] if tiebreak else [])]
+    d = df.select(*cols)
+    hot = None if hot_threshold is None else hot_keys(d, ["k"], hot_threshold)
+    if hot_threshold is not None and hot is None:
+        out = _periodic_sequential(d.select("k", epoch_us("_ts").alias("us"), *(["tb"] if tiebreak else [])),
+                                   df.schema[key].dataType.simpleString(), iv, bool(tiebreak), partitions)
+        return out.withColumnRenamed("k", key)
+    if hot is None:
+        flagged = d.withColumn("_hot", F.lit(True))
+    else:
+        flagged = d.join(F.broadcast(hot), on="k", how="left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+    kt = df.schema[key].dataType.simpleString()
+    cold = _periodic_sequential(flagged.where(~F.col("_hot")).select("k", epoch_us("_ts").alias("us"),
+                                                                     *(["tb"] if tiebreak else [])),
+                                kt, iv, bool(tiebreak), partitions)
+    warm = _periodic_hot(flagged.where(F.col("_hot")).select("k", epoch_us("_ts").alias("us"),
+                                                             *(["tb"] if tiebreak else [])),
+                         kt, iv, max(duration_us(bucket), 8 * iv), bool(tiebreak))
+    return cold.unionByName(warm).withColumnRenamed("k", key)
+
+
+def _periodic_sequential(d: DataFrame, kt: str, iv: int, has_tb: bool, partitions: int | None) -> DataFrame:
+    d = _sorted(d, "k", ["us"] + (["tb"] if has_tb else []), partitions)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # carried across batches: current key, its running count, pending fire time
@@ -77,8 +103,138 @@ def periodic_count(df: DataFrame, key: str, ts: str, interval: str, tiebreak: st
             yield pd.DataFrame({"k": [cur], "fire_us": np.array([fire], dtype="int64"),
                                 "cnt": np.array([cnt], dtype="int64")})
 
-    kt = df.schema[key].dataType.simpleString()
-    return d.mapInPandas(run, f"k {kt}, fire_us long, cnt long").withColumnRenamed("k", key)
+    return d.mapInPandas(run, f"k {kt}, fire_us long, cnt long")
+
+
+def _bucket_chains(t: np.ndarray, bstart: int, iv: int):
+    """Within one bucket (sorted times ``t``): every row that can be the first
+    anchor of the bucket — rows up to ``bstart + iv`` and the first row after
+    it — with its chain of firings and, per firing, the rows of the bucket at
+    or before it."""
+    n = len(t)
+    last_c = min(int(np.searchsorted(t, bstart + iv, side="right")), n - 1)
+    cand = np.arange(last_c + 1)
+    pos = cand.copy()
+    fires = [[] for _ in cand]
+    locs = [[] for _ in cand]
+    active = np.ones(len(cand), dtype=bool)
+    while active.any():
+        idx = np.flatnonzero(active)
+        f = t[pos[idx]] + iv
+        j = np.searchsorted(t, f, side="right")
+        for a, fv, jv in zip(idx, f, j):
+            fires[a].append(int(fv))
+            locs[a].append(int(min(jv, n)))
+        pos[idx] = np.minimum(j, n - 1)
+        active[idx[j >= n]] = False
+    return cand, fires, locs
+
+
+def _periodic_hot(d: DataFrame, kt: str, iv: int, width: int, has_tb: bool) -> DataFrame:
+    """Hot keys of ``periodic_count`` without a key-wide task.
+
+    1. Per (key, bucket of ``width`` >= 8 x interval): the chain of firings
+       from every row that could be the bucket's first anchor (the first row,
+       rows within one interval of the bucket start, and the row after) —
+       vectorised jumps with ``searchsorted``.
+    2. Successor of each such chain: the first anchor it leads to in the next
+       non-empty bucket (an as-of lookup inside (key, next bucket)).
+    3. The real chain is the path from the key's first row through these
+       successors, found by pointer doubling (log2(buckets) rounds of joins,
+       each checkpointed).
+    4. Firings of the path, with counts from per-bucket row totals."""
+    spark = d.sparkSession
+    from tideline.session import checkpoint_dir
+    checkpoint_dir(spark)
+    d = d.withColumn("b", F.floor(F.col("us") / F.lit(width)).cast("bigint"))
+    d = d.repartition("k", "b").sortWithinPartitions("k", "b", "us", *(["tb"] if has_tb else []))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cur, parts = None, []
+
+        def flush(key_b, arrays):
+            t = np.concatenate(arrays)
+            cand, fires, locs = _bucket_chains(t, key_b[1] * width, iv)
+            n = len(t)
+            return pd.DataFrame({"kind": ["cand"] * len(cand) + ["bucket"], "k": [key_b[0]] * (len(cand) + 1),
+                                 "b": [key_b[1]] * (len(cand) + 1), "i": list(cand) + [None],
+                                 "cand_us": [int(t[c]) for c in cand] + [None], "fires": fires + [None],
+                                 "locs": locs + [None], "n": [n] * (len(cand) + 1)})
+
+        for bt in batches:
+            ks, bs, us = bt["k"].to_numpy(), bt["b"].to_numpy(), bt["us"].to_numpy().astype("int64")
+            cuts = np.concatenate(([0], np.flatnonzero((ks[1:] != ks[:-1]) | (bs[1:] != bs[:-1])) + 1, [len(ks)]))
+            for s0, s1 in zip(cuts[:-1], cuts[1:]):
+                if s0 == s1:
+                    continue
+                kb = (ks[s0], int(bs[s0]))
+                if kb != cur:
+                    if cur is not None:
+                        yield flush(cur, parts)
+                    cur, parts = kb, []
+                parts.append(us[s0:s1])
+        if cur is not None:
+            yield flush(cur, parts)
+
+    schema = f"kind string, k {kt}, b long, i long, cand_us long, fires array<long>, locs array<long>, n long"
+    res = d.mapInPandas(run, schema).checkpoint()
+
+    wk = Window.partitionBy("k").orderBy("b")
+    buckets = (res.where(F.col("kind") == "bucket").select("k", "b", "n")
+                  .withColumn("base", F.coalesce(F.sum("n").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
+                                                 F.lit(0)).cast("bigint"))
+                  .withColumn("b1", F.lead("b", 1).over(wk)).withColumn("n1", F.lead("n", 1).over(wk))
+                  .withColumn("b2", F.lead("b", 2).over(wk)))
+    cands = res.where(F.col("kind") == "cand").select("k", "b", "i", "cand_us", "fires", "locs")
+    exits = cands.select("k", "b", "i", F.element_at("fires", -1).alias("exit")).join(buckets, on=["k", "b"])
+    # first anchor in the next bucket: first candidate there strictly after the exit firing
+    probes = exits.where(F.col("b1") == F.col("b") + 1).select(
+        "k", F.col("b1").alias("bb"), F.col("exit").alias("t"), F.lit(1).alias("kind"),
+        F.col("b").alias("sb"), F.col("i").alias("si"), F.lit(None).cast("long").alias("idx"))
+    targets = cands.select("k", F.col("b").alias("bb"), F.col("cand_us").alias("t"), F.lit(0).alias("kind"),
+                           F.lit(None).cast("long").alias("sb"), F.lit(None).cast("long").alias("si"),
+                           F.col("i").alias("idx"))
+    wd = Window.partitionBy("k", "bb").orderBy(F.col("t").desc(), F.col("kind").desc()) \
+               .rowsBetween(Window.unboundedPreceding, -1)
+    found = (probes.unionByName(targets).withColumn("e", F.min("idx").over(wd)).where(F.col("kind") == 1)
+                   .select("k", F.col("sb").alias("b"), F.col("si").alias("i"), "e"))
+    ex = exits.join(found, on=["k", "b", "i"], how="left")
+    nxt_same = F.col("b1") == F.col("b") + 1
+    nb = (F.when(F.col("b1").isNull(), F.lit(None))
+           .when(nxt_same & F.col("e").isNotNull(), F.col("b1"))
+           .when(nxt_same, F.col("b2"))
+           .otherwise(F.col("b1")))
+    ni = (F.when(F.col("b1").isNull(), F.lit(None))
+           .when(nxt_same & F.col("e").isNotNull(), F.col("e"))
+           .when(nxt_same & F.col("b2").isNull(), F.lit(None))
+           .otherwise(F.lit(0)))
+    extra = (F.when(nxt_same & F.col("e").isNotNull(), F.col("e"))
+              .when(nxt_same, F.col("n1")).otherwise(F.lit(0)))
+    jump = ex.select("k", "b", "i", nb.cast("long").alias("nb"), ni.cast("long").alias("ni"),
+                     extra.cast("bigint").alias("extra"), "base").checkpoint()
+
+    # pointer doubling: path = steps [0, 2^r); jump = 2^r steps ahead
+    first = buckets.where(F.col("base") == 0).select("k", "b", F.lit(0).cast("long").alias("i"))
+    path = first.checkpoint()
+    hop = jump.select("k", "b", "i", "nb", "ni")
+    while True:
+        ahead = (path.join(hop, on=["k", "b", "i"]).where(F.col("nb").isNotNull())
+                     .select("k", F.col("nb").alias("b"), F.col("ni").alias("i")))
+        ahead = ahead.checkpoint()
+        if ahead.limit(1).count() == 0:
+            break
+        path = path.unionByName(ahead).checkpoint()
+        h2 = hop.select("k", F.col("nb").alias("b"), F.col("ni").alias("i"), F.col("b").alias("_b0"),
+                        F.col("i").alias("_i0"))
+        hop = (h2.join(hop, on=["k", "b", "i"], how="left")
+                 .select("k", F.col("_b0").alias("b"), F.col("_i0").alias("i"), "nb", "ni").checkpoint())
+
+    on_path = path.join(cands, on=["k", "b", "i"]).join(jump.select("k", "b", "i", "extra", "base"),
+                                                          on=["k", "b", "i"])
+    fired = on_path.select("k", "base", "extra", F.size("fires").alias("_m"),
+                           F.posexplode(F.arrays_zip("fires", "locs")).alias("_p", "_z"))
+    cnt = F.col("base") + F.col("_z.locs") + F.when(F.col("_p") == F.col("_m") - 1, F.col("extra")).otherwise(0)
+    return fired.select("k", F.col("_z.fires").alias("fire_us"), cnt.cast("bigint").alias("cnt"))
 
 
 def run_state_machine(df: DataFrame, key: str, ts: str, symbol: str, transitions: list[tuple[str, str, str]],

@@ -36,6 +36,14 @@ def _bucket(ts: str, bucket: str | int) -> Column:
     return F.floor(epoch_us(ts) / F.lit(duration_us(bucket))).cast("bigint")
 
 
+def hot_keys(df: DataFrame, keys: list[str], hot_threshold: int) -> DataFrame | None:
+    """Keys with more than ``hot_threshold`` rows (column ``_hot`` = true), or
+    None when there is none (checked by a one-row probe of the aggregate)."""
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kc"))
+             .where(F.col("_kc") > F.lit(hot_threshold)).select(*keys, F.lit(True).alias("_hot")))
+    return None if hot.limit(1).count() == 0 else hot
+
+
 def with_split(df: DataFrame, keys: list[str], ts: str, bucket: str | int,
                hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """Add ``_hot`` (key has more than ``hot_threshold`` rows) and ``_bkt``
@@ -47,9 +55,8 @@ def with_split(df: DataFrame, keys: list[str], ts: str, bucket: str | int,
     folds the cross-bucket branches away, leaving a plain per-key plan."""
     if hot_threshold is None:
         return df.withColumn("_hot", F.lit(True)).withColumn("_bkt", _bucket(ts, bucket))
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kc"))
-             .where(F.col("_kc") > F.lit(hot_threshold)).select(*keys, F.lit(True).alias("_hot")))
-    if hot.limit(1).count() == 0:
+    hot = hot_keys(df, keys, hot_threshold)
+    if hot is None:
         return df.withColumn("_hot", F.lit(False)).withColumn("_bkt", F.lit(0).cast("bigint"))
     # at most rows / hot_threshold keys can pass the filter: a proven size bound
     d = df.join(F.broadcast(hot), on=keys, how="left").withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
