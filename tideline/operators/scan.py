@@ -56,7 +56,7 @@ def periodic_count(df: DataFrame, key: str, ts: str, interval: str, tiebreak: st
     if hot is None:
         flagged = d.withColumn("_hot", F.lit(True))
     else:
-        flagged = d.join(F.broadcast(hot), on="k", how="left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+        flagged = d.join(hot, on="k", how="left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
     kt = df.schema[key].dataType.simpleString()
     cold = _periodic_sequential(flagged.where(~F.col("_hot")).select("k", epoch_us("_ts").alias("us"),
                                                                      *(["tb"] if tiebreak else [])),

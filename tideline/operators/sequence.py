@@ -36,12 +36,20 @@ def _bucket(ts: str, bucket: str | int) -> Column:
     return F.floor(epoch_us(ts) / F.lit(duration_us(bucket))).cast("bigint")
 
 
+MAX_BROADCAST_HOT_KEYS = 1_000_000
+
+
 def hot_keys(df: DataFrame, keys: list[str], hot_threshold: int) -> DataFrame | None:
     """Keys with more than ``hot_threshold`` rows (column ``_hot`` = true), or
-    None when there is none (checked by a one-row probe of the aggregate)."""
+    None when there is none.  A bounded probe counts at most
+    ``MAX_BROADCAST_HOT_KEYS + 1`` of them: the table is broadcast only below
+    that size (it can never exceed rows / hot_threshold anyway)."""
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kc"))
              .where(F.col("_kc") > F.lit(hot_threshold)).select(*keys, F.lit(True).alias("_hot")))
-    return None if hot.limit(1).count() == 0 else hot
+    n = hot.limit(MAX_BROADCAST_HOT_KEYS + 1).count()
+    if n == 0:
+        return None
+    return F.broadcast(hot) if n <= MAX_BROADCAST_HOT_KEYS else hot
 
 
 def with_split(df: DataFrame, keys: list[str], ts: str, bucket: str | int,
@@ -59,7 +67,7 @@ def with_split(df: DataFrame, keys: list[str], ts: str, bucket: str | int,
     if hot is None:
         return df.withColumn("_hot", F.lit(False)).withColumn("_bkt", F.lit(0).cast("bigint"))
     # at most rows / hot_threshold keys can pass the filter: a proven size bound
-    d = df.join(F.broadcast(hot), on=keys, how="left").withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
+    d = df.join(hot, on=keys, how="left").withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
     return d.withColumn("_bkt", F.when(F.col("_hot"), _bucket(ts, bucket)).otherwise(F.lit(0).cast("bigint")))
 
 
