@@ -18,10 +18,24 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from tideline.functions.time import duration_us, epoch_ms, event_time
 
 
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def _ms(v) -> int:
     return int(v)
 
 
+def _tws(d: DataFrame, processor: StatefulProcessor, schema: str, time_mode: str) -> DataFrame:
+    """``groupBy(k).transformWithState`` on the RocksDB state store, which the
+    operator requires (multiple state variables per key); the session's
+    provider is switched only if it is another one."""
+    spark = d.sparkSession
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in (spark.conf.get(key, None) or ""):
+        spark.conf.set(key, _ROCKSDB)
+    return d.groupBy("k").transformWithState(processor, schema, "Append", time_mode)
+
+
 def _prep(df: DataFrame, key: str, ts: str, delay: str, cols: list[str]) -> DataFrame:
     """key, ms (epoch ms of ts), event time with watermark, extra columns."""
     d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"), event_time(ts).alias("et"), *cols)
@@ -52,9 +66,9 @@ class EventTimeTimer(StatefulProcessor):
 
 def event_time_timers(df: DataFrame, key: str, ts: str, after: str, delay: str = "0 seconds") -> DataFrame:
     d = _prep(df, key, ts, delay, [])
-    return d.groupBy("k").transformWithState(EventTimeTimer(duration_us(after) // 1000),
+    return _tws(d, EventTimeTimer(duration_us(after) // 1000),
                                               f"k {df.schema[key].dataType.simpleString()}, timer_ms long",
-                                              "Append", "EventTime")
+                                              "EventTime")
 
 
 class ProcessingTimeTimer(StatefulProcessor):
@@ -144,9 +158,9 @@ class PeriodicCount(StatefulProcessor):
 
 def periodic_count_stream(df: DataFrame, key: str, ts: str, interval: str, delay: str = "0 seconds") -> DataFrame:
     d = _prep(df, key, ts, delay, [])
-    return d.groupBy("k").transformWithState(PeriodicCount(duration_us(interval) // 1000),
+    return _tws(d, PeriodicCount(duration_us(interval) // 1000),
                                               f"k {df.schema[key].dataType.simpleString()}, fire_ms long, cnt long",
-                                              "Append", "EventTime")
+                                              "EventTime")
 
 
 class ChangelogCount(StatefulProcessor):
@@ -175,8 +189,8 @@ class ChangelogCount(StatefulProcessor):
 def changelog_stream(df: DataFrame, key: str, ts: str, tiebreak: str) -> DataFrame:
     d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"), F.col(tiebreak).alias("tb"))
     kt, tt = df.schema[key].dataType.simpleString(), df.schema[tiebreak].dataType.simpleString()
-    return d.groupBy("k").transformWithState(ChangelogCount(), f"k {kt}, tb {tt}, op string, cnt long",
-                                              "Append", "None")
+    return _tws(d, ChangelogCount(), f"k {kt}, tb {tt}, op string, cnt long",
+                                              "None")
 
 
 class FirstNAverage(StatefulProcessor):
@@ -206,8 +220,8 @@ class FirstNAverage(StatefulProcessor):
 
 def first_n_average_stream(df: DataFrame, key: str, ts: str, n: int = 5) -> DataFrame:
     d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"))
-    return d.groupBy("k").transformWithState(FirstNAverage(n), f"k {df.schema[key].dataType.simpleString()}, avg_ms long",
-                                              "Append", "None")
+    return _tws(d, FirstNAverage(n), f"k {df.schema[key].dataType.simpleString()}, avg_ms long",
+                                              "None")
 
 
 class StateMachine(StatefulProcessor):
@@ -245,8 +259,8 @@ def state_machine_stream(df: DataFrame, key: str, ts: str, symbol: str, tiebreak
     d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"), F.col(symbol).alias("sym"),
                   F.col(tiebreak).alias("tb"))
     kt, tt = df.schema[key].dataType.simpleString(), df.schema[tiebreak].dataType.simpleString()
-    return d.groupBy("k").transformWithState(StateMachine(transitions, initial, accept, reset),
-                                              f"k {kt}, tb {tt}, ms long", "Append", "None")
+    return _tws(d, StateMachine(transitions, initial, accept, reset),
+                                              f"k {kt}, tb {tt}, ms long", "None")
 
 
 class FollowedByWithin(StatefulProcessor):
@@ -307,9 +321,9 @@ def followed_by_stream(df: DataFrame, key: str, ts: str, is_start, is_end, withi
     # follow every row of the stream; the processor skips other rows
     d = _prep(df, key, ts, delay, [F.col(id_col).alias("tb"), is_start.alias("is_start"), is_end.alias("is_end")])
     kt = df.schema[key].dataType.simpleString()
-    return d.groupBy("k").transformWithState(
+    return _tws(d,
         FollowedByWithin(duration_us(within) // 1000),
-        f"k {kt}, start_id long, start_ms long, end_id long, end_ms long, status string", "Append", "EventTime")
+        f"k {kt}, start_id long, start_ms long, end_id long, end_ms long, status string", "EventTime")
 
 
 class PreviousValue(StatefulProcessor):
@@ -337,8 +351,8 @@ def rule_matches_stream(df: DataFrame, key: str, ts: str, action: str, tiebreak:
     d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"), F.col(action).alias("sym"),
                   F.col(tiebreak).alias("tb"))
     kt, tt = df.schema[key].dataType.simpleString(), df.schema[tiebreak].dataType.simpleString()
-    pairs = d.groupBy("k").transformWithState(PreviousValue(), f"k {kt}, tb {tt}, prev_action string, action string",
-                                              "Append", "None")
+    pairs = _tws(d, PreviousValue(), f"k {kt}, tb {tt}, prev_action string, action string",
+                                              "None")
     from tideline.operators.joins import broadcast_if_small
     r = broadcast_if_small(rules.select(F.col("action1").alias("prev_action"), F.col("action2").alias("action")))
     return pairs.join(r, on=["prev_action", "action"], how="inner")
@@ -408,8 +422,8 @@ def count_window_stream(df: DataFrame, key: str, ts: str, value: str, tiebreak:
     d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"), F.col(tiebreak).alias("tb"),
                   F.col(value).cast("double").alias("v"))
     kt = df.schema[key].dataType.simpleString()
-    return d.groupBy("k").transformWithState(CountWindow(size, step, step == size),
-                                              f"k {kt}, fire_seq long, cnt long, total double", "Append", "None")
+    return _tws(d, CountWindow(size, step, step == size),
+                                              f"k {kt}, fire_seq long, cnt long, total double", "None")
 
 
 class StrictSequence(StatefulProcessor):
@@ -445,7 +459,7 @@ def strict_sequence_stream(df: DataFrame, key: str, ts: str, tiebreak: str, step
     d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"), F.col(tiebreak).cast("long").alias("tb"),
                   *[s.alias(f"_m{j}") for j, s in enumerate(steps)])
     kt = df.schema[key].dataType.simpleString()
-    return d.groupBy("k").transformWithState(StrictSequence(len(steps)), f"k {kt}, ids array<long>", "Append", "None")
+    return _tws(d, StrictSequence(len(steps)), f"k {kt}, ids array<long>", "None")
 
 
 def current_watermark_ms(query) -> int | None:
@@ -499,6 +513,6 @@ def keep_last_stream(df: DataFrame, key: str, ts: str, value: str, tiebreak: str
                      delay: str = "0 seconds") -> DataFrame:
     d = _prep(df, key, ts, delay, [F.col(tiebreak).cast("long").alias("tb"), F.col(value).cast("double").alias("v")])
     kt = df.schema[key].dataType.simpleString()
-    return d.groupBy("k").transformWithState(KeepLastWindow(duration_us(size) // 1000, n),
+    return _tws(d, KeepLastWindow(duration_us(size) // 1000, n),
                                               f"k {kt}, window_start_ms long, cnt long, total double",
-                                              "Append", "EventTime")
+                                              "EventTime")
