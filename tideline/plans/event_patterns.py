@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tideline.functions.time import ntz_from_us
 from tideline.operators import eventtime, patterns, scan
-from tideline.operators.ordering import global_index
 from tideline.plans.registry import register
 from tideline.sources.tables import read_table
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.time import duration_us, epoch_us, event_time, to_ntz
+from tideline.functions.time import duration_us, event_time, to_ntz
 
 
 def _keys(key) -> list[str]:
