@@ -101,3 +101,18 @@ def test_periodic_count_split_bruteforce(spark, rows, iv_s, bucket):
             i = j
     got = scan.periodic_count(df, "k", "ts", f"{iv_s} seconds", bucket=bucket, hot_threshold=None)
     assert rows_set(got, "k", "fire_us", "cnt") == sorted(want)
+
+
+@SETTINGS
+@given(EVENTS, EVENTS, st.integers(min_value=0, max_value=20))
+def test_reconcile_bruteforce(spark, left, right, tol_s):
+    ldf, rdf = frame(spark, left, SCHEMA), frame(spark, right, SCHEMA)
+    got = joins.reconcile(ldf, rdf, "k", "ms", "ms", "ts", "ts", f"{tol_s} seconds")
+    tol = tol_s * 1000
+    want = [(a[0], a[2], b[2], "matched") for a in left for b in right if a[0] == b[0] and abs(a[2] - b[2]) <= tol]
+    want += [(a[0], a[2], None, "right_missing") for a in left
+             if not any(a[0] == b[0] and abs(a[2] - b[2]) <= tol for b in right)]
+    want += [(b[0], None, b[2], "left_missing") for b in right
+             if not any(a[0] == b[0] and abs(a[2] - b[2]) <= tol for a in left)]
+    out = [(r.k, r.l_id, r.r_id, r.status) for r in got.collect()]
+    assert sorted(out, key=str) == sorted(want, key=str)

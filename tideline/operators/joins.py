@@ -8,7 +8,7 @@ broadcast only from its measured runtime size."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.time import duration_us, epoch_us, ntz_from_us
@@ -91,22 +91,38 @@ def reconcile(left: DataFrame, right: DataFrame, key, l_id: str, r_id: str, l_ts
     pair is reported 'matched'; a left row with no partner is
     'right_missing', a right row with none 'left_missing'.
 
+    One full outer join on (key, time bucket) with the exact range in the join
+    condition.  A right row sits in one bucket, and every left row that could
+    match it has a copy there, so a right row without partner is exactly
+    unmatched.  Left rows are copied to up to two buckets; a left row counts
+    as unmatched only if no copy matched (a window over its id).
     Columns: key(s), l_id, r_id, l_ts, r_ts, status."""
     keys = _keys(key)
-    ls = left.select(*keys, F.col(l_id).alias("id"), F.col(l_ts).alias("ts"))
-    rs = right.select(*keys, F.col(r_id).alias("id"), F.col(r_ts).alias("ts"))
-    m = interval_join(ls, rs, keys, "ts", "ts", f"-{duration_us(tolerance)} microseconds",
-                      f"{duration_us(tolerance)} microseconds")
-    matched = m.select(*keys, "l_id", "r_id", "l_ts", "r_ts", F.lit("matched").alias("status"))
-    l_miss = (ls.join(m.select(*keys, F.col("l_id").alias("id")), on=keys + ["id"], how="left_anti")
-                .select(*keys, F.col("id").alias("l_id"), F.lit(None).cast(rs.schema["id"].dataType).alias("r_id"),
-                        F.col("ts").alias("l_ts"), F.lit(None).cast(rs.schema["ts"].dataType).alias("r_ts"),
-                        F.lit("right_missing").alias("status")))
-    r_miss = (rs.join(m.select(*keys, F.col("r_id").alias("id")), on=keys + ["id"], how="left_anti")
-                .select(*keys, F.lit(None).cast(ls.schema["id"].dataType).alias("l_id"), F.col("id").alias("r_id"),
-                        F.lit(None).cast(ls.schema["ts"].dataType).alias("l_ts"), F.col("ts").alias("r_ts"),
-                        F.lit("left_missing").alias("status")))
-    return matched.unionByName(l_miss).unionByName(r_miss)
+    tol = duration_us(tolerance)
+    width = max(2 * tol, 1)
+    ls = left.select(*keys, F.col(l_id).alias("l_id"), F.col(l_ts).alias("l_ts"), epoch_us(l_ts).alias("_lus"))
+    ls = ls.withColumn("_b", F.explode(F.sequence(F.floor((F.col("_lus") - F.lit(tol)) / F.lit(width)).cast("bigint"),
+                                                  F.floor((F.col("_lus") + F.lit(tol)) / F.lit(width)).cast("bigint"))))
+    rs = right.select(*keys, F.col(r_id).alias("r_id"), F.col(r_ts).alias("r_ts"), epoch_us(r_ts).alias("_rus"))
+    rs = rs.withColumn("_b", F.floor(F.col("_rus") / F.lit(width)).cast("bigint"))
+    la, ra = ls.alias("L"), rs.alias("R")
+    cond = [F.col(f"L.{k}") == F.col(f"R.{k}") for k in keys] + [
+        F.col("L._b") == F.col("R._b"), F.abs(F.col("R._rus") - F.col("L._lus")) <= F.lit(tol)]
+    j = la.join(ra, cond, "full_outer").select(
+        *[F.coalesce(F.col(f"L.{k}"), F.col(f"R.{k}")).alias(k) for k in keys],
+        F.col("L.l_id").alias("l_id"), F.col("R.r_id").alias("r_id"),
+        F.col("L.l_ts").alias("l_ts"), F.col("R.r_ts").alias("r_ts"))
+    # per left id: did any copy match?  (groups are one left row's matches;
+    # right-only rows are grouped by their own id, so they never pile up)
+    j = j.withColumn("_pk", F.when(F.col("l_id").isNull(), F.col("r_id")))
+    wl = Window.partitionBy(*keys, "l_id", "_pk").orderBy(F.col("r_id").asc_nulls_last())
+    j = j.select("*", F.max(F.col("r_id").isNotNull()).over(
+                     wl.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_any"),
+                 F.row_number().over(wl).alias("_one"))
+    status = (F.when(F.col("l_id").isNull(), F.lit("left_missing"))
+               .when(F.col("r_id").isNull(), F.lit("right_missing")).otherwise(F.lit("matched")))
+    keep = F.col("l_id").isNull() | F.col("r_id").isNotNull() | (~F.col("_any") & (F.col("_one") == 1))
+    return j.where(keep).withColumn("status", status).drop("_any", "_one", "_pk")
 
 
 def equi_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: list[str]) -> DataFrame:
