@@ -19,7 +19,8 @@ def replay_to_files(df: DataFrame, out_dir: str, n_files: int, order: str, files
     range into one folder — one write job per part, so every file of part i
     is older than every file of part i+1 (the file source streams oldest
     first).  Each part is a range filter on the source (pushed into the
-    parquet scan) and is written by ``files_per_part`` parallel tasks.
+    parquet scan) and is written by ``files_per_part`` parallel tasks; read
+    with ``files_per_trigger = files_per_part`` each part is one micro-batch.
     Returns the folder as a one-element list (``read_replay`` streams it)."""
     lo, hi = df.agg(F.min(order), F.max(order)).first()
     landing = os.path.join(out_dir, "replay")
@@ -31,8 +32,9 @@ def replay_to_files(df: DataFrame, out_dir: str, n_files: int, order: str, files
         cond = (F.col(order) >= F.lit(a)) if i == 0 else (F.col(order) > F.lit(a))
         if i < n_files - 1:
             cond = cond & (F.col(order) <= F.lit(lo + width * (i + 1)))
-        (df.where(cond).repartitionByRange(files_per_part, order).sortWithinPartitions(order)
-           .write.mode("append").parquet(landing))
+        # one part = one micro-batch (files_per_trigger == files_per_part), so the
+        # order of rows inside the part does not matter: plain round-robin files
+        df.where(cond).repartition(files_per_part).write.mode("append").parquet(landing)
     return [landing]
 
 
