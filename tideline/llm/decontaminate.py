@@ -43,6 +43,7 @@ from tideline.sources.tables import read_table
 
 WORD = re.compile(r"\w+")
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
+TRIM = ".,;:!?\"'()"
 STRIDE = 48
 BLOCK = 8
 SHINGLE = 5
@@ -156,9 +157,8 @@ class SegmentIndex:
             return []
         n = self.blk_ptr[term + 1] - self.blk_ptr[term]
         entry = np.repeat(self.blk_ptr[term] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-        key = np.repeat(passage, n) * self.n_blocks + self.blk_id[entry]
-        order = np.argsort(key, kind="stable")
-        key, entry = key[order], entry[order]
+        key = np.sort((np.repeat(passage, n) * self.n_blocks + self.blk_id[entry]) * len(self.blk_id) + entry)
+        key, entry = key // len(self.blk_id), key % len(self.blk_id)
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         bound = np.add.reduceat(self.blk_max[entry], start)
         end = np.r_[start[1:], len(key)]
@@ -175,7 +175,8 @@ class _TermIds(dict):
     def __missing__(self, token: str) -> int:
         if len(self) > MAX_CACHED_TOKENS:
             self.clear()
-        ids = [self.vocab.get(w, -1) for w in words(token)]
+        word = token.lower().strip(TRIM)
+        ids = [self.vocab.get(w, -1) for w in ((word,) if word.isalnum() else WORD.findall(word))]
         if len(ids) == 1:
             x = ids[0]
         else:
@@ -185,6 +186,11 @@ class _TermIds(dict):
         return x
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x.sort()
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 class LeakFinder:
     """Matches texts against one index shard; lives in a Python worker."""
 
@@ -210,17 +216,20 @@ class LeakFinder:
         for text in batch:
             a = self._terms(text)
             first.append(base)
-            halves = -(-len(a) // STRIDE)
-            n = max(1, halves - 1)
             at = np.flatnonzero(a >= 0)
-            half, term = at // STRIDE, a[at]
-            for win in (half, half - 1):  # a half belongs to the passage it starts and to the one before
-                ok = (win >= 0) & (win < n)
-                keys.append((win[ok] + base) * n_terms + term[ok])
-            base += n
-        key = np.unique(np.concatenate(keys))
-        best: dict[tuple[int, int], tuple[float, int]] = {}
+            keys.append((at // STRIDE + base) * n_terms + a[at])
+            base += max(2, -(-len(a) // STRIDE))  # passage i: the halves i and i + 1 of one text
+        key = _distinct(np.concatenate(keys))
+        half, term = key // n_terms, key % n_terms
+        # the list maxima of a passage are at most those of its two halves together
+        bound = np.bincount(half, self.index.list_max[term], minlength=base + 1)
         row_of = np.array(first)
+        live = bound[:-1] + bound[1:] >= self.threshold - 1e-9
+        live[row_of[1:] - 1] = False  # the last half of a text starts no passage
+        live[base - 1:] = False
+        mine, before = live[half], (half > 0) & live[half - 1]
+        key = _distinct(np.r_[key[mine], key[before] - n_terms])
+        best: dict[tuple[int, int], tuple[float, int]] = {}
         for passage, seg, score in self.index.search(key // n_terms, key % n_terms, self.threshold):
             row = int(np.searchsorted(row_of, passage, "right")) - 1
             k = (row, self.index.item_of[seg])
