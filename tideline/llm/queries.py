@@ -1,7 +1,17 @@
 """Queries of this folder, for the driver's entry module."""
 
+from tideline.llm import language_id, parity_join, pii_sanitise, sentencepiece_codec
 from tideline.llm.decontaminate import op1_benchmark_decontamination
 
-QUERIES = {"op1_benchmark_decontamination": op1_benchmark_decontamination}
+QUERIES = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op3_ngram_jaccard_join": parity_join.op3_ngram_jaccard_join,
+    "op4_pii_sanitisation": pii_sanitise.op4_pii_sanitisation,
+    "op8_language_id": language_id.op8_language_id,
+    "op9_sentencepiece": sentencepiece_codec.op9_sentencepiece,
+    "pages_language_id": language_id.pages_language_id,
+}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_ngram_jaccard_join": parity_join.ORACLE_SQL,
+}
