@@ -1,17 +1,24 @@
 """Queries of this folder, for the driver's entry module."""
 
-from tideline.llm import language_id, parity_join, pii_sanitise, sentencepiece_codec
+from tideline.llm import (divergence_rules, language_id, license_scan, parity_join, pii_sanitise, quality_classifier,
+                          sentencepiece_codec, url_filter, warc)
 from tideline.llm.decontaminate import op1_benchmark_decontamination
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_url_filter": url_filter.op2_url_filter,
     "op3_ngram_jaccard_join": parity_join.op3_ngram_jaccard_join,
     "op4_pii_sanitisation": pii_sanitise.op4_pii_sanitisation,
+    "op5_quality_rules": divergence_rules.op5_quality_rules,
+    "op6_quality_classifier": quality_classifier.op6_quality_classifier,
+    "op7_warc": warc.op7_warc,
     "op8_language_id": language_id.op8_language_id,
     "op9_sentencepiece": sentencepiece_codec.op9_sentencepiece,
+    "op10_license_scan": license_scan.op10_license_scan,
     "pages_language_id": language_id.pages_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_url_filter": url_filter.ORACLE_SQL,
     "op3_ngram_jaccard_join": parity_join.ORACLE_SQL,
 }
