@@ -43,7 +43,7 @@ def test_inner_join_and_rules_golden(spark):
     acts = frame(spark, [("Alice", "login", 1), ("Alice", "pay", 2), ("Bob", "login", 3), ("Bob", "buy", 4)],
                  "user_id string, action string, ms long")
     rules = spark.createDataFrame([("login", "pay"), ("login", "buy")], "action1 string, action2 string")
-    out = joins.consecutive_pair_rules(acts, "user_id", "ts", "action", rules, bucket="1 millisecond", hot_threshold=1)
+    out = joins.consecutive_pair_rules(acts, "user_id", "ts", "action", rules, slot="1 millisecond", target_rows=1)
     assert rows_set(out, "user_id", "prev_action", "action") == [("Alice", "login", "pay"), ("Bob", "login", "buy")]
 
 
@@ -57,7 +57,7 @@ LOGIN = "user_id string, ip string, event_type string, ms long"
 def test_three_fails_golden(spark):
     df = frame(spark, F14, LOGIN)
     f = F.col("event_type") == "fail"
-    out = patterns.strict_sequence(df, "user_id", "ts", [f, f, f], ["ms"], bucket="1 second", hot_threshold=None)
+    out = patterns.strict_sequence(df, "user_id", "ts", [f, f, f], ["ms"], slot="1 second", target_rows=1)
     assert rows_set(out, "user_id", "ms_1", "ms_2", "ms_3") == [("user_1", 2000, 3000, 5000)]
     tr = [(s, "fail" if e == "error" else "success", n) for s, e, n in LOGIN_FAIL_TRANSITIONS]
     sm = scan.run_state_machine(df, "user_id", "ts", "event_type", tr, "Initial", "Matched", "Terminal", ["ms"])
@@ -122,10 +122,10 @@ def test_sequence_hot_key_split(spark):
     ev = read_table(spark, SF_SMALL, "events").withColumn("user_id", F.lit(1))
     e = F.col("event_type") == "error"
     base = rows_set(patterns.strict_sequence(ev, "user_id", "ts", [e, e], ["event_id"], tiebreak="event_id",
-                                             bucket="365 days"), "event_id_1", "event_id_2")
+                                             slot="365 days"), "event_id_1", "event_id_2")
     for b in ["1 hour", "6 hours"]:
         got = rows_set(patterns.strict_sequence(ev, "user_id", "ts", [e, e], ["event_id"], tiebreak="event_id",
-                                                bucket=b, hot_threshold=100), "event_id_1", "event_id_2")
+                                                slot=b, target_rows=100), "event_id_1", "event_id_2")
         assert got == base and len(base) > 0
 
 
@@ -152,12 +152,12 @@ def test_state_machine_split_equals_sequential(spark):
     want = brute(pdf)
     for bucket, hot in [("1 day", None), ("6 hours", 5), ("1 day", 10**9)]:
         got = scan.run_state_machine(ev, "user_id", "ts", "event_type", LOGIN_FAIL_TRANSITIONS, "Initial", "Matched",
-                                     "Terminal", ["event_id"], tiebreak="event_id", bucket=bucket, hot_threshold=hot)
+                                     "Terminal", ["event_id"], tiebreak="event_id", slot=bucket, target_rows=hot)
         assert sorted(r.event_id for r in got.collect()) == want
     one = ev.withColumn("user_id", F.lit(7))
     want_one = brute(pdf.assign(user_id=7))
     got = scan.run_state_machine(one, "user_id", "ts", "event_type", LOGIN_FAIL_TRANSITIONS, "Initial", "Matched",
-                                 "Terminal", ["event_id"], tiebreak="event_id", bucket="2 hours", hot_threshold=100)
+                                 "Terminal", ["event_id"], tiebreak="event_id", slot="2 hours", target_rows=100)
     assert sorted(r.event_id for r in got.collect()) == want_one and len(want_one) > 0
 
 
@@ -189,8 +189,8 @@ def test_periodic_count_hot_keys_split(spark):
     pdf["us"] = (pdf.ts - pd.Timestamp("1970-01-01")) // pd.Timedelta(microseconds=1)
     for iv_h, bucket, hot in [(10, "1 day", None), (3, "1 day", 5), (1, "2 hours", None)]:
         got = scan.periodic_count(ev, "user_id", "ts", f"{iv_h} hours", tiebreak="event_id", bucket=bucket,
-                                  hot_threshold=hot)
+                                  target_rows=hot)
         assert rows_set(got, "user_id", "fire_us", "cnt") == _brute_periodic(pdf, iv_h * 3600 * 10**6), (iv_h, bucket)
     one = ev.withColumn("user_id", F.lit(1))
-    got1 = scan.periodic_count(one, "user_id", "ts", "20 minutes", tiebreak="event_id", hot_threshold=100)
+    got1 = scan.periodic_count(one, "user_id", "ts", "20 minutes", tiebreak="event_id", target_rows=100)
     assert rows_set(got1, "user_id", "fire_us", "cnt") == _brute_periodic(pdf.assign(user_id=1), 20 * 60 * 10**6)

@@ -17,11 +17,11 @@ SCHEMA = "k string, e string, ms long"
 
 
 @SETTINGS
-@given(EVENTS, st.sampled_from(["1 second", "7 seconds", "1 minute"]), st.sampled_from([None, 1, 3, 10**6]),
+@given(EVENTS, st.sampled_from(["1 second", "7 seconds", "1 minute"]), st.sampled_from([1, 3, 10**6]),
        st.integers(min_value=1, max_value=5))
 def test_neighbours_bruteforce(spark, rows, bucket, hot, parts):
     df = frame(spark, rows, SCHEMA).repartition(parts)
-    got = keyed_neighbours(df, "k", "ts", ["ms"], [1, -2], tiebreak="ms", bucket=bucket, hot_threshold=hot)
+    got = keyed_neighbours(df, "k", "ts", ["ms"], [1, -2], tiebreak="ms", slot=bucket, target_rows=hot)
     want = []
     for k in {r[0] for r in rows}:
         ms = sorted(r[2] for r in rows if r[0] == k)
@@ -69,16 +69,16 @@ def test_window_identities(spark, rows):
 
 @SETTINGS
 @given(EVENTS, st.sampled_from(["3 seconds", "20 seconds"]), st.sampled_from(["10 seconds", "1 minute"]),
-       st.sampled_from([None, 2, 10**6]))
+       st.sampled_from([1, 2, 10**6]))
 def test_session_split_equals_plain(spark, rows, gap, bucket, hot):
     df = frame(spark, rows, SCHEMA)
     plain = windows.session_windows(df, "k", "ts", gap, aggs=[F.count(F.lit(1)).alias("cnt")])
-    split = windows.session_windows(df, "k", "ts", gap, bucket=bucket, hot_threshold=hot)
+    split = windows.session_windows(df, "k", "ts", gap, slot=bucket, target_rows=hot)
     cols = ["k", "session_start", "session_end", "cnt"]
     assert rows_set(split, *cols) == rows_set(plain, *cols)
     dyn = F.concat((F.length("e") * 4).cast("string"), F.lit(" seconds"))
     p2 = windows.session_windows(df, "k", "ts", dyn, aggs=[F.count(F.lit(1)).alias("cnt")])
-    s2 = windows.session_windows(df, "k", "ts", dyn, bucket=bucket, hot_threshold=hot)
+    s2 = windows.session_windows(df, "k", "ts", dyn, slot=bucket, target_rows=hot)
     assert rows_set(s2, *cols) == rows_set(p2, *cols)
 
 
@@ -99,7 +99,7 @@ def test_periodic_count_split_bruteforce(spark, rows, iv_s, bucket):
                 j += 1
             want.append((k, fire, j))
             i = j
-    got = scan.periodic_count(df, "k", "ts", f"{iv_s} seconds", bucket=bucket, hot_threshold=None)
+    got = scan.periodic_count(df, "k", "ts", f"{iv_s} seconds", bucket=bucket, target_rows=1)
     assert rows_set(got, "k", "fire_us", "cnt") == sorted(want)
 
 

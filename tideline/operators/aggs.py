@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.time import epoch_ms, ntz_from_ms
-from tideline.operators.sequence import DEFAULT_BUCKET, DEFAULT_HOT_THRESHOLD, keyed_seq, with_split
+from tideline.operators.sequence import DEFAULT_SLOT, DEFAULT_TARGET_ROWS, join_null_safe, keyed_seq, with_split
 
 
 def _keys(key) -> list[str]:
@@ -32,18 +32,18 @@ def keyed_min_max_by(df: DataFrame, key, value: str, tiebreak: str, fields: list
 
 
 def running_min_by(df: DataFrame, key, ts: str, value: str, tiebreak: str, fields: list[str],
-                   bucket: str | int = DEFAULT_BUCKET, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+                   slot: str | int = DEFAULT_SLOT, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """O-34: after every input row, the row holding the minimum so far of its
-    key.  Hot keys are split by time bucket; earlier buckets contribute one
+    key.  A key is split into buckets of rows; earlier buckets contribute one
     pre-reduced candidate each."""
     keys = _keys(key)
     row = F.struct(F.col(value).alias("_v"), F.col(tiebreak).alias("_t"), *[F.col(c) for c in fields])
-    d = with_split(df, keys, ts, bucket, hot_threshold).withColumn("_row", row)
-    per_bkt = d.where(F.col("_hot")).groupBy(*keys, "_bkt").agg(F.min("_row").alias("_bmin"))
+    d = with_split(df, keys, ts, slot, target_rows).withColumn("_row", row)
+    per_bkt = d.where(F.col("_last") > 0).groupBy(*keys, "_bkt").agg(F.min("_row").alias("_bmin"))
     wk = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     per_bkt = per_bkt.select(*keys, "_bkt", F.min("_bmin").over(wk).alias("_prev"))
-    wl = Window.partitionBy(*keys, "_hot", "_bkt").orderBy(ts, tiebreak).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_loc", F.min("_row").over(wl)).join(per_bkt, on=keys + ["_bkt"], how="left")
+    wl = Window.partitionBy(*keys, "_bkt").orderBy(ts, tiebreak).rowsBetween(Window.unboundedPreceding, 0)
+    d = join_null_safe(d.withColumn("_loc", F.min("_row").over(wl)), per_bkt, [*keys, "_bkt"], "left")
     best = F.when(F.col("_prev").isNull() | (F.col("_loc") < F.col("_prev")), F.col("_loc")).otherwise(F.col("_prev"))
     d = d.withColumn("_best", best)
     return d.select(*keys, F.col(tiebreak).alias("at"), *[F.col(f"_best.{c}").alias(f"min_{c}") for c in fields])
@@ -71,10 +71,10 @@ def first_n_average_ms(df: DataFrame, key, ts: str, n: int = 5, tiebreak: str |
 
 
 def every_n_average_ms(df: DataFrame, key, ts: str, n: int = 5, tiebreak: str | None = None,
-                       bucket: str | int = DEFAULT_BUCKET, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+                       slot: str | int = DEFAULT_SLOT, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """O-37 with ``repeat``: one average per complete block of n rows."""
     keys = _keys(key)
-    d = keyed_seq(df, keys, ts, tiebreak, bucket, hot_threshold=hot_threshold)
+    d = keyed_seq(df, keys, ts, tiebreak, slot, target_rows=target_rows)
     blk = F.floor((F.col("seq") - 1) / F.lit(n)).cast("bigint")
     out = (d.groupBy(*keys, blk.alias("block")).agg(F.count(F.lit(1)).alias("_c"), F.sum(epoch_ms(ts)).alias("_s"))
             .where(F.col("_c") == n))
@@ -82,11 +82,11 @@ def every_n_average_ms(df: DataFrame, key, ts: str, n: int = 5, tiebreak: str |
 
 
 def count_window_tumbling(df: DataFrame, key, ts: str, n: int, value: str, tiebreak: str | None = None,
-                          bucket: str | int = DEFAULT_BUCKET, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+                          slot: str | int = DEFAULT_SLOT, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """O-48 countWindow(n): consecutive blocks of n rows per key; only
     complete blocks fire."""
     keys = _keys(key)
-    d = keyed_seq(df, keys, ts, tiebreak, bucket, hot_threshold=hot_threshold)
+    d = keyed_seq(df, keys, ts, tiebreak, slot, target_rows=target_rows)
     blk = F.floor((F.col("seq") - 1) / F.lit(n)).cast("bigint")
     out = (d.groupBy(*keys, blk.alias("block"))
             .agg(F.count(F.lit(1)).alias("cnt"), F.sum(value).alias("total"))
@@ -95,8 +95,8 @@ def count_window_tumbling(df: DataFrame, key, ts: str, n: int, value: str, tiebr
 
 
 def count_window_sliding(df: DataFrame, key, ts: str, size: int, step: int, value: str,
-                         tiebreak: str | None = None, bucket: str | int = DEFAULT_BUCKET,
-                         hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+                         tiebreak: str | None = None, slot: str | int = DEFAULT_SLOT,
+                         target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """O-48 countWindow(size, step): after every ``step``-th row of a key, the
     aggregate of its last ``size`` rows (fewer at the start).
 
@@ -104,7 +104,7 @@ def count_window_sliding(df: DataFrame, key, ts: str, size: int, step: int, valu
     include it and aggregated by (key, firing seq) — bounded groups, no
     key-wide window frame."""
     keys = _keys(key)
-    d = keyed_seq(df, keys, ts, tiebreak, bucket, hot_threshold=hot_threshold)
+    d = keyed_seq(df, keys, ts, tiebreak, slot, target_rows=target_rows)
     # firing positions f (multiples of step) with seq <= f < seq + size
     first_f = F.ceil(F.col("seq") / F.lit(step)).cast("bigint") * F.lit(step)
     last_f = F.col("seq") + F.lit(size - 1)
@@ -119,11 +119,11 @@ def count_window_sliding(df: DataFrame, key, ts: str, size: int, step: int, valu
 
 
 def changelog_count(df: DataFrame, key, ts: str, tiebreak: str | None = None,
-                    bucket: str | int = DEFAULT_BUCKET, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+                    slot: str | int = DEFAULT_SLOT, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """O-57: changelog of ``count(*) group by key`` in arrival order:
     ``+I`` for a new key, then ``-U`` (old count) and ``+U`` (new count)."""
     keys = _keys(key)
-    d = keyed_seq(df, keys, ts, tiebreak, bucket, hot_threshold=hot_threshold)
+    d = keyed_seq(df, keys, ts, tiebreak, slot, target_rows=target_rows)
     pos = [F.col(ts)] + ([F.col(tiebreak)] if tiebreak else [])
     ins = F.array(F.struct(F.lit("+I").alias("op"), F.col("seq").alias("cnt"), F.lit(1).alias("o")))
     upd = F.array(F.struct(F.lit("-U").alias("op"), (F.col("seq") - 1).alias("cnt"), F.lit(0).alias("o")),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.time import duration_us, epoch_us, ntz_from_us
-from tideline.operators.sequence import DEFAULT_HOT_THRESHOLD, keyed_neighbours
+from tideline.operators.sequence import DEFAULT_SLOT, DEFAULT_TARGET_ROWS, join_null_safe, keyed_neighbours
 
 
 def _keys(key) -> list[str]:
@@ -23,13 +23,6 @@ def _prefixed(df: DataFrame, prefix: str, keep: list[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(c if c in keep else f"{prefix}{c}") for c in df.columns])
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only after checking the row count is bounded (the check
-    itself reads at most ``max_rows + 1`` rows)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def window_join(left: DataFrame, right: DataFrame, key, l_ts: str, r_ts: str, size: str) -> DataFrame:
     """O-65: inner equi-join of rows of the same key in the same tumbling
     window.  Columns of each side are prefixed ``l_`` / ``r_``."""
@@ -94,35 +87,39 @@ def reconcile(left: DataFrame, right: DataFrame, key, l_id: str, r_id: str, l_ts
     One full outer join on (key, time bucket) with the exact range in the join
     condition.  A right row sits in one bucket, and every left row that could
     match it has a copy there, so a right row without partner is exactly
-    unmatched.  Left rows are copied to up to two buckets; a left row counts
-    as unmatched only if no copy matched (a window over its id).
+    unmatched.  A left row has a copy in the bucket of each end of its range
+    (one or two); it counts as unmatched only if no copy matched, which is
+    found by grouping the copies under a row id of the left feed's own.  Ids
+    need not be unique; rows with a null time or key match nothing and are
+    reported as missing.
     Columns: key(s), l_id, r_id, l_ts, r_ts, status."""
     keys = _keys(key)
     tol = duration_us(tolerance)
     width = max(2 * tol, 1)
     ls = left.select(*keys, F.col(l_id).alias("l_id"), F.col(l_ts).alias("l_ts"), epoch_us(l_ts).alias("_lus"))
-    ls = ls.withColumn("_b", F.explode(F.sequence(F.floor((F.col("_lus") - F.lit(tol)) / F.lit(width)).cast("bigint"),
-                                                  F.floor((F.col("_lus") + F.lit(tol)) / F.lit(width)).cast("bigint"))))
+    lo, hi = (F.floor((F.col("_lus") + F.lit(x)) / F.lit(width)).cast("bigint") for x in (-tol, tol))
     rs = right.select(*keys, F.col(r_id).alias("r_id"), F.col(r_ts).alias("r_ts"), epoch_us(r_ts).alias("_rus"))
-    rs = rs.withColumn("_b", F.floor(F.col("_rus") / F.lit(width)).cast("bigint"))
+    rs = rs.withColumn("_b", F.floor(F.col("_rus") / F.lit(width)).cast("bigint")).withColumn("_right", F.lit(True))
+    # copies of a left row share its content and its number among equal rows, so the id is the same in every run
+    same = Window.partitionBy(*keys, "l_id", "l_ts").orderBy(F.lit(0))
+    ls = ls.withColumn("_dup", F.row_number().over(same)).withColumn("_left", F.lit(True))
+    ls = ls.withColumn("_b", F.explode_outer(F.array_distinct(F.array(lo, hi))))
     la, ra = ls.alias("L"), rs.alias("R")
     cond = [F.col(f"L.{k}") == F.col(f"R.{k}") for k in keys] + [
         F.col("L._b") == F.col("R._b"), F.abs(F.col("R._rus") - F.col("L._lus")) <= F.lit(tol)]
     j = la.join(ra, cond, "full_outer").select(
-        *[F.coalesce(F.col(f"L.{k}"), F.col(f"R.{k}")).alias(k) for k in keys],
+        *[F.when(F.col("L._left"), F.col(f"L.{k}")).otherwise(F.col(f"R.{k}")).alias(k) for k in keys],
         F.col("L.l_id").alias("l_id"), F.col("R.r_id").alias("r_id"),
-        F.col("L.l_ts").alias("l_ts"), F.col("R.r_ts").alias("r_ts"))
-    # per left id: did any copy match?  (groups are one left row's matches;
-    # right-only rows are grouped by their own id, so they never pile up)
-    j = j.withColumn("_pk", F.when(F.col("l_id").isNull(), F.col("r_id")))
-    wl = Window.partitionBy(*keys, "l_id", "_pk").orderBy(F.col("r_id").asc_nulls_last())
-    j = j.select("*", F.max(F.col("r_id").isNotNull()).over(
-                     wl.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_any"),
-                 F.row_number().over(wl).alias("_one"))
-    status = (F.when(F.col("l_id").isNull(), F.lit("left_missing"))
-               .when(F.col("r_id").isNull(), F.lit("right_missing")).otherwise(F.lit("matched")))
-    keep = F.col("l_id").isNull() | F.col("r_id").isNotNull() | (~F.col("_any") & (F.col("_one") == 1))
-    return j.where(keep).withColumn("status", status).drop("_any", "_one", "_pk")
+        F.col("L.l_ts").alias("l_ts"), F.col("R.r_ts").alias("r_ts"), "_left", "_right", "_dup")
+    alone = j.where(F.col("_left") & F.col("_right").isNull())
+    paired = j.where(F.col("_left") & F.col("_right"))
+    row = [*keys, "l_id", "l_ts", "_dup"]
+    alone = join_null_safe(alone.select(*row).distinct(), paired.select(*row).distinct(), row, "left_anti")
+    none = {c: F.lit(None).cast(j.schema[c].dataType) for c in ("r_id", "r_ts")}
+    out = ["l_id", "r_id", "l_ts", "r_ts"]
+    return (paired.select(*keys, *out, F.lit("matched").alias("status"))
+            .unionByName(alone.withColumns(none).select(*keys, *out, F.lit("right_missing").alias("status")))
+            .unionByName(j.where(F.col("_left").isNull()).select(*keys, *out, F.lit("left_missing").alias("status"))))
 
 
 def equi_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: list[str]) -> DataFrame:
@@ -134,14 +131,14 @@ def equi_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: l
 
 def consecutive_pair_rules(df: DataFrame, key, ts: str, action: str, rules: DataFrame,
                            first: str = "action1", second: str = "action2", tiebreak: str | None = None,
-                           bucket: str = "1 day", hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+                           slot: str | int = DEFAULT_SLOT, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """O-68: rows whose (previous action of the key, this action) equals a
     rule.  The previous action comes from the bucketed neighbour lookup (no
-    key-wide window); the rules table is broadcast after a size check."""
+    key-wide window); how the rules table is joined is left to the planner."""
     keys = _keys(key)
-    d = keyed_neighbours(df, keys, ts, [action], [-1], tiebreak=tiebreak, bucket=bucket,
-                         hot_threshold=hot_threshold)
+    d = keyed_neighbours(df, keys, ts, [action], [-1], tiebreak=tiebreak, slot=slot,
+                         target_rows=target_rows)
     prev = f"{action}_prev1"
-    r = broadcast_if_small(rules.select(F.col(first).alias("_r1"), F.col(second).alias("_r2")))
+    r = rules.select(F.col(first).alias("_r1"), F.col(second).alias("_r2"))
     return (d.join(r, (F.col(prev) == F.col("_r1")) & (F.col(action) == F.col("_r2")), "inner")
              .withColumnRenamed(prev, "prev_action").drop("_r1", "_r2"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.time import duration_us, epoch_us
-from tideline.operators.sequence import DEFAULT_HOT_THRESHOLD, keyed_neighbours
+from tideline.operators.sequence import DEFAULT_SLOT, DEFAULT_TARGET_ROWS, keyed_neighbours
 
 
 def _keys(key) -> list[str]:
@@ -24,8 +24,8 @@ def _keys(key) -> list[str]:
 
 
 def strict_sequence(df: DataFrame, key, ts: str, steps: list[Column], carry: list[str],
-                    tiebreak: str | None = None, bucket: str = "1 day",
-                    hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+                    tiebreak: str | None = None, slot: str | int = DEFAULT_SLOT,
+                    target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Rows i, i+1, …, i+k-1 of a key satisfy steps[0..k-1].
 
     Output: key(s) and ``{c}_{j}`` for every carried column c and step j."""
@@ -34,8 +34,8 @@ def strict_sequence(df: DataFrame, key, ts: str, steps: list[Column], carry: lis
     d = df.select(*keys, ts, *[c for c in carry if c != ts], *([tiebreak] if tiebreak and tiebreak not in carry else []),
                   *[s.alias(f"_m{j}") for j, s in enumerate(steps)])
     look = [f"_m{j}" for j in range(1, k)] + list(carry)
-    nb = keyed_neighbours(d, keys, ts, look, list(range(1, k)), tiebreak=tiebreak, bucket=bucket,
-                          hot_threshold=hot_threshold)
+    nb = keyed_neighbours(d, keys, ts, look, list(range(1, k)), tiebreak=tiebreak, slot=slot,
+                          target_rows=target_rows)
     cond = F.col("_m0")
     for j in range(1, k):
         cond = cond & F.coalesce(F.col(f"_m{j}_next{j}"), F.lit(False))

@@ -22,11 +22,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.time import duration_us, epoch_us
-from tideline.operators.sequence import DEFAULT_HOT_THRESHOLD, hot_keys, with_split
+from tideline.operators.sequence import DEFAULT_SLOT, DEFAULT_TARGET_ROWS, with_split
+
+
+def _as_text(key: str) -> Column:
+    """The key as a string that is never null, so that pandas neither turns large
+    integers into floats nor null keys into keys that differ from each other."""
+    return F.when(F.col(key).isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), F.col(key).cast("string")))
+
+
+def _as_key(col: str, kind) -> Column:
+    return F.when(F.col(col) != "0", F.substring(col, 2, 2**31 - 1)).cast(kind)
 
 
 def _sorted(df: DataFrame, key: str, order: list[str], n: int | None) -> DataFrame:
@@ -36,35 +46,29 @@ def _sorted(df: DataFrame, key: str, order: list[str], n: int | None) -> DataFra
 
 def periodic_count(df: DataFrame, key: str, ts: str, interval: str, tiebreak: str | None = None,
                    partitions: int | None = None, bucket: str = "1 day",
-                   hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+                   target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """O-76: per key a timer is set ``interval`` after the first row seen while
     no timer is pending; when it fires it reports the cumulative row count of
     the key (never reset) over rows with ts <= fire time.  At end of input the
-    pending timer fires.  Output: key, fire_us (epoch µs), cnt.
+    pending timer fires.  Output: key, fire_us (epoch µs), cnt.  Null keys are
+    one key; rows with a null time set no timer and aren't counted.
 
-    Keys with at most ``hot_threshold`` rows run as a sequential fold per key
-    (bounded work per task).  Hot keys are split by time bucket and stitched
-    across buckets by pointer doubling (``_periodic_hot``)."""
+    Keys with at most ``target_rows`` rows run as a sequential fold per key
+    (bounded work per task).  Larger keys are split by time bucket and stitched
+    across buckets by pointer doubling (``_periodic_hot``); that branch is left
+    out when a count finds no such key, which changes no row."""
     iv = duration_us(interval)
-    cols = [F.col(key).alias("k"), F.col(ts).alias("_ts"), *([F.col(tiebreak).alias("tb")] if tiebreak else [])]
-    d = df.select(*cols)
-    hot = None if hot_threshold is None else hot_keys(d, ["k"], hot_threshold)
-    if hot_threshold is not None and hot is None:
-        out = _periodic_sequential(d.select("k", epoch_us("_ts").alias("us"), *(["tb"] if tiebreak else [])),
-                                   df.schema[key].dataType.simpleString(), iv, bool(tiebreak), partitions)
-        return out.withColumnRenamed("k", key)
-    if hot is None:
-        flagged = d.withColumn("_hot", F.lit(True))
+    kind = df.schema[key].dataType
+    tb = ["tb"] if tiebreak else []
+    d = df.where(F.col(ts).isNotNull()).select(_as_text(key).alias("k"), epoch_us(ts).alias("us"), *([F.col(tiebreak).alias("tb")] if tiebreak else []))
+    big = d.groupBy("k").agg(F.count(F.lit(1)).alias("_kc")).where(F.col("_kc") > F.lit(target_rows)).select("k")
+    if big.isEmpty():
+        out = _periodic_sequential(d.select("k", "us", *tb), "string", iv, bool(tiebreak), partitions)
     else:
-        flagged = d.join(hot, on="k", how="left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
-    kt = df.schema[key].dataType.simpleString()
-    cold = _periodic_sequential(flagged.where(~F.col("_hot")).select("k", epoch_us("_ts").alias("us"),
-                                                                     *(["tb"] if tiebreak else [])),
-                                kt, iv, bool(tiebreak), partitions)
-    warm = _periodic_hot(flagged.where(F.col("_hot")).select("k", epoch_us("_ts").alias("us"),
-                                                             *(["tb"] if tiebreak else [])),
-                         kt, iv, max(duration_us(bucket), 8 * iv), bool(tiebreak))
-    return cold.unionByName(warm).withColumnRenamed("k", key)
+        cold = _periodic_sequential(d.join(big, "k", "left_anti").select("k", "us", *tb), "string", iv, bool(tiebreak), partitions)
+        warm = _periodic_hot(d.join(big, "k", "left_semi").select("k", "us", *tb), "string", iv, max(duration_us(bucket), 8 * iv), bool(tiebreak))
+        out = cold.unionByName(warm)
+    return out.select(_as_key("k", kind).alias(key), "fire_us", "cnt")
 
 
 def _periodic_sequential(d: DataFrame, kt: str, iv: int, has_tb: bool, partitions: int | None) -> DataFrame:
@@ -239,8 +243,8 @@ def _periodic_hot(d: DataFrame, kt: str, iv: int, width: int, has_tb: bool) -> D
 
 def run_state_machine(df: DataFrame, key: str, ts: str, symbol: str, transitions: list[tuple[str, str, str]],
                       initial: str, accept: str, reset: str, carry: list[str],
-                      tiebreak: str | None = None, bucket: str = "1 day",
-                      hot_threshold: int | None = DEFAULT_HOT_THRESHOLD, partitions: int | None = None) -> DataFrame:
+                      tiebreak: str | None = None, slot: str | int = DEFAULT_SLOT,
+                      target_rows: int = DEFAULT_TARGET_ROWS, partitions: int | None = None) -> DataFrame:
     """O-80: explicit state machine per key.
 
     ``transitions`` = (state, symbol, next).  A symbol with no transition from
@@ -263,26 +267,28 @@ def run_state_machine(df: DataFrame, key: str, ts: str, symbol: str, transitions
         step[sym] = (nxt, emit)
     reset_all = ([init_i] * n_states, [False] * n_states)
 
-    keys = [key]
     order = [ts] + ([tiebreak] if tiebreak else [])
-    cols = list(dict.fromkeys([key, symbol, ts] + carry + ([tiebreak] if tiebreak else [])))
-    d = with_split(df.select(*cols), keys, ts, bucket, hot_threshold).drop("_hot")
-    d = d.repartition(partitions, key, "_bkt") if partitions else d.repartition(key, "_bkt")
-    d = d.sortWithinPartitions(key, "_bkt", *order)
-    kt = df.schema[key].dataType.simpleString()
-    carry_schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in carry)
-    out_schema = f"kind string, k {kt}, _bkt long, fn array<int>, flags array<boolean>, {carry_schema}"
+    cols = list(dict.fromkeys([symbol, ts] + carry + ([tiebreak] if tiebreak else [])))
+    d = with_split(df.select(_as_text(key).alias("_k"), *cols), ["_k"], ts, slot, target_rows).drop("_last", "_base")
+    d = d.repartition(partitions, "_k", "_bkt") if partitions else d.repartition("_k", "_bkt")
+    d = d.sortWithinPartitions("_k", "_bkt", *order)
+    # carried values pass through pandas as one string each, so they come back unchanged
+    d = d.withColumn("_carry", F.to_json(F.struct(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(carry)])))
+    out_schema = "kind string, k string, _bkt long, fn array<int>, flags array<boolean>, carried string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cur_k, cur_b, cur = None, None, None
         summaries = []
         for b in batches:
-            ks, bs, syms = b[key].to_numpy(), b["_bkt"].to_numpy(), b[symbol].to_numpy()
+            ks, bs, syms = b["_k"].to_numpy(), b["_bkt"].to_numpy(), b[symbol].to_numpy()
             cand_rows, cand_flags = [], []
             for i in range(len(b)):
                 if ks[i] != cur_k or bs[i] != cur_b:
                     if cur is not None:
                         summaries.append((cur_k, int(cur_b), list(cur)))
+                    if len(summaries) >= 10_000:
+                        yield told(summaries)
+                        summaries = []
                     cur_k, cur_b, cur = ks[i], bs[i], list(range(n_states))
                 nxt, emit = step.get(syms[i], reset_all)
                 flags = [emit[c] for c in cur]
@@ -292,17 +298,20 @@ def run_state_machine(df: DataFrame, key: str, ts: str, symbol: str, transitions
                 cur = [nxt[c] for c in cur]
             if cand_rows:
                 c = b.iloc[cand_rows]
-                yield pd.DataFrame({"kind": "alert", "k": c[key].to_numpy(), "_bkt": c["_bkt"].to_numpy(),
-                                    "fn": [None] * len(c), "flags": cand_flags,
-                                    **{col: c[col].to_numpy() for col in carry}})
+                yield pd.DataFrame({"kind": "alert", "k": c["_k"].to_numpy(), "_bkt": c["_bkt"].to_numpy(),
+                                    "fn": [None] * len(c), "flags": cand_flags, "carried": c["_carry"].to_numpy()})
         if cur is not None:
             summaries.append((cur_k, int(cur_b), list(cur)))
         if summaries:
-            yield pd.DataFrame({"kind": "bucket", "k": [s[0] for s in summaries], "_bkt": [s[1] for s in summaries],
-                                "fn": [s[2] for s in summaries], "flags": [None] * len(summaries),
-                                **{col: [None] * len(summaries) for col in carry}})
+            yield told(summaries)
+
+    def told(summaries: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame({"kind": ["bucket"] * len(summaries), "k": [s[0] for s in summaries], "_bkt": [s[1] for s in summaries],
+                             "fn": [s[2] for s in summaries], "flags": [None] * len(summaries), "carried": [None] * len(summaries)})
 
-    res = d.mapInPandas(run, out_schema).persist()
+    from tideline.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    res = d.mapInPandas(run, out_schema).checkpoint()
     # entry state of every bucket: fold the composed functions of earlier buckets of the key
     fns = res.where(F.col("kind") == "bucket").groupBy("k").agg(
         F.array_sort(F.collect_list(F.struct("_bkt", "fn"))).alias("_fs"))
@@ -315,4 +324,7 @@ def run_state_machine(df: DataFrame, key: str, ts: str, symbol: str, transitions
                                                                    F.col("_x.s").alias("_entry"))
     alerts = res.where(F.col("kind") == "alert").join(entry, on=["k", "_bkt"], how="inner")
     alerts = alerts.where(F.element_at("flags", F.col("_entry") + 1))
-    return alerts.select(F.col("k").alias(key), *carry)
+    values = F.from_json("carried", ", ".join(f"c{i} string" for i in range(len(carry))))
+    alerts = alerts.select("k", values.alias("_c"))
+    return alerts.select(_as_key("k", df.schema[key].dataType).alias(key),
+                         *[F.col(f"_c.c{i}").cast(df.schema[c].dataType).alias(c) for i, c in enumerate(carry)])

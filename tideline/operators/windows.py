@@ -9,11 +9,13 @@ of the data in one task.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.time import duration_us, epoch_us, ntz_from_us
-from tideline.operators.sequence import DEFAULT_HOT_THRESHOLD, with_split
+from tideline.operators.sequence import DEFAULT_SLOT, DEFAULT_TARGET_ROWS, join_null_safe, with_split
 
 
 def _keys(key) -> list[str]:
@@ -31,12 +33,35 @@ def _flatten(df: DataFrame, col: str = "window") -> DataFrame:
               .withColumn("window_end", F.col(f"{col}.end")).drop(col))
 
 
+def _pane_counts(df: DataFrame, keys: list[str], ts: str, size: str, slide: str, offset: str | None) -> DataFrame:
+    """(keys, window_start, window_end, n): rows of each sliding window by ``keys``.
+
+    Rows are first counted per pane, the largest stretch of time that no window
+    edge cuts (gcd of size and slide); only these counts are copied to the
+    windows that hold the pane.  Rows with a null time are in no window."""
+    sz, sl, off = duration_us(size), duration_us(slide), duration_us(offset) if offset else 0
+    pane = math.gcd(sz, sl)
+    at = F.floor((epoch_us(ts) - F.lit(off)) / F.lit(pane)).cast("bigint") * F.lit(pane)
+    panes = df.where(F.col(ts).isNotNull()).groupBy(*keys, at.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    # starts s, multiples of the slide, with s <= pane and pane + its length <= s + size
+    first = F.ceil((F.col("_p") + F.lit(pane - sz)) / F.lit(sl)).cast("bigint")
+    last = F.floor(F.col("_p") / F.lit(sl)).cast("bigint")
+    fan = panes.where(first <= last).withColumn("_s", F.explode(F.sequence(first * F.lit(sl) + F.lit(off), last * F.lit(sl) + F.lit(off), F.lit(sl))))
+    return (fan.select(*keys, ntz_from_us("_s").alias("window_start"), ntz_from_us(F.col("_s") + F.lit(sz)).alias("window_end"), F.col("_n").alias("n")))
+
+
 def window_agg(df: DataFrame, key, ts: str, size: str, slide: str | None = None,
                offset: str | None = None, aggs: list[Column] | None = None) -> DataFrame:
     """Tumbling (slide=None) or sliding event-time window aggregate per key.
 
     O-38 tumbling, O-39 tumbling with offset, O-40 sliding, O-50 non-keyed
-    (key=None), O-56 SQL tumble.  Default aggregate: ``count(*) AS cnt``."""
+    (key=None), O-56 SQL tumble.  Default aggregate: ``count(*) AS cnt``, for
+    sliding windows over panes (see ``_pane_counts``).  Other aggregates are
+    Column expressions that can't be merged from panes in general, so with
+    them a row is copied to each window that holds it."""
+    if aggs is None and slide is not None:
+        out = _pane_counts(df, _keys(key), ts, size, slide, offset)
+        return out.groupBy(*_keys(key), "window_start", "window_end").agg(F.sum("n").cast("bigint").alias("cnt"))
     aggs = aggs or [F.count(F.lit(1)).alias("cnt")]
     w = F.window(ts, _spark_interval(size), _spark_interval(slide or size),
                  _spark_interval(offset) if offset else "0 seconds")
@@ -52,11 +77,11 @@ def sliding_count(df, key, ts, size, slide):
 
 
 def pv_per_uv(df: DataFrame, user: str, ts: str, size: str, slide: str) -> DataFrame:
-    """O-41: page views / distinct users per sliding window over all rows."""
-    return window_agg(df, None, ts, size, slide, aggs=[
-        F.count(F.lit(1)).alias("pv"),
-        F.countDistinct(user).alias("uv"),
-    ]).withColumn("pv_per_uv", F.round(F.col("pv") / F.col("uv"), 6))
+    """O-41: page views / distinct users per sliding window over all rows.
+    A user is one row per pane before panes are copied to windows."""
+    return (_pane_counts(df, [user], ts, size, slide, None).groupBy("window_start", "window_end")
+            .agg(F.sum("n").cast("bigint").alias("pv"), F.countDistinct(user).alias("uv"))
+            .withColumn("pv_per_uv", F.round(F.col("pv") / F.col("uv"), 6)))
 
 
 def distinct_count_window(df: DataFrame, user: str, ts: str, size: str) -> DataFrame:
@@ -76,35 +101,41 @@ def manual_tumbling_count(df: DataFrame, key, ts: str, size: str) -> DataFrame:
 
 
 def session_windows(df: DataFrame, key, ts: str, gap: str | Column,
-                    aggs: list[Column] | None = None, bucket: str = "1 day",
-                    hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+                    aggs: list[Column] | None = None, slot: str | int = DEFAULT_SLOT,
+                    target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """O-44 fixed gap (string) / O-45 dynamic gap (Column holding an interval
     string per row).  A row exactly ``gap`` after the previous one joins the
     session (Spark's rule); session_end = max(ts + gap).  Output: key(s),
     session_start, session_end, cnt.
 
     Spark's own session aggregate sorts every row of a key in one task.  Here
-    hot keys (more than ``hot_threshold`` rows) are first sessionized per
-    time bucket; only the first and last partial session of each bucket can
-    touch another bucket, so just those are merged per key (a running max of
-    session ends) and interior sessions are already final.  With ``aggs``
-    given, the plain single-stage plan is used (arbitrary aggregates are not
-    mergeable)."""
+    the buckets of a key (about ``target_rows`` rows each) are sessionized
+    apart.  A partial session can only touch another bucket if it starts no
+    later than the latest session end of all earlier buckets, or ends no earlier
+    than the next bucket's first session starts; those are merged per key (a
+    running max of session ends), all others are final.
+
+    ``aggs`` replaces the count by other aggregates.  Those can't be merged
+    from partial sessions in general, so this form is Spark's own session
+    aggregate, with a key in one task."""
     keys = _keys(key)
     g = _spark_interval(gap) if isinstance(gap, (str, int)) else gap
     if aggs is not None:
         out = df.groupBy(*keys, F.session_window(ts, g).alias("session")).agg(*aggs)
         return (out.withColumn("session_start", F.col("session.start"))
                    .withColumn("session_end", F.col("session.end")).drop("session"))
-    d = with_split(df, keys, ts, bucket, hot_threshold)
-    part = d.groupBy(*keys, "_hot", "_bkt", F.session_window(ts, g).alias("session")).agg(
+    d = with_split(df, keys, ts, slot, target_rows)
+    part = d.groupBy(*keys, "_last", "_bkt", F.session_window(ts, g).alias("session")).agg(
         F.count(F.lit(1)).alias("cnt"))
-    part = part.select(*keys, "_hot", "_bkt", F.col("session.start").alias("session_start"),
+    part = part.select(*keys, "_last", "_bkt", F.col("session.start").alias("session_start"),
                        F.col("session.end").alias("session_end"), "cnt")
-    wb = Window.partitionBy(*keys, "_hot", "_bkt")
-    first = F.row_number().over(wb.orderBy("session_start")) == 1
-    last = F.row_number().over(wb.orderBy(F.col("session_start").desc())) == 1
-    part = part.withColumn("_edge", F.col("_hot") & (first | last))
+    span = part.where(F.col("_last") > 0).groupBy(*keys, "_bkt").agg(F.min("session_start").alias("_s"), F.max("session_end").alias("_e"))
+    wb = Window.partitionBy(*keys).orderBy("_bkt")
+    span = span.select(*keys, "_bkt", F.max("_e").over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_reach"),
+                       F.lead("_s").over(wb).alias("_next"))
+    part = join_null_safe(part, span, [*keys, "_bkt"], "left")
+    touch = F.coalesce(F.col("session_start") <= F.col("_reach"), F.lit(False)) | F.coalesce(F.col("session_end") >= F.col("_next"), F.lit(False))
+    part = part.withColumn("_edge", touch)
     final = part.where(~F.col("_edge")).select(*keys, "session_start", "session_end", "cnt")
     edges = part.where(F.col("_edge"))
     wk = Window.partitionBy(*keys).orderBy("session_start", "session_end")

@@ -353,8 +353,7 @@ def rule_matches_stream(df: DataFrame, key: str, ts: str, action: str, tiebreak:
     kt, tt = df.schema[key].dataType.simpleString(), df.schema[tiebreak].dataType.simpleString()
     pairs = _tws(d, PreviousValue(), f"k {kt}, tb {tt}, prev_action string, action string",
                                               "None")
-    from tideline.operators.joins import broadcast_if_small
-    r = broadcast_if_small(rules.select(F.col("action1").alias("prev_action"), F.col("action2").alias("action")))
+    r = rules.select(F.col("action1").alias("prev_action"), F.col("action2").alias("action"))
     return pairs.join(r, on=["prev_action", "action"], how="inner")
 
 
