@@ -33,7 +33,7 @@ def test_keyed_aggs_golden(spark):
 
 def test_running_min_by_golden(spark):
     df = frame(spark, [("a", 1, 1000), ("a", 3, 2000), ("b", 2, 3000), ("b", 4, 4000)], "f0 string, f1 int, ms long")
-    out = aggs.running_min_by(df, "f0", "ts", "f1", "ms", ["f0", "f1"], bucket="1 second", hot_threshold=None)
+    out = aggs.running_min_by(df, "f0", "ts", "f1", "ms", ["f0", "f1"], slot="1 second", target_rows=1)
     assert rows_set(out, "min_f0", "min_f1") == [("a", 1), ("a", 1), ("b", 2), ("b", 2)]
 
 
@@ -63,7 +63,7 @@ def test_sql_and_changelog_golden(spark):
     assert spark.sql("SELECT urls, users FROM clicks_f13").count() == 6
     assert spark.sql("SELECT * FROM clicks_f13 WHERE users = 'Alice'").count() == 3
     assert rows_set(aggs.group_count(df, "users", "urls"), "users", "cnt") == [("Alice", 3), ("Bob", 2), ("Cary", 1)]
-    ch = aggs.changelog_count(df, "users", "ts", tiebreak="seq", bucket="10 seconds", hot_threshold=1)
+    ch = aggs.changelog_count(df, "users", "ts", tiebreak="seq", slot="10 seconds", target_rows=1)
     got = [(r.op, r.users, r.cnt) for r in ch.orderBy("ts", "seq", "op_order").collect()]
     assert got == [("+I", "Alice", 1), ("+I", "Bob", 1), ("-U", "Alice", 1), ("+U", "Alice", 2), ("+I", "Cary", 1),
                    ("-U", "Bob", 1), ("+U", "Bob", 2), ("-U", "Alice", 2), ("+U", "Alice", 3)]
@@ -89,10 +89,10 @@ def test_keyed_seq_matches_bruteforce_any_bucket(spark):
     brute = _brute_seq(ev.toPandas(), "user_id", "ts", "event_id")
     want = dict(zip(brute.event_id, brute.seq_b))
     for bucket, hot in [("1 hour", None), ("1 day", 5), ("30 days", None), ("1 day", 10**9)]:
-        got = {r.event_id: r.seq for r in keyed_seq(ev, "user_id", "ts", "event_id", bucket, hot_threshold=hot).collect()}
+        got = {r.event_id: r.seq for r in keyed_seq(ev, "user_id", "ts", "event_id", bucket, target_rows=hot).collect()}
         assert got == want
-        nb = keyed_neighbours(ev, "user_id", "ts", ["event_type"], [1, 2, -1], tiebreak="event_id", bucket=bucket,
-                              hot_threshold=hot)
+        nb = keyed_neighbours(ev, "user_id", "ts", ["event_type"], [1, 2, -1], tiebreak="event_id", slot=bucket,
+                              target_rows=hot)
         b = brute.sort_values(["user_id", "seq_b"])
         g = b.groupby("user_id")["event_type"]
         exp = pd.DataFrame({"event_id": b.event_id, "n1": g.shift(-1), "n2": g.shift(-2), "p1": g.shift(1)})
@@ -100,7 +100,7 @@ def test_keyed_seq_matches_bruteforce_any_bucket(spark):
                             r.p1 if isinstance(r.p1, str) else None) for r in exp.itertuples()}
         got = {r.event_id: (r.event_type_next1, r.event_type_next2, r.event_type_prev1) for r in nb.collect()}
         assert got == exp
-        ra = running_aggregates(ev, "user_id", "ts", "value", tiebreak="event_id", bucket=bucket, hot_threshold=hot)
+        ra = running_aggregates(ev, "user_id", "ts", "value", tiebreak="event_id", slot=bucket, target_rows=hot)
         rc = {r.event_id: r.running_count for r in ra.collect()}
         assert rc == want
 
@@ -108,9 +108,9 @@ def test_keyed_seq_matches_bruteforce_any_bucket(spark):
 def test_count_windows(spark):
     rows_ = [("a", "x", i * 1000) for i in range(1, 8)]
     df = frame(spark, rows_, EV).withColumn("v", F.lit(1))
-    tum = aggs.count_window_tumbling(df, "users", "ts", 3, "v", bucket="2 seconds", hot_threshold=None)
+    tum = aggs.count_window_tumbling(df, "users", "ts", 3, "v", slot="2 seconds", target_rows=1)
     assert rows_set(tum, "block", "cnt") == [(0, 3), (1, 3)]
-    sl = aggs.count_window_sliding(df, "users", "ts", 5, 2, "v", bucket="2 seconds", hot_threshold=None)
+    sl = aggs.count_window_sliding(df, "users", "ts", 5, 2, "v", slot="2 seconds", target_rows=1)
     assert rows_set(sl, "fire_seq", "cnt") == [(2, 2), (4, 4), (6, 5)]
 
 
@@ -118,8 +118,8 @@ def test_first_n_average(spark):
     df = frame(spark, [("u", "x", 1000 * i) for i in range(1, 8)] + [("v", "x", 5)], EV)
     out = aggs.first_n_average_ms(df, "urls", "ts", 5)
     assert rows_set(out, "urls", "avg_ms") == [("x", (5 + 1000 + 2000 + 3000 + 4000) // 5)]
-    rep = aggs.every_n_average_ms(df.where(F.col("users") == "u"), "users", "ts", 3, bucket="2 seconds",
-                                  hot_threshold=None)
+    rep = aggs.every_n_average_ms(df.where(F.col("users") == "u"), "users", "ts", 3, slot="2 seconds",
+                                  target_rows=1)
     assert rows_set(rep, "block", "avg_ms") == [(0, 2000), (1, 5000)]
 
 
@@ -135,6 +135,6 @@ def test_rich_map_and_udaf(spark):
 
     out = rows.rich_map(ev.select("event_id"), op, mp, lambda r: calls.append(1), "event_id long")
     assert out.agg(F.sum("event_id")).first()[0] == 2 * ev.agg(F.sum("event_id")).first()[0]
-    m = {r.event_type: r.m for r in ev.groupBy("event_type").agg(rows.pandas_mean("value").alias("m")).collect()}
+    m = {r.event_type: r.m for r in rows.user_aggregate(ev.repartition(5), "event_type", ["value"], rows.MeanOf("value"), "double", "m").collect()}
     a = {r.event_type: r.a for r in ev.groupBy("event_type").agg(F.avg("value").alias("a")).collect()}
     assert m.keys() == a.keys() and all(abs(m[k] - a[k]) < 1e-9 for k in m)

@@ -36,8 +36,9 @@ def broadcast_copies(df: DataFrame, n: int, copy_col: str = "copy") -> DataFrame
 
 
 def to_single(df: DataFrame) -> DataFrame:
-    """O-25: all rows to one task — only for small, bounded results."""
-    return df.coalesce(1)
+    """O-25: all rows to one task — only for small, bounded results.  An exchange,
+    so what is upstream keeps its own parallelism."""
+    return df.repartition(1)
 
 
 def partition_custom(df: DataFrame, n: int, expr: Column) -> DataFrame:

@@ -2,17 +2,20 @@
 "rich" per-task set-up/tear-down map, and user-defined aggregates.
 
 Everything is a Column expression except ``rich_map`` (Arrow-batched
-``mapInPandas``) and ``pandas_mean`` (grouped-aggregate pandas UDF), which
-exist because the reference exposes those user-function shapes."""
+``mapInPandas``) and ``user_aggregate`` (accumulators per task, merged after the
+shuffle), which exist because users bring functions of those shapes."""
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def project(df: DataFrame, *cols: str | Column) -> DataFrame:
@@ -70,11 +73,105 @@ def encode_string(df: DataFrame, fmt: str, *cols: str | Column, out: str = "line
     return df.select(F.format_string(fmt, *cols).alias(out))
 
 
-def pandas_mean(col: str) -> Column:
-    """O-19: user-defined aggregate as an Arrow grouped-aggregate pandas UDF
-    (create/add/merge/result collapse into one vectorised reduction; Spark
-    does the partial/merge split across the shuffle)."""
-    @F.pandas_udf("double")
-    def _mean(v: pd.Series) -> float:
-        return float(v.mean())
-    return _mean(F.col(col))
+class MergeableAggregate:
+    """O-19: a user-defined aggregate of four steps.  ``add`` takes a pandas frame
+    of rows of one group, ``merge`` two accumulators; accumulators are pickled."""
+
+    def create(self):
+        raise NotImplementedError
+
+    def add(self, acc, rows: pd.DataFrame):
+        raise NotImplementedError
+
+    def merge(self, a, b):
+        raise NotImplementedError
+
+    def result(self, acc):
+        raise NotImplementedError
+
+
+class MeanOf(MergeableAggregate):
+    """Mean of a column, nulls skipped; null without values."""
+
+    def __init__(self, col: str):
+        self.col = col
+
+    def create(self):
+        return 0.0, 0
+
+    def add(self, acc, rows):
+        v = rows[self.col]
+        return acc[0] + float(v.sum()), acc[1] + int(v.count())
+
+    def merge(self, a, b):
+        return a[0] + b[0], a[1] + b[1]
+
+    def result(self, acc):
+        return acc[0] / acc[1] if acc[1] else None
+
+
+class RowsPerDistinct(MergeableAggregate):
+    """(rows, distinct values of a column): an accumulator that holds a set."""
+
+    def __init__(self, col: str):
+        self.col = col
+
+    def create(self):
+        return 0, frozenset()
+
+    def add(self, acc, rows):
+        return acc[0] + len(rows), acc[1] | frozenset(rows[self.col].dropna().unique().tolist())
+
+    def merge(self, a, b):
+        return a[0] + b[0], a[1] | b[1]
+
+    def result(self, acc):
+        return acc[0] / len(acc[1]) if acc[1] else None
+
+
+MAX_OPEN_GROUPS = 10_000
+
+
+def user_aggregate(df: DataFrame, key: str | list[str], cols: list[str], agg: MergeableAggregate,
+                   result: str, out: str = "value") -> DataFrame:
+    """O-19: ``agg`` per key; ``result`` is the SQL type of ``agg.result``.
+
+    Each task adds its rows to one accumulator per group (at most
+    ``MAX_OPEN_GROUPS`` at a time) and only accumulators are shuffled and
+    merged, so a hot key costs a row per task.  Null keys are a group."""
+    keys = [key] if isinstance(key, str) else list(key)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_groups: dict[tuple, object] = {}
+
+        def told():
+            arrays = [pa.array(list(c), schema.field(k).type) for k, c in zip(keys, zip(*open_groups))]
+            accs = pa.array([pickle.dumps(a) for a in open_groups.values()], pa.binary())
+            return pa.RecordBatch.from_arrays([*arrays, accs], names=[*keys, "_acc"])
+
+        schema = None
+        for batch in batches:
+            schema = schema or batch.schema
+            rows = batch.select(cols).to_pandas()
+            groups: dict[tuple, list[int]] = {}
+            for i, k in enumerate(zip(*(batch.column(c).to_pylist() for c in keys))):
+                groups.setdefault(k, []).append(i)
+            for k, at in groups.items():
+                open_groups[k] = agg.add(open_groups[k] if k in open_groups else agg.create(), rows.iloc[at])
+            if len(open_groups) > MAX_OPEN_GROUPS:
+                yield told()
+                open_groups.clear()
+        if open_groups:
+            yield told()
+
+    def merged(table: pa.Table) -> pa.Table:
+        acc = agg.create()
+        for a in table.column("_acc").to_pylist():
+            acc = agg.merge(acc, pickle.loads(a))
+        return table.select(keys).slice(0, 1).append_column(out, pa.array([agg.result(acc)], value_type))
+
+    kinds = [df.schema[k] for k in keys]
+    value = T._parse_datatype_string(result)
+    value_type = to_arrow_type(value)
+    part = df.select(*dict.fromkeys([*keys, *cols])).mapInArrow(partial, T.StructType([*kinds, T.StructField("_acc", T.BinaryType())]))
+    return part.groupBy(*keys).applyInArrow(merged, T.StructType([*kinds, T.StructField(out, value)]))

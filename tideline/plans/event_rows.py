@@ -240,9 +240,36 @@ def changelog(spark, sf_dir):
 
 @register("udaf_mean_value", "SELECT event_type, round(avg(value), 6) AS mean_value FROM events GROUP BY event_type")
 def udaf_mean(spark, sf_dir):
-    """O-19: user-defined aggregate as an Arrow grouped-aggregate UDF."""
+    """O-19: user-defined aggregate (create / add / merge / result), accumulated per task."""
     ev = _events(spark, sf_dir, "event_type", "value")
-    return ev.groupBy("event_type").agg(F.round(rows.pandas_mean("value"), 6).alias("mean_value"))
+    out = rows.user_aggregate(ev, "event_type", ["value"], rows.MeanOf("value"), "double")
+    return out.select("event_type", F.round("value", 6).alias("mean_value"))
+
+
+@register("udaf_pv_per_user", """
+SELECT event_type, round(count(*) / count(DISTINCT user_id), 6) AS pv_per_user FROM events GROUP BY event_type
+""")
+def udaf_pv_per_user(spark, sf_dir):
+    """O-19: views per distinct user with a set as accumulator."""
+    ev = _events(spark, sf_dir, "event_type", "user_id")
+    out = rows.user_aggregate(ev, "event_type", ["user_id"], rows.RowsPerDistinct("user_id"), "double")
+    return out.select("event_type", F.round("value", 6).alias("pv_per_user"))
+
+
+@register("running_sum_with_nulls", """
+WITH e AS (SELECT CASE WHEN user_id % 3 > 0 THEN user_id % 3 END AS grp, ts, event_id,
+                  CASE WHEN event_id % 4 > 0 THEN event_id % 100 END AS v FROM events)
+SELECT grp, event_id, count(*) OVER w AS running_count, CAST(sum(v) OVER w AS BIGINT) AS running_sum,
+       min(v) OVER w AS running_min, max(v) OVER w AS running_max
+FROM e WINDOW w AS (PARTITION BY grp ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
+""")
+def running_sum_with_nulls(spark, sf_dir):
+    """O-35 with null keys and values; three large keys, each split into buckets of rows."""
+    ev = _events(spark, sf_dir, "user_id", "ts", "event_id")
+    ev = ev.select(F.when(F.col("user_id") % 3 > 0, F.col("user_id") % 3).alias("grp"), "ts", "event_id",
+                   F.when(F.col("event_id") % 4 > 0, F.col("event_id") % 100).alias("v"))
+    out = running_aggregates(ev, "grp", "ts", "v", tiebreak="event_id", target_rows=500)
+    return out.select("grp", "event_id", "running_count", "running_sum", "running_min", "running_max")
 
 
 @register("split_routes", """

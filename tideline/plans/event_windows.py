@@ -151,6 +151,14 @@ def session_dynamic(spark, sf_dir):
     return windows.session_windows(ev, "user_id", "ts", gap)
 
 
+@register("session_varying_gap_split", _SESSION_SQL.format(gap="(INTERVAL '2 hours' * (1 + event_id % 20))"))
+def session_varying_split(spark, sf_dir):
+    """O-45 with gaps of 2 to 40 h from row to row, every user split into buckets of about 16 rows."""
+    ev = _events(spark, sf_dir, "user_id", "ts", "event_id")
+    gap = F.concat(((F.col("event_id") % 20 + 1) * 2).cast("string"), F.lit(" hours"))
+    return windows.session_windows(ev, "user_id", "ts", gap, slot="1 hour", target_rows=16)
+
+
 @register("cumulative_window_event_types", f"""
 WITH p AS (
   SELECT event_type, time_bucket(INTERVAL '1 day', ts, {_EPOCH}) AS w,
