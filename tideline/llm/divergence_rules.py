@@ -15,9 +15,9 @@ reference by chance.
 
 Windows are compared by 64-bit hashes of their three words.
 
-Scale: three scans of the texts.  No text, document or rare word is shuffled: the first counts
+Scale: four scans of the texts.  No text, document or rare word is shuffled: the first counts
 words by language and hash bucket (``BUCKETS`` a language), the second counts the words of the
-most frequent buckets, the third is a projection.  The reference on the driver is ``TOP_WORDS``
+most frequent buckets, the third sums character classes, the last is a projection.  The reference on the driver is ``TOP_WORDS``
 words for each of at most ``MAX_LANGUAGES`` languages.
 
 Edge cases: null and empty texts have no words and fail the base rules; ties between reference
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tideline.llm.common import materialise
 from tideline.sources.tables import read_table
 
 TOP_WORDS = 30
@@ -92,17 +93,19 @@ def references(docs: DataFrame, text: str, lang: str) -> dict[str, tuple[list[fl
     group = F.when(F.col(lang).isin(langs), F.col(lang)).otherwise(_ALL) if langs else F.lit(_ALL)
     words = docs.select(group.alias("lang"), F.explode(split_words(F.coalesce(text, F.lit("")))).alias("w"))
     bucket = F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int")
-    counts = words.select("lang", bucket.alias("b")).groupBy("lang", "b").agg(F.count("*").alias("n"))
+    counts = materialise(words.select("lang", bucket.alias("b")).groupBy("lang", "b").agg(F.count("*").alias("n")), "word-buckets")
     every = counts.groupBy(F.lit(_ALL).alias("lang"), "b").agg(F.sum("n").alias("n"))
     both = counts.filter(F.col("lang") != _ALL).union(every)
     best = (both.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "b"))).withColumn("total", F.sum("n").over(Window.partitionBy("lang")))
             .filter(F.col("k") <= TOP_BUCKETS).select("lang", "b", "total").collect())
     total = {r["lang"]: r["total"] for r in best}
     frequent = sorted({r["b"] for r in best})
-    counts = words.filter(bucket.isin(frequent)).groupBy("lang", "w").agg(F.count("*").alias("n")) if frequent else None
+    counts = materialise(words.filter(bucket.isin(frequent)).groupBy("lang", "w").agg(F.count("*").alias("n")), "frequent-words") if frequent else None
     chars = {}
-    spaces = F.length("t") - F.length(F.regexp_replace("t", r"[\x20\x09-\x0D]+", ""))
-    classes = character_classes(_row_and_text(docs, text, lang), F.length("t") - spaces).groupBy(group_of(langs)).agg(*(F.sum(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(6)))
+    solid = F.col("t")
+    for c in _WS:
+        solid = F.replace(solid, F.lit(c), F.lit(""))
+    classes = character_classes(_row_and_text(docs, text, lang), F.length(solid)).groupBy(group_of(langs)).agg(*(F.sum(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(6)))
     for r in classes.collect():
         chars[r[0]] = [r[f"c{i}"] or 0.0 for i in range(6)]
     chars[_ALL] = [sum(x) for x in zip(*chars.values())] if chars else [0.0] * 6
