@@ -2,6 +2,7 @@
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from tideline.plans import QUERIES
 
 
 def _plan(df) -> str:
@@ -9,7 +10,7 @@ def _plan(df) -> str:
 
 
 def test_no_cartesian_or_nested_loop_joins(spark):
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name.startswith("stream_"):
             continue  # these run a stream when called; their operators are covered in test_streaming
         p = _plan(fn(spark, SF_SMALL))

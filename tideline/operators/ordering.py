@@ -25,8 +25,9 @@ def _block(order: str, width: int):
     return F.floor(F.col(order) / F.lit(width)).cast("bigint")
 
 
-def _with_earlier(blocks: DataFrame, value: str, out: str, total: bool) -> DataFrame:
-    """``out``: sum (``total``) or maximum of ``value`` over all earlier ``_blk``; null before the first."""
+def _with_earlier(blocks: DataFrame, value: str, out: str, total: bool, all_col: str = "_all") -> DataFrame:
+    """``out``: sum (``total``) or maximum of ``value`` over all earlier ``_blk`` (null before the first);
+    ``all_col``: the same over all blocks."""
     agg = F.sum if total else F.max
 
     def before(w):
@@ -34,7 +35,7 @@ def _with_earlier(blocks: DataFrame, value: str, out: str, total: bool) -> DataF
 
     b = blocks.withColumn("_g", F.floor(F.col("_blk") / F.lit(FAN)).cast("bigint")).withColumn("_t", F.floor(F.col("_g") / F.lit(FAN)).cast("bigint"))
     top = b.groupBy("_t").agg(agg(value).alias(value))
-    top = top.select("_t", before(Window.orderBy("_t")).alias("_p1"))
+    top = top.select("_t", before(Window.orderBy("_t")).alias("_p1"), agg(value).over(Window.partitionBy()).alias(all_col))
     group = b.groupBy("_t", "_g").agg(agg(value).alias(value))
     group = group.select("_t", "_g", before(Window.partitionBy("_t").orderBy("_g")).alias("_p2"))
     b = b.withColumn("_p3", before(Window.partitionBy("_t", "_g").orderBy("_blk")))
@@ -50,9 +51,8 @@ def global_index(df: DataFrame, order: str, block_width: int = DEFAULT_BLOCK, co
     with ``total_col`` also the total row count (from the block table)."""
     d = df.withColumn("_blk", _block(order, block_width))
     blocks = d.groupBy("_blk").agg(F.count(F.lit(1)).alias("_n"))
-    cnt = _with_earlier(blocks, "_n", "_base", True).select("_blk", F.col("_base").cast("bigint").alias("_base"))
-    if total_col:  # a single row
-        cnt = cnt.crossJoin(F.broadcast(blocks.agg(F.sum("_n").cast("bigint").alias(total_col))))
+    cnt = _with_earlier(blocks, "_n", "_base", True, total_col or "_all")
+    cnt = cnt.select("_blk", *(F.col(c).cast("bigint").alias(c) for c in ["_base", *([total_col] if total_col else [])]))
     lrn = F.row_number().over(Window.partitionBy("_blk").orderBy(order)) - 1
     return (join_null_safe(d.withColumn("_l", lrn), cnt, ["_blk"])
             .withColumn(col, F.col("_base") + F.col("_l")).drop("_blk", "_l", "_base"))

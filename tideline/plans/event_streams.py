@@ -19,16 +19,18 @@ from tideline.plans.registry import register
 from tideline.session import checkpoint_dir
 from tideline.sources.tables import read_table
 from tideline.streaming import ops, stateful
-from tideline.streaming.replay import read_replay, replay_to_files, run_to_parquet
+from tideline.streaming.replay import replay, run_to_parquet
 
 _EPOCH = "TIMESTAMP '1970-01-01'"
 
 
-def _run(spark, sf_dir, name, build, cols=("event_id", "ts", "user_id", "event_type")):
+def _run(spark, sf_dir, name, build, cols=("event_id", "ts", "user_id", "event_type"), displaced=False):
+    """``displaced``: rows arrive up to ten positions early or late, across the cuts between micro-batches."""
     base = os.path.join(checkpoint_dir(spark), "tideline-streams", f"{name}-{uuid.uuid4().hex[:8]}")
     ev = read_table(spark, sf_dir, "events").select(*cols)
-    folder = replay_to_files(ev, base, 4, "event_id")[0]
-    stream = read_replay(spark, folder, ev.schema)
+    if displaced:
+        ev = ev.withColumn("arrival", F.col("event_id") + F.col("event_id") * 7919 % 21 - 10)
+    stream = replay(ev, base, 4, "arrival" if displaced else "event_id")
     out = os.path.join(base, "out")
     run_to_parquet(build(stream), out, os.path.join(base, "ck"))
     return spark.read.parquet(out)
@@ -157,3 +159,75 @@ def stream_timers(spark, sf_dir):
     return out.select(F.col("k").alias("user_id"), "timer_ms")
 
 
+
+
+_SEEN = "epoch_us(ts) // 3600000000 * 3600000000 + 3600000000 <= (SELECT epoch_us(max(ts)) FROM events) - 172800000000"
+
+
+@register("stream_strict_out_of_order", f"""
+SELECT user_id, event_id FROM (
+  SELECT user_id, event_id, event_type = 'error' AND lag(event_type, 1) OVER w = 'error'
+                            AND lag(event_type, 2) OVER w = 'error' AS hit
+  FROM events WHERE {_SEEN} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+WHERE hit
+""")
+def stream_strict_out_of_order(spark, sf_dir):
+    """O-78 with rows out of order: held until the watermark (2 days behind) has passed their hour."""
+    e = F.col("event_type") == "error"
+    out = _run(spark, sf_dir, "strict_ooo", lambda s: stateful.strict_sequence_stream(
+        s, "user_id", "ts", "event_id", [e, e, e], delay="2 days", slot="1 hour"), displaced=True)
+    return out.select(F.col("k").alias("user_id"), F.element_at("ids", 3).alias("event_id"))
+
+
+@register("stream_state_machine_out_of_order", f"""
+SELECT user_id, event_id FROM (
+  SELECT user_id, event_id, event_type = 'error' AND lag(event_type, 1) OVER w = 'error'
+                            AND lag(event_type, 2) OVER w = 'error' AS hit
+  FROM events WHERE {_SEEN} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+WHERE hit
+""")
+def stream_state_machine_out_of_order(spark, sf_dir):
+    """O-80 with rows out of order."""
+    out = _run(spark, sf_dir, "machine_ooo", lambda s: stateful.state_machine_stream(
+        s, "user_id", "ts", "event_type", "event_id", LOGIN_FAIL_TRANSITIONS, "Initial", "Matched", "Terminal",
+        delay="2 days", slot="1 hour"), displaced=True)
+    return out.select(F.col("k").alias("user_id"), F.col("tb").alias("event_id"))
+
+
+@register("stream_order_timeout_out_of_order", """
+WITH seen AS (SELECT * FROM events WHERE epoch_us(ts) // 1000 <= (SELECT epoch_us(max(ts)) // 1000 FROM events) - 172800000),
+b AS (
+  SELECT s.user_id, s.event_id AS start_id, s.ts AS start_ts,
+         CASE WHEN p.ts < s.ts + INTERVAL '1 day' THEN p.event_id END AS end_id,
+         CASE WHEN p.ts < s.ts + INTERVAL '1 day' THEN 'matched' ELSE 'timeout' END AS status
+  FROM seen s
+  LEFT JOIN LATERAL (SELECT event_id, ts FROM seen e
+                     WHERE e.user_id = s.user_id AND e.event_type = 'purchase' AND (e.ts, e.event_id) > (s.ts, s.event_id)
+                     ORDER BY e.ts, e.event_id LIMIT 1) p ON true
+  WHERE s.event_type = 'signup')
+SELECT user_id, start_id, end_id, status FROM b
+WHERE status = 'matched'
+   OR epoch_us(start_ts) // 1000 + 86400000 <= (SELECT epoch_us(max(ts)) // 1000 FROM events) - 172800000
+""")
+def stream_order_timeout_out_of_order(spark, sf_dir):
+    """O-79 with rows out of order: an end row that arrives before its start still matches it, never one after it."""
+    out = _run(spark, sf_dir, "timeout_ooo", lambda s: stateful.followed_by_stream(
+        s, "user_id", "ts", F.col("event_type") == "signup", F.col("event_type") == "purchase", "1 day", "event_id", delay="2 days"), displaced=True)
+    return out.select(F.col("k").alias("user_id"), "start_id", "end_id", "status")
+
+
+@register("stream_periodic_pv_out_of_order", """
+WITH RECURSIVE chain(user_id, fire) AS (
+  SELECT user_id, min(ts) + INTERVAL '10 hours' FROM events GROUP BY user_id
+  UNION ALL
+  SELECT c.user_id, n.nt + INTERVAL '10 hours'
+  FROM chain c, LATERAL (SELECT min(ts) AS nt FROM events e WHERE e.user_id = c.user_id AND e.ts > c.fire) n
+  WHERE n.nt IS NOT NULL)
+SELECT user_id, CAST(epoch_us(fire) // 1000 AS BIGINT) AS fire_ms,
+       (SELECT count(*) FROM events e WHERE e.user_id = chain.user_id AND e.ts <= chain.fire) AS cnt
+FROM chain WHERE epoch_us(fire) // 1000 <= (SELECT epoch_us(max(ts)) // 1000 FROM events) - 172800000
+""")
+def stream_periodic_pv_out_of_order(spark, sf_dir):
+    """O-76 with rows out of order: the same firings as in time order."""
+    out = _run(spark, sf_dir, "periodic_ooo", lambda s: stateful.periodic_count_stream(s, "user_id", "ts", "10 hours", delay="2 days"), displaced=True)
+    return out.select(F.col("k").alias("user_id"), "fire_ms", "cnt")

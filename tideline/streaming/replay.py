@@ -14,28 +14,42 @@ from pyspark.sql import functions as F
 
 
 
+TARGET_FILE_ROWS = 1_000_000
+
+
 def replay_to_files(df: DataFrame, out_dir: str, n_files: int, order: str, files_per_part: int = 4) -> list[str]:
-    """Write ``df`` as ``n_files`` consecutive parts of the numeric ``order``
+    """Write ``df`` as ``n_files`` consecutive parts of the integer ``order``
     range into one folder — one write job per part, so every file of part i
     is older than every file of part i+1 (the file source streams oldest
-    first).  Each part is a range filter on the source (pushed into the
-    parquet scan) and is written by ``files_per_part`` parallel tasks; read
-    with ``files_per_trigger = files_per_part`` each part is one micro-batch.
+    first).  Each part is a range of integers, so the filter is pushed into the
+    parquet scan; rows without an order value come last.  A part is written
+    as at least ``files_per_part`` files of about ``TARGET_FILE_ROWS`` rows; read
+    with the same number of files per trigger it is one micro-batch.
     Returns the folder as a one-element list (``read_replay`` streams it)."""
-    lo, hi = df.agg(F.min(order), F.max(order)).first()
+    return [_write_parts(df, out_dir, n_files, order, files_per_part)[0]]
+
+
+def replay(df: DataFrame, out_dir: str, n_files: int, order: str) -> DataFrame:
+    """``df`` as a stream of ``n_files`` micro-batches in ``order``."""
+    folder, files = _write_parts(df, out_dir, n_files, order, 4)
+    return read_replay(df.sparkSession, folder, df.schema, files)
+
+
+def _write_parts(df: DataFrame, out_dir: str, n_files: int, order: str, files_per_part: int) -> tuple[str, int]:
+    lo, hi, n = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
     landing = os.path.join(out_dir, "replay")
-    if lo is None:
-        return [landing]
-    width = (hi - lo) / n_files
-    for i in range(n_files):
-        a = lo + width * i
-        cond = (F.col(order) >= F.lit(a)) if i == 0 else (F.col(order) > F.lit(a))
-        if i < n_files - 1:
-            cond = cond & (F.col(order) <= F.lit(lo + width * (i + 1)))
-        # one part = one micro-batch (files_per_trigger == files_per_part), so the
-        # order of rows inside the part does not matter: plain round-robin files
-        df.where(cond).repartition(files_per_part).write.mode("append").parquet(landing)
-    return [landing]
+    files = max(files_per_part, -(-n // (n_files * TARGET_FILE_ROWS)))
+    if n == 0:
+        return landing, files
+    cuts = [None, None] if lo is None else [lo + (hi - lo + 1) * i // n_files for i in range(n_files + 1)]
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        cond = F.lit(False) if a is None else (F.col(order) >= F.lit(int(a))) & (F.col(order) < F.lit(int(b)))
+        if i == len(cuts) - 2:
+            cond = cond | F.col(order).isNull()
+        # one part = one micro-batch, so the order of rows inside the part
+        # does not matter: plain round-robin files
+        df.where(cond).repartition(files).write.mode("append").parquet(landing)
+    return landing, files
 
 
 def read_replay(spark: SparkSession, folder: str, schema, files_per_trigger: int = 4) -> DataFrame:
@@ -81,14 +95,14 @@ def run_to_memory(df: DataFrame, output_mode: str, checkpoint: str, timeout_s: i
     return spark.table(name)
 
 
-def run_to_parquet(df: DataFrame, path: str, checkpoint: str, timeout_s: int = 600) -> None:
+def run_to_parquet(df: DataFrame, path: str, checkpoint: str) -> None:
     """Same, into a parquet folder (append mode) — the cluster form: output
-    and checkpoint live on shared storage, a restart resumes exactly once."""
+    and checkpoint live on shared storage, a restart resumes exactly once.
+    Runs until all input is read, however long that takes."""
     q = (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
            .outputMode("append").trigger(availableNow=True).start())
     try:
-        if not q.awaitTermination(timeout_s):
-            raise TimeoutError("stream did not finish")
+        q.awaitTermination()
     finally:
         if q.isActive:
             q.stop()

@@ -2,10 +2,16 @@
 (O-37, O-57, O-68, O-73, O-74, O-76…O-80).
 
 Each processor keeps only the state its key needs (RocksDB state store,
-checkpointed); event-time timers fire once the watermark passes them.  Row
-order inside one micro-batch is restored by sorting the key's rows by event
-time.  Callbacks use the keyword names Spark passes (``timerValues``,
-``expiredTimerInfo``)."""
+checkpointed); event-time timers fire once the watermark passes them.  Callbacks
+use the keyword names Spark passes (``timerValues``, ``expiredTimerInfo``).
+
+Row order follows one rule, so that results don't depend on how the input is cut
+into micro-batches.  Without ``delay``, rows are taken in arrival order, which the
+tiebreak column numbers.  With ``delay``, they are taken in (time, tiebreak) order:
+a built-in windowed aggregation holds them until the watermark has passed the end
+of their ``slot``, and rows later than the watermark are dropped.  The operators
+with timers (periodic count, followed-by) hold their rows in own state until the
+watermark has passed them."""
 
 from __future__ import annotations
 
@@ -42,6 +48,25 @@ def _prep(df: DataFrame, key: str, ts: str, delay: str, cols: list[str]) -> Data
     return d.withWatermark("et", f"{duration_us(delay)} microseconds")
 
 
+DEFAULT_SLOT = "1 minute"
+
+
+def _arranged(df: DataFrame, key: str, ts: str, tiebreak: str, delay: str | None, slot: str, cols: dict) -> DataFrame:
+    """k, o (what to sort a key's micro-batch by), ms, tb and ``cols``: see the module's rule."""
+    d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"), F.col(tiebreak).alias("tb"), *[c.alias(n) for n, c in cols.items()],
+                  *([] if delay is None else [event_time(ts).alias("et")]))
+    names = ["ms", "tb", *cols]
+    if delay is None:
+        return d.select("k", F.lit(0).cast("long").alias("o"), *names)
+    d = d.withWatermark("et", f"{duration_us(delay)} microseconds")
+    held = d.groupBy("k", F.window("et", f"{duration_us(slot)} microseconds").alias("w")).agg(F.collect_list(F.struct(*names)).alias("rows"))
+    return held.select("k", F.explode("rows").alias("r")).select("k", F.col("r.ms").alias("o"), *[F.col(f"r.{n}").alias(n) for n in names])
+
+
+def _in_order(rows) -> list:
+    return sorted(rows, key=lambda r: (r.o, r.tb))
+
+
 class EventTimeTimer(StatefulProcessor):
     """O-73: every row registers a timer at ``ms + after``; the timer reports
     the key and its time once the watermark passes it."""
@@ -95,62 +120,47 @@ class ProcessingTimeTimer(StatefulProcessor):
 
 class PeriodicCount(StatefulProcessor):
     """O-76: cumulative count per key, reported ``interval`` after the first
-    row since the last report (count of rows with ts <= fire time)."""
+    row since the last report (count of rows with ts <= fire time).  Rows are
+    held until the watermark has passed them and counted in time order."""
 
     def __init__(self, interval_ms: int):
         self.iv = interval_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.count = handle.getValueState("count", "c long")
-        self.fire = handle.getValueState("fire", "f long")
-        self.pending = handle.getListState("pending", "ms long")  # rows after the fire time, not yet counted
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        cnt = self.count.get()[0] if self.count.exists() else 0
-        fire = self.fire.get()[0] if self.fire.exists() else None
-        late = []
-        for r in sorted(rows, key=lambda r: r.ms):
-            m = _ms(r.ms)
-            if fire is None:
-                fire = m + self.iv
-                self.handle.registerTimer(fire)
-            if m <= fire:
-                cnt += 1
-            else:
-                late.append((m,))
-        if late:
-            self.pending.appendList(late)
-        self.count.update((cnt,))
-        self.fire.update((fire,))
-        return iter([])
+        self.count = handle.getValueState("count", "c long, f long")  # f: next report, -1 if none is due
+        self.pending = handle.getListState("pending", "ms long")
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        fired = expiredTimerInfo.getExpiryTimeInMs()
-        cnt = self.count.get()[0] if self.count.exists() else 0
-        out = [Row(k=key[0], fire_ms=fired, cnt=cnt)]
-        rest = sorted(t[0] for t in self.pending.get()) if self.pending.exists() else []
-        self.pending.clear()
-        fire = None
-        while rest:
-            fire = rest[0] + self.iv
-            take = [m for m in rest if m <= fire]
-            rest = [m for m in rest if m > fire]
-            cnt += len(take)
-            if fire <= timerValues.getCurrentWatermarkInMs():
+    def _advance(self, key, new, now) -> list[Row]:
+        cnt, fire = self.count.get() if self.count.exists() else (0, -1)
+        held = ([t[0] for t in self.pending.get()] if self.pending.exists() else []) + new
+        out = []
+        for m in sorted(x for x in held if x <= now):
+            if 0 <= fire < m:
                 out.append(Row(k=key[0], fire_ms=fire, cnt=cnt))
-                fire = None
-            else:
-                self.handle.registerTimer(fire)
-                break
+                fire = -1
+            if fire < 0:
+                fire = m + self.iv
+            cnt += 1
+        if 0 <= fire <= now:
+            out.append(Row(k=key[0], fire_ms=fire, cnt=cnt))
+            fire = -1
+        rest = [x for x in held if x > now]
+        if rest or self.pending.exists():
+            self.pending.clear()
         if rest:
             self.pending.put([(m,) for m in rest])
-        self.count.update((cnt,))
-        if fire is None:
-            self.fire.clear()
-        else:
-            self.fire.update((fire,))
-        return iter(out)
+        self.count.update((cnt, fire))
+        due = min([*rest, *([fire] if fire >= 0 else [])], default=None)
+        if due is not None:
+            self.handle.registerTimer(due)
+        return out
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        return iter(self._advance(key, [_ms(r.ms) for r in rows], timerValues.getCurrentWatermarkInMs()))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        return iter(self._advance(key, [], timerValues.getCurrentWatermarkInMs()))
 
     def close(self) -> None:
         pass
@@ -172,7 +182,7 @@ class ChangelogCount(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         c = self.count.get()[0] if self.count.exists() else 0
         out = []
-        for r in sorted(rows, key=lambda r: (r.ms, r.tb)):
+        for r in _in_order(rows):
             if c == 0:
                 out.append(Row(k=key[0], tb=r.tb, op="+I", cnt=1))
             else:
@@ -186,8 +196,8 @@ class ChangelogCount(StatefulProcessor):
         pass
 
 
-def changelog_stream(df: DataFrame, key: str, ts: str, tiebreak: str) -> DataFrame:
-    d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"), F.col(tiebreak).alias("tb"))
+def changelog_stream(df: DataFrame, key: str, ts: str, tiebreak: str, delay: str | None = None, slot: str = DEFAULT_SLOT) -> DataFrame:
+    d = _arranged(df, key, ts, tiebreak, delay, slot, {})
     kt, tt = df.schema[key].dataType.simpleString(), df.schema[tiebreak].dataType.simpleString()
     return _tws(d, ChangelogCount(), f"k {kt}, tb {tt}, op string, cnt long",
                                               "None")
@@ -239,7 +249,7 @@ class StateMachine(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         st = self.state.get()[0] if self.state.exists() else self.initial
         out = []
-        for r in sorted(rows, key=lambda r: (r.ms, r.tb)):
+        for r in _in_order(rows):
             nxt = self.table.get((st, r.sym), self.initial)
             if nxt == self.accept:
                 out.append(Row(k=key[0], tb=r.tb, ms=r.ms))
@@ -255,61 +265,70 @@ class StateMachine(StatefulProcessor):
 
 
 def state_machine_stream(df: DataFrame, key: str, ts: str, symbol: str, tiebreak: str, transitions,
-                         initial: str, accept: str, reset: str) -> DataFrame:
-    d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"), F.col(symbol).alias("sym"),
-                  F.col(tiebreak).alias("tb"))
+                         initial: str, accept: str, reset: str, delay: str | None = None, slot: str = DEFAULT_SLOT) -> DataFrame:
+    d = _arranged(df, key, ts, tiebreak, delay, slot, {"sym": F.col(symbol)})
     kt, tt = df.schema[key].dataType.simpleString(), df.schema[tiebreak].dataType.simpleString()
     return _tws(d, StateMachine(transitions, initial, accept, reset),
                                               f"k {kt}, tb {tt}, ms long", "None")
 
 
 class FollowedByWithin(StatefulProcessor):
-    """O-79: start rows wait for an end row strictly less than ``within`` ms
-    later; an end row matches every waiting start; a start whose timer
-    (start + within) passes the watermark first is reported as timed out."""
+    """O-79: start rows wait for an end row after them, strictly less than
+    ``within`` ms later; an end row matches every waiting start; a start whose
+    time (start + within) passes the watermark first is reported as timed out.
+    Rows are held until the watermark has passed them and taken in time order."""
 
     def __init__(self, within_ms: int):
         self.within = within_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "id long, ms long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        waiting = list(self.waiting.get()) if self.waiting.exists() else []
-        out = []
-        for r in sorted(rows, key=lambda r: (r.ms, r.tb)):
-            m = _ms(r.ms)
-            if r.is_end:
+        self.waiting = handle.getListState("waiting", "ms long, id long")
+        self.pending = handle.getListState("pending", "ms long, id long, s boolean, e boolean")
+
+    @staticmethod
+    def _read(state) -> list[tuple]:
+        return [tuple(t) for t in state.get()] if state.exists() else []
+
+    @staticmethod
+    def _write(state, before: list, now: list) -> None:
+        if now != before:
+            state.clear()
+            if now:
+                state.put(now)
+
+    def _advance(self, key, new, now) -> list[Row]:
+        was, waiting = self._read(self.pending), self._read(self.waiting)
+        held, open_, out = was + new, list(waiting), []
+        for ms, tb, is_start, is_end in sorted(x for x in held if x[0] <= now):
+            if is_end:
                 keep = []
-                for sid, sms in waiting:
-                    if m - sms < self.within:
-                        out.append(Row(k=key[0], start_id=sid, start_ms=sms, end_id=r.tb, end_ms=m, status="matched"))
-                        self.handle.deleteTimer(sms + self.within)
+                for sms, sid in open_:
+                    if ms - sms < self.within:
+                        out.append(Row(k=key[0], start_id=sid, start_ms=sms, end_id=tb, end_ms=ms, status="matched"))
                     else:
-                        keep.append((sid, sms))
-                waiting = keep
-            if r.is_start:
-                waiting.append((r.tb, m))
-                self.handle.registerTimer(m + self.within)
-        self.waiting.clear()
-        if waiting:
-            self.waiting.put(waiting)
-        return iter(out)
+                        keep.append((sms, sid))
+                open_ = keep
+            if is_start:
+                open_.append((ms, tb))
+        for sms, sid in open_:
+            if sms + self.within <= now:
+                out.append(Row(k=key[0], start_id=sid, start_ms=sms, end_id=None, end_ms=None, status="timeout"))
+        open_ = [x for x in open_ if x[0] + self.within > now]
+        rest = sorted(x for x in held if x[0] > now)
+        self._write(self.waiting, waiting, open_)
+        self._write(self.pending, was, rest)
+        due = min([x[0] for x in rest[:1]] + [x[0] + self.within for x in open_], default=None)
+        if due is not None:
+            self.handle.registerTimer(due)
+        return out
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new = [(_ms(r.ms), r.tb, bool(r.is_start), bool(r.is_end)) for r in rows if r.is_start or r.is_end]
+        return iter(self._advance(key, new, timerValues.getCurrentWatermarkInMs()))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        waiting = list(self.waiting.get()) if self.waiting.exists() else []
-        out, keep = [], []
-        for sid, sms in waiting:
-            if sms + self.within <= t:
-                out.append(Row(k=key[0], start_id=sid, start_ms=sms, end_id=None, end_ms=None, status="timeout"))
-            else:
-                keep.append((sid, sms))
-        self.waiting.clear()
-        if keep:
-            self.waiting.put(keep)
-        return iter(out)
+        return iter(self._advance(key, [], timerValues.getCurrentWatermarkInMs()))
 
     def close(self) -> None:
         pass
@@ -335,7 +354,7 @@ class PreviousValue(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         p = self.prev.get()[0] if self.prev.exists() else None
         out = []
-        for r in sorted(rows, key=lambda r: (r.ms, r.tb)):
+        for r in _in_order(rows):
             out.append(Row(k=key[0], tb=r.tb, prev_action=p, action=r.sym))
             p = r.sym
         self.prev.update((p,))
@@ -345,11 +364,11 @@ class PreviousValue(StatefulProcessor):
         pass
 
 
-def rule_matches_stream(df: DataFrame, key: str, ts: str, action: str, tiebreak: str, rules: DataFrame) -> DataFrame:
+def rule_matches_stream(df: DataFrame, key: str, ts: str, action: str, tiebreak: str, rules: DataFrame,
+                        delay: str | None = None, slot: str = DEFAULT_SLOT) -> DataFrame:
     """O-68 on a stream: previous action from state, then a stream-static join
-    with the (broadcast, small) rules table."""
-    d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"), F.col(action).alias("sym"),
-                  F.col(tiebreak).alias("tb"))
+    with the rules table."""
+    d = _arranged(df, key, ts, tiebreak, delay, slot, {"sym": F.col(action)})
     kt, tt = df.schema[key].dataType.simpleString(), df.schema[tiebreak].dataType.simpleString()
     pairs = _tws(d, PreviousValue(), f"k {kt}, tb {tt}, prev_action string, action string",
                                               "None")
@@ -395,7 +414,7 @@ class CountWindow(StatefulProcessor):
         recent = [t[0] for t in self.recent.get()] if self.recent.exists() else []
         n = self.seen.get()[0] if self.seen.exists() else 0
         out = []
-        for r in sorted(rows, key=lambda r: (r.ms, r.tb)):
+        for r in _in_order(rows):
             n += 1
             recent.append(float(r.v))
             recent = recent[-self.size:]
@@ -416,10 +435,9 @@ class CountWindow(StatefulProcessor):
 
 
 def count_window_stream(df: DataFrame, key: str, ts: str, value: str, tiebreak: str, size: int,
-                        step: int | None = None) -> DataFrame:
+                        step: int | None = None, delay: str | None = None, slot: str = DEFAULT_SLOT) -> DataFrame:
     step = step or size
-    d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"), F.col(tiebreak).alias("tb"),
-                  F.col(value).cast("double").alias("v"))
+    d = _arranged(df, key, ts, tiebreak, delay, slot, {"v": F.col(value).cast("double")})
     kt = df.schema[key].dataType.simpleString()
     return _tws(d, CountWindow(size, step, step == size),
                                               f"k {kt}, fire_seq long, cnt long, total double", "None")
@@ -439,7 +457,7 @@ class StrictSequence(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         last = [(t[0], list(t[1])) for t in self.last.get()] if self.last.exists() else []
         out = []
-        for r in sorted(rows, key=lambda r: (r.ms, r.tb)):
+        for r in _in_order(rows):
             flags = [bool(getattr(r, f"_m{j}")) for j in range(self.k)]
             window = (last + [(r.tb, flags)])[-self.k:]
             if len(window) == self.k and all(window[j][1][j] for j in range(self.k)):
@@ -454,9 +472,9 @@ class StrictSequence(StatefulProcessor):
         pass
 
 
-def strict_sequence_stream(df: DataFrame, key: str, ts: str, tiebreak: str, steps: list) -> DataFrame:
-    d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"), F.col(tiebreak).cast("long").alias("tb"),
-                  *[s.alias(f"_m{j}") for j, s in enumerate(steps)])
+def strict_sequence_stream(df: DataFrame, key: str, ts: str, tiebreak: str, steps: list, delay: str | None = None,
+                           slot: str = DEFAULT_SLOT) -> DataFrame:
+    d = _arranged(df.withColumn(tiebreak, F.col(tiebreak).cast("long")), key, ts, tiebreak, delay, slot, {f"_m{j}": c for j, c in enumerate(steps)})
     kt = df.schema[key].dataType.simpleString()
     return _tws(d, StrictSequence(len(steps)), f"k {kt}, ids array<long>", "None")
 
