@@ -89,15 +89,16 @@ def _words(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 class SuffixArray:
-    """Suffixes of a buffer that begin a character, sorted by their first 16 bytes."""
+    """Suffixes of a buffer that begin a character, sorted by their first eight bytes.  Longer
+    pieces are few; theirs are compared in full within the range of their first eight bytes."""
 
     def __init__(self, data: bytes):
         self.buf = np.frombuffer(data + b"\xff" * 64, np.uint8)
         body = self.buf[:len(data)]
         at = np.flatnonzero(((body & 0xC0) != 0x80) & (body != 0xFF))
-        hi, lo = _words(self.buf, at), _words(self.buf, at + 8)
-        order = np.lexsort((lo, hi))
-        self.at, self.hi, self.lo = at[order], hi[order], lo[order]
+        hi = _words(self.buf, at)
+        order = np.argsort(hi)
+        self.at, self.hi = at[order], hi[order]
 
     def edges(self, pieces: list[bytes], ids: list[int]) -> np.ndarray:
         """Sorted keys start << 26 | length << 20 | id of all occurrences."""
@@ -112,14 +113,11 @@ class SuffixArray:
         start = self.at[first + np.arange(len(first))]
         key.append(start << (_LEN + _ID) | np.repeat(size[short] << _ID | pids[short], n))
         for i in np.flatnonzero((size > 8) & (b > a)).tolist():
-            p, x, y = pieces[i], a[i], b[i]
-            lo = self.lo[x:y]
-            u = x + np.searchsorted(lo, np.uint64(int.from_bytes(p[8:16].ljust(8, b"\0"), "big")), "left")
-            v = x + np.searchsorted(lo, np.uint64(int.from_bytes(p[8:16].ljust(8, b"\xff"), "big")), "right")
-            start = self.at[u:v]
-            if len(p) > 16 and len(start):
-                rest = np.frombuffer(p[16:], np.uint8)
-                start = start[(self.buf[start[:, None] + 16 + np.arange(len(rest))] == rest).all(axis=1)]
+            p, start = pieces[i], self.at[a[i]:b[i]]
+            start = start[self.buf[start + 8] == p[8]]
+            if len(p) > 9 and len(start):
+                rest = np.frombuffer(p[9:], np.uint8)
+                start = start[(self.buf[start[:, None] + 9 + np.arange(len(rest))] == rest).all(axis=1)]
             key.append(start << (_LEN + _ID) | (len(p) << _ID | ids[i]))
         key = np.concatenate(key)
         key.sort()
@@ -144,14 +142,13 @@ class Encoder:
         cut = [CHUNK.findall(" " + t.replace(SPACE, " ")) if t else [] for t in batch]
         flat = [c for cs in cut for c in cs]
         new, size = [], 0
-        for c in dict.fromkeys(flat):
-            if c not in self.known:
-                self.known[c] = len(self.known)
-                new.append(c.replace(" ", SPACE).encode())
-                size += len(new[-1])
-                if size > INDEX_BYTES:
-                    self._learn(new)
-                    new, size = [], 0
+        for c in set(flat).difference(self.known):
+            self.known[c] = len(self.known)
+            new.append(c.replace(" ", SPACE).encode())
+            size += len(new[-1])
+            if size > INDEX_BYTES:
+                self._learn(new)
+                new, size = [], 0
         if new:
             self._learn(new)
         self.flat, self.begin = [np.concatenate(self.flat)], [np.concatenate(self.begin)]
@@ -233,7 +230,7 @@ class Encoder:
             at = (np.cumsum(keep) - 1)[hit]
             a, b, chunk, best = a[keep], b[keep], chunk[keep], best[keep]
             if len(a):
-                near = np.unique(np.r_[at, at[at > 0] - 1])
+                near = np.r_[at, np.maximum(at, 1) - 1]
                 best[near] = score(near)
         a, b = np.concatenate([x for x, _ in done]), np.concatenate([y for _, y in done])
         order = np.argsort(a)
