@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tideline.session import checkpoint_dir
 
@@ -30,6 +30,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keep_rows(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows that meet a condition on computed columns.  A plain filter is pushed below the projections
+    that compute them, with their expressions copied into it, inside lambdas once per element."""
+    once = F.when(condition, F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
+    return df.withColumn("__kept", F.explode(once)).drop("__kept")
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str,
                 max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each piece holds about ``max_bytes`` of ``column``."""

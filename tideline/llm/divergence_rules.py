@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tideline.llm.common import materialise
+from tideline.llm.common import keep_rows, materialise
 from tideline.sources.tables import read_table
 
 TOP_WORDS = 30
@@ -177,7 +177,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", max_chars: fl
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", **limits) -> DataFrame:
     """The documents (all columns) that pass all rules."""
-    return judge(docs, text, lang, **limits).filter("kept").select("row.*")
+    return keep_rows(judge(docs, text, lang, **limits), F.col("kept")).select("row.*")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

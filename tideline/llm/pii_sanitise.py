@@ -34,7 +34,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tideline.llm.common import materialise
+from tideline.llm.common import keep_rows, materialise
 from tideline.sources.tables import read_table
 
 # The kinds in their order, and their patterns.
@@ -129,10 +129,10 @@ def disclosing_terms(private: DataFrame, corpus: DataFrame, min_support: int, ge
     pairs = (mentions.select("entity", "copies", F.explode("near").alias("term")).groupBy("entity", "term")
              .agg(F.count("*").alias("support"), F.sum("copies").alias("n_te")).filter(F.col("support") >= min_support))
     counts = corpus.select(F.explode(F.array_distinct(F.split(F.lower("t"), r"[^\p{L}]++"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    total = corpus.agg(F.count("*").alias("n"))
+    total = corpus.count()
     p = F.col("n_te") / F.greatest("n_t", "n_te")
-    return (pairs.join(with_entity, "entity").join(counts, "term").join(F.broadcast(total))
-            .withColumn("p", p).withColumn("bits", F.log2(p * F.col("n") / F.col("n_e")))
+    return (pairs.join(with_entity, "entity").join(counts, "term")
+            .withColumn("p", p).withColumn("bits", F.log2(p * F.lit(total) / F.col("n_e")))
             .filter((F.col("p") >= generalise_at) & (F.col("bits") >= min_bits))
             .select("entity", "term", F.when(F.col("p") >= remove_at, KINDS.index("removed")).otherwise(KINDS.index("term")).alias("kind"), "p", "bits"))
 
@@ -141,7 +141,7 @@ def sanitise(docs: DataFrame, text: str = "text", min_support: int = 3, generali
              min_bits: float = 4.0) -> DataFrame:
     """(row, spans, base, redacted): the input row as a struct, all spans, those by pattern, and the redacted text."""
     base = base_spans(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).withColumn("t", F.col("row")[text]), "t", "base")
-    private = find_matches(base.filter(F.size("base") > 0).withColumn("digest", F.unhex(F.md5("t"))), "t", LETTERS, "words", KINDS.index("term"))
+    private = find_matches(keep_rows(base, F.size("base") > 0).withColumn("digest", F.unhex(F.md5("t"))), "t", LETTERS, "words", KINDS.index("term"))
     words = F.filter("words", lambda w: (w["end"] - w["start"] >= MIN_LETTERS)
                      & ~F.exists("base", lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
     private = materialise(private.withColumn("words", words), "private")
@@ -163,7 +163,7 @@ def sanitise(docs: DataFrame, text: str = "text", min_support: int = 3, generali
 
     redacted = F.aggregate("spans", begin, put, lambda acc: F.concat(acc["out"], F.substr("t", acc["at"] + 1, F.length("t"))))
     none = F.array().cast(_SPAN)
-    clean = base.filter(F.size("base") == 0).select("row", none.alias("spans"), none.alias("base"), F.col("t").alias("redacted"))
+    clean = keep_rows(base, F.size("base") == 0).select("row", none.alias("spans"), none.alias("base"), F.col("t").alias("redacted"))
     return clean.union(private.select("row", F.col("spans").cast(_SPAN), F.col("base").cast(_SPAN), redacted.alias("redacted")))
 
 
