@@ -9,7 +9,7 @@ COPY = "One more sentence about the old mill at the end of the long valley where
 
 def corpus():
     rows = [(i, f"Document {i} tells of river number {i * 7} and town number {i * 13} in its own words, with tree {i * 17} and hill {i * 19}.", "en", "s", 0) for i in range(40)]
-    rows += [(100, COPY, "en", "s", 0), (101, COPY.upper(), "en", "s", 0), (102, COPY.replace("mill", "house", 1) + "Then some more words follow here.", "en", "s", 0)]
+    rows += [(100, COPY, "en", "s", 0), (101, COPY.upper(), "en", "s", 0), (102, COPY + "again", "en", "s", 0)]
     rows += [(200, rows[0][1] + " " + ITEM, "en", "s", 0), (300, "Write to jo@mail.example.com about the festival of lanterns in our town.", "en", "s", 0)]
     rows += [(400, "", "en", "s", 0), (401, None, "en", "s", 0)]
     return rows
