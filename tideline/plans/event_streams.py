@@ -18,7 +18,8 @@ from tideline.plans.event_patterns import LOGIN_FAIL_TRANSITIONS
 from tideline.plans.registry import register
 from tideline.session import checkpoint_dir
 from tideline.sources.tables import read_table
-from tideline.streaming import ops, stateful
+from tideline.sources import files
+from tideline.streaming import ops, sinks, stateful
 from tideline.streaming.replay import replay, run_to_parquet
 
 _EPOCH = "TIMESTAMP '1970-01-01'"
@@ -231,3 +232,64 @@ def stream_periodic_pv_out_of_order(spark, sf_dir):
     """O-76 with rows out of order: the same firings as in time order."""
     out = _run(spark, sf_dir, "periodic_ooo", lambda s: stateful.periodic_count_stream(s, "user_id", "ts", "10 hours", delay="2 days"), displaced=True)
     return out.select(F.col("k").alias("user_id"), "fire_ms", "cnt")
+
+
+def _through_sink(spark, sf_dir, name, sink):
+    """``events`` as a stream through ``sink(stream, out, checkpoint)``, and what it wrote."""
+    base = os.path.join(checkpoint_dir(spark), "tideline-streams", f"{name}-{uuid.uuid4().hex[:8]}")
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    q = sink(replay(ev, base, 4, "event_id"), os.path.join(base, "out"), os.path.join(base, "ck"))
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(base, "out"))
+
+
+@register("stream_rolling_files", "SELECT event_id, user_id, event_type FROM events")
+def stream_rolling_files(spark, sf_dir):
+    """O-07: files rolled at 500 records, read back."""
+    return _through_sink(spark, sf_dir, "rolling", lambda s, out, ck: sinks.rolling_file_sink(
+        s, out, ck, max_records_per_file=500, available_now=True))
+
+
+@register("stream_side_outputs", """
+SELECT event_id, CASE WHEN event_type = 'purchase' THEN 'paid' WHEN event_type = 'error' THEN 'alert' ELSE 'main' END AS route
+FROM events
+""")
+def stream_side_outputs(spark, sf_dir):
+    """O-28 on a stream: all routes in one pass."""
+    rules = [("paid", F.col("event_type") == "purchase"), ("alert", F.col("event_type") == "error")]
+    out = _through_sink(spark, sf_dir, "routes", lambda s, out, ck: sinks.side_outputs_sink(s, rules, out, ck, available_now=True))
+    return out.select("event_id", "route")
+
+
+@register("stream_two_feeds", """
+WITH l AS (SELECT event_id // 2 AS k, event_id AS id, epoch_us(ts) // 1000 AS ms FROM events WHERE event_id % 2 = 0),
+r AS (SELECT event_id // 2 AS k, event_id AS id, epoch_us(ts) // 1000 AS ms FROM events WHERE event_id % 2 = 1),
+w AS (SELECT epoch_us(max(ts)) // 1000 AS ms FROM events)
+SELECT l.k, l.id AS l_id, r.id AS r_id, 'matched' AS status FROM l JOIN r ON l.k = r.k AND abs(l.ms - r.ms) <= 300000
+UNION ALL SELECT l.k, l.id, NULL, 'right_missing' FROM l LEFT JOIN r ON l.k = r.k AND abs(l.ms - r.ms) <= 300000
+WHERE r.k IS NULL AND l.ms + 300000 <= (SELECT ms FROM w)
+UNION ALL SELECT r.k, NULL, r.id, 'left_missing' FROM r LEFT JOIN l ON l.k = r.k AND abs(l.ms - r.ms) <= 300000
+WHERE l.k IS NULL AND r.ms + 300000 <= (SELECT ms FROM w)
+""")
+def stream_two_feeds(spark, sf_dir):
+    """O-31: even and odd events as two feeds, paired within 5 minutes by shared state, timers and their deletion."""
+    def build(s):
+        s = s.withColumn("k", F.expr("event_id div 2"))
+        feeds = [s.where(F.col("event_id") % 2 == i).select("k", "ts", "event_id") for i in (0, 1)]
+        return stateful.two_feeds_stream(*feeds, "k", "ts", "event_id", "5 minutes")
+    return _run(spark, sf_dir, "two_feeds", build)
+
+
+@register("text_and_csv_read_back", """
+SELECT event_id, user_id, event_type, 'csv' AS source FROM events UNION ALL SELECT event_id, user_id, event_type, 'text' FROM events
+""")
+def text_and_csv(spark, sf_dir):
+    """O-02: the table written as CSV files and as text lines, read back by the file sources."""
+    base = os.path.join(checkpoint_dir(spark), "tideline-files", uuid.uuid4().hex[:8])
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    ev.write.csv(base + "/csv")
+    ev.select(F.concat_ws(";", *ev.columns)).write.text(base + "/text")
+    schema = "event_id bigint, user_id bigint, event_type string"
+    parts = F.split("value", ";")
+    lines = files.read_lines(spark, base + "/text").select(parts[0].cast("bigint").alias("event_id"), parts[1].cast("bigint").alias("user_id"), parts[2].alias("event_type"))
+    return files.read_csv(spark, base + "/csv", schema).withColumn("source", F.lit("csv")).unionByName(lines.withColumn("source", F.lit("text")))

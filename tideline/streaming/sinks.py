@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.time import duration_us, epoch_us, ntz_from_us
+from tideline.operators.route import add_route
 from tideline.operators.ordering import global_index, prefix_max_before
 
 
@@ -34,6 +35,14 @@ def rolling_file_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "par
     return w.start()
 
 
+def side_outputs_sink(df: DataFrame, rules: list, path: str, checkpoint: str, default: str = "main",
+                      available_now: bool = False):
+    """O-28: every route of a stream in one pass, a folder ``route=<name>`` each
+    (first matching rule wins); a reader of one folder sees one output only."""
+    routed = add_route(df, rules, default)
+    return rolling_file_sink(routed, path, checkpoint, partition_by=["route"], available_now=available_now)
+
+
 def buffered_batches_sink(df: DataFrame, order: str, n: int, out_path: str, state_path: str,
                           checkpoint: str, available_now: bool = True):
     """O-08 on a stream: rows are released in groups of exactly ``n`` in

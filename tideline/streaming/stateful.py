@@ -533,3 +533,57 @@ def keep_last_stream(df: DataFrame, key: str, ts: str, value: str, tiebreak: str
     return _tws(d, KeepLastWindow(duration_us(size) // 1000, n),
                                               f"k {kt}, window_start_ms long, cnt long, total double",
                                               "EventTime")
+
+
+class TwoFeeds(StatefulProcessor):
+    """O-31: two connected feeds that share a key's state and timers.  The first
+    row of a pair waits ``wait`` ms of event time for the other feed's row; the
+    pair is matched if they lie no further apart, and its timers are deleted,
+    else each is reported alone when its timer fires.  A key has one waiting
+    row per feed; a later one takes its place."""
+
+    def __init__(self, wait_ms: int):
+        self.wait = wait_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sides = {s: handle.getValueState(s, "ms long, id long") for s in ("left", "right")}
+
+    def _row(self, key, left, right, status) -> Row:
+        return Row(k=key[0], l_id=left, r_id=right, status=status)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        out = []
+        for r in sorted(rows, key=lambda r: (r.ms, r.tb)):
+            mine, other = self.sides[r.side], self.sides["right" if r.side == "left" else "left"]
+            there = other.get() if other.exists() else None
+            if there is not None and abs(there[0] - r.ms) <= self.wait:
+                pair = (r.tb, there[1]) if r.side == "left" else (there[1], r.tb)
+                out.append(self._row(key, *pair, "matched"))
+                self.handle.deleteTimer(there[0] + self.wait)
+                other.clear()
+            else:
+                mine.update((_ms(r.ms), r.tb))
+                self.handle.registerTimer(_ms(r.ms) + self.wait)
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now, out = expiredTimerInfo.getExpiryTimeInMs(), []
+        for side, state in self.sides.items():
+            if state.exists() and state.get()[0] + self.wait <= now:
+                i = state.get()[1]
+                out.append(self._row(key, i, None, "right_missing") if side == "left" else self._row(key, None, i, "left_missing"))
+                state.clear()
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+def two_feeds_stream(left: DataFrame, right: DataFrame, key: str, ts: str, id_col: str, wait: str,
+                     delay: str = "0 seconds") -> DataFrame:
+    """O-31: k, l_id, r_id, status of two feeds with the same column names."""
+    both = left.withColumn("side", F.lit("left")).unionByName(right.withColumn("side", F.lit("right")))
+    d = _prep(both, key, ts, delay, [F.col(id_col).cast("long").alias("tb"), "side"])
+    return _tws(d, TwoFeeds(duration_us(wait) // 1000),
+                f"k {left.schema[key].dataType.simpleString()}, l_id long, r_id long, status string", "EventTime")
