@@ -293,3 +293,65 @@ def text_and_csv(spark, sf_dir):
     parts = F.split("value", ";")
     lines = files.read_lines(spark, base + "/text").select(parts[0].cast("bigint").alias("event_id"), parts[1].cast("bigint").alias("user_id"), parts[2].alias("event_type"))
     return files.read_csv(spark, base + "/csv", schema).withColumn("source", F.lit("csv")).unionByName(lines.withColumn("source", F.lit("text")))
+
+
+_CLOSED = "(SELECT max(ts) FROM events) - INTERVAL '1 hour'"
+
+
+@register("stream_distinct_users", f"""
+SELECT w AS window_start, w + INTERVAL '1 day' AS window_end, count(*) AS pv, count(DISTINCT user_id) AS uv,
+       round(count(*) / count(DISTINCT user_id), 6) AS pv_per_uv
+FROM (SELECT time_bucket(INTERVAL '1 day', ts, {_EPOCH}) AS w, user_id FROM events)
+WHERE w + INTERVAL '1 day' <= {_CLOSED} GROUP BY w
+""")
+def stream_distinct_users(spark, sf_dir):
+    """O-41 / O-42 on a stream: chained aggregations."""
+    return _run(spark, sf_dir, "distinct", lambda s: ops.distinct_count(s, "user_id", "ts", "1 day", delay="1 hour"))
+
+
+@register("stream_sessions", f"""
+WITH o AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
+s AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts > prev + INTERVAL '12 hours' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM o)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '12 hours' AS session_end, count(*) AS cnt
+FROM s GROUP BY user_id, sid HAVING max(ts) + INTERVAL '12 hours' <= {_CLOSED}
+""")
+def stream_sessions(spark, sf_dir):
+    """O-44 on a stream: sessions that the watermark has closed."""
+    return _run(spark, sf_dir, "sessions", lambda s: ops.session_count(s, "user_id", "ts", "12 hours", delay="1 hour"))
+
+
+@register("stream_top2_event_types", f"""
+WITH c AS (SELECT event_type, time_bucket(INTERVAL '6 hours', ts, {_EPOCH}) AS w, count(*) AS cnt FROM events GROUP BY ALL)
+SELECT w AS window_start, w + INTERVAL '6 hours' AS window_end, event_type, cnt, rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY w ORDER BY cnt DESC, event_type) AS rn FROM c)
+WHERE rn <= 2 AND w + INTERVAL '6 hours' <= {_CLOSED}
+""")
+def stream_top2(spark, sf_dir):
+    """O-70 on a stream: counts, then the two largest of each window."""
+    return _run(spark, sf_dir, "top2", lambda s: ops.windowed_top_n(s, "event_type", "ts", "6 hours", None, 2, delay="1 hour"))
+
+
+@register("stream_window_join", f"""
+WITH e AS (SELECT *, time_bucket(INTERVAL '6 hours', ts, {_EPOCH}) AS w FROM events)
+SELECT p.user_id AS user_id, p.event_id AS l_event_id, c.event_id AS r_event_id, p.w AS window_start
+FROM e p JOIN e c ON p.user_id = c.user_id AND p.w = c.w WHERE p.event_type = 'purchase' AND c.event_type = 'click'
+""")
+def stream_window_join(spark, sf_dir):
+    """O-65 on a stream: purchases and clicks of a user in the same 6 h."""
+    def build(s):
+        sides = [s.where(F.col("event_type") == t).select("event_id", "user_id", "ts") for t in ("purchase", "click")]
+        j = ops.window_join(*sides, "user_id", "ts", "ts", "6 hours", delay="10 hours")
+        return j.select(F.col("l_user_id").alias("user_id"), "l_event_id", "r_event_id", "window_start")
+    return _run(spark, sf_dir, "window_join", build)
+
+
+@register("stream_rule_matches", """
+SELECT user_id, event_id, prev_action, action FROM (
+  SELECT user_id, event_id, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS prev_action, event_type AS action FROM events)
+WHERE (prev_action, action) IN (('view', 'purchase'), ('error', 'error'))
+""")
+def stream_rule_matches(spark, sf_dir):
+    """O-68 on a stream: previous action from state against a table of rules."""
+    rules = spark.createDataFrame([("view", "purchase"), ("error", "error")], "action1 string, action2 string")
+    out = _run(spark, sf_dir, "rules", lambda s: stateful.rule_matches_stream(s, "user_id", "ts", "event_type", "event_id", rules))
+    return out.select(F.col("k").alias("user_id"), F.col("tb").alias("event_id"), "prev_action", "action")

@@ -46,10 +46,13 @@ def window_count(df: DataFrame, key, ts: str, size: str, slide: str | None = Non
 
 def distinct_count(df: DataFrame, user: str, ts: str, size: str, slide: str | None = None,
                    delay: str = "0 seconds") -> DataFrame:
-    """O-41/O-42 on a stream: exact distinct count as ``size(collect_set)``
-    (``count(distinct)`` is rejected on streams)."""
-    out = window_count(df, None, ts, size, slide, delay, aggs=[F.count(F.lit(1)).alias("pv"),
-                                                               F.size(F.collect_set(user)).cast("bigint").alias("uv")])
+    """O-41/O-42 on a stream: exact distinct count in two chained aggregations,
+    (window, user) then window, so a window's users are rows of the state store,
+    not a set in one row (``count(distinct)`` is rejected on streams)."""
+    d = with_event_time(df, ts, delay)
+    w = F.window("et", _iv(size), _iv(slide or size))
+    users = d.groupBy(w.alias("window"), user).agg(F.count(F.lit(1)).alias("_n"))
+    out = _flat(users.groupBy("window").agg(F.sum("_n").cast("bigint").alias("pv"), F.count(user).alias("uv")))
     return out.withColumn("pv_per_uv", F.round(F.col("pv") / F.col("uv"), 6))
 
 
