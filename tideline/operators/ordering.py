@@ -50,8 +50,8 @@ def global_index(df: DataFrame, order: str, block_width: int = DEFAULT_BLOCK, co
     """0-based dense position of each row in ``order`` (numeric, unique);
     with ``total_col`` also the total row count (from the block table)."""
     d = df.withColumn("_blk", _block(order, block_width))
-    blocks = d.groupBy("_blk").agg(F.count(F.lit(1)).alias("_n"))
-    cnt = _with_earlier(blocks, "_n", "_base", True, total_col or "_all")
+    blocks = d.groupBy("_blk").agg(F.count(F.lit(1)).alias("_in_block"))
+    cnt = _with_earlier(blocks, "_in_block", "_base", True, total_col or "_all")
     cnt = cnt.select("_blk", *(F.col(c).cast("bigint").alias(c) for c in ["_base", *([total_col] if total_col else [])]))
     lrn = F.row_number().over(Window.partitionBy("_blk").orderBy(order)) - 1
     return (join_null_safe(d.withColumn("_l", lrn), cnt, ["_blk"])
