@@ -128,20 +128,23 @@ def group_of(langs: list[str]) -> Column:
     return F.when(F.col("lang").isin(langs), F.col("lang")).otherwise(_ALL) if langs else F.lit(_ALL)
 
 
-def js_distance(counts: Column, reference: Column) -> Column:
-    """Distance of a histogram of counts from shares; 0 without counts."""
-    n = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
+def add_distance(df: DataFrame, out: str, counts: Column, reference: Column) -> DataFrame:
+    """``out``: distance of a histogram of counts from shares; 0 without counts.  The counts and their
+    sum are columns of their own, so that lambdas don't compute them anew for each bin."""
+    c, n = f"{out}_counts", f"{out}_total"
+    df = df.withColumn(c, counts).withColumn(n, F.aggregate(c, F.lit(0.0), lambda a, x: a + x))
 
     def part(x, m):  # x log2(x / m)
         return F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
 
-    def both(c, p):
-        q = c / F.greatest(n, F.lit(1.0))
+    def both(k, p):
+        q = k / F.greatest(F.col(n), F.lit(1.0))
         m = (p + q) / 2
         return (part(p, m) + part(q, m)) / 2
 
-    total = F.aggregate(F.zip_with(counts, reference, both), F.lit(0.0), lambda a, x: a + x)
-    return F.when(n > 0, F.sqrt(F.greatest(F.least(total, F.lit(1.0)), F.lit(0.0)))).otherwise(0.0)
+    total = F.aggregate(F.zip_with(c, reference, both), F.lit(0.0), lambda a, x: a + x)
+    distance = F.when(F.col(n) > 0, F.sqrt(F.greatest(F.least(total, F.lit(1.0)), F.lit(0.0)))).otherwise(0.0)
+    return df.withColumn(out, distance).drop(c, n)
 
 
 def _literal(values: list, kind: str) -> Column:
@@ -167,8 +170,8 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", max_chars: fl
     df = df.withColumn("found", F.transform("tops", lambda w: ((F.octet_length("hits") - F.octet_length(F.replace("hits", F.concat(F.lit(" "), w, F.lit(" ")))))
                                                                / (F.octet_length(w) + 2)).cast("double")))
     others = F.col("n_words").cast("double") - F.aggregate("found", F.lit(0.0), lambda a, x: a + x)
-    df = df.withColumn("char_distance", js_distance(F.col("classes"), by_language(lambda r: r[0], "double")))
-    df = df.withColumn("word_distance", js_distance(F.concat("found", F.array(others)), by_language(lambda r: r[2], "double")))
+    df = add_distance(df, "char_distance", F.col("classes"), by_language(lambda r: r[0], "double"))
+    df = add_distance(df, "word_distance", F.concat("found", F.array(others)), by_language(lambda r: r[2], "double"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     far = ((F.length("t") >= MIN_CHARS) & (F.col("char_distance") > max_chars)) | ((F.col("n_words") >= MIN_WORDS) & (F.col("word_distance") > max_words))
     return df.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
