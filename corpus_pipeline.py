@@ -16,8 +16,10 @@ from tideline.sources.tables import read_table
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; ``lang`` becomes the language found."""
-    found = language_id.identify(docs, "text", "lang", "source").filter("kept")
-    return found.select(*(found["language"].alias("lang") if c == "lang" else found[c] for c in docs.columns))
+    # under neutral names, so that no column of the documents is taken for one of the operator's
+    place = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    found = language_id.identify(docs.toDF(*place.values()), place["text"], place["lang"], place["source"]).filter("kept")
+    return found.select(*(found["language" if c == "lang" else at].alias(c) for c, at in place.items()))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

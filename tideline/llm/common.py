@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -13,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tideline.session import checkpoint_dir
 
 #: Text bytes handled at once inside a task; longer single texts form a slice of their own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -37,9 +40,32 @@ def keep_rows(df: DataFrame, condition: Column) -> DataFrame:
     return df.withColumn("__kept", F.explode(once)).drop("__kept")
 
 
+#: Rows of an Arrow batch where a row has a whole text.
+TEXT_ROWS = 1_000
+
+
+def narrow_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size to ``TEXT_ROWS``: 10,000 rows with whole texts take tens of
+    MB on both sides of every Python worker, which small executors don't have.  Changes no result."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key) or 0)
+    if now <= 0 or now > TEXT_ROWS:
+        spark.conf.set(key, str(TEXT_ROWS))
+
+
+def give_back_memory() -> None:
+    """Return freed memory to the system.  Python workers live on between tasks and share their
+    executor's memory, and neither Arrow nor the C allocator does this by itself."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not this C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str,
                 max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each piece holds about ``max_bytes`` of ``column``."""
+    give_back_memory()
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -49,6 +75,8 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str,
         cuts = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]]).tolist() + [n]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
+    batch = None
+    give_back_memory()
 
 
 def texts(batch: pa.RecordBatch, column: str) -> list[str]:

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tideline.llm.common import text_slices, texts
+from tideline.llm.common import narrow_batches, text_slices, texts
 from tideline.sources.tables import read_table
 
 WORD = re.compile(r"\w+")
@@ -49,7 +49,7 @@ BLOCK = 8
 SHINGLE = 5
 MIN_ITEM_WORDS = 8
 SHARD_BYTES = 16 << 20
-MAX_CACHED_TOKENS = 400_000
+MAX_CACHED_TOKENS = 120_000
 
 
 def words(text: str) -> list[str]:
@@ -278,6 +278,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     """One row per document and test item that it contains:
     (doc_id, item_id, passage_start, score, question_overlap, answer_overlap)."""
     spark = docs.sparkSession
+    narrow_batches(spark)
     schema = T.StructType([T.StructField(doc_id, docs.schema[doc_id].dataType), T.StructField(item_id, items.schema[item_id].dataType),
                            T.StructField("passage_start", T.LongType()), T.StructField("score", T.DoubleType()),
                            T.StructField("question_overlap", T.DoubleType()), T.StructField("answer_overlap", T.DoubleType())])
@@ -306,6 +307,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
                   threshold: float = 0.5, overlap: float = 0.8) -> DataFrame:
     """The documents (all columns, any) that contain no test item."""
     spark = docs.sparkSession
+    narrow_batches(spark)
     for index in _index_shards(items, item_id, item_text, question, answer):
         shared = spark.sparkContext.broadcast(index)
 

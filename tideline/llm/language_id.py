@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tideline.llm.common import materialise, text_slices, texts
+from tideline.llm.common import materialise, narrow_batches, text_slices, texts
 from tideline.sources.tables import read_table
 
 BINS = 1 << 15
@@ -114,6 +114,7 @@ def identify(docs: DataFrame, text: str = "text", declared: str = "lang", host:
              train_rows: int = TRAIN_ROWS) -> DataFrame:
     """The ``carry`` columns (default: all) and language, confidence, text_language, kept."""
     spark = docs.sparkSession
+    narrow_batches(spark)
     carry = [c for c in (docs.columns if carry is None else carry) if c not in ("language", "confidence", "text_language", "kept")]
     langs, table = fit_text_model(docs, text, declared, train_rows)
     if not langs:

@@ -42,7 +42,7 @@ CONTAINMENT = 0.8
 BANDS = 128
 MIN_BLOCK = 4
 MAX_TEMPLATE_BYTES = 16 << 20
-MAX_CACHED_WORDS = 400_000
+MAX_CACHED_WORDS = 120_000
 
 # Notices of common licences.
 TEMPLATES = [

@@ -53,7 +53,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tideline.llm.common import materialise, mix64, raw_texts, text_slices
+from tideline.llm.common import materialise, mix64, narrow_batches, raw_texts, text_slices
 from tideline.sources.tables import read_table
 
 THRESHOLD = 85
@@ -62,8 +62,8 @@ GROWTH = 1.5
 BITS = 16
 HOT = 50
 BLOCK = 512
-MAX_CACHED_WORDS = 400_000
-MAX_CACHED_SETS = 500_000
+MAX_CACHED_WORDS = 120_000
+MAX_CACHED_SETS = 100_000
 
 
 class WordHashes(dict):
@@ -203,32 +203,27 @@ def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str, t
             for raw in raw_texts(batch, "t"):
                 s = shingle_set(raw, hashes)
                 if len(s) and (digest := xxhash.xxh128_digest(s.tobytes())) not in seen:
-                    out[digest] = s.tobytes()
+                    out[digest] = s.view(np.int64)
             seen.update(out)
-            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.binary())], names=["digest", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), _arrays(list(out.values()))], names=["digest", "s"])
 
     found = (docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
              .join(wanted.select("rep").distinct(), F.col("id").eqNullSafe(F.col("rep")), "left_semi").select("t")
-             .mapInArrow(task, "digest binary, s binary"))
+             .mapInArrow(task, "digest binary, s array<long>"))
     sets = materialise(found.join(wanted.select("node", "digest"), "digest").select("node", "s").dropDuplicates(["node"]), "sets")
-
-    def linked(batches):
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                ok.append(100 * both >= threshold * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
+    # pairs of sets stay in the JVM: Arrow batches of rows this wide would take much memory
+    both = F.size(F.array_intersect("x", "y"))
     return (pairs.select("a", "b").distinct().join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
-            .join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").mapInArrow(linked, "a long, b long"))
+            .join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a")
+            .select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("n"))
+            .filter(100 * F.col("both") >= threshold * (F.col("n") - F.col("both"))).select("a", "b"))
 
 
 def _solve(docs: DataFrame, doc_id: str, text: str, threshold: int) -> DataFrame:
     """(id, h, n, component, component_id, class_id): a row per document; h: hash of the text,
     component: the component's smallest node, null without words."""
     bands = Bands(threshold)
+    narrow_batches(docs.sparkSession)
     listings = materialise(document_listings(docs, doc_id, text, threshold).withColumn("row", F.monotonically_increasing_id()), "listings")
     classes = materialise(listings.filter("slot = 0 AND digest IS NOT NULL").groupBy("digest")
                           .agg(F.min("row").alias("node"), F.min("id").alias("rep")), "classes")
@@ -354,7 +349,7 @@ def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                        .filter("NOT stays OR copies > 1"), "left-out")
 
     def same(x: DataFrame):
-        return F.col(f"`{doc_id}`").eqNullSafe(x["id"]) & (F.xxhash64(f"`{text}`") == x["h"])
+        return docs[doc_id].eqNullSafe(x["id"]) & (F.xxhash64(docs[text]) == x["h"])
 
     twice = rows.filter("stays")
     out = docs.join(rows, same(rows), "left_anti")

@@ -38,13 +38,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tideline.llm.common import text_slices, texts
+from tideline.llm.common import narrow_batches, text_slices, texts
 from tideline.sources.tables import read_table
 
 SPACE = "▁"
 CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
-MAX_CHUNKS = 300_000
-INDEX_BYTES = 1 << 20
+MAX_CHUNKS = 120_000
+INDEX_BYTES = 1 << 19
+ENCODE_BYTES = 2 << 20  # texts encoded at once: the more, the fewer lookups of all pieces
 LONG_CHUNK = 400
 _LEN, _ID = 6, 20  # bits of an edge's length and piece in its sort key
 
@@ -307,6 +308,7 @@ def encode_documents(docs: DataFrame, model_path: str, text: str = "text", carry
                      check: bool = False) -> DataFrame:
     """The ``carry`` columns (default: all), ids and n_ids; with ``check`` also round_trip:
     whether decoding the ids gives the text back (U+2581 read as a space)."""
+    narrow_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model_path))
     added = ["ids", "n_ids", *["round_trip"] * check]
     carry = [c for c in (docs.columns if carry is None else carry) if c not in added]
@@ -317,7 +319,7 @@ def encode_documents(docs: DataFrame, model_path: str, text: str = "text", carry
 
     def task(batches):
         encoder = Encoder(shared.value)
-        for batch in text_slices(batches, "__text"):
+        for batch in text_slices(batches, "__text", ENCODE_BYTES):
             raw = texts(batch, "__text")
             ids, n = encoder.encode(raw)
             ends = np.r_[0, np.cumsum(n)]
