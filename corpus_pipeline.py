@@ -23,8 +23,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return parity_join.keep_one_of_each(docs)
+    """One document of each group of near copies: Jaccard similarity of five-word shingles of 0.8 or more."""
+    return parity_join.keep_one_of_each(docs, threshold=80, k=5)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,6 +64,24 @@ def test_same_as_brute_force(spark, monkeypatch, seed, hot, passage):
     assert solve(spark, rows) == brute(rows)
 
 
+def test_five_words_as_brute_force(spark):
+    ws = [f"x{i}" for i in range(234)]  # five words: 205 of 255; four words: 211 of 251, under 0.85
+    rows = [*corpus(4), (2000, " ".join(ws)), (2001, " ".join("other" if i in (30, 70, 110, 150, 190) else w for i, w in enumerate(ws)))]
+    sets = sets_of(rows, 5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in P.jaccard_components(docs, threshold=80, k=5).collect()}
+    low = {d: d for d, _ in rows}
+    for _ in rows:  # smallest id over links, until nothing changes
+        before = dict(low)
+        for i, (a, _) in enumerate(rows):
+            for j, (b, _) in enumerate(rows[:i]):
+                if (both := len(sets[i] & sets[j])) and 100 * both >= 80 * len(sets[i] | sets[j]):
+                    low[a] = low[b] = min(low[a], low[b])
+        if low == before:
+            break
+    assert got == low and got != {r.doc_id: r.component_id for r in P.jaccard_components(docs).collect()}
+
+
 def test_bounds_hold():
     bands, rng = P.Bands(), np.random.default_rng(1)
     for _ in range(300):

@@ -1,9 +1,10 @@
 """N-gram Jaccard self-join by parity sketches.
 
-A document is the set of its distinct four-word shingles (64-bit hashes; fewer
+A document is the set of its distinct shingles of k words (64-bit hashes; fewer
 words: the whole sequence is one shingle; no words: the empty set, linked with
-nothing).  Two documents link when 100 * |A n B| >= THRESHOLD * |A u B|, and the
-result is each document's connected component.
+nothing).  Two documents link when 100 * |A n B| >= threshold * |A u B|, and the
+result is each document's connected component.  The query op3 takes k = ``SHINGLE``
+and ``THRESHOLD`` (4, 85); the pipeline's stage takes 5 and 80.
 
 Method
 1. Documents with equal sets form one class; from here on a class is one node.
@@ -140,7 +141,7 @@ def _arrays(flat: list[np.ndarray]) -> pa.ListArray:
                                     pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int64)))
 
 
-def document_listings(docs: DataFrame, doc_id: str, text: str, threshold: int) -> DataFrame:
+def document_listings(docs: DataFrame, doc_id: str, text: str, threshold: int, k: int = SHINGLE) -> DataFrame:
     """A row per document (slot 0) and further listing (slot 1): sizes, digest of the set, sketch."""
 
     def task(batches):
@@ -148,7 +149,7 @@ def document_listings(docs: DataFrame, doc_id: str, text: str, threshold: int) -
         for batch in text_slices(batches, "t"):
             rows = []
             for i, raw in enumerate(raw_texts(batch, "t")):
-                s = shingle_set(raw, hashes)
+                s = shingle_set(raw, hashes, k)
                 digest = xxhash.xxh128_digest(s.tobytes()) if len(s) else None
                 lists = [] if digest is None or digest in seen else bands.listings(len(s))
                 if len(seen) < MAX_CACHED_SETS:
@@ -191,7 +192,7 @@ def components(edges: DataFrame) -> DataFrame:
     return materialise(star.union(star.select(F.col("component").alias("node"), "component").distinct()), "components")
 
 
-def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str, text: str, threshold: int) -> DataFrame:
+def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str, text: str, threshold: int, k: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets link."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(classes, "node").select("node", "rep", "digest")
     wanted = materialise(wanted, "wanted")
@@ -201,7 +202,7 @@ def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str, t
         for batch in text_slices(batches, "t"):
             out = {}
             for raw in raw_texts(batch, "t"):
-                s = shingle_set(raw, hashes)
+                s = shingle_set(raw, hashes, k)
                 if len(s) and (digest := xxhash.xxh128_digest(s.tobytes())) not in seen:
                     out[digest] = s.view(np.int64)
             seen.update(out)
@@ -219,12 +220,12 @@ def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str, t
             .filter(100 * F.col("both") >= threshold * (F.col("n") - F.col("both"))).select("a", "b"))
 
 
-def _solve(docs: DataFrame, doc_id: str, text: str, threshold: int) -> DataFrame:
+def _solve(docs: DataFrame, doc_id: str, text: str, threshold: int, k: int) -> DataFrame:
     """(id, h, n, component, component_id, class_id): a row per document; h: hash of the text,
     component: the component's smallest node, null without words."""
     bands = Bands(threshold)
     narrow_batches(docs.sparkSession)
-    listings = materialise(document_listings(docs, doc_id, text, threshold).withColumn("row", F.monotonically_increasing_id()), "listings")
+    listings = materialise(document_listings(docs, doc_id, text, threshold, k).withColumn("row", F.monotonically_increasing_id()), "listings")
     classes = materialise(listings.filter("slot = 0 AND digest IS NOT NULL").groupBy("digest")
                           .agg(F.min("row").alias("node"), F.min("id").alias("rep")), "classes")
     # every listing with its node; m cells have shingles
@@ -272,9 +273,9 @@ def _solve(docs: DataFrame, doc_id: str, text: str, threshold: int) -> DataFrame
     pairs = (pairs.union(star).distinct().join(of("b", "y"), ["b", "band"]).join(of("a", "x"), ["a", "band"])
              .filter("100 * least(n_a, n_b) >= {} * greatest(n_a, n_b)".format(threshold))
              .select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), "x", "y").mapInArrow(near, "a long, b long"))
-    links = materialise(_exact(materialise(pairs.distinct(), "pairs"), docs, classes, doc_id, text, threshold), "links")
+    links = materialise(_exact(materialise(pairs.distinct(), "pairs"), docs, classes, doc_id, text, threshold, k), "links")
 
-    links = _hot_rest(listings, hot, star, one_row, links, bands, lambda p: _exact(p, docs, classes, doc_id, text, threshold))
+    links = _hot_rest(listings, hot, star, one_row, links, bands, lambda p: _exact(p, docs, classes, doc_id, text, threshold, k))
     labels = components(links)
     named = labels.join(classes, "node").groupBy("component").agg(F.min("rep").alias("component_id"))
     of_class = (classes.join(labels, "node", "left").join(named, "component", "left")
@@ -284,9 +285,9 @@ def _solve(docs: DataFrame, doc_id: str, text: str, threshold: int) -> DataFrame
             .select("id", "h", "n", "component", *(F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col(c)).alias(c) for c in ("component_id", "class_id"))))
 
 
-def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, k: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id): a row per document."""
-    return _solve(docs, doc_id, text, threshold).select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), "component_id", "class_id")
+    return _solve(docs, doc_id, text, threshold, k).select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), "component_id", "class_id")
 
 
 def _hot_rest(listings, hot, star, one_row, links, bands, exact) -> DataFrame:
@@ -335,13 +336,13 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents")).drop("class_id")
 
 
-def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, k: int = SHINGLE) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id (nulls last), then of the
     smallest hash of the text.  Documents without a word link with nothing, so they stay.
 
     Only the rows to leave out are joined with the documents; they are the smaller part, and
     are broadcast by the planner only while their written size is small."""
-    found = _solve(docs, doc_id, text, threshold).filter(F.col("component").isNotNull())
+    found = _solve(docs, doc_id, text, threshold, k).filter(F.col("component").isNotNull())
     rows = found.groupBy("component", "id", "h").agg(F.count("*").alias("copies"))
     first = F.struct(F.col("id").isNull().alias("x"), "id", "h")
     rows = materialise(rows.join(rows.groupBy("component").agg(F.min(first).alias("f")), "component")
