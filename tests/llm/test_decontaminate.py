@@ -94,3 +94,15 @@ def test_edges(spark, which):
     assert kept.columns == docs.columns and kept.count() == docs.count() - len(hits)
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.decontaminate(docs, none).count() == docs.count() and D.find_leaks(docs, none).count() == 0
+
+
+def test_whole_item_where_the_split_is_a_guess(spark):
+    item = "The tall keeper of the old light counted every ship that passed the long grey wall by night and by day in the year of the great storm. N with tilde."
+    changed, cut = item.replace("tilde", "hat"), item.removesuffix(" N with tilde.")
+    rows = [(0, "It says: " + changed), (1, "It says: " + cut + " Nothing else is said."), (2, "N with tilde."), (3, " ".join(item.split()[:12]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert sorted(r.doc_id for r in D.find_leaks(docs, items).collect()) == [0, 1]
+    assert sorted(r.doc_id for r in D.decontaminate(docs, items).collect()) == [2, 3]
+    parts = spark.createDataFrame([(7, *D.split_item(item))], "item_id long, question string, answer string")
+    assert D.find_leaks(docs, parts, question="question", answer="answer").count() == 0  # real parts are both wanted

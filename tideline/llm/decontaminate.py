@@ -12,8 +12,10 @@ or above the threshold is lost.  A retrieved item is then verified: at least
 ``overlap`` of the distinct five-word shingles of its question *and* of its
 answer must occur in the document (a part of fewer words counts as one shingle).
 
-Words are ``\\w+`` of the lower-cased text.  The answer is the item's last
-sentence unless the items bring ``question`` / ``answer`` columns.  Items of
+Words are ``\\w+`` of the lower-cased text.  Where the items bring no ``question`` /
+``answer`` columns, the last sentence is taken for the answer.  That is a guess, so
+such an item is also found by ``overlap`` of the shingles of its whole text, whatever
+the overlaps of the two parts are.  Items of
 fewer than ``MIN_ITEM_WORDS`` words are not looked for: ordinary prose contains
 them by chance.
 
@@ -71,8 +73,8 @@ def split_item(text: str) -> tuple[str, str]:
 class SegmentIndex:
     """BM25 postings of item segments, scores divided by the segment's own score."""
 
-    def __init__(self, items: list[tuple], k1: float = 1.2, b: float = 0.75):
-        """items: (item_id, question, answer)."""
+    def __init__(self, items: list[tuple], k1: float = 1.2, b: float = 0.75, guessed: bool = False):
+        """items: (item_id, question, answer); guessed: the parts are a guess, the whole text counts too."""
         self.items, segments = [], []
         for item_id, question, answer in items:
             q, a = words(question or ""), words(answer or "")
@@ -82,7 +84,8 @@ class SegmentIndex:
             n = math.ceil(len(ws) / STRIDE)
             cuts = [len(ws) * i // n for i in range(n + 1)]
             segments += [(len(self.items), ws[x:y]) for x, y in zip(cuts, cuts[1:])]
-            self.items.append((item_id, shingles(q), shingles(a)))
+            whole = {g: g for g in shingles(ws)} if guessed else {}  # the parts share its tuples in the broadcast
+            self.items.append((item_id, *({whole.get(g, g) for g in shingles(x)} for x in (q, a)), set(whole)))
         self.item_of = [i for i, _ in segments]
         self.vocab: dict[str, int] = {}
         n, mean = len(segments), max(1.0, sum(len(ws) for _, ws in segments) / max(1, len(segments)))
@@ -240,7 +243,7 @@ class LeakFinder:
                 ws, last = words(batch[row]), row
                 grams = shingles(ws)
                 short: dict[int, set] = {}
-            item_id, q, a = self.index.items[item]
+            item_id, q, a, whole = self.index.items[item]
 
             def part(g):
                 if not g:
@@ -251,7 +254,7 @@ class LeakFinder:
                 return len(g & (grams if k == SHINGLE else short[k])) / len(g)
 
             pq, pa_ = part(q), part(a)
-            if all(x is None or x >= self.overlap for x in (pq, pa_)):
+            if all(x is None or x >= self.overlap for x in (pq, pa_)) or whole and part(whole) >= self.overlap:
                 out.append((row, item_id, -at, score, pq if pq is not None else 0.0, pa_))
         return out
 
@@ -269,7 +272,7 @@ def _index_shards(items: DataFrame, item_id: str, text: str, question: str | Non
     for i in range(n):
         rows = d.filter(F.pmod(F.xxhash64("id", "q", "a"), F.lit(n)) == i).collect() if n > 1 else d.collect()
         rows.sort(key=lambda r: (r[0] is None, str(r[0]), r[1] or ""))
-        yield SegmentIndex([(r[0], *(split_item(r[1] or "") if not question else (r[1], r[2]))) for r in rows])
+        yield SegmentIndex([(r[0], *(split_item(r[1] or "") if not question else (r[1], r[2]))) for r in rows], guessed=not question)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
