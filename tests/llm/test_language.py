@@ -53,3 +53,28 @@ def test_edges(spark):
     assert L.identify(edge.empty(spark), host="source").count() == 0
     nothing = edge.documents(spark, [(1, "text", None, None, 4)])
     assert [(r.language, r.kept) for r in L.identify(nothing).collect()] == [(None, False)]
+
+
+def test_rare_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(L, "LANGUAGE_ROWS", 10, raising=False)
+    rare = {"eu": "etxea eta ibaia zuhaitz askorekin gure haurrek gaur jolasten duten lekuan".split(),
+            "fi": "talo ja joki jossa lapsemme leikkivät tänään monien puiden keskellä".split()}
+    rng, rows = random.Random(3), []
+    for lang, n in [("en", 900), ("de", 700), ("fr", 500), ("eu", 6), ("fi", 6)]:
+        words = (WORDS | rare)[lang]
+        rows += [(len(rows) + i, " ".join(rng.choice(words) for _ in range(20)), lang, "s", 0) for i in range(n)]
+    docs = edge.documents(spark, rows, clashes=False)
+    langs, table = L.fit_text_model(docs, "text", "lang", train_rows=60)
+    assert langs == ["de", "en", "eu", "fi", "fr"] and (table.max(axis=0) > table.min(axis=0)).all()  # no column is uniform
+    out = L.identify(docs, train_rows=60).collect()
+    assert all(r.kept and r.language == r.text_language == r.lang for r in out if r.lang in rare)
+    assert sum(r.language == r.lang for r in out) >= 0.99 * len(out)
+
+
+def test_rows_of_each_language(spark):
+    assert L.rows_of_each([100_000, 30, 90_000, 8_000], 20_000) == (20_000 - 30 - 6_656) // 2
+    assert L.rows_of_each([3_000, 9_000], 20_000) == 9_000 and L.rows_of_each([10 ** 7] * 200, 20_000) == L.LANGUAGE_ROWS
+    # repeated texts: rows are drawn, not texts
+    docs = spark.createDataFrame([("one text" if i % 2 else "ein satz", "en" if i % 2 else "de") for i in range(8_000)], "text string, lang string").repartition(3)
+    _, table = L.fit_text_model(docs, "text", "lang", train_rows=4_000)
+    assert (table.max(axis=0) - table.min(axis=0) > 7).all()  # about 2,000 rows of each

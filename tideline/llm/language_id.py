@@ -5,9 +5,12 @@ For every document, over the languages that the corpus declares,
     log P(l | all) = log prior(l | host) + log P(declared | l) + w * log P(text | l) + const
 
 * text: multinomial naive Bayes over hashed byte trigrams of the lower-cased
-  text, other ASCII than letters read as spaces.  It is fitted on about
-  ``TRAIN_ROWS`` rows with a declared language (chosen by a hash of the text; all
-  rows when there are fewer).  Overlapping trigrams are not independent, hence w.
+  text, other ASCII than letters read as spaces.  It is fitted on rows with a
+  declared language: all rows of a language that has no more than a bound, about
+  that many of any other (chosen by a hash of the text and the row's place).  The
+  bound is ``LANGUAGE_ROWS``, or more as far as ``TRAIN_ROWS`` rows in all allow it;
+  so the sample has at most about TRAIN_ROWS or languages * LANGUAGE_ROWS rows,
+  whichever is more.  Overlapping trigrams are not independent, hence w.
 * declared: the markup or metadata language (``<html lang>``, a column, a language
   code in the address).  How far it can be trusted, P(declared | l), is counted
   over the whole corpus.  A missing or unknown declaration is no evidence.
@@ -41,6 +44,7 @@ from tideline.sources.tables import read_table
 
 BINS = 1 << 15
 TRAIN_ROWS = 20_000
+LANGUAGE_ROWS = 1_000
 MIN_LANGUAGE_ROWS = 5
 MAX_LANGUAGES = 200
 SMOOTH = 20.0
@@ -81,6 +85,15 @@ def posterior(log_p: np.ndarray) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
+def rows_of_each(counts: list[int], train_rows: int) -> int:
+    """The bound on a language's rows: what small languages don't use of ``train_rows`` goes to the larger ones."""
+    bound, left = 0, train_rows
+    for i, n in enumerate(sorted(counts)):
+        bound = min(n, left // (len(counts) - i))
+        left -= bound
+    return max(bound, LANGUAGE_ROWS)
+
+
 def fit_text_model(docs: DataFrame, text: str, declared: str, train_rows: int = TRAIN_ROWS):
     """(language codes, BINS x languages table of log-probabilities)."""
     counts = docs.filter(F.col(declared).isNotNull()).groupBy(F.col(declared).alias("l")).count()
@@ -88,10 +101,12 @@ def fit_text_model(docs: DataFrame, text: str, declared: str, train_rows: int =
     langs = sorted(r["l"] for r in top)
     if not langs:
         return [], np.zeros((BINS, 0), np.float32)
-    part = min(1.0, train_rows / sum(r["count"] for r in top))
+    bound = rows_of_each([r["count"] for r in top], train_rows)
     rows = docs.select(F.col(text).alias("t"), F.col(declared).alias("l")).filter(F.col("l").isin(langs))
-    if part < 1:
-        rows = rows.filter(F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < int(part * 1_000_000))
+    if part := {r["l"]: int(bound / r["count"] * (1 << 62)) for r in top if r["count"] > bound}:
+        below = F.create_map(*(F.lit(x) for kv in part.items() for x in kv))
+        rows = (rows.withColumn("x", F.xxhash64("t", F.monotonically_increasing_id()))
+                .filter(F.coalesce(F.pmod("x", F.lit(1 << 62)) < F.element_at(below, F.col("l")), F.lit(True))).drop("x"))
     code = {x: i for i, x in enumerate(langs)}
 
     def count(batches):
