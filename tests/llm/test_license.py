@@ -54,3 +54,19 @@ def test_edges(spark):
     docs = edge.documents(spark, [*edge.ROWS, (20, edge.LONG + " Released under the MIT License. " + edge.LONG, "en", "s", 0), (20, "released UNDER the mit-license", "en", "s", 0)])
     assert sorted((r.doc_id, r.license) for r in S.scan_licenses(docs).collect()) == [(20, "MIT"), (20, "MIT")]
     assert S.scan_licenses(edge.empty(spark)).count() == 0 and S.scan_licenses(docs, []).count() == 0
+
+
+def test_short_notices_and_full_texts(spark):
+    full = dict(S.full_texts())
+    rows = [(1, "Some prose. All rights reserved. More prose."), (2, "all RIGHTS reserved"), (3, "all rights"), (4, "reserved words, all rights"),
+            (5, "# SPDX-License-Identifier: MIT"), (6, "// SPDX-License-Identifier: GPL-2.0-or-later"), (7, "SPDX-License-Identifier: Other"),
+            (8, "Copyright (c) 2019 Someone"), (9, "prose copyright 2021 Someone"), (10, "the copyright of a text")]
+    rows += [(100 + i, "Before it. " + t + " After it.") for i, t in enumerate(full.values())]
+    found = {}
+    for r in S.scan_licenses(edge.documents(spark, [(i, t, "en", "s", 0) for i, t in rows])).collect():
+        found.setdefault(r.doc_id, {})[r.license] = r.start_word
+    assert found[1] == {"All-rights-reserved": 2} and found[2] == {"All-rights-reserved": 0}
+    assert found[5] == {"SPDX": 0, "MIT": 0} and found[6] == {"SPDX": 0, "GPL-2.0": 0} and found[7] == {"SPDX": 0}
+    assert found[8] == {"Copyright": 0} and found[9] == {"Copyright": 1} and not {3, 4, 10} & set(found)
+    assert len(full) >= 10 and all(name in found[100 + i] for i, name in enumerate(full))
+    assert S.Scanner([("x", "all rights reserved")]).scan(["all rights", "reserved", ""]) == []  # not over two documents

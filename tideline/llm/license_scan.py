@@ -1,7 +1,7 @@
 """License scan: MinHash bands over overlapping windows, verified by shingle containment.
 
-Texts and templates are read as five-word shingles (words are ``\\w+``, lower-cased; shorter
-templates aren't looked for).  A template of s shingles is in the size class of blocks of L
+Texts and templates are read as five-word shingles (words are ``\\w+``, lower-cased).  A template
+of fewer words is one sequence of its own length, looked up exactly.  A longer template of s shingles is in the size class of blocks of L
 shingles, L the power of two (``MIN_BLOCK`` at least) that is not below s.  Windows are two
 neighbouring blocks, so every stretch of up to L shingles lies whole in a window.  A window's
 MinHash has ``BANDS`` bands of one row: it retrieves the templates of its class that share a
@@ -27,6 +27,7 @@ tables give none; other columns are ignored.
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +63,23 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 
+# SPDX identifiers; the first, any other or none; "GPL-2.0" is the start of "GPL-2.0-only" and "GPL-2.0-or-later".
+SPDX = ["", "0BSD", "AGPL-3.0", "Apache-2.0", "Artistic-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0",
+        "EPL-2.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense", "Zlib"]
+
+#: Sequences that have no licence's sentence: reserved rights, copyright lines, SPDX tags.
+NOTICES = [("All-rights-reserved", "All rights reserved."), ("Copyright", "Copyright (c)"), *(("Copyright", f"Copyright {y}") for y in range(1970, 2050)),
+           *((x or "SPDX", f"SPDX-License-Identifier: {x}") for x in SPDX)]
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """(licence, text) of the whole licences in the folder ``licenses``."""
+    return [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))]
+
+
+#: What the scan looks for.
+ALL_TEMPLATES = [*TEMPLATES, *NOTICES, *full_texts()]
+
 
 class _Words(dict):
     def __missing__(self, word: str) -> int:
@@ -71,14 +89,17 @@ class _Words(dict):
         return x
 
 
-def shingle_hashes(words: list[str], known: _Words) -> np.ndarray:
-    """The hash of every shingle, in order; none for fewer words."""
-    if len(words) < SHINGLE:
+def word_hashes(words: list[str], known: _Words) -> np.ndarray:
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+
+def shingle_hashes(a: np.ndarray, k: int = SHINGLE) -> np.ndarray:
+    """The hash of every shingle of k words (given by their hashes), in order; none for fewer words."""
+    if len(a) < k:
         return np.zeros(0, np.uint64)
-    a = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    n = len(a) - SHINGLE + 1
+    n = len(a) - k + 1
     h = a[:n]
-    for i in range(1, SHINGLE):
+    for i in range(1, k):
         h = (h ^ (h >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93) + a[i:n + i]
     return mix64(h)
 
@@ -90,17 +111,21 @@ class Scanner:
         self.odd = rng.integers(0, 1 << 31, bands, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
         self.containment, self.known, self.sets, self.names = containment, _Words(), [], []
         self.classes: dict[int, list[int]] = {}
-        for name, text in templates:
-            s = np.unique(shingle_hashes(WORD.findall(text.lower()), self.known))
-            if len(s):
+        self.short: dict[int, dict[int, list[int]]] = {}  # words: {hash: templates}
+        for t, (name, text) in enumerate(templates):
+            a = word_hashes(WORD.findall(text.lower()), self.known)
+            s = np.unique(shingle_hashes(a, min(SHINGLE, max(1, len(a)))))
+            if len(a) >= SHINGLE:
                 block = MIN_BLOCK
                 while block < len(s):
                     block *= 2
-                self.classes.setdefault(block, []).append(len(self.sets))
-                self.sets.append(s)
-                self.names.append(name)
+                self.classes.setdefault(block, []).append(t)
+            elif len(a):
+                self.short.setdefault(len(a), {}).setdefault(int(s[0]), []).append(t)
+            self.sets.append(s)
+            self.names.append(name)
         low = [self._low(s) for s in self.sets]
-        self.least = np.array([[self._hash(x, b).min() for x in low] for b in range(bands)], np.uint32).reshape(bands, len(low))
+        self.least = np.array([[self._hash(x, b).min(initial=0xFFFFFFFF) for x in low] for b in range(bands)], np.uint32).reshape(bands, len(low))
 
     @staticmethod
     def _low(x: np.ndarray) -> np.ndarray:
@@ -111,7 +136,7 @@ class Scanner:
 
     def candidates(self, stream: np.ndarray) -> list[tuple[int, int, int]]:
         """(template, first shingle, shingles) of the windows retrieved."""
-        if not len(stream) or not self.sets:
+        if not len(stream) or not self.classes:
             return []
         largest = max(self.classes)
         size = -(-len(stream) // (2 * largest)) * 2 * largest + largest
@@ -134,7 +159,8 @@ class Scanner:
 
     def scan(self, batch: list[str]) -> list[tuple[int, int, int, float]]:
         """(row, template, first word, containment), one for each row and template that it contains."""
-        streams = [shingle_hashes(WORD.findall(t.lower()), self.known) for t in batch]
+        words = [word_hashes(WORD.findall(t.lower()), self.known) for t in batch]
+        streams = [shingle_hashes(a) for a in words]
         ends = np.cumsum([len(s) for s in streams])
         stream, best = np.concatenate(streams), {}
         for t, first, n in self.candidates(stream):
@@ -147,10 +173,19 @@ class Scanner:
                 if share >= self.containment:
                     best[row, t] = min(best.get((row, t), (0.0, 0)), (-share, a - begin + int(np.argmax(inside))))
                 row += 1
+        all_words, word_ends = np.concatenate(words), np.cumsum([len(a) for a in words])
+        for k, templates in self.short.items():
+            h = shingle_hashes(all_words, k)
+            for at in np.flatnonzero(np.isin(h, np.array(list(templates), np.uint64))).tolist():
+                row = int(np.searchsorted(word_ends, at, "right"))
+                if at + k <= word_ends[row]:
+                    for t in templates[int(h[at])]:
+                        place = (-1.0, at - int(word_ends[row]) + len(words[row]))
+                        best[row, t] = min(best.get((row, t), place), place)
         return [(row, t, at, -share) for (row, t), (share, at) in sorted(best.items())]
 
 
-def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, doc_id: str = "doc_id", text: str = "text",
+def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = ALL_TEMPLATES, doc_id: str = "doc_id", text: str = "text",
                   containment: float = CONTAINMENT) -> DataFrame:
     """(doc_id, license, template, start_word, containment): a row per document and template found."""
     if sum(len(t) for _, t in templates) > MAX_TEMPLATE_BYTES:
