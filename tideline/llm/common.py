@@ -33,6 +33,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_table(df: DataFrame) -> None:
+    """Delete a table that ``materialise`` has written, once whatever reads it has been written too."""
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def keep_rows(df: DataFrame, condition: Column) -> DataFrame:
     """Rows that meet a condition on computed columns.  A plain filter is pushed below the projections
     that compute them, with their expressions copied into it, inside lambdas once per element."""

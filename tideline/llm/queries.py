@@ -1,6 +1,6 @@
 """Queries of this folder, for the driver's entry module."""
 
-from tideline.llm import (divergence_rules, language_id, license_scan, parity_join, pii_sanitise, quality_classifier,
+from tideline.llm import (divergence_rules, importance_resampling, language_id, license_scan, parity_join, pii_sanitise, quality_classifier,
                           sentencepiece_codec, url_filter, warc)
 from tideline.llm.decontaminate import op1_benchmark_decontamination
 
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_language_id": language_id.op8_language_id,
     "op9_sentencepiece": sentencepiece_codec.op9_sentencepiece,
     "op10_license_scan": license_scan.op10_license_scan,
+    "op11_importance_resampling": importance_resampling.op11_importance_resampling,
     "pages_language_id": language_id.pages_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filter": url_filter.ORACLE_SQL,
     "op3_ngram_jaccard_join": parity_join.ORACLE_SQL,
+    "op11_importance_resampling": importance_resampling.ORACLE_SQL,
 }
