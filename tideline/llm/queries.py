@@ -1,7 +1,7 @@
 """Queries of this folder, for the driver's entry module."""
 
 from tideline.llm import (divergence_rules, importance_resampling, language_id, license_scan, parity_join, pii_sanitise, quality_classifier,
-                          sentencepiece_codec, url_filter, vector_codes, warc)
+                          sentencepiece_codec, substring_dedup, url_filter, vector_codes, warc)
 from tideline.llm.decontaminate import op1_benchmark_decontamination
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_license_scan": license_scan.op10_license_scan,
     "op11_importance_resampling": importance_resampling.op11_importance_resampling,
     "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_substring_dedup": substring_dedup.op13_substring_dedup,
     "pages_language_id": language_id.pages_language_id,
 }
 
@@ -25,4 +26,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_ngram_jaccard_join": parity_join.ORACLE_SQL,
     "op11_importance_resampling": importance_resampling.ORACLE_SQL,
     "op12_vector_codes": vector_codes.ORACLE_SQL,
+    "op13_substring_dedup": substring_dedup.ORACLE_SQL,
 }
