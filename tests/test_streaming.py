@@ -7,8 +7,9 @@ from tideline.functions.time import epoch_us
 from tideline.operators import scan, windows
 from tideline.plans.event_patterns import LOGIN_FAIL_TRANSITIONS
 from tideline.sources.tables import read_table
-from tideline.streaming import ops, sinks, stateful
-from tideline.streaming.replay import read_replay, replay_to_files, run_to_memory, stream_parts
+from tideline.streaming import feeds, ops, sinks, stateful, topn
+from streams import run_to_memory, stream_parts
+from tideline.streaming.replay import read_replay, replay_to_files
 
 
 def _stream_batches(spark, batches, schema, scratch, name="in"):
@@ -39,7 +40,7 @@ def test_cumulative_stream_golden(spark, scratch):
 
 def test_top_n_stream_golden(spark, scratch):
     s = _stream_batches(spark, [F12[:4], F12[4:], [("Zed", "./x", hm(10))]], EV, scratch)
-    out = run_to_memory(ops.windowed_top_n(s, "users", "ts", "1 hour", None, 2), "append", os.path.join(scratch, "ck"))
+    out = run_to_memory(topn.windowed_top_n(s, "users", "ts", "1 hour", None, 2), "append", os.path.join(scratch, "ck"))
     want = sorted([("Alice", ntz(hm(1)), 3), ("Bob", ntz(hm(1)), 1), ("Cary", ntz(hm(2)), 2), ("Bob", ntz(hm(2)), 1)])
     assert rows_set(out, "users", "window_end", "cnt") == want
 
@@ -163,7 +164,7 @@ def test_rules_and_first_n_stream(spark, scratch):
     assert rows_set(out, "k", "prev_action", "action") == [("Alice", "login", "pay"), ("Bob", "login", "buy")]
     rows = [("u", "x", 1000 * i) for i in range(1, 8)]
     s2 = _stream_batches(spark, [rows[:3], rows[3:]], EV, scratch, "n")
-    avg = run_to_memory(stateful.first_n_average_stream(s2, "users", "ts", 5), "append", os.path.join(scratch, "ck2"))
+    avg = run_to_memory(stateful.first_n_average_stream(s2, "users", "ts", "ms", 5), "append", os.path.join(scratch, "ck2"))
     assert rows_set(avg, "k", "avg_ms") == [("u", 3000)]
 
 

@@ -19,7 +19,7 @@ from tideline.plans.registry import register
 from tideline.session import checkpoint_dir
 from tideline.sources.tables import read_table
 from tideline.sources import files
-from tideline.streaming import ops, sinks, stateful
+from tideline.streaming import feeds, ops, sinks, stateful, topn
 from tideline.streaming.replay import replay, run_to_parquet
 
 _EPOCH = "TIMESTAMP '1970-01-01'"
@@ -267,19 +267,77 @@ r AS (SELECT event_id // 2 AS k, event_id AS id, epoch_us(ts) // 1000 AS ms FROM
 w AS (SELECT epoch_us(max(ts)) // 1000 AS ms FROM events)
 SELECT l.k, l.id AS l_id, r.id AS r_id, 'matched' AS status FROM l JOIN r ON l.k = r.k AND abs(l.ms - r.ms) <= 300000
 UNION ALL SELECT l.k, l.id, NULL, 'right_missing' FROM l LEFT JOIN r ON l.k = r.k AND abs(l.ms - r.ms) <= 300000
-WHERE r.k IS NULL AND l.ms + 300000 <= (SELECT ms FROM w)
+WHERE r.k IS NULL AND l.ms + 300000 < (SELECT ms FROM w)
 UNION ALL SELECT r.k, NULL, r.id, 'left_missing' FROM r LEFT JOIN l ON l.k = r.k AND abs(l.ms - r.ms) <= 300000
-WHERE l.k IS NULL AND r.ms + 300000 <= (SELECT ms FROM w)
+WHERE l.k IS NULL AND r.ms + 300000 < (SELECT ms FROM w)
 """)
 def stream_two_feeds(spark, sf_dir):
     """O-31: even and odd events as two feeds, paired within 5 minutes by shared state, timers and their deletion."""
     def build(s):
         s = s.withColumn("k", F.expr("event_id div 2"))
-        feeds = [s.where(F.col("event_id") % 2 == i).select("k", "ts", "event_id") for i in (0, 1)]
-        return stateful.two_feeds_stream(*feeds, "k", "ts", "event_id", "5 minutes")
+        sides = [s.where(F.col("event_id") % 2 == i).select("k", "ts", "event_id") for i in (0, 1)]
+        return feeds.two_feeds_stream(*sides, "k", "ts", "event_id", "5 minutes")
     return _run(spark, sf_dir, "two_feeds", build)
 
 
+_RECONCILED = """
+WITH l AS (SELECT user_id, event_id, epoch_us(ts) // 1000 AS ms FROM events WHERE event_type = 'click'),
+r AS (SELECT user_id, event_id, epoch_us(ts) // 1000 AS ms FROM events WHERE event_type = 'purchase'),
+w AS (SELECT greatest((SELECT max(ms) FROM l), (SELECT max(ms) FROM r)) - 172800000 AS ms),
+p AS (SELECT l.user_id, l.event_id AS l_id, r.event_id AS r_id FROM l JOIN r ON l.user_id = r.user_id AND abs(l.ms - r.ms) <= 86400000)
+SELECT user_id, l_id, r_id, 'matched' AS status FROM p
+UNION ALL SELECT user_id, event_id, NULL, 'right_missing' FROM l WHERE event_id NOT IN (SELECT l_id FROM p) AND ms + 86400000 < (SELECT ms FROM w)
+UNION ALL SELECT user_id, NULL, event_id, 'left_missing' FROM r WHERE event_id NOT IN (SELECT r_id FROM p) AND ms + 86400000 < (SELECT ms FROM w)
+"""
+
+
+def _clicks_and_purchases(s):
+    return [s.where(F.col("event_type") == t).select("event_id", "user_id", "ts") for t in ("click", "purchase")]
+
+
+@register("stream_two_feeds_out_of_order", _RECONCILED)
+def stream_two_feeds_out_of_order(spark, sf_dir):
+    """O-31 / O-46 with many rows per key and side, out of order: all pairs within a day, each miss once."""
+    out = _run(spark, sf_dir, "two_feeds_ooo", lambda s: feeds.two_feeds_stream(
+        *_clicks_and_purchases(s), "user_id", "ts", "event_id", "1 day", delay="2 days"), displaced=True)
+    return out.withColumnRenamed("k", "user_id")
+
+
+@register("stream_reconcile_join", _RECONCILED)
+def stream_reconcile_join(spark, sf_dir):
+    """O-46 as a full outer stream-stream join: the same rows."""
+    def build(s):
+        j = ops.reconcile(*_clicks_and_purchases(s), "user_id", "ts", "ts", "1 day", delay="2 days")
+        return j.select(F.coalesce("l_user_id", "r_user_id").alias("user_id"), F.col("l_event_id").alias("l_id"), F.col("r_event_id").alias("r_id"), "status")
+    return _run(spark, sf_dir, "reconcile_join", build, displaced=True)
+
+
+@register("stream_first5_average", """
+SELECT user_id, CAST(sum(ms) // 5 AS BIGINT) AS avg_ms FROM (
+  SELECT user_id, epoch_us(ts) // 1000 AS ms, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+  FROM events WHERE epoch_us(ts) // 3600000000 * 3600000000 + 3600000000 <= (SELECT epoch_us(max(ts)) FROM events) - 172800000000)
+WHERE rn <= 5 GROUP BY user_id HAVING count(*) = 5
+""")
+def stream_first5_average(spark, sf_dir):
+    """O-37 on a stream: the first five in event time, whatever the order of arrival."""
+    out = _run(spark, sf_dir, "first5", lambda s: stateful.first_n_average_stream(
+        s, "user_id", "ts", "event_id", 5, delay="2 days", slot="1 hour"), displaced=True)
+    return out.withColumnRenamed("k", "user_id")
+
+
+@register("stream_keep_last", """
+SELECT user_id, w AS window_start_ms, count(*) AS cnt, round(sum(value), 6) AS total FROM (
+  SELECT user_id, value, epoch_us(ts) // 1000 // 172800000 * 172800000 AS w,
+         row_number() OVER (PARTITION BY user_id, epoch_us(ts) // 1000 // 172800000 ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn <= 3 AND w + 172800000 <= (SELECT epoch_us(max(ts)) // 1000 FROM events) - 172800000 GROUP BY user_id, w
+""")
+def stream_keep_last(spark, sf_dir):
+    """O-52 on a stream: the last three rows of each user's two-day window."""
+    out = _run(spark, sf_dir, "keep_last", lambda s: stateful.keep_last_stream(
+        s, "user_id", "ts", "value", "event_id", "2 days", 3, delay="2 days"), cols=("event_id", "ts", "user_id", "value"), displaced=True)
+    return out.select(F.col("k").alias("user_id"), "window_start_ms", "cnt", F.round("total", 6).alias("total"))
+
+
 @register("text_and_csv_read_back", """
 SELECT event_id, user_id, event_type, 'csv' AS source FROM events UNION ALL SELECT event_id, user_id, event_type, 'text' FROM events
 """)
@@ -328,7 +386,19 @@ WHERE rn <= 2 AND w + INTERVAL '6 hours' <= {_CLOSED}
 """)
 def stream_top2(spark, sf_dir):
     """O-70 on a stream: counts, then the two largest of each window."""
-    return _run(spark, sf_dir, "top2", lambda s: ops.windowed_top_n(s, "event_type", "ts", "6 hours", None, 2, delay="1 hour"))
+    return _run(spark, sf_dir, "top2", lambda s: topn.windowed_top_n(s, "event_type", "ts", "6 hours", None, 2, delay="1 hour"))
+
+
+@register("stream_top3_users", f"""
+WITH c AS (SELECT user_id, time_bucket(INTERVAL '1 day', ts, {_EPOCH}) - i * INTERVAL '1 day' AS w, count(*) AS cnt
+           FROM events, (SELECT unnest([0, 1]) AS i) GROUP BY ALL)
+SELECT w AS window_start, w + INTERVAL '2 days' AS window_end, user_id, cnt, rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY w ORDER BY cnt DESC, user_id) AS rn FROM c)
+WHERE rn <= 3 AND w + INTERVAL '2 days' <= {_CLOSED}
+""")
+def stream_top3_users(spark, sf_dir):
+    """O-71 on a stream: the three busiest users of sliding windows, at most 3 * 8 candidates a window."""
+    return _run(spark, sf_dir, "top3", lambda s: topn.windowed_top_n(s, "user_id", "ts", "2 days", "1 day", 3, delay="1 hour", buckets=8))
 
 
 @register("stream_window_join", f"""

@@ -8,6 +8,7 @@ bench and local runs.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,16 +40,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder of the cluster.
+    """Shared checkpoint folder of the cluster, from ``spark.checkpoint.dir`` (a
+    setting the session is started with) or the context's checkpoint folder.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local
-    tests) a fresh scratch folder is made and registered.
-    """
+    A session without either gets a fresh folder only in local mode, where all
+    tasks share this machine's disk (tests); elsewhere that is an error."""
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("start the session with spark.checkpoint.dir set to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tideline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d

@@ -1,4 +1,4 @@
-"""Streaming operators with watermarks (O-29, O-38…O-56, O-60…O-67, O-70).
+"""Streaming operators with watermarks (O-29, O-38…O-56, O-60…O-67).
 
 Input time columns may be TIMESTAMP_NTZ (the test tables); a watermark needs
 TIMESTAMP, so ``with_event_time`` converts zone-independently and outputs are
@@ -81,20 +81,6 @@ def cumulative_count(df: DataFrame, key, ts: str, step: str, max_size: str, dela
                .drop("w", "_j"))
 
 
-def windowed_top_n(df: DataFrame, item: str, ts: str, size: str, slide: str | None, n: int,
-                   delay: str = "0 seconds") -> DataFrame:
-    """O-70 / O-71: per (item, window) count, then per window the top n —
-    two chained aggregations in append mode (window column kept in both)."""
-    d = with_event_time(df, ts, delay)
-    w = F.window("et", _iv(size), _iv(slide or size))
-    c = d.groupBy(item, w.alias("window")).agg(F.count(F.lit(1)).alias("cnt"))
-    packed = F.struct((-F.col("cnt")).alias("neg"), F.col(item).alias("item"), F.col("cnt").alias("cnt"))
-    t = c.groupBy("window").agg(F.slice(F.sort_array(F.collect_list(packed)), 1, n).alias("_top"))
-    ex = t.select("window", F.posexplode("_top").alias("_pos", "_e"))
-    return _flat(ex.select("window", F.col("_e.item").alias(item), F.col("_e.cnt").alias("cnt"),
-                           (F.col("_pos") + 1).cast("bigint").alias("rn")))
-
-
 def interval_join(left: DataFrame, right: DataFrame, key: str, l_ts: str, r_ts: str, lower: str, upper: str,
                   delay: str = "0 seconds", how: str = "inner") -> DataFrame:
     """O-67 stream-stream: both sides watermarked so join state is dropped

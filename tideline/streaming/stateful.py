@@ -31,21 +31,23 @@ def _ms(v) -> int:
     return int(v)
 
 
-def _tws(d: DataFrame, processor: StatefulProcessor, schema: str, time_mode: str) -> DataFrame:
-    """``groupBy(k).transformWithState`` on the RocksDB state store, which the
+def keyed_state(d: DataFrame, processor: StatefulProcessor, schema: str, time_mode: str, keys: tuple | list = ("k",), event_time: str = "") -> DataFrame:
+    """``groupBy(keys).transformWithState`` on the RocksDB state store, which the
     operator requires (multiple state variables per key); the session's
-    provider is switched only if it is another one."""
+    provider is switched only if it is another one.  ``event_time`` names the
+    output's time column where another stateful step follows."""
     spark = d.sparkSession
     key = "spark.sql.streaming.stateStore.providerClass"
     if "RocksDB" not in (spark.conf.get(key, None) or ""):
         spark.conf.set(key, _ROCKSDB)
-    return d.groupBy("k").transformWithState(processor, schema, "Append", time_mode)
+    return d.groupBy(*keys).transformWithState(processor, schema, "Append", time_mode, eventTimeColumnName=event_time)
 
 
-def _prep(df: DataFrame, key: str, ts: str, delay: str, cols: list[str]) -> DataFrame:
-    """key, ms (epoch ms of ts), event time with watermark, extra columns."""
+def with_watermark(df: DataFrame, key: str, ts: str, delay: str, cols: list) -> DataFrame:
+    """key, ms (epoch ms of ts), event time with watermark, extra columns.  Rows
+    without a time are left out; they have no part in the watermark either."""
     d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"), event_time(ts).alias("et"), *cols)
-    return d.withWatermark("et", f"{duration_us(delay)} microseconds")
+    return d.withWatermark("et", f"{duration_us(delay)} microseconds").where(F.col("et").isNotNull())
 
 
 DEFAULT_SLOT = "1 minute"
@@ -64,7 +66,8 @@ def _arranged(df: DataFrame, key: str, ts: str, tiebreak: str, delay: str | None
 
 
 def _in_order(rows) -> list:
-    return sorted(rows, key=lambda r: (r.o, r.tb))
+    """Nulls come first, as Spark sorts them."""
+    return sorted(rows, key=lambda r: (r.o, r.tb is not None, 0 if r.tb is None else r.tb))
 
 
 class EventTimeTimer(StatefulProcessor):
@@ -90,8 +93,8 @@ class EventTimeTimer(StatefulProcessor):
 
 
 def event_time_timers(df: DataFrame, key: str, ts: str, after: str, delay: str = "0 seconds") -> DataFrame:
-    d = _prep(df, key, ts, delay, [])
-    return _tws(d, EventTimeTimer(duration_us(after) // 1000),
+    d = with_watermark(df, key, ts, delay, [])
+    return keyed_state(d, EventTimeTimer(duration_us(after) // 1000),
                                               f"k {df.schema[key].dataType.simpleString()}, timer_ms long",
                                               "EventTime")
 
@@ -167,8 +170,8 @@ class PeriodicCount(StatefulProcessor):
 
 
 def periodic_count_stream(df: DataFrame, key: str, ts: str, interval: str, delay: str = "0 seconds") -> DataFrame:
-    d = _prep(df, key, ts, delay, [])
-    return _tws(d, PeriodicCount(duration_us(interval) // 1000),
+    d = with_watermark(df, key, ts, delay, [])
+    return keyed_state(d, PeriodicCount(duration_us(interval) // 1000),
                                               f"k {df.schema[key].dataType.simpleString()}, fire_ms long, cnt long",
                                               "EventTime")
 
@@ -199,12 +202,12 @@ class ChangelogCount(StatefulProcessor):
 def changelog_stream(df: DataFrame, key: str, ts: str, tiebreak: str, delay: str | None = None, slot: str = DEFAULT_SLOT) -> DataFrame:
     d = _arranged(df, key, ts, tiebreak, delay, slot, {})
     kt, tt = df.schema[key].dataType.simpleString(), df.schema[tiebreak].dataType.simpleString()
-    return _tws(d, ChangelogCount(), f"k {kt}, tb {tt}, op string, cnt long",
+    return keyed_state(d, ChangelogCount(), f"k {kt}, tb {tt}, op string, cnt long",
                                               "None")
 
 
 class FirstNAverage(StatefulProcessor):
-    """O-37: integer mean of the first n epoch-ms values per key, once."""
+    """O-37: integer mean of the first n epoch-ms values per key, once; null times are skipped."""
 
     def __init__(self, n: int):
         self.n = n
@@ -215,12 +218,11 @@ class FirstNAverage(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         s, c = self.acc.get() if self.acc.exists() else (0, 0)
         out = []
-        for r in sorted(rows, key=lambda r: r.ms):
-            if c >= self.n:
-                break
+        for r in _in_order(r for r in rows if r.ms is not None) if c < self.n else ():
             s, c = s + _ms(r.ms), c + 1
             if c == self.n:
                 out.append(Row(k=key[0], avg_ms=s // self.n))
+                break
         self.acc.update((s, c))
         return iter(out)
 
@@ -228,10 +230,11 @@ class FirstNAverage(StatefulProcessor):
         pass
 
 
-def first_n_average_stream(df: DataFrame, key: str, ts: str, n: int = 5) -> DataFrame:
-    d = df.select(F.col(key).alias("k"), epoch_ms(ts).alias("ms"))
-    return _tws(d, FirstNAverage(n), f"k {df.schema[key].dataType.simpleString()}, avg_ms long",
-                                              "None")
+def first_n_average_stream(df: DataFrame, key: str, ts: str, tiebreak: str, n: int = 5, delay: str | None = None,
+                           slot: str = DEFAULT_SLOT) -> DataFrame:
+    """O-37 on a stream: the first rows in arrival order (``tiebreak``), or with a ``delay`` in event-time order."""
+    d = _arranged(df, key, ts, tiebreak, delay, slot, {})
+    return keyed_state(d, FirstNAverage(n), f"k {df.schema[key].dataType.simpleString()}, avg_ms long", "None")
 
 
 class StateMachine(StatefulProcessor):
@@ -268,10 +271,15 @@ def state_machine_stream(df: DataFrame, key: str, ts: str, symbol: str, tiebreak
                          initial: str, accept: str, reset: str, delay: str | None = None, slot: str = DEFAULT_SLOT) -> DataFrame:
     d = _arranged(df, key, ts, tiebreak, delay, slot, {"sym": F.col(symbol)})
     kt, tt = df.schema[key].dataType.simpleString(), df.schema[tiebreak].dataType.simpleString()
-    return _tws(d, StateMachine(transitions, initial, accept, reset),
+    return keyed_state(d, StateMachine(transitions, initial, accept, reset),
                                               f"k {kt}, tb {tt}, ms long", "None")
 
 
+def _by_time(row: tuple) -> tuple:
+    """(ms, id, …) in order, null ids first."""
+    return row[0], row[1] is not None, row[1] or 0
+
+
 class FollowedByWithin(StatefulProcessor):
     """O-79: start rows wait for an end row after them, strictly less than
     ``within`` ms later; an end row matches every waiting start; a start whose
@@ -300,7 +308,7 @@ class FollowedByWithin(StatefulProcessor):
     def _advance(self, key, new, now) -> list[Row]:
         was, waiting = self._read(self.pending), self._read(self.waiting)
         held, open_, out = was + new, list(waiting), []
-        for ms, tb, is_start, is_end in sorted(x for x in held if x[0] <= now):
+        for ms, tb, is_start, is_end in sorted((x for x in held if x[0] <= now), key=_by_time):
             if is_end:
                 keep = []
                 for sms, sid in open_:
@@ -315,7 +323,7 @@ class FollowedByWithin(StatefulProcessor):
             if sms + self.within <= now:
                 out.append(Row(k=key[0], start_id=sid, start_ms=sms, end_id=None, end_ms=None, status="timeout"))
         open_ = [x for x in open_ if x[0] + self.within > now]
-        rest = sorted(x for x in held if x[0] > now)
+        rest = sorted((x for x in held if x[0] > now), key=_by_time)
         self._write(self.waiting, waiting, open_)
         self._write(self.pending, was, rest)
         due = min([x[0] for x in rest[:1]] + [x[0] + self.within for x in open_], default=None)
@@ -338,9 +346,9 @@ def followed_by_stream(df: DataFrame, key: str, ts: str, is_start, is_end, withi
                        delay: str = "0 seconds") -> DataFrame:
     # no filter here: Catalyst would push it below the watermark, which must
     # follow every row of the stream; the processor skips other rows
-    d = _prep(df, key, ts, delay, [F.col(id_col).alias("tb"), is_start.alias("is_start"), is_end.alias("is_end")])
+    d = with_watermark(df, key, ts, delay, [F.col(id_col).alias("tb"), is_start.alias("is_start"), is_end.alias("is_end")])
     kt = df.schema[key].dataType.simpleString()
-    return _tws(d,
+    return keyed_state(d,
         FollowedByWithin(duration_us(within) // 1000),
         f"k {kt}, start_id long, start_ms long, end_id long, end_ms long, status string", "EventTime")
 
@@ -370,7 +378,7 @@ def rule_matches_stream(df: DataFrame, key: str, ts: str, action: str, tiebreak:
     with the rules table."""
     d = _arranged(df, key, ts, tiebreak, delay, slot, {"sym": F.col(action)})
     kt, tt = df.schema[key].dataType.simpleString(), df.schema[tiebreak].dataType.simpleString()
-    pairs = _tws(d, PreviousValue(), f"k {kt}, tb {tt}, prev_action string, action string",
+    pairs = keyed_state(d, PreviousValue(), f"k {kt}, tb {tt}, prev_action string, action string",
                                               "None")
     r = rules.select(F.col("action1").alias("prev_action"), F.col("action2").alias("action"))
     return pairs.join(r, on=["prev_action", "action"], how="inner")
@@ -398,6 +406,12 @@ class LastSeenTTL(StatefulProcessor):
         pass
 
 
+def _sum(values: list) -> float | None:
+    """Nulls are skipped; null without values."""
+    known = [v for v in values if v is not None]
+    return float(sum(known)) if known else None
+
+
 class CountWindow(StatefulProcessor):
     """O-48 on a stream: after every ``step``-th row of a key, the count and
     sum of its last ``size`` rows (tumbling when step == size, which emits
@@ -416,14 +430,12 @@ class CountWindow(StatefulProcessor):
         out = []
         for r in _in_order(rows):
             n += 1
-            recent.append(float(r.v))
+            recent.append(r.v)
             recent = recent[-self.size:]
             if n % self.step == 0:
+                out.append(Row(k=key[0], fire_seq=n, cnt=len(recent), total=_sum(recent)))
                 if self.tumbling:
-                    out.append(Row(k=key[0], fire_seq=n, cnt=len(recent), total=sum(recent)))
                     recent = []
-                else:
-                    out.append(Row(k=key[0], fire_seq=n, cnt=len(recent), total=sum(recent)))
         self.recent.clear()
         if recent:
             self.recent.put([(v,) for v in recent])
@@ -439,7 +451,7 @@ def count_window_stream(df: DataFrame, key: str, ts: str, value: str, tiebreak:
     step = step or size
     d = _arranged(df, key, ts, tiebreak, delay, slot, {"v": F.col(value).cast("double")})
     kt = df.schema[key].dataType.simpleString()
-    return _tws(d, CountWindow(size, step, step == size),
+    return keyed_state(d, CountWindow(size, step, step == size),
                                               f"k {kt}, fire_seq long, cnt long, total double", "None")
 
 
@@ -476,7 +488,7 @@ def strict_sequence_stream(df: DataFrame, key: str, ts: str, tiebreak: str, step
                            slot: str = DEFAULT_SLOT) -> DataFrame:
     d = _arranged(df.withColumn(tiebreak, F.col(tiebreak).cast("long")), key, ts, tiebreak, delay, slot, {f"_m{j}": c for j, c in enumerate(steps)})
     kt = df.schema[key].dataType.simpleString()
-    return _tws(d, StrictSequence(len(steps)), f"k {kt}, ids array<long>", "None")
+    return keyed_state(d, StrictSequence(len(steps)), f"k {kt}, ids array<long>", "None")
 
 
 def current_watermark_ms(query) -> int | None:
@@ -506,12 +518,12 @@ class KeepLastWindow(StatefulProcessor):
         by_w: dict[int, list] = {}
         for r in rows:
             m = _ms(r.ms)
-            by_w.setdefault(m - m % self.size, []).append((m, int(r.tb), float(r.v)))
+            by_w.setdefault(m - m % self.size, []).append((m, r.tb, r.v))
         for w, new in by_w.items():
             old = [tuple(x) for x in self.wins.getValue((w,))[0]] if self.wins.containsKey((w,)) else []
             if not old:
                 self.handle.registerTimer(w + self.size)
-            keep = sorted(old + new)[-self.n:]
+            keep = sorted(old + new, key=lambda x: (x[0], x[1] is not None, x[1] or 0))[-self.n:]
             self.wins.updateValue((w,), (keep,))
         return iter([])
 
@@ -520,7 +532,7 @@ class KeepLastWindow(StatefulProcessor):
         if self.wins.containsKey((w,)):
             keep = self.wins.getValue((w,))[0]
             self.wins.removeKey((w,))
-            yield Row(k=key[0], window_start_ms=w, cnt=len(keep), total=float(sum(x[2] for x in keep)))
+            yield Row(k=key[0], window_start_ms=w, cnt=len(keep), total=_sum([x[2] for x in keep]))
 
     def close(self) -> None:
         pass
@@ -528,62 +540,8 @@ class KeepLastWindow(StatefulProcessor):
 
 def keep_last_stream(df: DataFrame, key: str, ts: str, value: str, tiebreak: str, size: str, n: int,
                      delay: str = "0 seconds") -> DataFrame:
-    d = _prep(df, key, ts, delay, [F.col(tiebreak).cast("long").alias("tb"), F.col(value).cast("double").alias("v")])
+    d = with_watermark(df, key, ts, delay, [F.col(tiebreak).cast("long").alias("tb"), F.col(value).cast("double").alias("v")])
     kt = df.schema[key].dataType.simpleString()
-    return _tws(d, KeepLastWindow(duration_us(size) // 1000, n),
+    return keyed_state(d, KeepLastWindow(duration_us(size) // 1000, n),
                                               f"k {kt}, window_start_ms long, cnt long, total double",
                                               "EventTime")
-
-
-class TwoFeeds(StatefulProcessor):
-    """O-31: two connected feeds that share a key's state and timers.  The first
-    row of a pair waits ``wait`` ms of event time for the other feed's row; the
-    pair is matched if they lie no further apart, and its timers are deleted,
-    else each is reported alone when its timer fires.  A key has one waiting
-    row per feed; a later one takes its place."""
-
-    def __init__(self, wait_ms: int):
-        self.wait = wait_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.sides = {s: handle.getValueState(s, "ms long, id long") for s in ("left", "right")}
-
-    def _row(self, key, left, right, status) -> Row:
-        return Row(k=key[0], l_id=left, r_id=right, status=status)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        out = []
-        for r in sorted(rows, key=lambda r: (r.ms, r.tb)):
-            mine, other = self.sides[r.side], self.sides["right" if r.side == "left" else "left"]
-            there = other.get() if other.exists() else None
-            if there is not None and abs(there[0] - r.ms) <= self.wait:
-                pair = (r.tb, there[1]) if r.side == "left" else (there[1], r.tb)
-                out.append(self._row(key, *pair, "matched"))
-                self.handle.deleteTimer(there[0] + self.wait)
-                other.clear()
-            else:
-                mine.update((_ms(r.ms), r.tb))
-                self.handle.registerTimer(_ms(r.ms) + self.wait)
-        return iter(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now, out = expiredTimerInfo.getExpiryTimeInMs(), []
-        for side, state in self.sides.items():
-            if state.exists() and state.get()[0] + self.wait <= now:
-                i = state.get()[1]
-                out.append(self._row(key, i, None, "right_missing") if side == "left" else self._row(key, None, i, "left_missing"))
-                state.clear()
-        return iter(out)
-
-    def close(self) -> None:
-        pass
-
-
-def two_feeds_stream(left: DataFrame, right: DataFrame, key: str, ts: str, id_col: str, wait: str,
-                     delay: str = "0 seconds") -> DataFrame:
-    """O-31: k, l_id, r_id, status of two feeds with the same column names."""
-    both = left.withColumn("side", F.lit("left")).unionByName(right.withColumn("side", F.lit("right")))
-    d = _prep(both, key, ts, delay, [F.col(id_col).cast("long").alias("tb"), "side"])
-    return _tws(d, TwoFeeds(duration_us(wait) // 1000),
-                f"k {left.schema[key].dataType.simpleString()}, l_id long, r_id long, status string", "EventTime")
