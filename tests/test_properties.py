@@ -83,7 +83,7 @@ def test_session_split_equals_plain(spark, rows, gap, bucket, hot):
 
 
 @SETTINGS
-@given(EVENTS, st.integers(min_value=1, max_value=40), st.sampled_from(["1 minute", "5 minutes"]))
+@given(EVENTS, st.integers(min_value=1, max_value=40), st.sampled_from(["1 second", "10 seconds", "5 minutes"]))
 def test_periodic_count_split_bruteforce(spark, rows, iv_s, bucket):
     from tideline.operators import scan
     df = frame(spark, rows, SCHEMA)
@@ -99,7 +99,7 @@ def test_periodic_count_split_bruteforce(spark, rows, iv_s, bucket):
                 j += 1
             want.append((k, fire, j))
             i = j
-    got = scan.periodic_count(df, "k", "ts", f"{iv_s} seconds", bucket=bucket, target_rows=1)
+    got = scan.periodic_count(df, "k", "ts", f"{iv_s} seconds", slot=bucket, target_rows=1)
     assert rows_set(got, "k", "fire_us", "cnt") == sorted(want)
 
 

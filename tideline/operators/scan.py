@@ -1,31 +1,35 @@
 """Sequential per-key operators (O-76, O-80).
 
 Some semantics are a fold over a key's rows in time order where each step
-depends on the previous state (a timer anchored at the first row after the
-last firing; a state machine).  Spark hash-partitions by key, sorts within
-partitions, and a ``mapInPandas`` task walks its Arrow batches carrying only
-the state of the current key — memory is O(batch), never O(group).
-
-``run_state_machine`` is split further: a finite state machine step is a
-function on a small state set, and functions compose.  Each (key, time
-bucket) is run once from *every* possible entry state; buckets report their
-composed function, a per-key fold over bucket summaries (bounded by the
-number of buckets) gives each bucket's true entry state, and the candidate
-alerts are kept for that state.  So even a key holding a third of the rows
-is processed by many tasks.  ``periodic_count`` (a timer anchored at the
-first row after each firing — an unbounded continuous state) remains a
-sequential fold per key."""
+depends on the state before it (a timer anchored at the first row after the
+last firing; a state machine).  A key's rows are cut into buckets of about
+``target_rows`` neighbouring rows (``sequence.with_split``); tasks work on
+(key, bucket) stretches with numpy, and what a bucket does to the state is
+composed across buckets by joins, so no task ever holds a key.  The plan is the
+same for every input; a key within the target is one bucket.
+
+``periodic_count``: rows of equal time count together.  In a bucket the next
+anchor of every row is one ``searchsorted``, and the bucket's last firing for
+every possible first anchor follows by doubling those jumps.  Its successor is
+the first row after that firing (an as-of lookup by time slot), and the real
+chain of buckets' first anchors is found by doubling the successors.
+
+``run_state_machine``: a step is a function on a small set of states, and
+functions compose.  Prefix compositions are computed for blocks of rows at
+once, from every state a bucket may be entered in; the composed function of
+each bucket gives the true one."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.functions.time import duration_us, epoch_us
+from tideline.functions.time import duration_us, epoch_us, ntz_from_us
 from tideline.operators.sequence import DEFAULT_SLOT, DEFAULT_TARGET_ROWS, with_split
 
 
@@ -39,206 +43,194 @@ def _as_key(col: str, kind) -> Column:
     return F.when(F.col(col) != "0", F.substring(col, 2, 2**31 - 1)).cast(kind)
 
 
-def _sorted(df: DataFrame, key: str, order: list[str], n: int | None) -> DataFrame:
-    d = df.repartition(n, key) if n else df.repartition(key)
-    return d.sortWithinPartitions(key, *order)
+def _starts(batch: pa.RecordBatch, by: list[str]) -> np.ndarray:
+    """Where the values of ``by`` differ from the row before (the first row isn't told)."""
+    n, out = batch.num_rows, None
+    for c in by:
+        col = batch.column(c)
+        differs = pc.not_equal(col.slice(1), col.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        out = differs if out is None else out | differs
+    return np.flatnonzero(out) + 1
+
+
+def _groups(batches: Iterator[pa.RecordBatch], by: list[str], values: list[str]) -> Iterator[tuple[tuple, list[np.ndarray]]]:
+    """(values of ``by``, arrays of ``values``) of each group of a sorted input."""
+    cur, parts = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cuts = [0, *_starts(batch, by).tolist(), batch.num_rows]
+        arrays = [batch.column(v).to_numpy(zero_copy_only=False) for v in values]
+        for a, b in zip(cuts, cuts[1:]):
+            group = tuple(batch.column(c)[a].as_py() for c in by)
+            if group != cur:
+                if parts:
+                    yield cur, [np.concatenate(x) for x in zip(*parts)]
+                cur, parts = group, []
+            parts.append([x[a:b] for x in arrays])
+    if parts:
+        yield cur, [np.concatenate(x) for x in zip(*parts)]
+
+
+# ---- periodic count ------------------------------------------------------------------------------------------------
+
+def next_anchors(t: np.ndarray, interval: int) -> np.ndarray:
+    """Index of the first time after t + interval; len(t) without one."""
+    return np.searchsorted(t, t + interval, side="right")
+
+
+def last_anchors(after: np.ndarray) -> np.ndarray:
+    """The last anchor of the chain from every row: jumps of 1, 2, 4, … steps until nothing moves."""
+    here = np.arange(len(after))
+    last = np.where(after < len(after), after, here)
+    while (further := last[last]).tobytes() != last.tobytes():
+        last = further
+    return last
+
+
+def _exits(rows: DataFrame, interval: int) -> DataFrame:
+    """(k, us, bkt, before, exit): the bucket's last firing if the row is its first anchor; before: rows of the bucket at earlier times."""
+    def run(batches):
+        for (k, bkt), (us, c) in _groups(batches, ["k", "_bkt"], ["us", "c"]):
+            exit_ = us[last_anchors(next_anchors(us, interval))] + interval
+            n = len(us)
+            yield pa.RecordBatch.from_arrays([pa.array([k] * n, pa.string()), pa.array(us), pa.array(np.full(n, bkt)), pa.array(np.cumsum(c) - c), pa.array(exit_)],
+                                             names=["k", "us", "bkt", "before", "exit"])
+
+    return (rows.select("k", "_bkt", "us", "c").repartition("k", "_bkt").sortWithinPartitions("k", "_bkt", "us")
+            .mapInArrow(run, "k string, us long, bkt long, before long, exit long"))
+
+
+def _first_after(rows: DataFrame, probes: DataFrame, slot: int) -> DataFrame:
+    """(k, exit, us): the key's first row after each probe (null without one).
+
+    Looked up inside the probe's time slot, else the next slot that has rows; the only
+    ordering over a whole key is that of its slots."""
+    s = F.floor(F.col("us") / F.lit(slot)).cast("bigint")
+    r = rows.select("k", "us").withColumn("s", s).withColumn("kind", F.lit(0))
+    p = probes.select("k", F.col("exit").alias("us")).withColumn("s", s).withColumn("kind", F.lit(1))
+    both = r.unionByName(p)
+    slots = both.groupBy("k", "s").agg(F.min(F.when(F.col("kind") == 0, F.col("us"))).alias("f"))
+    later = Window.partitionBy("k").orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    slots = slots.select("k", "s", F.min("f").over(later).alias("next"))
+    above = Window.partitionBy("k", "s").orderBy(F.col("us").desc(), F.col("kind").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    inside = both.withColumn("in", F.min(F.when(F.col("kind") == 0, F.col("us"))).over(above)).where(F.col("kind") == 1)
+    return inside.join(slots, ["k", "s"]).select("k", F.col("us").alias("exit"), F.coalesce("in", "next").alias("us"))
+
+
+def _path(first: DataFrame, hop: DataFrame) -> DataFrame:
+    """(k, us) of all rows on the way from ``first`` over hops (k, us, to): a round doubles the steps known."""
+    path = first.checkpoint()
+    while True:
+        ahead = path.join(hop, ["k", "us"]).where(F.col("to").isNotNull()).select("k", F.col("to").alias("us")).checkpoint()
+        if ahead.isEmpty():
+            return path
+        path = path.unionByName(ahead).checkpoint()
+        second = hop.select("k", F.col("us").alias("to"), F.col("to").alias("to2"))
+        hop = hop.where(F.col("to").isNotNull()).join(second, ["k", "to"], "left").select("k", "us", F.col("to2").alias("to")).checkpoint()
+
+
+def _anchors(rows: DataFrame, interval: int, slot: int) -> DataFrame:
+    """(k, bkt, us, upto, base) of the first anchor of each bucket that has one, for keys of several buckets;
+    upto: the key's rows at or before the bucket's last firing, base: its rows in earlier buckets."""
+    exits = _exits(rows, interval).checkpoint()
+    to = _first_after(rows, exits.select("k", "exit").distinct(), slot).withColumnRenamed("us", "to")
+    hop = exits.join(to, ["k", "exit"]).select("k", "us", "to").checkpoint()
+    first = rows.groupBy("k").agg(F.min("us").alias("us"))
+    # only rows that some bucket's last firing leads to can be on the way
+    entries = hop.select("k", F.col("to").alias("us")).where(F.col("us").isNotNull()).unionByName(first).distinct()
+    hop = hop.join(entries, ["k", "us"], "left_semi").checkpoint()
+    by_key = Window.partitionBy("k")
+    bases = rows.groupBy("k", F.col("_bkt").alias("bkt")).agg(F.sum("c").alias("n"))
+    bases = bases.select("k", "bkt", F.sum("n").over(by_key).alias("total"),
+                         F.coalesce(F.sum("n").over(by_key.orderBy("bkt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    own = _path(first, hop).join(exits.select("k", "us", "bkt"), ["k", "us"]).join(bases, ["k", "bkt"]).join(hop, ["k", "us"])
+    there = exits.select("k", F.col("us").alias("to"), F.col("bkt").alias("bkt2"), "before").join(
+        bases.select("k", F.col("bkt").alias("bkt2"), F.col("base").alias("base2")), ["k", "bkt2"])
+    return own.join(there, ["k", "to"], "left").select("k", "bkt", "us", F.coalesce(F.col("base2") + F.col("before"), F.col("total")).alias("upto"), "base")
 
 
 def periodic_count(df: DataFrame, key: str, ts: str, interval: str, tiebreak: str | None = None,
-                   partitions: int | None = None, bucket: str = "1 day",
+                   partitions: int | None = None, slot: str | int = "1 second",
                    target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """O-76: per key a timer is set ``interval`` after the first row seen while
     no timer is pending; when it fires it reports the cumulative row count of
     the key (never reset) over rows with ts <= fire time.  At end of input the
     pending timer fires.  Output: key, fire_us (epoch µs), cnt.  Null keys are
-    one key; rows with a null time set no timer and aren't counted.
-
-    Keys with at most ``target_rows`` rows run as a sequential fold per key
-    (bounded work per task).  Larger keys are split by time bucket and stitched
-    across buckets by pointer doubling (``_periodic_hot``); that branch is left
-    out when a count finds no such key, which changes no row."""
-    iv = duration_us(interval)
-    kind = df.schema[key].dataType
-    tb = ["tb"] if tiebreak else []
-    d = df.where(F.col(ts).isNotNull()).select(_as_text(key).alias("k"), epoch_us(ts).alias("us"), *([F.col(tiebreak).alias("tb")] if tiebreak else []))
-    big = d.groupBy("k").agg(F.count(F.lit(1)).alias("_kc")).where(F.col("_kc") > F.lit(target_rows)).select("k")
-    if big.isEmpty():
-        out = _periodic_sequential(d.select("k", "us", *tb), "string", iv, bool(tiebreak), partitions)
-    else:
-        cold = _periodic_sequential(d.join(big, "k", "left_anti").select("k", "us", *tb), "string", iv, bool(tiebreak), partitions)
-        warm = _periodic_hot(d.join(big, "k", "left_semi").select("k", "us", *tb), "string", iv, max(duration_us(bucket), 8 * iv), bool(tiebreak))
-        out = cold.unionByName(warm)
-    return out.select(_as_key("k", kind).alias(key), "fire_us", "cnt")
-
-
-def _periodic_sequential(d: DataFrame, kt: str, iv: int, has_tb: bool, partitions: int | None) -> DataFrame:
-    d = _sorted(d, "k", ["us"] + (["tb"] if has_tb else []), partitions)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # carried across batches: current key, its running count, pending fire time
-        cur, cnt, fire = None, 0, None
-        for b in batches:
-            ks, us = b["k"].to_numpy(), b["us"].to_numpy().astype("int64")
-            out_k, out_f, out_c = [], [], []
-            cuts = np.concatenate(([0], np.flatnonzero(ks[1:] != ks[:-1]) + 1, [len(ks)]))
-            for s0, s1 in zip(cuts[:-1], cuts[1:]):
-                if s0 == s1:
-                    continue
-                if ks[s0] != cur:
-                    if cur is not None and fire is not None:
-                        out_k.append(cur), out_f.append(fire), out_c.append(cnt)
-                    cur, cnt, fire = ks[s0], 0, None
-                seg = us[s0:s1]
-                pos = 0
-                # the loop runs once per firing, not once per row: searchsorted jumps
-                while pos < len(seg):
-                    if fire is None:
-                        fire = int(seg[pos]) + iv
-                    j = int(np.searchsorted(seg, fire, side="right"))
-                    cnt += j - pos
-                    pos = j
-                    if pos < len(seg):
-                        out_k.append(cur), out_f.append(fire), out_c.append(cnt)
-                        fire = None
-            if out_k:
-                yield pd.DataFrame({"k": out_k, "fire_us": np.array(out_f, dtype="int64"),
-                                    "cnt": np.array(out_c, dtype="int64")})
-        if cur is not None and fire is not None:
-            yield pd.DataFrame({"k": [cur], "fire_us": np.array([fire], dtype="int64"),
-                                "cnt": np.array([cnt], dtype="int64")})
-
-    return d.mapInPandas(run, f"k {kt}, fire_us long, cnt long")
-
-
-def _bucket_chains(t: np.ndarray, bstart: int, iv: int):
-    """Within one bucket (sorted times ``t``): every row that can be the first
-    anchor of the bucket — rows up to ``bstart + iv`` and the first row after
-    it — with its chain of firings and, per firing, the rows of the bucket at
-    or before it."""
-    n = len(t)
-    last_c = min(int(np.searchsorted(t, bstart + iv, side="right")), n - 1)
-    cand = np.arange(last_c + 1)
-    pos = cand.copy()
-    fires = [[] for _ in cand]
-    locs = [[] for _ in cand]
-    active = np.ones(len(cand), dtype=bool)
-    while active.any():
-        idx = np.flatnonzero(active)
-        f = t[pos[idx]] + iv
-        j = np.searchsorted(t, f, side="right")
-        for a, fv, jv in zip(idx, f, j):
-            fires[a].append(int(fv))
-            locs[a].append(int(min(jv, n)))
-        pos[idx] = np.minimum(j, n - 1)
-        active[idx[j >= n]] = False
-    return cand, fires, locs
-
-
-def _periodic_hot(d: DataFrame, kt: str, iv: int, width: int, has_tb: bool) -> DataFrame:
-    """Hot keys of ``periodic_count`` without a key-wide task.
-
-    1. Per (key, bucket of ``width`` >= 8 x interval): the chain of firings
-       from every row that could be the bucket's first anchor (the first row,
-       rows within one interval of the bucket start, and the row after) —
-       vectorised jumps with ``searchsorted``.
-    2. Successor of each such chain: the first anchor it leads to in the next
-       non-empty bucket (an as-of lookup inside (key, next bucket)).
-    3. The real chain is the path from the key's first row through these
-       successors, found by pointer doubling (log2(buckets) rounds of joins,
-       each checkpointed).
-    4. Firings of the path, with counts from per-bucket row totals."""
-    spark = d.sparkSession
+    one key; rows with a null time set no timer and aren't counted.  Rows of equal
+    time are alike, so ``tiebreak`` has no effect."""
     from tideline.session import checkpoint_dir
-    checkpoint_dir(spark)
-    d = d.withColumn("b", F.floor(F.col("us") / F.lit(width)).cast("bigint"))
-    d = d.repartition("k", "b").sortWithinPartitions("k", "b", "us", *(["tb"] if has_tb else []))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur, parts = None, []
-
-        def flush(key_b, arrays):
-            t = np.concatenate(arrays)
-            cand, fires, locs = _bucket_chains(t, key_b[1] * width, iv)
-            n = len(t)
-            return pd.DataFrame({"kind": ["cand"] * len(cand) + ["bucket"], "k": [key_b[0]] * (len(cand) + 1),
-                                 "b": [key_b[1]] * (len(cand) + 1), "i": list(cand) + [None],
-                                 "cand_us": [int(t[c]) for c in cand] + [None], "fires": fires + [None],
-                                 "locs": locs + [None], "n": [n] * (len(cand) + 1)})
-
-        for bt in batches:
-            ks, bs, us = bt["k"].to_numpy(), bt["b"].to_numpy(), bt["us"].to_numpy().astype("int64")
-            cuts = np.concatenate(([0], np.flatnonzero((ks[1:] != ks[:-1]) | (bs[1:] != bs[:-1])) + 1, [len(ks)]))
-            for s0, s1 in zip(cuts[:-1], cuts[1:]):
-                if s0 == s1:
-                    continue
-                kb = (ks[s0], int(bs[s0]))
-                if kb != cur:
-                    if cur is not None:
-                        yield flush(cur, parts)
-                    cur, parts = kb, []
-                parts.append(us[s0:s1])
-        if cur is not None:
-            yield flush(cur, parts)
-
-    schema = f"kind string, k {kt}, b long, i long, cand_us long, fires array<long>, locs array<long>, n long"
-    res = d.mapInPandas(run, schema).checkpoint()
-
-    wk = Window.partitionBy("k").orderBy("b")
-    buckets = (res.where(F.col("kind") == "bucket").select("k", "b", "n")
-                  .withColumn("base", F.coalesce(F.sum("n").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
-                                                 F.lit(0)).cast("bigint"))
-                  .withColumn("b1", F.lead("b", 1).over(wk)).withColumn("n1", F.lead("n", 1).over(wk))
-                  .withColumn("b2", F.lead("b", 2).over(wk)))
-    cands = res.where(F.col("kind") == "cand").select("k", "b", "i", "cand_us", "fires", "locs")
-    exits = cands.select("k", "b", "i", F.element_at("fires", -1).alias("exit")).join(buckets, on=["k", "b"])
-    # first anchor in the next bucket: first candidate there strictly after the exit firing
-    probes = exits.where(F.col("b1") == F.col("b") + 1).select(
-        "k", F.col("b1").alias("bb"), F.col("exit").alias("t"), F.lit(1).alias("kind"),
-        F.col("b").alias("sb"), F.col("i").alias("si"), F.lit(None).cast("long").alias("idx"))
-    targets = cands.select("k", F.col("b").alias("bb"), F.col("cand_us").alias("t"), F.lit(0).alias("kind"),
-                           F.lit(None).cast("long").alias("sb"), F.lit(None).cast("long").alias("si"),
-                           F.col("i").alias("idx"))
-    wd = Window.partitionBy("k", "bb").orderBy(F.col("t").desc(), F.col("kind").desc()) \
-               .rowsBetween(Window.unboundedPreceding, -1)
-    found = (probes.unionByName(targets).withColumn("e", F.min("idx").over(wd)).where(F.col("kind") == 1)
-                   .select("k", F.col("sb").alias("b"), F.col("si").alias("i"), "e"))
-    ex = exits.join(found, on=["k", "b", "i"], how="left")
-    nxt_same = F.col("b1") == F.col("b") + 1
-    nb = (F.when(F.col("b1").isNull(), F.lit(None))
-           .when(nxt_same & F.col("e").isNotNull(), F.col("b1"))
-           .when(nxt_same, F.col("b2"))
-           .otherwise(F.col("b1")))
-    ni = (F.when(F.col("b1").isNull(), F.lit(None))
-           .when(nxt_same & F.col("e").isNotNull(), F.col("e"))
-           .when(nxt_same & F.col("b2").isNull(), F.lit(None))
-           .otherwise(F.lit(0)))
-    extra = (F.when(nxt_same & F.col("e").isNotNull(), F.col("e"))
-              .when(nxt_same, F.col("n1")).otherwise(F.lit(0)))
-    jump = ex.select("k", "b", "i", nb.cast("long").alias("nb"), ni.cast("long").alias("ni"),
-                     extra.cast("bigint").alias("extra"), "base").checkpoint()
-
-    # pointer doubling: path = steps [0, 2^r); jump = 2^r steps ahead
-    first = buckets.where(F.col("base") == 0).select("k", "b", F.lit(0).cast("long").alias("i"))
-    path = first.checkpoint()
-    hop = jump.select("k", "b", "i", "nb", "ni")
-    while True:
-        ahead = (path.join(hop, on=["k", "b", "i"]).where(F.col("nb").isNotNull())
-                     .select("k", F.col("nb").alias("b"), F.col("ni").alias("i")))
-        ahead = ahead.checkpoint()
-        if ahead.limit(1).count() == 0:
-            break
-        path = path.unionByName(ahead).checkpoint()
-        h2 = hop.select("k", F.col("nb").alias("b"), F.col("ni").alias("i"), F.col("b").alias("_b0"),
-                        F.col("i").alias("_i0"))
-        hop = (h2.join(hop, on=["k", "b", "i"], how="left")
-                 .select("k", F.col("_b0").alias("b"), F.col("_i0").alias("i"), "nb", "ni").checkpoint())
-
-    on_path = path.join(cands, on=["k", "b", "i"]).join(jump.select("k", "b", "i", "extra", "base"),
-                                                          on=["k", "b", "i"])
-    fired = on_path.select("k", "base", "extra", F.size("fires").alias("_m"),
-                           F.posexplode(F.arrays_zip("fires", "locs")).alias("_p", "_z"))
-    cnt = F.col("base") + F.col("_z.locs") + F.when(F.col("_p") == F.col("_m") - 1, F.col("extra")).otherwise(0)
-    return fired.select("k", F.col("_z.fires").alias("fire_us"), cnt.cast("bigint").alias("cnt"))
+    checkpoint_dir(df.sparkSession)
+    iv, kind = duration_us(interval), df.schema[key].dataType
+    d = df.where(F.col(ts).isNotNull()).groupBy(_as_text(key).alias("k"), epoch_us(ts).alias("us")).agg(F.count(F.lit(1)).alias("c"))
+    d = with_split(d.withColumn("t", ntz_from_us("us")), ["k"], "t", slot, target_rows).select("k", "_bkt", "us", "c", "_last").checkpoint()
+    anchors = _anchors(d.where(F.col("_last") > 0), iv, duration_us(slot))
+    rows = d.select("k", "_bkt", F.lit(1).alias("kind"), "us", "c", F.when(F.col("_last") > 0, F.lit(-1)).otherwise(F.lit(0)).cast("long").alias("base"))
+    marks = anchors.select("k", F.col("bkt").alias("_bkt"), F.lit(0).alias("kind"), "us", F.col("upto").alias("c"), "base")
+    d = rows.unionByName(marks)
+    d = (d.repartition(partitions, "k", "_bkt") if partitions else d.repartition("k", "_bkt")).sortWithinPartitions("k", "_bkt", "kind", "us")
+
+    def run(batches):
+        for (k, _), (kinds, us, c, base) in _groups(batches, ["k", "_bkt"], ["kind", "us", "c", "base"]):
+            if kinds[0] == 0:  # the bucket's first anchor
+                before, upto, us, pos = int(base[0]), int(c[0]), us[1:], int(np.searchsorted(us[1:], us[0]))
+                seen = before + np.cumsum(c[1:])
+            elif base[0] == 0:  # a key of one bucket
+                pos, seen = 0, np.cumsum(c)
+                upto = int(seen[-1])
+            else:
+                continue
+            after, at = next_anchors(us, iv), []
+            steps = after.tolist()
+            while pos < len(steps):
+                at.append(pos)
+                pos = steps[pos]
+            at = np.array(at)
+            counts = np.r_[seen[after[at[:-1]] - 1], upto]
+            yield pa.RecordBatch.from_arrays([pa.array([k] * len(at), pa.string()), pa.array(us[at] + iv), pa.array(counts.astype(np.int64))], names=["k", "fire_us", "cnt"])
+
+    return d.mapInArrow(run, "k string, fire_us long, cnt long").select(_as_key("k", kind).alias(key), "fire_us", "cnt")
+
+
+# ---- state machine -------------------------------------------------------------------------------------------------
+
+BLOCK = 64
+
+
+def prefix_states(symbol: np.ndarray, start: np.ndarray, step: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(before, after): the state before and after each row for every state in which its stretch may be
+    entered.  ``step``: (symbols, states) next states; ``start``: rows that begin a stretch; ``entry``: states at
+    the first row, should it continue one.
+
+    Rows are cut into blocks of ``BLOCK``; all blocks advance together row by row, then the
+    blocks' compositions are chained by doubling, and the rows before a block's first stretch
+    start are entered through them."""
+    n, states = len(symbol), step.shape[1]
+    same = np.arange(states)
+    blocks = -(-n // BLOCK)
+    pad = blocks * BLOCK - n
+    moves = np.concatenate([step, same[None]])
+    sym = np.concatenate([symbol, np.full(pad, len(step))]).reshape(blocks, BLOCK)
+    new = np.concatenate([start, np.zeros(pad, bool)]).reshape(blocks, BLOCK)
+    before = np.empty((blocks, BLOCK, states), np.int64)
+    cur = np.tile(same, (blocks, 1))
+    for j in range(BLOCK):
+        cur[new[:, j]] = same
+        before[:, j] = cur
+        cur = np.take_along_axis(moves[sym[:, j]], cur, axis=1)
+    # what a block makes of the state at its start; a stretch start inside cuts that off
+    whole, cut = cur, new.any(axis=1)
+    reach = 1
+    while reach < blocks:
+        joined = np.take_along_axis(whole[reach:], whole[:-reach], axis=1)
+        joined = np.where(cut[reach:, None], whole[reach:], joined)
+        whole, cut = np.concatenate([whole[:reach], joined]), np.concatenate([cut[:reach], cut[reach:] | cut[:-reach]])
+        reach *= 2
+    into = np.concatenate([entry[None], np.where(cut[:-1, None], whole[:-1], np.take_along_axis(whole[:-1], np.tile(entry, (blocks - 1, 1)), axis=1))])
+    open_ = np.cumsum(new, axis=1) == 0
+    entered = np.take_along_axis(before, into[:, None, :].repeat(BLOCK, axis=1), axis=2)
+    before = np.where(open_[:, :, None], entered, before).reshape(-1, states)[:n]
+    return before, np.take_along_axis(step[symbol], before, axis=1)
 
 
 def run_state_machine(df: DataFrame, key: str, ts: str, symbol: str, transitions: list[tuple[str, str, str]],
@@ -272,46 +264,53 @@ def run_state_machine(df: DataFrame, key: str, ts: str, symbol: str, transitions
     d = with_split(df.select(_as_text(key).alias("_k"), *cols), ["_k"], ts, slot, target_rows).drop("_last", "_base")
     d = d.repartition(partitions, "_k", "_bkt") if partitions else d.repartition("_k", "_bkt")
     d = d.sortWithinPartitions("_k", "_bkt", *order)
-    # carried values pass through pandas as one string each, so they come back unchanged
-    d = d.withColumn("_carry", F.to_json(F.struct(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(carry)])))
+    # carried values pass through Python as one string each, so they come back unchanged
+    d = d.select("_k", "_bkt", F.col(symbol).cast("string").alias("_sym"),
+                 F.to_json(F.struct(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(carry)])).alias("_carry"))
     out_schema = "kind string, k string, _bkt long, fn array<int>, flags array<boolean>, carried string"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur_k, cur_b, cur = None, None, None
-        summaries = []
+    names = list(step)
+    moves = np.array([step[a][0] for a in names] + [reset_all[0]])
+    alerts_at = np.array([step[a][1] for a in names] + [reset_all[1]])
+    known = pa.array(names, pa.string())
+
+    def flat(rows: np.ndarray, kind) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * n_states), pa.array(rows.ravel(), kind))
+
+    def told(kind: str, k: pa.Array, bkt: pa.Array, fn=None, flags=None, carried=None) -> pa.RecordBatch:
+        n = len(k)
+        return pa.RecordBatch.from_arrays([
+            pa.array([kind] * n), k, bkt, pa.nulls(n, pa.list_(pa.int32())) if fn is None else flat(fn, pa.int32()),
+            pa.nulls(n, pa.list_(pa.bool_())) if flags is None else flat(flags, pa.bool_()), pa.nulls(n, pa.string()) if carried is None else carried],
+            names=["kind", "k", "_bkt", "fn", "flags", "carried"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, entry = None, np.arange(n_states)  # the stretch that is open, as (key, bucket) columns, and its function so far
         for b in batches:
-            ks, bs, syms = b["_k"].to_numpy(), b["_bkt"].to_numpy(), b[symbol].to_numpy()
-            cand_rows, cand_flags = [], []
-            for i in range(len(b)):
-                if ks[i] != cur_k or bs[i] != cur_b:
-                    if cur is not None:
-                        summaries.append((cur_k, int(cur_b), list(cur)))
-                    if len(summaries) >= 10_000:
-                        yield told(summaries)
-                        summaries = []
-                    cur_k, cur_b, cur = ks[i], bs[i], list(range(n_states))
-                nxt, emit = step.get(syms[i], reset_all)
-                flags = [emit[c] for c in cur]
-                if any(flags):
-                    cand_rows.append(i)
-                    cand_flags.append(flags)
-                cur = [nxt[c] for c in cur]
-            if cand_rows:
-                c = b.iloc[cand_rows]
-                yield pd.DataFrame({"kind": "alert", "k": c["_k"].to_numpy(), "_bkt": c["_bkt"].to_numpy(),
-                                    "fn": [None] * len(c), "flags": cand_flags, "carried": c["_carry"].to_numpy()})
-        if cur is not None:
-            summaries.append((cur_k, int(cur_b), list(cur)))
-        if summaries:
-            yield told(summaries)
-
-    def told(summaries: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame({"kind": ["bucket"] * len(summaries), "k": [s[0] for s in summaries], "_bkt": [s[1] for s in summaries],
-                             "fn": [s[2] for s in summaries], "flags": [None] * len(summaries), "carried": [None] * len(summaries)})
+            n = b.num_rows
+            if not n:
+                continue
+            k, bkt = b.column("_k"), b.column("_bkt")
+            begin = np.zeros(n, bool)
+            begin[_starts(b, ["_k", "_bkt"])] = True
+            if last is not None and (last[0][0], last[1][0]) != (k[0], bkt[0]):
+                yield told("bucket", *last, fn=entry[None])
+                entry = np.arange(n_states)
+            sym = pc.fill_null(pc.index_in(b.column("_sym"), known), len(names)).to_numpy(zero_copy_only=False).astype(np.int64)
+            before, after = prefix_states(sym, begin, moves, entry)
+            flags = np.take_along_axis(alerts_at[sym], before, axis=1)
+            if len(rows := np.flatnonzero(flags.any(axis=1))):
+                at = pa.array(rows)
+                yield told("alert", k.take(at), bkt.take(at), flags=flags[rows], carried=b.column("_carry").take(at))
+            if len(ends := np.flatnonzero(begin[1:])):
+                at = pa.array(ends)
+                yield told("bucket", k.take(at), bkt.take(at), fn=after[ends])
+            last, entry = (k.slice(n - 1), bkt.slice(n - 1)), after[-1]
+        if last is not None:
+            yield told("bucket", *last, fn=entry[None])
 
     from tideline.session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
-    res = d.mapInPandas(run, out_schema).checkpoint()
+    res = d.mapInArrow(run, out_schema).checkpoint()
     # entry state of every bucket: fold the composed functions of earlier buckets of the key
     fns = res.where(F.col("kind") == "bucket").groupBy("k").agg(
         F.array_sort(F.collect_list(F.struct("_bkt", "fn"))).alias("_fs"))
