@@ -19,9 +19,9 @@ Method
    band differ in at most D shingles, so with p = D + 2 + D/10 cells at least
    2 + D/10 cells agree.  Listings are joined on (band, cell, word).
 4. *Hot keys.*  A key of more than ``HOT`` listings (a passage that many documents
-   share, or an empty cell) joins only listings that need it: one with at least D + 1
-   cells that are neither empty nor hot agrees with any partner on one of those
-   already.  This leaves out no link.
+   share, or an empty cell) joins only listings that need it: one with more cells that
+   are neither empty nor hot than shingles in which it can differ from a partner (``reach``,
+   at most D) agrees with any partner on one of those already.  This leaves out no link.
 5. *Prune and verify.*  Pairs from the other keys, and each listing that needs a hot
    key paired with the key's smallest node, are pruned by the number of agreeing
    cells and the Hamming distance, and compared exactly.  So a large group of near
@@ -54,7 +54,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tideline.llm.common import materialise, mix64, narrow_batches, raw_texts, text_slices
+from tideline.llm.common import drop_table, materialise, mix64, narrow_batches, raw_texts, text_slices
 from tideline.sources.tables import read_table
 
 THRESHOLD = 85
@@ -116,6 +116,11 @@ class Bands:
             self.memo[n] = out
         return self.memo[n]
 
+    def reach(self, n: int, band: int) -> int:
+        """Most shingles in which a set of n can differ from a linked one of the band: its own part of the band's D."""
+        most = n + min(self.cuts[band + 1] - 1, n * 100 // self.t)
+        return max(self.differ(x) for x in range(max(2, most - 50), most + 1))
+
 
 def sketch(s: np.ndarray, band: int, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(keys of the cells with shingles, keys of the empty cells, bits of all cells)."""
@@ -154,9 +159,9 @@ def document_listings(docs: DataFrame, doc_id: str, text: str, threshold: int, k
                 lists = [] if digest is None or digest in seen else bands.listings(len(s))
                 if len(seen) < MAX_CACHED_SETS:
                     seen.add(digest)
-                for slot, (band, d, cells) in enumerate(lists):
+                for slot, (band, _, cells) in enumerate(lists):
                     full, empty, bits = sketch(s, band, cells)
-                    rows.append((i, len(s), digest, slot, band, d, cells, full, empty, bits.tobytes()))
+                    rows.append((i, len(s), digest, slot, band, bands.reach(len(s), band), cells, full, empty, bits.tobytes()))
                 if not lists:
                     rows.append((i, len(s), digest, 0, None, None, None, none, none, None))
             c = list(zip(*rows))
@@ -181,19 +186,22 @@ def components(edges: DataFrame) -> DataFrame:
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
+        small, before = large.join(low, "u"), e
         e = materialise(small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
                         .filter("u <> v").distinct(), "edges")
+        drop_table(before)
         now = e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
         if now == last:
             break
         last = now
     star = e.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
-    return materialise(star.union(star.select(F.col("component").alias("node"), "component").distinct()), "components")
+    out = materialise(star.union(star.select(F.col("component").alias("node"), "component").distinct()), "components")
+    drop_table(e)
+    return out
 
 
 def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str, text: str, threshold: int, k: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets link."""
+    """The pairs (a, b) of nodes whose sets link, as a table."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(classes, "node").select("node", "rep", "digest")
     wanted = materialise(wanted, "wanted")
 
@@ -214,10 +222,13 @@ def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str, t
     sets = materialise(found.join(wanted.select("node", "digest"), "digest").select("node", "s").dropDuplicates(["node"]), "sets")
     # pairs of sets stay in the JVM: Arrow batches of rows this wide would take much memory
     both = F.size(F.array_intersect("x", "y"))
-    return (pairs.select("a", "b").distinct().join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
-            .join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a")
-            .select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("n"))
-            .filter(100 * F.col("both") >= threshold * (F.col("n") - F.col("both"))).select("a", "b"))
+    links = materialise(pairs.select("a", "b").distinct().join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
+                        .join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a")
+                        .select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("n"))
+                        .filter(100 * F.col("both") >= threshold * (F.col("n") - F.col("both"))).select("a", "b"), "links")
+    for table in (wanted, sets, pairs):
+        drop_table(table)
+    return links
 
 
 def _solve(docs: DataFrame, doc_id: str, text: str, threshold: int, k: int) -> DataFrame:
@@ -228,8 +239,10 @@ def _solve(docs: DataFrame, doc_id: str, text: str, threshold: int, k: int) -> D
     listings = materialise(document_listings(docs, doc_id, text, threshold, k).withColumn("row", F.monotonically_increasing_id()), "listings")
     classes = materialise(listings.filter("slot = 0 AND digest IS NOT NULL").groupBy("digest")
                           .agg(F.min("row").alias("node"), F.min("id").alias("rep")), "classes")
+    light = materialise(listings.filter("slot = 0").select("id", "h", "n", "digest"), "documents")
+    sketches = materialise(listings.filter("band IS NOT NULL").select("row", "n", "bits"), "sketches")
     # every listing with its node; m cells have shingles
-    info = materialise(listings.filter("band IS NOT NULL").select("row", "digest", "n", "band", "d", "cells", F.size("keys").alias("m"))
+    nodes = materialise(listings.filter("band IS NOT NULL").select("row", "digest", "n", "band", "d", "cells", F.size("keys").alias("m"))
                        .join(classes.select("digest", "node"), "digest").drop("digest"), "listing-nodes")
 
     by_key = Window.partitionBy("key")
@@ -237,7 +250,7 @@ def _solve(docs: DataFrame, doc_id: str, text: str, threshold: int, k: int) -> D
               .filter("size > 1"))
     shared = materialise(shared, "shared-keys")
     hot_cells = shared.filter(F.col("size") > HOT).groupBy("row").agg(F.count("*").alias("hot"))
-    info = materialise(info.join(hot_cells, "row", "left").withColumn("useless", F.col("cells") - F.col("m") + F.coalesce("hot", F.lit(0))).drop("hot"),
+    info = materialise(nodes.join(hot_cells, "row", "left").withColumn("useless", F.col("cells") - F.col("m") + F.coalesce("hot", F.lit(0))).drop("hot"),
                        "listing-nodes")
     needy = info.filter("cells - useless < d + 1")
 
@@ -252,10 +265,11 @@ def _solve(docs: DataFrame, doc_id: str, text: str, threshold: int, k: int) -> D
            .union(listings.select("row", F.explode("empty").alias("key")).join(needy.select("row", "node", "band"), "row").select("key", "node", "band"))
            .distinct())
     hot = materialise(hot, "hot-keys")
+    for table in (nodes, listings):
+        drop_table(table)
     star = materialise(hot.join(hot.groupBy("key").agg(F.min("node").alias("a")), "key").filter("a < node")
                        .select("a", F.col("node").alias("b"), "band").distinct(), "stars")
 
-    sketches = listings.select("row", "n", "bits")
     one_row = info.groupBy("node", "band").agg(F.min("row").alias("row"))
 
     def near(batches):
@@ -273,15 +287,19 @@ def _solve(docs: DataFrame, doc_id: str, text: str, threshold: int, k: int) -> D
     pairs = (pairs.union(star).distinct().join(of("b", "y"), ["b", "band"]).join(of("a", "x"), ["a", "band"])
              .filter("100 * least(n_a, n_b) >= {} * greatest(n_a, n_b)".format(threshold))
              .select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), "x", "y").mapInArrow(near, "a long, b long"))
-    links = materialise(_exact(materialise(pairs.distinct(), "pairs"), docs, classes, doc_id, text, threshold, k), "links")
+    pairs = materialise(pairs.distinct(), "pairs")
+    drop_table(shared)
+    links = _exact(pairs, docs, classes, doc_id, text, threshold, k)
 
-    links = _hot_rest(listings, hot, star, one_row, links, bands, lambda p: _exact(p, docs, classes, doc_id, text, threshold, k))
+    links = _hot_rest(sketches, hot, star, one_row, links, bands, lambda p: _exact(p, docs, classes, doc_id, text, threshold, k))
     labels = components(links)
     named = labels.join(classes, "node").groupBy("component").agg(F.min("rep").alias("component_id"))
     of_class = (classes.join(labels, "node", "left").join(named, "component", "left")
                 .select("digest", F.coalesce("component", "node").alias("component"),
                         F.when(F.col("component").isNull(), F.col("rep")).otherwise(F.col("component_id")).alias("component_id"), F.col("rep").alias("class_id")))
-    return (listings.filter("slot = 0").select("id", "h", "n", "digest").join(of_class, "digest", "left")
+    for table in (info, sketches, hot, star, links):
+        drop_table(table)
+    return (light.join(of_class, "digest", "left")
             .select("id", "h", "n", "component", *(F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col(c)).alias(c) for c in ("component_id", "class_id"))))
 
 
@@ -290,7 +308,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     return _solve(docs, doc_id, text, threshold, k).select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), "component_id", "class_id")
 
 
-def _hot_rest(listings, hot, star, one_row, links, bands, exact) -> DataFrame:
+def _hot_rest(sketches, hot, star, one_row, links, bands, exact) -> DataFrame:
     """links and what is missing among listings that need hot keys: pairs of different components, in blocks."""
     if star.isEmpty():
         return links
@@ -304,7 +322,7 @@ def _hot_rest(listings, hot, star, one_row, links, bands, exact) -> DataFrame:
         nodes = nodes.join(size, ["family", "band"]).join(one_row, ["node", "band"]).withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
         nodes = (nodes.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                  .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-                 .join(listings.select("row", "n", "bits"), "row").select("family", "band", "i", "j", "block", "node", "component", "n", "bits"))
+                 .join(sketches, "row").select("family", "band", "i", "j", "block", "node", "component", "n", "bits"))
 
         def compare(table: pa.Table) -> pa.Table:
             block, node, comp, n = (table.column(c).to_numpy() for c in ("block", "node", "component", "n"))
@@ -327,7 +345,11 @@ def _hot_rest(listings, hot, star, one_row, links, bands, exact) -> DataFrame:
         pairs = materialise(nodes.groupBy("family", "band", "i", "j").applyInArrow(compare, "a long, b long").distinct(), "pairs")
         if pairs.isEmpty():
             break
-        links = materialise(links.union(exact(pairs)).distinct(), "links")
+        more, before = exact(pairs), links
+        links = materialise(links.union(more).distinct(), "links")
+        for table in (more, before, labels):
+            drop_table(table)
+    drop_table(family)
     return links
 
 
