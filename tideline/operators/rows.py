@@ -132,15 +132,9 @@ class RowsPerDistinct(MergeableAggregate):
 MAX_OPEN_GROUPS = 10_000
 
 
-def user_aggregate(df: DataFrame, key: str | list[str], cols: list[str], agg: MergeableAggregate,
-                   result: str, out: str = "value") -> DataFrame:
-    """O-19: ``agg`` per key; ``result`` is the SQL type of ``agg.result``.
-
-    Each task adds its rows to one accumulator per group (at most
-    ``MAX_OPEN_GROUPS`` at a time) and only accumulators are shuffled and
-    merged, so a hot key costs a row per task.  Null keys are a group."""
-    keys = [key] if isinstance(key, str) else list(key)
-
+def partial_accumulators(df: DataFrame, keys: list[str], cols: list[str], agg: MergeableAggregate) -> DataFrame:
+    """keys, ``_acc``: each task adds its rows to one accumulator per group (at most
+    ``MAX_OPEN_GROUPS`` at a time), so a group costs a row per task."""
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_groups: dict[tuple, object] = {}
 
@@ -164,14 +158,26 @@ def user_aggregate(df: DataFrame, key: str | list[str], cols: list[str], agg: Me
         if open_groups:
             yield told()
 
+    schema = T.StructType([*(df.schema[k] for k in keys), T.StructField("_acc", T.BinaryType())])
+    return df.select(*dict.fromkeys([*keys, *cols])).mapInArrow(partial, schema)
+
+
+def merge_accumulators(parts: DataFrame, keys: list[str], agg: MergeableAggregate, result: str, out: str) -> DataFrame:
+    """keys, ``out``: the result of each group's merged accumulators."""
     def merged(table: pa.Table) -> pa.Table:
         acc = agg.create()
         for a in table.column("_acc").to_pylist():
             acc = agg.merge(acc, pickle.loads(a))
         return table.select(keys).slice(0, 1).append_column(out, pa.array([agg.result(acc)], value_type))
 
-    kinds = [df.schema[k] for k in keys]
     value = T._parse_datatype_string(result)
     value_type = to_arrow_type(value)
-    part = df.select(*dict.fromkeys([*keys, *cols])).mapInArrow(partial, T.StructType([*kinds, T.StructField("_acc", T.BinaryType())]))
-    return part.groupBy(*keys).applyInArrow(merged, T.StructType([*kinds, T.StructField(out, value)]))
+    return parts.groupBy(*keys).applyInArrow(merged, T.StructType([*(parts.schema[k] for k in keys), T.StructField(out, value)]))
+
+
+def user_aggregate(df: DataFrame, key: str | list[str], cols: list[str], agg: MergeableAggregate,
+                   result: str, out: str = "value") -> DataFrame:
+    """O-19: ``agg`` per key; ``result`` is the SQL type of ``agg.result``.  Only
+    accumulators are shuffled and merged.  Null keys are a group."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return merge_accumulators(partial_accumulators(df, keys, cols, agg), keys, agg, result, out)

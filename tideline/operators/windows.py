@@ -100,6 +100,27 @@ def manual_tumbling_count(df: DataFrame, key, ts: str, size: str) -> DataFrame:
               .withColumn("window_end", ntz_from_us(F.col("_ws") + F.lit(s))).drop("_ws"))
 
 
+#: Relative standard error of a distinct count by sketches of 2^12 registers.
+SKETCH_LOG2, SKETCH_ERROR = 12, 1.04 / 64
+
+
+def distinct_by_sketch(df: DataFrame, user: str, ts: str, size: str, slide: str | None = None, key=None) -> DataFrame:
+    """O-41 / O-42 without the users: key(s), window, pv, uv_estimate (relative standard error ``SKETCH_ERROR``).
+
+    One sketch of fixed size per pane (the largest stretch of time that windows share); panes, not
+    rows or users, are copied to windows, and a window unites its panes' sketches.  Nulls aren't users."""
+    sz, sl = duration_us(size), duration_us(slide or size)
+    pane, keys = math.gcd(sz, sl), _keys(key)
+    p = F.floor(epoch_us(ts) / F.lit(pane)).cast("bigint") * F.lit(pane)
+    panes = df.where(F.col(ts).isNotNull()).groupBy(*keys, p.alias("_p")).agg(F.count(F.lit(1)).alias("_n"), F.hll_sketch_agg(user, SKETCH_LOG2).alias("_h"))
+    first = F.ceil((F.col("_p") + F.lit(pane - sz)) / F.lit(sl)).cast("bigint") * F.lit(sl)
+    last = F.floor(F.col("_p") / F.lit(sl)).cast("bigint") * F.lit(sl)
+    fan = panes.where(first <= last).withColumn("_w", F.explode(F.sequence(first, last, F.lit(sl))))
+    out = fan.groupBy(*keys, "_w").agg(F.sum("_n").cast("bigint").alias("pv"), F.hll_sketch_estimate(F.hll_union_agg("_h")).alias("uv_estimate"))
+    return (out.withColumn("window_start", ntz_from_us("_w"))
+               .withColumn("window_end", ntz_from_us(F.col("_w") + F.lit(sz))).drop("_w"))
+
+
 def session_windows(df: DataFrame, key, ts: str, gap: str | Column,
                     aggs: list[Column] | None = None, slot: str | int = DEFAULT_SLOT,
                     target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:

@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tideline.operators import windows
 from tideline.plans.event_patterns import LOGIN_FAIL_TRANSITIONS
 from tideline.plans.registry import register
 from tideline.session import checkpoint_dir
@@ -425,3 +426,27 @@ def stream_rule_matches(spark, sf_dir):
     rules = spark.createDataFrame([("view", "purchase"), ("error", "error")], "action1 string, action2 string")
     out = _run(spark, sf_dir, "rules", lambda s: stateful.rule_matches_stream(s, "user_id", "ts", "event_type", "event_id", rules))
     return out.select(F.col("k").alias("user_id"), F.col("tb").alias("event_id"), "prev_action", "action")
+
+
+@register("stream_uv_sketch", f"""
+SELECT w AS window_start, w + INTERVAL '1 day' AS window_end, count(*) AS pv, true AS close
+FROM (SELECT time_bucket(INTERVAL '1 day', ts, {_EPOCH}) AS w, user_id FROM events)
+WHERE w + INTERVAL '1 day' <= {_CLOSED} GROUP BY w
+""")
+def stream_uv_sketch(spark, sf_dir):
+    """O-42 on a stream with one sketch a window, held against the exact count: ``close`` within four standard errors."""
+    est = _run(spark, sf_dir, "uv_sketch", lambda s: ops.distinct_by_sketch(s, "user_id", "ts", "1 day", delay="1 hour"))
+    exact = windows.distinct_count_window(read_table(spark, sf_dir, "events"), "user_id", "ts", "1 day").select("window_start", "uv")
+    close = F.abs(F.col("uv_estimate") - F.col("uv")) <= F.greatest(F.lit(1.0), F.col("uv") * (4 * windows.SKETCH_ERROR))
+    return est.join(exact, "window_start").select("window_start", "window_end", "pv", close.alias("close"))
+
+
+@register("stream_early_fire", f"""
+WITH p AS (SELECT event_type, time_bucket(INTERVAL '1 day', ts, {_EPOCH}) AS w, ts FROM events)
+SELECT event_type, w AS window_start, w + INTERVAL '1 day' AS window_end, w + j * INTERVAL '6 hours' AS fire_time, count(*) AS cnt
+FROM p, (SELECT unnest(range(0, 5)) AS j)
+WHERE ts <= w + j * INTERVAL '6 hours' AND w + INTERVAL '1 day' <= {_CLOSED} GROUP BY ALL
+""")
+def stream_early_fire(spark, sf_dir):
+    """O-51 on a stream: counts every six hours inside a day's window."""
+    return _run(spark, sf_dir, "early_fire", lambda s: ops.early_fire_count(s, "event_type", "ts", "1 day", "6 hours", delay="1 hour"))

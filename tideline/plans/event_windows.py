@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tideline.functions.time import epoch_ms
-from tideline.operators import topn, windows
+from tideline.operators import sessions, topn, windows
+from tideline.operators.rows import RowsPerDistinct
 from tideline.plans.registry import register
 from tideline.sources.tables import read_table
 
@@ -291,3 +292,54 @@ def ms_event_time(spark, sf_dir):
     from tideline.functions.time import ntz_from_ms
     ev = _events(spark, sf_dir, "event_id", "ts").select("event_id", epoch_ms("ts").alias("ms"))
     return ev.withColumn("event_ts", ntz_from_ms("ms"))
+
+
+@register("session_user_aggregate", """
+WITH o AS (SELECT user_id, ts, event_type, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev, event_id FROM events),
+s AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts > prev + INTERVAL '12 hours' THEN 1 ELSE 0 END)
+             OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM o)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '12 hours' AS session_end,
+       round(count(*) / count(DISTINCT event_type), 6) AS rows_per_type
+FROM s GROUP BY user_id, sid
+""")
+def session_user_aggregate(spark, sf_dir):
+    """O-44 with a user-defined aggregate (rows per distinct type); a user's rows are split into buckets of
+    about five, so most sessions are merged from several."""
+    ev = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_type")
+    out = sessions.session_aggregate(ev, "user_id", "ts", "12 hours", ["event_type"], RowsPerDistinct("event_type"), "double",
+                                     "rows_per_type", slot="1 hour", target_rows=5)
+    return out.withColumn("rows_per_type", F.round("rows_per_type", 6))
+
+
+@register("session_user_aggregate_varying_gap", """
+WITH e AS (SELECT user_id, ts, event_id, event_type, ts + length(event_type) * INTERVAL '3 hours' AS until FROM events),
+o AS (SELECT *, max(until) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM e),
+s AS (SELECT *, sum(CASE WHEN reach IS NULL OR ts > reach THEN 1 ELSE 0 END)
+             OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM o)
+SELECT user_id, min(ts) AS session_start, max(until) AS session_end,
+       round(count(*) / count(DISTINCT event_type), 6) AS rows_per_type FROM s GROUP BY user_id, sid
+""")
+def session_user_aggregate_varying_gap(spark, sf_dir):
+    """O-45 with a user-defined aggregate: the gap is three hours per letter of the type."""
+    ev = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_type")
+    gap = F.length("event_type").cast("long") * F.lit(3 * 3_600_000_000)
+    out = sessions.session_aggregate(ev, "user_id", "ts", gap, ["event_type"], RowsPerDistinct("event_type"), "double",
+                                     "rows_per_type", slot="1 hour", target_rows=5)
+    return out.withColumn("rows_per_type", F.round("rows_per_type", 6))
+
+
+_UV_EXACT = """
+SELECT w AS window_start, w + INTERVAL '2 days' AS window_end, count(*) AS pv, count(DISTINCT user_id) AS uv, true AS close
+FROM (SELECT time_bucket(INTERVAL '8 hours', ts, TIMESTAMP '1970-01-01') - i * INTERVAL '8 hours' AS w, user_id
+      FROM events, (SELECT unnest(range(6)) AS i))
+"""
+
+
+@register("sliding_uv_sketch", _UV_EXACT + "GROUP BY w")
+def sliding_uv_sketch(spark, sf_dir):
+    """O-41 by sketches per pane, held against the exact count: ``close`` within four standard errors."""
+    ev = read_table(spark, sf_dir, "events").select("user_id", "ts")
+    est = windows.distinct_by_sketch(ev, "user_id", "ts", "2 days", "8 hours")
+    exact = windows.pv_per_uv(ev, "user_id", "ts", "2 days", "8 hours").select("window_start", "uv")
+    close = F.abs(F.col("uv_estimate") - F.col("uv")) <= F.greatest(F.lit(1.0), F.col("uv") * (4 * windows.SKETCH_ERROR))
+    return est.join(exact, "window_start").select("window_start", "window_end", "pv", "uv", close.alias("close"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.time import duration_us, event_time, to_ntz
+from tideline.operators.windows import SKETCH_LOG2
 
 
 def _keys(key) -> list[str]:
@@ -56,6 +57,14 @@ def distinct_count(df: DataFrame, user: str, ts: str, size: str, slide: str | No
     return out.withColumn("pv_per_uv", F.round(F.col("pv") / F.col("uv"), 6))
 
 
+def distinct_by_sketch(df: DataFrame, user: str, ts: str, size: str, slide: str | None = None, delay: str = "0 seconds") -> DataFrame:
+    """O-41 / O-42 on a stream without the users: a window's state is one sketch of fixed size
+    (relative standard error ``windows.SKETCH_ERROR``)."""
+    d = with_event_time(df, ts, delay)
+    w = F.window("et", _iv(size), _iv(slide or size)).alias("window")
+    return _flat(d.groupBy(w).agg(F.count(F.lit(1)).alias("pv"), F.hll_sketch_estimate(F.hll_sketch_agg(user, SKETCH_LOG2)).alias("uv_estimate")))
+
+
 def session_count(df: DataFrame, key, ts: str, gap: str | Column, delay: str = "0 seconds") -> DataFrame:
     d = with_event_time(df, ts, delay)
     g = _iv(gap) if isinstance(gap, (str, int)) else gap
@@ -64,21 +73,23 @@ def session_count(df: DataFrame, key, ts: str, gap: str | Column, delay: str = "
                .withColumn("session_end", to_ntz(F.col("session.end"))).drop("session"))
 
 
+def _step_counts(df: DataFrame, key, ts: str, size: str, index: Column, last: int, delay: str) -> DataFrame:
+    """keys, w, _j, cnt: rows of the window whose step index is at most ``_j``.  Rows are counted per
+    step; only these counts fan out to later steps, in a second aggregation.  The window stays
+    a grouping key of both, so that the watermark closes a group with its window."""
+    d = with_event_time(df, ts, delay).withColumn("w", F.window("et", _iv(size)))
+    steps = d.groupBy(*_keys(key), "w", index.cast("bigint").alias("_i")).agg(F.count(F.lit(1)).alias("_n"))
+    fan = steps.withColumn("_j", F.explode(F.sequence("_i", F.lit(last).cast("bigint"))))
+    return fan.groupBy(*_keys(key), "w", "_j").agg(F.sum("_n").cast("bigint").alias("cnt"))
+
+
 def cumulative_count(df: DataFrame, key, ts: str, step: str, max_size: str, delay: str = "0 seconds") -> DataFrame:
-    """O-55 on a stream: the max-size window stays a grouping key (keeps the
-    watermark), each row fans out to the steps at or after its own."""
+    """O-55 on a stream: the counts of a window up to each of its steps."""
     st, mx = duration_us(step), duration_us(max_size)
-    n = mx // st
-    d = with_event_time(df, ts, delay)
-    w = F.window("et", _iv(max_size))
-    d = d.withColumn("w", w)
-    i = F.floor((F.unix_micros("et") - F.unix_micros(F.col("w.start"))) / F.lit(st)).cast("bigint")
-    d = d.withColumn("_j", F.explode(F.sequence(i, F.lit(n - 1).cast("bigint"))))
-    out = d.groupBy(*_keys(key), "w", "_j").agg(F.count(F.lit(1)).alias("cnt"))
-    return (out.withColumn("window_start", to_ntz(F.col("w.start")))
-               .withColumn("window_end", to_ntz(F.timestamp_micros(F.unix_micros(F.col("w.start"))
-                                                                  + (F.col("_j") + 1) * F.lit(st))))
-               .drop("w", "_j"))
+    i = F.floor((F.unix_micros("et") - F.unix_micros(F.col("w.start"))) / F.lit(st))
+    out = _step_counts(df, key, ts, max_size, i, mx // st - 1, delay)
+    end = F.timestamp_micros(F.unix_micros(F.col("w.start")) + (F.col("_j") + 1) * F.lit(st))
+    return out.withColumn("window_start", to_ntz(F.col("w.start"))).withColumn("window_end", to_ntz(end)).drop("w", "_j")
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: str, l_ts: str, r_ts: str, lower: str, upper: str,
@@ -170,15 +181,10 @@ def running_aggregate(df: DataFrame, key, aggs: list[Column]) -> DataFrame:
 
 
 def early_fire_count(df: DataFrame, key, ts: str, size: str, step: str, delay: str = "0 seconds") -> DataFrame:
-    """O-51 on a stream: snapshots at ``start + i*step`` (rows with ts <= T)
-    plus the full window at its end; the window stays a grouping key so the
-    watermark closes each group with its window."""
+    """O-51 on a stream: snapshots at ``start + i*step`` (rows with ts <= T) plus the full window at its end."""
     sz, st = duration_us(size), duration_us(step)
-    n = sz // st
-    d = with_event_time(df, ts, delay).withColumn("w", F.window("et", _iv(size)))
-    i0 = F.ceil((F.unix_micros("et") - F.unix_micros(F.col("w.start"))) / F.lit(st)).cast("bigint")
-    d = d.withColumn("_j", F.explode(F.sequence(i0, F.lit(n).cast("bigint"))))
-    out = d.groupBy(*_keys(key), "w", "_j").agg(F.count(F.lit(1)).alias("cnt"))
+    i0 = F.ceil((F.unix_micros("et") - F.unix_micros(F.col("w.start"))) / F.lit(st))
+    out = _step_counts(df, key, ts, size, i0, sz // st, delay)
     fire = F.timestamp_micros(F.unix_micros(F.col("w.start")) + F.col("_j") * F.lit(st))
     return (out.withColumn("window_start", to_ntz(F.col("w.start"))).withColumn("window_end", to_ntz(F.col("w.end")))
                .withColumn("fire_time", to_ntz(fire)).drop("w", "_j"))
