@@ -100,22 +100,26 @@ def count_window_sliding(df: DataFrame, key, ts: str, size: int, step: int, valu
     """O-48 countWindow(size, step): after every ``step``-th row of a key, the
     aggregate of its last ``size`` rows (fewer at the start).
 
-    Each row is copied to the (at most ceil(size/step)) firing positions that
-    include it and aggregated by (key, firing seq) — bounded groups, no
-    key-wide window frame."""
+    A bounded frame inside each bucket of rows, over the partitioning that the
+    row numbers have already.  Only firing rows among the first ``size - 1`` of a
+    later bucket need rows of earlier ones, which are among those buckets' last
+    ``size - 1``: these alone are copied to the firing positions they belong to."""
     keys = _keys(key)
-    d = keyed_seq(df, keys, ts, tiebreak, slot, target_rows=target_rows)
+    d = keyed_seq(df.select(*dict.fromkeys([*keys, ts, value, *([tiebreak] if tiebreak else [])])), keys, ts, tiebreak, slot,
+                  target_rows=target_rows)
+    frame = Window.partitionBy(*keys, "_bkt").orderBy(ts, *([tiebreak] if tiebreak else [])).rowsBetween(1 - size, 0)
+    head = (F.col("_bkt") > 0) & (F.col("_lrn") < size)
+    tail = (F.col("_bkt") < F.col("_last")) & (F.col("_lrn") > F.col("_bcnt") - (size - 1))
+    fires = F.col("seq") % step == 0
+    inner = (d.withColumn("total", F.sum(value).over(frame)).where(fires & ~head)
+              .select(*keys, F.col("seq").alias("fire_seq"), F.least("seq", F.lit(size)).cast("bigint").alias("cnt"), "total"))
     # firing positions f (multiples of step) with seq <= f < seq + size
-    first_f = F.ceil(F.col("seq") / F.lit(step)).cast("bigint") * F.lit(step)
-    last_f = F.col("seq") + F.lit(size - 1)
-    fires = F.sequence(first_f, F.greatest(first_f, last_f - F.pmod(last_f, F.lit(step))), F.lit(step))
-    ex = d.select(*keys, "seq", F.col(value), F.explode(fires).alias("fire_seq"))
-    ex = ex.where(F.col("fire_seq") - F.col("seq") < size)
-    # a firing exists only where the key has a row at that position: the row
-    # itself is in its own group, so no join with per-key totals is needed
-    out = ex.groupBy(*keys, "fire_seq").agg(F.count(F.lit(1)).alias("cnt"), F.sum(value).alias("total"),
-                                            F.max(F.col("seq") == F.col("fire_seq")).alias("_here"))
-    return out.where(F.col("_here")).drop("_here")
+    first = F.ceil(F.col("seq") / F.lit(step)).cast("bigint") * F.lit(step)
+    rim = d.where(head | tail).select(*keys, "seq", F.col(value).alias("_v"), F.explode(
+        F.when(first < F.col("seq") + size, F.sequence(first, F.col("seq") + F.lit(size - 1), F.lit(step).cast("bigint")))).alias("fire_seq"), head.alias("_head"))
+    rim = rim.groupBy(*keys, "fire_seq").agg(F.count(F.lit(1)).alias("cnt"), F.sum("_v").alias("total"),
+                                             F.max(F.col("_head") & (F.col("seq") == F.col("fire_seq"))).alias("_here"))
+    return inner.unionByName(rim.where(F.col("_here")).drop("_here"))
 
 
 def changelog_count(df: DataFrame, key, ts: str, tiebreak: str | None = None,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tideline.functions.time import epoch_ms
-from tideline.operators import aggs, layout, route, rows
+from tideline.operators import aggs, layout, route, rows, table_functions
 from tideline.operators.sequence import running_aggregates
 from tideline.plans.registry import register
 from tideline.sources import codec
@@ -341,3 +341,45 @@ def decode_payload(spark, sf_dir):
     """O-05: message value (JSON text) -> typed columns, as after a Kafka source."""
     ev = _events(spark, sf_dir, "event_id", "props")
     return codec.decode_kafka_value(ev, "k bigint", value="props", keep=["event_id"])
+
+
+@register("flat_map_function", """
+SELECT event_id, lower(part) AS word, length(part) AS size
+FROM (SELECT event_id, unnest(regexp_extract_all(event_type || ' ' || props, '[A-Za-z]+|[0-9]+')) AS part FROM events)
+""")
+def flat_map_function(spark, sf_dir):
+    """O-13 / O-18: a user's flatMap as a table function: the words and numbers of two columns."""
+    def words(event_type, props):
+        import re
+        for w in re.findall("[A-Za-z]+|[0-9]+", f"{event_type} {props}"):
+            yield w.lower(), len(w)
+    return table_functions.flat_map_function(_events(spark, sf_dir, "event_id", "event_type", "props"), words, ["event_type", "props"],
+                                             "word string, size bigint", ["event_id"])
+
+
+@register("keyed_table_function", """
+WITH r AS (SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id)
+                  - row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS run FROM events)
+SELECT user_id, event_type, min(event_id) AS first_id, count(*) AS length FROM r GROUP BY user_id, event_type, run
+""")
+def keyed_table_function(spark, sf_dir):
+    """O-18: a table function over each user's rows in order: runs of equal event types."""
+    def step(run, row):
+        if run and run[0] == row["event_type"]:
+            run[2] += 1
+        else:
+            if run:
+                yield tuple(run)
+            run[:] = [row["event_type"], row["event_id"], 1]
+
+    return table_functions.keyed_table_function(
+        _events(spark, sf_dir, "user_id", "ts", "event_id", "event_type"), ["user_id"], ["ts", "event_id"], ["event_type"],
+        list, step, lambda run: [tuple(run)], "event_type string, first_id bigint, length bigint")
+
+
+@register("reduce_function", "SELECT event_type, count(*) AS n, max(event_id) AS event_id, min(user_id) AS user_id FROM events GROUP BY event_type")
+def reduce_function(spark, sf_dir):
+    """O-18 / O-32: a user's reduce of (1, event, user) tuples per event type, merged per task."""
+    ev = _events(spark, sf_dir, "event_type", "event_id", "user_id").withColumn("n", F.lit(1).cast("bigint"))
+    return table_functions.reduce_function(ev, ["event_type"], ["n", "event_id", "user_id"],
+                                           lambda a, b: (a[0] + b[0], max(a[1], b[1]), min(a[2], b[2])))

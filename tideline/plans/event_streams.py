@@ -20,13 +20,13 @@ from tideline.plans.registry import register
 from tideline.session import checkpoint_dir
 from tideline.sources.tables import read_table
 from tideline.sources import files
-from tideline.streaming import feeds, ops, sinks, stateful, topn
+from tideline.streaming import feeds, ops, sinks, stateful, timers, topn
 from tideline.streaming.replay import replay, run_to_parquet
 
 _EPOCH = "TIMESTAMP '1970-01-01'"
 
 
-def _run(spark, sf_dir, name, build, cols=("event_id", "ts", "user_id", "event_type"), displaced=False):
+def _run(spark, sf_dir, name, build, cols=("event_id", "ts", "user_id", "event_type"), displaced=False, empty_batches=True):
     """``displaced``: rows arrive up to ten positions early or late, across the cuts between micro-batches."""
     base = os.path.join(checkpoint_dir(spark), "tideline-streams", f"{name}-{uuid.uuid4().hex[:8]}")
     ev = read_table(spark, sf_dir, "events").select(*cols)
@@ -34,7 +34,7 @@ def _run(spark, sf_dir, name, build, cols=("event_id", "ts", "user_id", "event_t
         ev = ev.withColumn("arrival", F.col("event_id") + F.col("event_id") * 7919 % 21 - 10)
     stream = replay(ev, base, 4, "arrival" if displaced else "event_id")
     out = os.path.join(base, "out")
-    run_to_parquet(build(stream), out, os.path.join(base, "ck"))
+    run_to_parquet(build(stream), out, os.path.join(base, "ck"), empty_batches)
     return spark.read.parquet(out)
 
 
@@ -450,3 +450,59 @@ WHERE ts <= w + j * INTERVAL '6 hours' AND w + INTERVAL '1 day' <= {_CLOSED} GRO
 def stream_early_fire(spark, sf_dir):
     """O-51 on a stream: counts every six hours inside a day's window."""
     return _run(spark, sf_dir, "early_fire", lambda s: ops.early_fire_count(s, "event_type", "ts", "1 day", "6 hours", delay="1 hour"))
+
+
+@register("stream_debounce", """
+WITH e AS (SELECT user_id, epoch_us(ts) // 1000 AS ms FROM events),
+s AS (SELECT user_id, ms, CASE WHEN ms - lag(ms) OVER w < 21600000 THEN 0 ELSE 1 END AS fresh FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ms)),
+g AS (SELECT user_id, ms, sum(fresh) OVER (PARTITION BY user_id ORDER BY ms ROWS UNBOUNDED PRECEDING) AS burst FROM s)
+SELECT user_id, min(ms) AS first_ms, max(ms) + 21600000 AS fire_ms, count(*) AS cnt FROM g GROUP BY user_id, burst
+HAVING max(ms) + 21600000 <= (SELECT max(ms) FROM e) - 86400000
+""")
+def stream_debounce(spark, sf_dir):
+    """O-75: a user's bursts, told six quiet hours after their last event; rows arrive out of order."""
+    out = _run(spark, sf_dir, "debounce", lambda s: timers.debounce_stream(s, "user_id", "ts", "6 hours", delay="1 day"), displaced=True)
+    return out.select(F.col("k").alias("user_id"), "first_ms", "fire_ms", "cnt")
+
+
+@register("stream_recently_seen", """
+SELECT user_id, event_id, event_type, min(event_id) OVER (PARTITION BY user_id, event_type) AS first_id,
+       row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS recent_rows
+FROM events
+""")
+def stream_recently_seen(spark, sf_dir):
+    """O-77: map and list state with expiring entries; at a TTL of thirty days nothing expires while this runs."""
+    out = _run(spark, sf_dir, "recently_seen", lambda s: timers.recently_seen_stream(
+        s, "user_id", "ts", "event_type", "event_id", "30 days", refresh_on_read=True),
+        empty_batches=False)
+    return out.select(F.col("k").alias("user_id"), F.col("tb").alias("event_id"), F.col("item").alias("event_type"), "first_id", "recent_rows")
+
+
+@register("stream_upserted_windows", f"""
+SELECT event_type, time_bucket(INTERVAL '6 hours', ts, {_EPOCH}) AS window_start,
+       time_bucket(INTERVAL '6 hours', ts, {_EPOCH}) + INTERVAL '6 hours' AS window_end, count(*) AS cnt
+FROM events GROUP BY ALL
+""")
+def stream_upserted_windows(spark, sf_dir):
+    """O-53 on a stream: windows updated by late rows in an upsert sink, read back as their last versions; open windows included."""
+    base = os.path.join(checkpoint_dir(spark), "tideline-streams", f"upserts-{uuid.uuid4().hex[:8]}")
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    ev = ev.withColumn("arrival", F.col("event_id") + F.col("event_id") * 7919 % 21 - 10)
+    out = os.path.join(base, "out")
+    counts = ops.window_count_with_lateness(replay(ev, base, 4, "arrival"), "event_type", "ts", "6 hours", "1 hour", "1 day")
+    sinks.upsert_sink(counts, out, os.path.join(base, "ck")).awaitTermination()
+    return sinks.latest_rows(spark.read.parquet(out), ["event_type", "window_start", "window_end"])
+
+
+@register("stream_ingestion_windows", "SELECT user_id, count(*) AS cnt, 0 AS unstamped FROM events GROUP BY user_id")
+def stream_ingestion_windows(spark, sf_dir):
+    """O-43: windows over stamped arrival times; which window a row falls into is the clock's, each user's total over them isn't."""
+    base = os.path.join(checkpoint_dir(spark), "tideline-streams", f"stamped-{uuid.uuid4().hex[:8]}")
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    out = os.path.join(base, "out")
+    sinks.stamped_sink(replay(ev, base, 4, "event_id"), out, os.path.join(base, "ck")).awaitTermination()
+    stamped = spark.read.parquet(out).withColumn("arrived", F.col("arrived").cast("timestamp_ntz"))
+    per_window = windows.tumbling_count(stamped.where(F.col("arrived").isNotNull()), "user_id", "arrived", "10 seconds")
+    lost = stamped.where(F.col("arrived").isNull()).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    totals = per_window.groupBy("user_id").agg(F.sum("cnt").cast("bigint").alias("cnt"))
+    return totals.join(lost, "user_id", "left").select("user_id", "cnt", F.coalesce("n", F.lit(0)).cast("int").alias("unstamped"))

@@ -6,7 +6,9 @@ the watermark advances between batches as it would on a live feed."""
 
 from __future__ import annotations
 
+import contextlib
 import os
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,12 +59,27 @@ def read_replay(spark: SparkSession, folder: str, schema, files_per_trigger: int
                  .parquet(folder))
 
 
-def run_to_parquet(df: DataFrame, path: str, checkpoint: str) -> None:
+@contextlib.contextmanager
+def only_data_batches(spark: SparkSession) -> Iterator[None]:
+    """Queries started within run no micro-batch without input (a query copies its settings when it starts).  State
+    on processing time asks for such batches without end, so that ``availableNow`` wouldn't come to one."""
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def run_to_parquet(df: DataFrame, path: str, checkpoint: str, empty_batches: bool = True) -> None:
     """Run a streaming DataFrame over all available input into a parquet folder
     (append mode): output and checkpoint live on shared storage, a restart
-    resumes exactly once.  Runs until all input is read, however long that takes."""
-    q = (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-           .outputMode("append").trigger(availableNow=True).start())
+    resumes exactly once.  Runs until all input is read, however long that takes.
+    State on processing time needs ``empty_batches=False``."""
+    with contextlib.nullcontext() if empty_batches else only_data_batches(df.sparkSession):
+        q = (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+               .outputMode("append").trigger(availableNow=True).start())
     try:
         q.awaitTermination()
     finally:

@@ -1,4 +1,4 @@
-"""Streaming sinks (O-07, O-08) and the streaming late-data split (O-54)."""
+"""Streaming sinks (O-07, O-08, O-53), the streaming late-data split (O-54) and durable arrival times (O-43)."""
 
 from __future__ import annotations
 
@@ -99,3 +99,28 @@ def late_split_sink(df: DataFrame, ts: str, arrival: str, size: str, delay: str,
     w = df.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
+
+
+def upsert_sink(df: DataFrame, path: str, checkpoint: str, available_now: bool = True):
+    """O-53: an aggregated stream in update mode; each epoch writes the groups it changed into a folder of its own
+    (overwrite), so a replayed epoch is idempotent.  ``latest_rows`` is the read side.  The watermark's delay is the
+    allowed lateness: until it has passed a window, a late row updates the window's row instead of being lost."""
+    def per_batch(batch: DataFrame, epoch: int):
+        batch.write.mode("overwrite").parquet(os.path.join(path, f"epoch={epoch}"))
+
+    w = df.writeStream.outputMode("update").foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w
+    return w.start()
+
+
+def latest_rows(updates: DataFrame, keys: list[str], epoch: str = "epoch") -> DataFrame:
+    """The last written row of each key (null keys are a key) of a table of updates, without its epoch."""
+    rest = [c for c in updates.columns if c not in (*keys, epoch)]
+    last = updates.groupBy(*keys).agg(F.max_by(F.struct(*rest), epoch).alias("_last"))
+    return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
+
+
+def stamped_sink(df: DataFrame, path: str, checkpoint: str, col: str = "arrived", available_now: bool = True):
+    """O-43: rows with the time they arrived at (their micro-batch's, which Spark keeps in the checkpoint, so that a
+    repeated micro-batch gets the same one), written once.  Windows on ``col`` of that table replay alike."""
+    return rolling_file_sink(df.withColumn(col, F.current_timestamp()), path, checkpoint, available_now=available_now)
