@@ -21,6 +21,8 @@ def brute(rows, items, overlap=0.8):
         ws = D.words(text or "")
         for item, q in items:
             if not q or len(D.words(q)) < D.MIN_ITEM_WORDS:
+                if q and D.words(q) and f" {' '.join(D.words(q))} " in f" {' '.join(ws)} ":
+                    out.add((i, item))
                 continue
             ok = True
             for part in D.split_item(q):
@@ -106,3 +108,14 @@ def test_whole_item_where_the_split_is_a_guess(spark):
     assert sorted(r.doc_id for r in D.decontaminate(docs, items).collect()) == [2, 3]
     parts = spark.createDataFrame([(7, *D.split_item(item))], "item_id long, question string, answer string")
     assert D.find_leaks(docs, parts, question="question", answer="answer").count() == 0  # real parts are both wanted
+
+
+def test_items_of_few_words(spark):
+    items = [(1, "What is the capital of Peru? Lima"), (2, "the capital, OF Peru"), (3, "Lima"), (3, "Lima"), (6, "Lima"), (4, "..."), (5, "Quito")]
+    docs = [(1, "They ask: what is the capital of Peru?  LIMA!"), (2, "What is the capital of the old Peru? Lima"), (3, "limas grow"),
+            (4, "x " * 5000 + "capital of Peru, the capital of Peru"), (5, ""), (6, None)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id int, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["passage_start"], r["score"], r["question_overlap"]) for r in D.find_leaks(d, b).collect())
+    assert got == [(1, 1, 2, 1.0, 1.0), (1, 2, 4, 1.0, 1.0), (1, 3, 8, 1.0, 1.0), (1, 6, 8, 1.0, 1.0), (2, 3, 8, 1.0, 1.0), (2, 6, 8, 1.0, 1.0), (4, 2, 5003, 1.0, 1.0)]
+    assert sorted(r["doc_id"] for r in D.decontaminate(d, b).collect()) == [3, 5, 6]
+    assert {r[:2] for r in got} == brute(docs, items)

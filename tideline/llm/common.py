@@ -5,12 +5,14 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import pickle
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tideline.session import checkpoint_dir
@@ -49,6 +51,23 @@ def keep_rows(df: DataFrame, condition: Column) -> DataFrame:
     return df.withColumn("__kept", F.explode(once)).drop("__kept")
 
 
+class Shared:
+    """A broadcast object of this package's classes.  A plain broadcast names them by module, so that every worker
+    would need the package on its path; this one carries the classes with the bytes, and a task makes its object once."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def __getstate__(self) -> dict:
+        return {"packed": self.packed}
+
+    @property
+    def value(self) -> object:
+        if "made" not in self.__dict__:
+            self.made = pickle.loads(self.packed.value)
+        return self.made
+
+
 #: Rows of an Arrow batch where a row has a whole text.
 TEXT_ROWS = 1_000
 

@@ -16,8 +16,8 @@ Words are ``\\w+`` of the lower-cased text.  Where the items bring no ``question
 ``answer`` columns, the last sentence is taken for the answer.  That is a guess, so
 such an item is also found by ``overlap`` of the shingles of its whole text, whatever
 the overlaps of the two parts are.  Items of
-fewer than ``MIN_ITEM_WORDS`` words are not looked for: ordinary prose contains
-them by chance.
+fewer than ``MIN_ITEM_WORDS`` words have too few shingles to tell a likeness: they
+are found where their whole word sequence occurs in a document, with score and overlaps 1.
 
 Scale: the index is built from items only, never from training documents, in
 shards of at most ``SHARD_BYTES`` of item text (the bound on what is broadcast);
@@ -25,9 +25,9 @@ a larger benchmark takes more passes over the documents, not a larger broadcast.
 Documents are never shuffled.
 
 Edge cases: a null or empty text has no passages and is clean; null items are
-skipped; repeated items and documents give a row each; an empty table on either
-side gives no rows (or all documents kept); other columns are passed through or
-ignored whatever their names.
+skipped; an item repeated under its own id counts once, under other ids it gives a
+row each, as do repeated documents; an empty table on either side gives no rows (or
+all documents kept); other columns are passed through or ignored whatever their names.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tideline.llm.common import narrow_batches, text_slices, texts
+from tideline.llm.common import Shared, narrow_batches, text_slices, texts
 from tideline.sources.tables import read_table
 
 WORD = re.compile(r"\w+")
@@ -76,10 +76,13 @@ class SegmentIndex:
     def __init__(self, items: list[tuple], k1: float = 1.2, b: float = 0.75, guessed: bool = False):
         """items: (item_id, question, answer); guessed: the parts are a guess, the whole text counts too."""
         self.items, segments = [], []
+        self.short: dict[tuple[str, ...], list] = defaultdict(list)  # word sequence: its items, and whether they have an answer
         for item_id, question, answer in items:
             q, a = words(question or ""), words(answer or "")
             ws = q + a
             if len(ws) < MIN_ITEM_WORDS:
+                if ws:
+                    self.short[tuple(ws)].append((item_id, 1.0 if a else None))
                 continue
             n = math.ceil(len(ws) / STRIDE)
             cuts = [len(ws) * i // n for i in range(n + 1)]
@@ -200,6 +203,9 @@ class LeakFinder:
     def __init__(self, index: SegmentIndex, threshold: float, overlap: float):
         self.index, self.threshold, self.overlap = index, threshold, overlap
         self.ids = _TermIds(index.vocab)
+        self.sizes: dict[str, set[int]] = defaultdict(set)  # first word of short items: how many words they have
+        for ws in index.short:
+            self.sizes[ws[0]].add(len(ws))
 
     def _terms(self, text: str) -> np.ndarray:
         tokens = text.split()
@@ -210,11 +216,23 @@ class LeakFinder:
             self.ids = _TermIds(self.index.vocab)
         return a
 
+    def find_short(self, batch: list[str]) -> list[tuple[int, object, int, float, float, float | None]]:
+        """As ``find``, for items of few words: where their sequence occurs first."""
+        out = []
+        for row, text in enumerate(batch if self.sizes else ()):
+            ws, first = words(text), {}
+            for i, w in enumerate(ws):
+                for n in self.sizes.get(w, ()):
+                    if (seq := tuple(ws[i:i + n])) in self.index.short:
+                        first.setdefault(seq, i)
+            out += [(row, item_id, i, 1.0, 1.0, answer) for seq, i in first.items() for item_id, answer in self.index.short[seq]]
+        return out
+
     def find(self, batch: list[str]) -> list[tuple[int, object, int, float, float, float | None]]:
         """(row, item_id, first word of the best passage, score, question overlap, answer overlap)."""
-        n_terms = len(self.index.vocab)
+        out, n_terms = self.find_short(batch), len(self.index.vocab)
         if not n_terms:
-            return []
+            return out
         keys, base, first = [], 0, []
         for text in batch:
             a = self._terms(text)
@@ -237,7 +255,7 @@ class LeakFinder:
             row = int(np.searchsorted(row_of, passage, "right")) - 1
             k = (row, self.index.item_of[seg])
             best[k] = max(best.get(k, (-1.0, 0)), (score, -(passage - first[row]) * STRIDE))
-        out, grams, last = [], set(), None
+        grams, last = set(), None
         for (row, item), (score, at) in sorted(best.items()):
             if row != last:
                 ws, last = words(batch[row]), row
@@ -288,7 +306,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     slim, out = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), None
     id_type, names = _arrow_type(items.schema[item_id].dataType), [f.name for f in schema]
     for index in _index_shards(items, item_id, item_text, question, answer):
-        shared = spark.sparkContext.broadcast(index)
+        shared = Shared(spark, index)
 
         def task(batches, shared=shared):
             finder = LeakFinder(shared.value, threshold, overlap)
@@ -312,7 +330,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     spark = docs.sparkSession
     narrow_batches(spark)
     for index in _index_shards(items, item_id, item_text, question, answer):
-        shared = spark.sparkContext.broadcast(index)
+        shared = Shared(spark, index)
 
         def task(batches, shared=shared):
             finder = LeakFinder(shared.value, threshold, overlap)

@@ -34,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tideline.llm.common import mix64, text_slices, texts
+from tideline.llm.common import Shared, mix64, text_slices, texts
 from tideline.sources.tables import read_table
 
 WORD = re.compile(r"\w+")
@@ -190,7 +190,7 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = ALL_TEMPLA
     """(doc_id, license, template, start_word, containment): a row per document and template found."""
     if sum(len(t) for _, t in templates) > MAX_TEMPLATE_BYTES:
         raise ValueError("templates are broadcast; scan with parts of them")
-    shared = docs.sparkSession.sparkContext.broadcast(Scanner(templates, containment))
+    shared = Shared(docs.sparkSession, Scanner(templates, containment))
     schema = T.StructType([T.StructField(doc_id, docs.schema[doc_id].dataType), T.StructField("license", T.StringType()), T.StructField("template", T.IntegerType()),
                            T.StructField("start_word", T.LongType()), T.StructField("containment", T.DoubleType())])
     names = schema.fieldNames()

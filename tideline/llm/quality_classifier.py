@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tideline.llm.common import materialise, raw_texts, text_slices
+from tideline.llm.common import Shared, materialise, raw_texts, text_slices
 from tideline.sources.tables import read_table
 
 TRAIN_ROWS = 100_000
@@ -127,7 +127,7 @@ def fit(table: DataFrame, labels: DataFrame, doc_id: str, label: str, train_rows
     if not moments["n"] or moments["y"] in (0.0, 1.0):
         model.ys = np.array([0.5 if not moments["n"] else moments["y"]])
         return model
-    shared = spark.sparkContext.broadcast(model)
+    shared = Shared(spark, model)
     iu = np.triu_indices(DIM + 1)
 
     def normal(batches):
@@ -148,7 +148,7 @@ def fit(table: DataFrame, labels: DataFrame, doc_id: str, label: str, train_rows
         else:
             a[r["i"], r["j"]] = a[r["j"], r["i"]] = r["v"]
     model.beta = np.linalg.solve(a + RIDGE * max(1.0, a[DIM, DIM]) * np.diag(np.r_[np.ones(DIM), 0]) + 1e-9 * np.eye(DIM + 1), b)
-    fitted = spark.sparkContext.broadcast(model)
+    fitted = Shared(spark, model)
 
     def bucket(batches):
         for batch in batches:
@@ -169,7 +169,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
                     train_rows: int = TRAIN_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted): a row per document."""
     table = materialise(features(docs, doc_id, text), "features")
-    shared = docs.sparkSession.sparkContext.broadcast(fit(table, labels, doc_id, label, train_rows))
+    shared = Shared(docs.sparkSession, fit(table, labels, doc_id, label, train_rows))
 
     def task(batches):
         for batch in batches:

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tideline.llm.common import narrow_batches, text_slices, texts
+from tideline.llm.common import Shared, narrow_batches, text_slices, texts
 from tideline.sources.tables import read_table
 
 SPACE = "▁"
@@ -309,7 +309,7 @@ def encode_documents(docs: DataFrame, model_path: str, text: str = "text", carry
     """The ``carry`` columns (default: all), ids and n_ids; with ``check`` also round_trip:
     whether decoding the ids gives the text back (U+2581 read as a space)."""
     narrow_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model_path))
+    shared = Shared(docs.sparkSession, load_vocabulary(model_path))
     added = ["ids", "n_ids", *["round_trip"] * check]
     carry = [c for c in (docs.columns if carry is None else carry) if c not in added]
     kinds = {f.name: f for f in docs.schema}
@@ -333,7 +333,7 @@ def encode_documents(docs: DataFrame, model_path: str, text: str = "text", carry
 
 def decode_documents(encoded: DataFrame, model_path: str, ids: str = "ids", out: str = "text") -> DataFrame:
     """All columns and the decoded text; null ids give a null text."""
-    shared = encoded.sparkSession.sparkContext.broadcast(load_vocabulary(model_path).pieces)
+    shared = Shared(encoded.sparkSession, load_vocabulary(model_path).pieces)
     kept = [f for f in encoded.schema if f.name != out]
 
     def task(batches):

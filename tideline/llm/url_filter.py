@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tideline.llm.common import materialise, mix64
+from tideline.llm.common import Shared, materialise, mix64
 from tideline.sources.tables import read_table
 
 MAX_BYTES = 256 << 20
@@ -109,7 +109,7 @@ class Cascade:
 
 
 def _passing(keys: DataFrame, level: Level) -> DataFrame:
-    shared = keys.sparkSession.sparkContext.broadcast(level)
+    shared = Shared(keys.sparkSession, level)
 
     def task(batches):
         for batch in batches:
@@ -169,7 +169,7 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str]]
         hosts = df.select("host").distinct().withColumn("key", F.explode(every)).join(hit, "key").select(F.col("host").alias("h")).distinct()
         df = df.join(hosts, F.col("host") == F.col("h"), "left").withColumn("listed", F.col("h").isNotNull()).drop("h")
     else:
-        shared = pages.sparkSession.sparkContext.broadcast(build_cascade(universe))
+        shared = Shared(pages.sparkSession, build_cascade(universe))
 
         def task(batches):
             for batch in batches:
