@@ -1,17 +1,26 @@
 """Information-theoretic sanitisation of personal data, in DataFrame operations only.
 
-Protected entities are e-mail addresses, IP addresses, card and phone numbers, found by
-pattern.  Other words can give an entity away too.  Over the whole corpus
+Protected entities are e-mail addresses, IP addresses, card and phone numbers and secrets
+(keys and tokens: runs of 20 or more letters and digits mixed), found by pattern.  Other
+words can give an entity away too.  Over the whole corpus
 
     p(e | t) = documents with term t near entity e / documents with t
     I(t; e)  = log2( p(e | t) / p(e) )        bits of disclosure
 
 where near means within ``NEAR`` characters and p(e) is the share of documents with e.  A
-term (a run of at least ``MIN_LETTERS`` letters, lower-cased) discloses e if it is near it
-in at least ``min_support`` different texts, p(e | t) >= ``generalise_at`` and I(t; e) >=
-``min_bits``.  In documents that hold e, each occurrence of the term becomes a span:
-of kind ``term`` if p(e | t) < ``remove_at`` (generalised to a token), else of kind
-``removed``.  Documents without a protected entity are left as they are.
+term is a run of at least ``MIN_LETTERS`` letters, lower-cased.  An entity e is a value, a
+pool of values (an address's local part or domain, an IP's first three parts, a card's
+issuer digits, a phone's area digits) or a whole kind.  A term discloses e if I(t; e) >=
+``min_bits`` and one of these holds:
+
+* it is near e in at least ``min_support`` different texts and p(e | t) >= ``generalise_at``;
+* it is too rare for that, and its rarity stands for support: it is near entities in one
+  text only, or near one value only, and p(e | t) >= ``remove_at`` over the whole corpus.
+
+Each occurrence of a disclosing term becomes a span: of kind ``removed`` if it has support
+and p(e | t) >= ``remove_at``, else of kind ``term`` (generalised to a token).  A term that
+discloses a value is replaced wherever it stands, also in documents without an entity; one
+that discloses a pool or a kind only in documents that hold one of it.
 
 Positions are code points, ends exclusive.  Matches of a kind don't overlap; a match that
 fails its check (an IP part over 255, a card that fails Luhn, a wrong number of digits) is
@@ -21,9 +30,12 @@ text has one token for what overlaps.
 The patterns are written so that Java's matcher neither recurses nor rescans: possessive
 repeats, and a start only where a run starts or the last match ended (``\\G``).
 
-Scale: two scans of the texts; only documents with an entity (and their text) are written
-to the shared folder and joined.  Term counts are grouped by term, combined before the
-shuffle; joins are by term, entity or a digest of the text, on tables of such pairs.
+Scale: only documents with an entity (and their text) are written to the shared folder.
+Term counts are grouped by term, pairs by entity and term, combined before the shuffle, and
+copies of a text count as one row with a number; joins are by term, by digest of the text
+or by both digest and entity, so no pair of a document and a term is made that doesn't
+occur in it.  Documents without an entity are joined to the terms found in them by digest,
+a table whose size Spark knows.
 
 Edge cases: null and empty texts have no spans and stay; repeated rows are counted as
 documents but add no support (support counts different texts); an empty table gives an empty
@@ -38,19 +50,24 @@ from tideline.llm.common import keep_rows, materialise
 from tideline.sources.tables import read_table
 
 # The kinds in their order, and their patterns.
-KINDS = ["email", "ip", "card", "phone", "term", "removed"]
+KINDS = ["email", "ip", "card", "phone", "secret", "term", "removed"]
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-TOKENS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>", "term": "<TERM>", "removed": ""}
+TOKENS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>", "secret": "<SECRET>", "term": "<TERM>", "removed": ""}
+SECRET = r"(?<![A-Za-z0-9])[A-Za-z0-9]{20,}+"
 LETTERS = r"\p{L}++"
 
 NEAR = 100
 MIN_LETTERS = 3
+#: Levels of what a span stands for.
+VALUE, POOL, KIND = 0, 1, 2
 _CHUNK = 256
+_TERM = KINDS.index("term")
+_SECRET_GUARD = r"(?<![A-Za-z0-9])[A-Za-z0-9]{20}"
 _SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
@@ -88,6 +105,8 @@ def _valid(kind: str, value: Column) -> Column:
         return F.length(digits).between(12, 19) & F.call_function("luhn_check", digits)
     if kind == "phone":
         return F.length(digits).between(9, 15)
+    if kind == "secret":  # digits and letters mixed, and not a few repeated
+        return (F.length(digits) >= 3) & (F.length(value) - F.length(digits) >= 3) & (F.size(F.array_distinct(F.split(value, ""))) >= 8)
     return F.lit(True)
 
 
@@ -115,45 +134,105 @@ def _written(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))))
 
 
+def _entities(s: Column) -> Column:
+    """What a protected span stands for: (level, name) of its value, of the pools it belongs to and of its kind."""
+    kind, value = F.get(F.array(*map(F.lit, KINDS)), s["kind"]), F.lower(s["value"])
+    digits = F.regexp_replace(value, "[^0-9]", "")
+
+    def pool(name, part):
+        return F.struct(F.lit(POOL).alias("level"), F.concat(F.lit(name), part).alias("name"))
+
+    pools = (F.when(kind == "email", F.array(pool("local part ", F.substring_index(value, "@", 1)), pool("domain ", F.substring_index(value, "@", -1))))
+             .when(kind == "ip", F.array(pool("network ", F.substring_index(value, ".", 3))))
+             .when(kind == "card", F.array(pool("issuer ", F.substring(digits, 1, 6))))
+             .when(kind == "phone", F.array(pool("area ", F.substring(digits, 1, 4))))
+             .otherwise(F.array().cast("array<struct<level:int,name:string>>")))
+    return F.concat(F.array(F.struct(F.lit(VALUE).alias("level"), F.concat_ws(" ", kind, value).alias("name"))), pools,
+                    F.array(F.struct(F.lit(KIND).alias("level"), kind.alias("name"))))
+
+
 def disclosing_terms(private: DataFrame, corpus: DataFrame, min_support: int, generalise_at: float, remove_at: float, min_bits: float) -> DataFrame:
-    """(entity, term, kind, p, bits).  private: digest, spans, words of documents with an entity; corpus: t."""
-    entity = F.concat_ws(":", F.col("s.kind").cast("string"), F.lower("s.value"))
+    """(entity, level, name, term, kind, p, bits), a row for each entity or pool that a term discloses.
+    private: digest, protected, words of documents with an entity; corpus: t of all documents."""
     near = F.filter("words", lambda w: (w["end"] > F.col("s.start") - NEAR) & (w["start"] < F.col("s.end") + NEAR))
-    # a document counts once for a pair, however often the two stand together
-    mentions = (private.withColumn("s", F.explode("spans"))
-                .select("digest", entity.alias("entity"), F.transform(near, lambda w: F.lower(w["value"])).alias("near"))
-                .groupBy("digest", "entity").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")))
+    # a text counts once for a pair, however often the two stand together and however many copies it has
+    mentions = (private.withColumn("s", F.explode("protected"))
+                .select("digest", F.array_distinct(F.transform(near, lambda w: F.lower(w["value"]))).alias("near"), _entities(F.col("s")).alias("of"))
+                .select("digest", "near", F.inline("of")).withColumn("entity", F.xxhash64("level", "name")))
     copies = private.groupBy("digest").agg(F.count("*").alias("copies"))
-    mentions = mentions.join(copies, "digest")
-    with_entity = mentions.groupBy("entity").agg(F.sum("copies").alias("n_e"))
-    pairs = (mentions.select("entity", "copies", F.explode("near").alias("term")).groupBy("entity", "term")
-             .agg(F.count("*").alias("support"), F.sum("copies").alias("n_te")).filter(F.col("support") >= min_support))
+    named = mentions.groupBy("digest", "entity").agg(F.first("level").alias("level"), F.first("name").alias("name"))
+    n_e = named.join(copies, "digest").groupBy("entity").agg(F.sum("copies").alias("n_e"), F.first("level").alias("level"), F.first("name").alias("name"))
+    together = materialise(mentions.select("digest", "entity", "level", F.explode("near").alias("term")).distinct().join(copies, "digest"), "mentions")
+    often = (together.groupBy("entity", "term").agg(F.count("*").alias("support"), F.sum("copies").alias("n_te"))
+             .filter(F.col("support") >= min_support).select("entity", "term", "n_te", F.lit(False).alias("rare")))
+    # rarity stands for support: every mention in one text, or every mention beside one entity
+    rare = (together.filter(F.col("level") == VALUE).groupBy("term")
+            .agg(F.count("*").alias("pairs"), *(f(c).alias(f"{n}_{c}") for c in ("digest", "entity") for n, f in (("a", F.min), ("b", F.max))),
+                 F.max("copies").alias("copies"), F.sum("copies").alias("n"))
+            .withColumn("one_text", F.col("a_digest") == F.col("b_digest"))
+            .filter(F.col("one_text") | ((F.col("a_entity") == F.col("b_entity")) & (F.col("pairs") < min_support)))
+            .select(F.explode(F.array_distinct(F.array("a_entity", "b_entity"))).alias("entity"), "term",
+                    F.when(F.col("one_text"), F.col("copies")).otherwise(F.col("n")).alias("n_te"), F.lit(True).alias("rare")))
+    pairs = often.unionByName(rare)
     counts = corpus.select(F.explode(F.array_distinct(F.split(F.lower("t"), r"[^\p{L}]++"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     total = corpus.count()
-    p = F.col("n_te") / F.greatest("n_t", "n_te")
-    return (pairs.join(with_entity, "entity").join(counts, "term")
-            .withColumn("p", p).withColumn("bits", F.log2(p * F.lit(total) / F.col("n_e")))
-            .filter((F.col("p") >= generalise_at) & (F.col("bits") >= min_bits))
-            .select("entity", "term", F.when(F.col("p") >= remove_at, KINDS.index("removed")).otherwise(KINDS.index("term")).alias("kind"), "p", "bits"))
+    likely = (pairs.join(counts, "term").withColumn("p", F.col("n_te") / F.greatest("n_t", "n_te"))
+              .filter(F.col("p") >= F.when(F.col("rare"), remove_at).otherwise(generalise_at)))
+    kind = F.when((F.col("p") >= remove_at) & ~F.col("rare"), KINDS.index("removed")).otherwise(KINDS.index("term"))
+    return (likely.join(n_e, "entity").withColumn("bits", F.log2(F.col("p") * F.lit(total) / F.col("n_e")))
+            .filter(F.col("bits") >= min_bits).select("entity", "level", "name", "term", kind.alias("kind"), "p", "bits"))
+
+
+def _texts(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """(clean, private): rows without and with a protected entity; the latter with their words, written to the shared folder."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).withColumn("t", F.col("row")[text])
+    base = base_spans(rows, "t", "base")
+    base = find_matches(base, "t", SECRET, "secret", KINDS.index("secret"), F.col("t").rlike(_SECRET_GUARD))
+    base = base.withColumn("secret", F.filter("secret", _check("secret"))).withColumn("digest", F.unhex(F.md5("t")))
+    has_entity = (F.size("base") > 0) | (F.size("secret") > 0)
+    private = find_matches(keep_rows(base, has_entity).withColumn("protected", F.array_sort(F.concat("base", "secret"))), "t", LETTERS, "words", _TERM)
+    words = F.filter("words", lambda w: (w["end"] - w["start"] >= MIN_LETTERS)
+                     & ~F.exists("protected", lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
+    clean = keep_rows(base, ~has_entity).withColumn("protected", F.array().cast(_SPAN))
+    return clean, materialise(private.withColumn("words", words), "private")
+
+
+def disclosures(docs: DataFrame, text: str = "text", min_support: int = 3, generalise_at: float = 0.5, remove_at: float = 0.9,
+                min_bits: float = 4.0) -> DataFrame:
+    """What ``sanitise`` acts on: (entity, level, name, term, kind, p, bits)."""
+    return disclosing_terms(_texts(docs, text)[1], docs.select(F.col(text).alias("t")), min_support, generalise_at, remove_at, min_bits)
 
 
 def sanitise(docs: DataFrame, text: str = "text", min_support: int = 3, generalise_at: float = 0.5, remove_at: float = 0.9,
              min_bits: float = 4.0) -> DataFrame:
     """(row, spans, base, redacted): the input row as a struct, all spans, those by pattern, and the redacted text."""
-    base = base_spans(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).withColumn("t", F.col("row")[text]), "t", "base")
-    private = find_matches(keep_rows(base, F.size("base") > 0).withColumn("digest", F.unhex(F.md5("t"))), "t", LETTERS, "words", KINDS.index("term"))
-    words = F.filter("words", lambda w: (w["end"] - w["start"] >= MIN_LETTERS)
-                     & ~F.exists("base", lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
-    private = materialise(private.withColumn("words", words), "private")
-    terms = disclosing_terms(private.withColumnRenamed("base", "spans"), docs.select(F.col(text).alias("t")), min_support, generalise_at, remove_at, min_bits)
-    entity = F.concat_ws(":", F.col("s.kind").cast("string"), F.lower("s.value"))
-    of_text = (private.select("digest", F.explode("base").alias("s")).select("digest", entity.alias("entity")).distinct()
-               .join(terms, "entity").groupBy("digest", "term").agg(F.max("kind").alias("kind"))
-               .groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("terms")))
+    clean, private = _texts(docs, text)
+    corpus = docs.select(F.col(text).alias("t"))
+    terms = materialise(disclosing_terms(private, corpus, min_support, generalise_at, remove_at, min_bits), "terms")
+
+    # a term that discloses a value does so wherever it stands, one that discloses a pool in documents that hold one of it
+    texts = private.select("digest", F.explode(F.array_distinct(F.transform("words", lambda w: F.lower(w["value"])))).alias("term")).distinct().join(terms, "term")
+    held = (private.select("digest", F.explode("protected").alias("s")).select("digest", F.inline(_entities(F.col("s"))))
+            .select("digest", F.xxhash64("level", "name").alias("entity")).distinct())
+    elsewhere = (corpus.select(F.unhex(F.md5("t")).alias("digest"), F.explode(F.array_distinct(F.split(F.lower("t"), r"[^\p{L}]++"))).alias("term"))
+                 .join(terms.filter((F.col("level") == VALUE) & (F.col("p") < 1)), "term"))
+    found = (texts.filter(F.col("level") == VALUE).select("digest", "term", "kind")
+             .union(texts.filter(F.col("level") > VALUE).join(held, ["digest", "entity"], "left_semi").select("digest", "term", "kind"))
+             .union(elsewhere.select("digest", "term", "kind")))
+    of_text = materialise(found.groupBy("digest", "term").agg(F.max("kind").alias("kind"))
+                          .groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("terms")), "terms-of-text")
+    private = private.join(of_text, "digest", "left")
+    clean = clean.join(of_text, "digest", "left")
+    clean = find_matches(clean, "t", LETTERS, "words", _TERM, F.col("terms").isNotNull())
+    same = ["row", "t", "base", "protected", "words", "terms"]
+    return _redacted(private.select(same)).union(_redacted(clean.select(same)))
+
+
+def _redacted(df: DataFrame) -> DataFrame:
+    """(row, spans, base, redacted) from t, base, protected, words and the disclosing terms of the text."""
     hits = F.filter(F.transform("words", lambda w: F.struct(w["start"].alias("start"), F.element_at("terms", F.lower(w["value"])).alias("kind"),
                                                             w["end"].alias("end"), w["value"].alias("value"))), lambda w: w["kind"].isNotNull())
-    private = (private.join(of_text, "digest", "left")
-               .withColumn("spans", F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", hits)))))
+    df = df.withColumn("spans", F.when(F.col("terms").isNull(), F.col("protected")).otherwise(F.array_sort(F.concat("protected", hits))))
     tokens = F.array(*(F.lit(TOKENS[k]) for k in KINDS))
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -161,10 +240,9 @@ def sanitise(docs: DataFrame, text: str = "text", min_support: int = 3, generali
         more = F.concat(acc["out"], F.substr("t", acc["at"] + 1, s["start"] - acc["at"]), F.get(tokens, s["kind"]))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], more).otherwise(acc["out"]).alias("out"))
 
-    redacted = F.aggregate("spans", begin, put, lambda acc: F.concat(acc["out"], F.substr("t", acc["at"] + 1, F.length("t"))))
-    none = F.array().cast(_SPAN)
-    clean = keep_rows(base, F.size("base") == 0).select("row", none.alias("spans"), none.alias("base"), F.col("t").alias("redacted"))
-    return clean.union(private.select("row", F.col("spans").cast(_SPAN), F.col("base").cast(_SPAN), redacted.alias("redacted")))
+    redacted = F.when(F.size("spans") == 0, F.col("t")).otherwise(
+        F.aggregate("spans", begin, put, lambda acc: F.concat(acc["out"], F.substr("t", acc["at"] + 1, F.length("t")))))
+    return df.select("row", F.col("spans").cast(_SPAN), F.col("base").cast(_SPAN), redacted.alias("redacted"))
 
 
 def redact(docs: DataFrame, text: str = "text", **limits) -> DataFrame:
