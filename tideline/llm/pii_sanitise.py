@@ -67,7 +67,7 @@ MIN_LETTERS = 3
 VALUE, POOL, KIND = 0, 1, 2
 _CHUNK = 256
 _TERM = KINDS.index("term")
-_SECRET_GUARD = r"(?<![A-Za-z0-9])[A-Za-z0-9]{20}"
+_SECRET_GUARD = r"[0-9][A-Za-z]|[A-Za-z][0-9]"
 _SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
@@ -188,13 +188,11 @@ def _texts(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).withColumn("t", F.col("row")[text])
     base = base_spans(rows, "t", "base")
     base = find_matches(base, "t", SECRET, "secret", KINDS.index("secret"), F.col("t").rlike(_SECRET_GUARD))
-    base = base.withColumn("secret", F.filter("secret", _check("secret"))).withColumn("digest", F.unhex(F.md5("t")))
-    has_entity = (F.size("base") > 0) | (F.size("secret") > 0)
-    private = find_matches(keep_rows(base, has_entity).withColumn("protected", F.array_sort(F.concat("base", "secret"))), "t", LETTERS, "words", _TERM)
+    base = base.withColumn("protected", F.array_sort(F.concat("base", F.filter("secret", _check("secret"))))).drop("secret").withColumn("digest", F.unhex(F.md5("t")))
+    private = find_matches(keep_rows(base, F.size("protected") > 0), "t", LETTERS, "words", _TERM)
     words = F.filter("words", lambda w: (w["end"] - w["start"] >= MIN_LETTERS)
                      & ~F.exists("protected", lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
-    clean = keep_rows(base, ~has_entity).withColumn("protected", F.array().cast(_SPAN))
-    return clean, materialise(private.withColumn("words", words), "private")
+    return keep_rows(base, F.size("protected") == 0), materialise(private.withColumn("words", words), "private")
 
 
 def disclosures(docs: DataFrame, text: str = "text", min_support: int = 3, generalise_at: float = 0.5, remove_at: float = 0.9,
@@ -214,20 +212,26 @@ def sanitise(docs: DataFrame, text: str = "text", min_support: int = 3, generali
     texts = private.select("digest", F.explode(F.array_distinct(F.transform("words", lambda w: F.lower(w["value"])))).alias("term")).distinct().join(terms, "term")
     held = (private.select("digest", F.explode("protected").alias("s")).select("digest", F.inline(_entities(F.col("s"))))
             .select("digest", F.xxhash64("level", "name").alias("entity")).distinct())
-    elsewhere = (corpus.select(F.unhex(F.md5("t")).alias("digest"), F.explode(F.array_distinct(F.split(F.lower("t"), r"[^\p{L}]++"))).alias("term"))
-                 .join(terms.filter((F.col("level") == VALUE) & (F.col("p") < 1)), "term"))
     found = (texts.filter(F.col("level") == VALUE).select("digest", "term", "kind")
-             .union(texts.filter(F.col("level") > VALUE).join(held, ["digest", "entity"], "left_semi").select("digest", "term", "kind"))
-             .union(elsewhere.select("digest", "term", "kind")))
-    of_text = materialise(found.groupBy("digest", "term").agg(F.max("kind").alias("kind"))
-                          .groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("terms")), "terms-of-text")
-    private = private.join(of_text, "digest", "left")
-    clean = clean.join(of_text, "digest", "left")
+             .union(texts.filter(F.col("level") > VALUE).join(held, ["digest", "entity"], "left_semi").select("digest", "term", "kind")))
+    # the few terms with p < 1 are all that other documents can have; a table of their own shows Spark how small they are
+    spread = materialise(terms.filter((F.col("level") == VALUE) & (F.col("p") < 1)).select("term", "kind"), "spread-terms")
+    elsewhere = (corpus.select(F.unhex(F.md5("t")).alias("digest"), F.explode(F.array_distinct(F.split(F.lower("t"), r"[^\p{L}]++"))).alias("term"))
+                 .join(spread, "term").select("digest", "term", "kind"))
+    # merged at every size: private documents are shuffled, others only if the terms found in them outgrow a broadcast
+    private = private.join(_by_text(found).hint("merge"), "digest", "left")
+    clean = clean.join(materialise(_by_text(elsewhere), "terms-elsewhere"), "digest", "left")
     clean = find_matches(clean, "t", LETTERS, "words", _TERM, F.col("terms").isNotNull())
     same = ["row", "t", "base", "protected", "words", "terms"]
     return _redacted(private.select(same)).union(_redacted(clean.select(same)))
 
 
+def _by_text(found: DataFrame) -> DataFrame:
+    """(digest, terms): a map from term to kind, from rows (digest, term, kind)."""
+    return (found.groupBy("digest", "term").agg(F.max("kind").alias("kind"))
+            .groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("terms")))
+
+
 def _redacted(df: DataFrame) -> DataFrame:
     """(row, spans, base, redacted) from t, base, protected, words and the disclosing terms of the text."""
     hits = F.filter(F.transform("words", lambda w: F.struct(w["start"].alias("start"), F.element_at("terms", F.lower(w["value"])).alias("kind"),
