@@ -8,7 +8,7 @@ import pytest
 from conftest import frame
 from pyspark.sql import functions as F
 from streams import stream_parts
-from tideline.streaming import feeds
+from tideline.streaming import feeds, timers
 
 
 def two_feeds(s, groups):
@@ -16,7 +16,10 @@ def two_feeds(s, groups):
     return feeds.two_feeds_stream(*sides, "k", "ts", "id", "5 minutes", groups=groups)
 
 
-OPERATORS = {"two_feeds": two_feeds}
+OPERATORS = {
+    "two_feeds": two_feeds,
+    "debounce": lambda s, n: timers.debounce_stream(s, "k", "ts", "5 minutes", groups=n),
+}
 
 
 @pytest.mark.parametrize("name", OPERATORS)

@@ -4,67 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tideline.functions.time import duration_us
+from tideline.streaming.groups import DEFAULT_GROUPS, KeyGroups, codes, grouped_state
 from tideline.streaming.stateful import DEFAULT_SLOT, _arranged, _in_order, keyed_state, with_watermark
 
 
-class Debounce(StatefulProcessor):
-    """Open bursts of a key as (first, last, rows), disjoint and in time order.  Each has one timer,
-    ``quiet`` after its last row; rows that extend or join bursts delete the timers they make stale."""
+class Debounce(KeyGroups):
+    """Open bursts of a key as (first, last, rows), disjoint.  A burst is due ``quiet`` after its last row; rows that
+    extend or join bursts move that, and the group's timer with it."""
+
+    columns = ("k", "first", "last", "n")
 
     def __init__(self, quiet_ms: int):
         self.quiet = quiet_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.bursts = handle.getListState("bursts", "first long, last long, n long")
-
-    def _open(self) -> list[tuple]:
-        return [tuple(b) for b in self.bursts.get()] if self.bursts.exists() else []
-
-    def _keep(self, bursts: list[tuple]) -> None:
-        self.bursts.clear()
-        if bursts:
-            self.bursts.put(bursts)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        joined: list[tuple] = []
-        for first, last, n in sorted(self._open() + [(int(r.ms), int(r.ms), 1) for r in rows]):
-            if joined and first - joined[-1][1] < self.quiet:
-                a, b, m = joined[-1]
-                joined[-1] = (a, max(b, last), m + n)
-            else:
-                joined.append((first, last, n))
-        self._keep(joined)
-        wanted, have = {b[1] + self.quiet for b in joined}, set(self.handle.listTimers())
-        for t in have - wanted:
-            self.handle.deleteTimer(t)
-        for t in wanted - have:
-            self.handle.registerTimer(t)
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        bursts = self._open()
-        self._keep([b for b in bursts if b[1] + self.quiet != at])
-        return iter([Row(k=key[0], first_ms=b[0], fire_ms=at, cnt=b[2]) for b in bursts if b[1] + self.quiet == at])
-
-    def close(self) -> None:
-        pass
-
-
-def debounce_stream(df: DataFrame, key: str, ts: str, quiet: str, delay: str = "0 seconds") -> DataFrame:
+    def fresh(self, rows, now):
+        return pd.DataFrame({"k": rows["k"], "first": rows["ms"], "last": rows["ms"], "n": np.int64(1)})
+
+    def advance(self, rows, known, now):
+        code = codes(rows)
+        order = np.lexsort((rows["last"], rows["first"], code))
+        rows, code = rows.iloc[order], code[order]
+        last = rows["last"].to_numpy()
+        reach = rows["last"].groupby(code).cummax().to_numpy()
+        fresh = np.ones(len(rows), bool)
+        fresh[1:] = (code[1:] != code[:-1]) | (rows["first"].to_numpy()[1:] - reach[:-1] >= self.quiet)
+        at = np.flatnonzero(fresh)
+        bursts = rows.iloc[at].assign(last=np.maximum.reduceat(last, at), n=np.add.reduceat(rows["n"].to_numpy(), at))
+        fire = bursts["last"] + self.quiet
+        told, rest = bursts[fire <= now], bursts[fire > now]
+        out = pd.DataFrame({"k": told["k"], "first_ms": told["first"], "fire_ms": told["last"] + self.quiet, "cnt": told["n"]})
+        return [out], rest, int(rest["last"].min()) + self.quiet if len(rest) else None
+
+
+def debounce_stream(df: DataFrame, key: str, ts: str, quiet: str, delay: str = "0 seconds", groups: int = DEFAULT_GROUPS) -> DataFrame:
     """O-75: one row (k, first_ms, fire_ms, cnt) for each burst of a key, when ``quiet`` has passed since its
     last row in event time.  A row less than ``quiet`` after another is of the same burst and moves its timer,
     whatever order the rows arrive in within the watermark.  State is a row per open burst.  Null keys are a
     key, rows without a time are left out."""
     d = with_watermark(df, key, ts, delay, [])
-    schema = f"k {df.schema[key].dataType.simpleString()}, first_ms long, fire_ms long, cnt long"
-    return keyed_state(d, Debounce(duration_us(quiet) // 1000), schema, "EventTime")
+    return grouped_state(d, Debounce(duration_us(quiet) // 1000), "first_ms long, fire_ms long, cnt long", groups)
 
 
 class RecentlySeen(StatefulProcessor):
