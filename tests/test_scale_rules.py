@@ -1,5 +1,8 @@
 """One answer at every size, and no lost or altered rows: splits, null keys and times, equal ids."""
 
+import numpy as np
+import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -129,3 +132,28 @@ def test_changelog_of_a_null_key(spark):
     df = frame(spark, [(None, hm(1)), (None, hm(2)), ("a", hm(1))], "k string, ms long")
     got = sorted((str(r.k), r.op, r.cnt) for r in aggs.changelog_count(df, "k", "ts", target_rows=1).collect())
     assert got == sorted([("None", "+I", 1), ("None", "-U", 1), ("None", "+U", 2), ("a", "+I", 1)])
+
+
+@pytest.mark.parametrize("agg", [rows.MeanOf("v"), rows.RowsPerDistinct("v")])
+def test_many_small_groups_at_once(agg):
+    values = pd.DataFrame({"v": [1.0, None, 2.0, 2.0, 5.0, None, None, 1.0]})
+    at, accs = np.array([0, 1, 2, 5]), [agg.add(agg.create(), values[3:5]), *(agg.create() for _ in range(3))]
+    one_by_one = [agg.add(acc, values[a:b]) for acc, a, b in zip(accs, [0, 1, 2, 5], [1, 2, 5, 8])]
+    assert agg.add_groups(accs, values, at) == one_by_one
+
+
+def test_groups_cost_no_call_each(spark):
+    """Accumulators of a group are one stretch of a sorted task, across batches too; odd keys are groups like others."""
+    nan, data = float("nan"), []
+    for i in range(3000):
+        data.append(([nan, None, 0.0, -0.0, 1.5][i % 5], i % 3 or None, i))
+    df = spark.createDataFrame(data, "a double, b long, v long").repartition(7)
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        out = rows.user_aggregate(df, ["a", "b"], ["v"], rows.RowsPerDistinct("v"), "double", "per")
+        assert "FlatMapGroups" not in out._jdf.queryExecution().toString()
+        got = sorted((str(None if r.a is None else r.a + 0.0), str(r.b), r.per) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    assert got == sorted((a, b, 1.0) for a in ("nan", "None", "0.0", "1.5") for b in ("None", "1", "2"))

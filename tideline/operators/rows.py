@@ -7,9 +7,11 @@ shuffle), which exist because users bring functions of those shapes."""
 
 from __future__ import annotations
 
+import itertools
 import pickle
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -75,7 +77,8 @@ def encode_string(df: DataFrame, fmt: str, *cols: str | Column, out: str = "line
 
 class MergeableAggregate:
     """O-19: a user-defined aggregate of four steps.  ``add`` takes a pandas frame
-    of rows of one group, ``merge`` two accumulators; accumulators are pickled."""
+    of rows of one group, ``merge`` two accumulators; accumulators are pickled.
+    ``add_groups`` may be overridden where groups are many and small."""
 
     def create(self):
         raise NotImplementedError
@@ -83,6 +86,10 @@ class MergeableAggregate:
     def add(self, acc, rows: pd.DataFrame):
         raise NotImplementedError
 
+    def add_groups(self, accs: list, rows: pd.DataFrame, at: np.ndarray) -> list:
+        """``accs`` with the rows of each group added: those of group i begin at ``at[i]`` and end where the next's begin."""
+        return [self.add(acc, rows.iloc[a:b]) for acc, a, b in zip(accs, at, [*at[1:], len(rows)])]
+
     def merge(self, a, b):
         raise NotImplementedError
 
@@ -103,6 +110,10 @@ class MeanOf(MergeableAggregate):
         v = rows[self.col]
         return acc[0] + float(v.sum()), acc[1] + int(v.count())
 
+    def add_groups(self, accs, rows, at):
+        v = rows[self.col].groupby(np.repeat(np.arange(len(at)), np.diff(at, append=len(rows))))
+        return [(a + float(s), n + int(m)) for (a, n), s, m in zip(accs, v.sum(), v.count())]
+
     def merge(self, a, b):
         return a[0] + b[0], a[1] + b[1]
 
@@ -122,6 +133,15 @@ class RowsPerDistinct(MergeableAggregate):
     def add(self, acc, rows):
         return acc[0] + len(rows), acc[1] | frozenset(rows[self.col].dropna().unique().tolist())
 
+    def add_groups(self, accs, rows, at):
+        code, values = pd.factorize(rows[self.col])
+        values, n = values.tolist(), np.diff(at, append=len(rows))
+        known = code >= 0
+        pairs = np.unique(np.repeat(np.arange(len(at)), n)[known] * len(values) + code[known])
+        group, code = np.divmod(pairs, max(len(values), 1))
+        cuts, code = np.searchsorted(group, np.arange(len(at) + 1)).tolist(), code.tolist()
+        return [(m + k, seen.union(values[c] for c in code[a:b])) for (m, seen), k, a, b in zip(accs, n.tolist(), cuts, cuts[1:])]
+
     def merge(self, a, b):
         return a[0] + b[0], a[1] | b[1]
 
@@ -146,12 +166,14 @@ def partial_accumulators(df: DataFrame, keys: list[str], cols: list[str], agg: M
         schema = None
         for batch in batches:
             schema = schema or batch.schema
-            rows = batch.select(cols).to_pandas()
-            groups: dict[tuple, list[int]] = {}
-            for i, k in enumerate(zip(*(batch.column(c).to_pylist() for c in keys))):
-                groups.setdefault(k, []).append(i)
-            for k, at in groups.items():
-                open_groups[k] = agg.add(open_groups[k] if k in open_groups else agg.create(), rows.iloc[at])
+            if not batch.num_rows:
+                continue
+            rows, ids = batch.select(cols).to_pandas(), {}
+            code = np.array([ids.setdefault(k, len(ids)) for k in zip(*(batch.column(c).to_pylist() for c in keys))])
+            order = np.argsort(code, kind="stable")
+            at = np.searchsorted(code[order], np.arange(len(ids)))
+            accs = [open_groups[k] if k in open_groups else agg.create() for k in ids]
+            open_groups.update(zip(ids, agg.add_groups(accs, rows.iloc[order], at)))
             if len(open_groups) > MAX_OPEN_GROUPS:
                 yield told()
                 open_groups.clear()
@@ -162,17 +184,44 @@ def partial_accumulators(df: DataFrame, keys: list[str], cols: list[str], agg: M
     return df.select(*dict.fromkeys([*keys, *cols])).mapInArrow(partial, schema)
 
 
-def merge_accumulators(parts: DataFrame, keys: list[str], agg: MergeableAggregate, result: str, out: str) -> DataFrame:
-    """keys, ``out``: the result of each group's merged accumulators."""
-    def merged(table: pa.Table) -> pa.Table:
-        acc = agg.create()
-        for a in table.column("_acc").to_pylist():
-            acc = agg.merge(acc, pickle.loads(a))
-        return table.select(keys).slice(0, 1).append_column(out, pa.array([agg.result(acc)], value_type))
+def _one_nan(key: tuple) -> tuple:
+    """NaN as a value that equals itself, as in Spark's grouping."""
+    return tuple("NaN" if v != v else v for v in key)
+
 
+def merge_accumulators(parts: DataFrame, keys: list[str], agg: MergeableAggregate, result: str, out: str) -> DataFrame:
+    """keys, ``out``: the result of each group's merged accumulators.  Tasks read them sorted by group, so a
+    group is one stretch and costs no call of its own; one accumulator is merged into at a time."""
     value = T._parse_datatype_string(result)
     value_type = to_arrow_type(value)
-    return parts.groupBy(*keys).applyInArrow(merged, T.StructType([*(parts.schema[k] for k in keys), T.StructField(out, value)]))
+    floats = any(isinstance(parts.schema[k].dataType, (T.FloatType, T.DoubleType)) for k in keys)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cur, acc, types = None, None, None  # cur: what the open group is known by, and its key
+
+        def told(groups):
+            arrays = [pa.array(list(c), t) for t, c in zip(types, zip(*(k for k, _ in groups)))]
+            return pa.RecordBatch.from_arrays([*arrays, pa.array([v for _, v in groups], value_type)], names=[*keys, out])
+
+        for batch in batches:
+            types, done = [batch.schema.field(k).type for k in keys], []
+            rows = zip(zip(*(batch.column(k).to_pylist() for k in keys)), batch.column("_acc").to_pylist())
+            for name, group in itertools.groupby(rows, key=lambda r: _one_nan(r[0]) if floats else r[0]):
+                key, first = next(group)
+                if cur is None or cur[0] != name:
+                    if cur is not None:
+                        done.append((cur[1], agg.result(acc)))
+                    cur, acc = (name, key), agg.create()
+                acc = agg.merge(acc, pickle.loads(first))
+                for _, a in group:
+                    acc = agg.merge(acc, pickle.loads(a))
+            if done:
+                yield told(done)
+        if cur is not None:
+            yield told([(cur[1], agg.result(acc))])
+
+    schema = T.StructType([*(parts.schema[k] for k in keys), T.StructField(out, value)])
+    return parts.select(*keys, "_acc").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(merged, schema)
 
 
 def user_aggregate(df: DataFrame, key: str | list[str], cols: list[str], agg: MergeableAggregate,
