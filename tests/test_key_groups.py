@@ -7,8 +7,8 @@ import pandas as pd
 import pytest
 from conftest import frame
 from pyspark.sql import functions as F
-from streams import stream_parts
-from tideline.streaming import feeds, timers
+from streams import run_to_memory, stream_parts
+from tideline.streaming import feeds, stateful, timers
 
 
 def two_feeds(s, groups):
@@ -19,6 +19,7 @@ def two_feeds(s, groups):
 OPERATORS = {
     "two_feeds": two_feeds,
     "debounce": lambda s, n: timers.debounce_stream(s, "k", "ts", "5 minutes", groups=n),
+    "followed_by": lambda s, n: stateful.followed_by_stream(s, "k", "ts", F.col("id") >= 0, F.col("id") < 0, "5 minutes", "id", groups=n),
 }
 
 
@@ -53,3 +54,37 @@ def test_pairs_told_in_parts(monkeypatch):
         assert set(rest.loc[rest["paired"], "id"]) == paired & set(rest["id"])
         assert set(got.loc[got["status"] == "right_missing", "l_id"]) == {r.id for r in rows.itertuples() if r.is_left and r.ms + 4 <= 20} - paired
         assert set(got.loc[got["status"] == "left_missing", "r_id"]) == {r.id for r in rows.itertuples() if not r.is_left and r.ms + 4 <= 20} - paired
+
+
+def followed_by(rows, within, now):
+    """Brute force over (k, ms, id, start, end) rows: matches and timeouts of the starts that ``now`` has reached."""
+    out = []
+    for k in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == k and r[1] <= now), key=lambda r: (r[1], r[2] is not None, r[2] or 0))
+        for i, (_, ms, tb, start, _) in enumerate(mine):
+            end = next((r for r in mine[i + 1:] if r[4]), None)
+            if start and end and end[1] - ms < within:
+                out.append((k, tb, end[2], "matched"))
+            elif start and ms + within <= now:
+                out.append((k, tb, None, "timeout"))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_followed_by_out_of_order(spark, scratch, seed):
+    rng = random.Random(seed)
+    rows = [(rng.choice(["a", "b", "c", None]), 1000 * rng.randint(1, 99), rng.choice([None, *range(40)]), rng.random() < 0.4, rng.choice([None, True, False]))
+            for _ in range(150)]
+    rows = [(*r[:2], 1000 + i if r[2] is None and rng.random() < 0.8 else r[2] and 1000 + i, *r[3:]) for i, r in enumerate(rows)]
+    rows.sort(key=lambda r: r[1] + rng.randint(-9000, 9000))  # at most 18 s late
+    parts, folders, schema = [rows[i:i + 30] for i in range(0, 150, 30)] + [[("z", 110_000, 1, False, False)], [("z", 110_001, 1, False, False)]], [], None
+    for i, part in enumerate(parts):
+        folders.append(os.path.join(scratch, str(i)))
+        df = frame(spark, part, "k string, ms long, id long, a boolean, b boolean")
+        df.coalesce(1).write.parquet(folders[-1])
+    s = stream_parts(spark, folders, df.schema, os.path.join(scratch, "in"))
+    out = run_to_memory(stateful.followed_by_stream(s, "k", "ts", F.col("a"), F.col("b"), "5 seconds", "id", delay="20 seconds", groups=3),
+                        "append", os.path.join(scratch, "ck"))
+    got = sorted(((r.k, r.start_id, r.end_id, r.status) for r in out.collect()), key=str)
+    assert got == followed_by(rows, 5000, 90_000)
+    assert {r[3] for r in got} == {"matched", "timeout"}
