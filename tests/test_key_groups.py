@@ -19,6 +19,7 @@ def two_feeds(s, groups):
 OPERATORS = {
     "two_feeds": two_feeds,
     "debounce": lambda s, n: timers.debounce_stream(s, "k", "ts", "5 minutes", groups=n),
+    "keep_last": lambda s, n: stateful.keep_last_stream(s.withColumn("v", F.col("id") / 2), "k", "ts", "v", "id", "5 minutes", 2, groups=n),
     "followed_by": lambda s, n: stateful.followed_by_stream(s, "k", "ts", F.col("id") >= 0, F.col("id") < 0, "5 minutes", "id", groups=n),
 }
 
@@ -88,3 +89,20 @@ def test_followed_by_out_of_order(spark, scratch, seed):
     got = sorted(((r.k, r.start_id, r.end_id, r.status) for r in out.collect()), key=str)
     assert got == followed_by(rows, 5000, 90_000)
     assert {r[3] for r in got} == {"matched", "timeout"}
+
+
+def test_keep_last_of_many_windows():
+    rng = random.Random(3)
+    rows = pd.DataFrame([(rng.choice(["0", "1a", "1b"]), 0, rng.randint(0, 60), rng.randint(0, 5) if has else 0, has, float(rng.randint(0, 9)), rng.random() < 0.6)
+                         for has in (rng.random() < 0.8 for _ in range(90))], columns=stateful.KeepLastWindow.columns)
+    rows["w"] = rows["ms"] // 10 * 10
+    out, rest, due = stateful.KeepLastWindow(10, 3).advance(rows, 0, 30)
+    want, held = [], 0
+    for (k, w), mine in rows.groupby(["k", "w"]):
+        last = mine.sort_values(["ms", "has_tb", "tb"], kind="stable").tail(3)
+        held += len(last) if w + 10 > 30 else 0
+        want += [(k, w, len(last), last.loc[last["has_v"], "v"].sum(), last["has_v"].any())] if w + 10 <= 30 else []
+    assert sorted(out[0].itertuples(index=False, name=None)) == sorted(want)
+    assert len(rest) == held and due == 40
+    again, rest, due = stateful.KeepLastWindow(10, 3).advance(rest[list(stateful.KeepLastWindow.columns)], len(rest), 100)
+    assert again[0]["cnt"].sum() == held and not len(rest) and due is None
