@@ -19,6 +19,7 @@ def two_feeds(s, groups):
 OPERATORS = {
     "two_feeds": two_feeds,
     "debounce": lambda s, n: timers.debounce_stream(s, "k", "ts", "5 minutes", groups=n),
+    "timers": lambda s, n: stateful.event_time_timers(s, "k", "ts", "5 minutes", groups=n),
     "keep_last": lambda s, n: stateful.keep_last_stream(s.withColumn("v", F.col("id") / 2), "k", "ts", "v", "id", "5 minutes", 2, groups=n),
     "followed_by": lambda s, n: stateful.followed_by_stream(s, "k", "ts", F.col("id") >= 0, F.col("id") < 0, "5 minutes", "id", groups=n),
 }
