@@ -107,6 +107,22 @@ def test_table_functions(spark):
     assert table_functions.flat_map_function(none, lambda text: [(text,)], ["text"], "word string", ["k"]).count() == 0
 
 
+def test_table_functions_build_no_batch_per_call(spark):
+    df = frame(spark, [("a", 1, 2), ("a", 2, 3), (None, 3, None)], "k string, ms long, n long")
+
+    def step(state, row):
+        yield row["n"], row["n"], None if row["n"] is None else [row["n"], None], row["k"]
+    schema = "d double, m decimal(9,2), parts array<double>, s string"
+    keyed = table_functions.keyed_table_function(df, ["k"], ["ms"], ["n"], list, step, lambda state: [], schema)
+    flat = table_functions.flat_map_function(df, lambda n: [(n, n, None if n is None else [n, None], n)], ["n"], schema, ["k"])
+    for out in (keyed, flat):
+        assert "ArrowEvalPythonUDTF" not in out._jdf.queryExecution().toString()
+        assert [(r.k, r.d, r.m, r.parts) for r in out.orderBy("d").collect()] == [(None, None, None, None), ("a", 2.0, 2, [2.0, None]), ("a", 3.0, 3, [3.0, None])]
+    assert [r.s for r in keyed.orderBy("d").collect()] == [None, "a", "a"] and [r.s for r in flat.orderBy("d").collect()] == [None, "2", "3"]
+    with pytest.raises(Exception, match="is no int"):
+        table_functions.flat_map_function(df, lambda n: [(2**40,)], ["n"], "i int", ["k"]).collect()
+
+
 def test_reduce_in_parts(spark):
     rows = [(random.Random(i).choice(["a", "b", None]), i * 37 % 101, None if i % 10 == 0 else i) for i in range(200)]
     df = frame(spark, rows, "k string, ms long, v long").repartition(7)
