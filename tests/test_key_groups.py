@@ -11,9 +11,9 @@ from streams import run_to_memory, stream_parts
 from tideline.streaming import feeds, stateful, timers
 
 
-def two_feeds(s, groups):
+def two_feeds(s, groups, delay="0 seconds"):
     sides = [s.where(F.col("id") % 2 == i) for i in (0, 1)]
-    return feeds.two_feeds_stream(*sides, "k", "ts", "id", "5 minutes", groups=groups)
+    return feeds.two_feeds_stream(*sides, "k", "ts", "id", "5 minutes", delay, groups)
 
 
 OPERATORS = {
@@ -39,6 +39,26 @@ def test_state_is_per_group(spark, scratch, name):
     assert 0 < max(held) <= 3 * 8
 
 
+def test_many_rows_per_key_are_held_per_group(spark, scratch):
+    """Both feeds have many rows of a key, some of them late: pairs over micro-batches, and state that doesn't grow with the keys."""
+    rng, n = random.Random(7), 3000
+    rows = [(i // 2 % 500, 60_000 + 20 * i + rng.randint(0, 5000), i) for i in range(n)]
+    folders = []
+    for i, part in enumerate((rows[:n // 2], rows[n // 2:])):
+        folders.append(os.path.join(scratch, str(i)))
+        df = frame(spark, part, "k long, ms long, id long")
+        df.coalesce(1).write.parquet(folders[-1])
+    s = stream_parts(spark, folders, df.schema, os.path.join(scratch, "in"))
+    out, name = two_feeds(s, 8, "30 seconds"), "many_rows_per_key"
+    q = (out.writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", os.path.join(scratch, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) <= 3 * 8
+    want = {(a[2], b[2]) for a in rows[::2] for b in rows[1::2] if a[0] == b[0] and abs(a[1] - b[1]) <= 300_000}
+    assert len(want) > n
+    assert {(r.l_id, r.r_id) for r in spark.table(name).where("status = 'matched'").collect()} == want
+
+
 def test_pairs_told_in_parts(monkeypatch):
     monkeypatch.setattr(feeds, "MAX_PAIRS", 3)
     rng = random.Random(5)
