@@ -6,7 +6,7 @@ import pytest
 from conftest import frame
 from pyspark.sql import functions as F
 from tideline.operators import windows
-from tideline.operators.rows import MeanOf
+from tideline.operators.rows import MeanOf, RowsPerDistinct
 from tideline.operators.sessions import session_aggregate
 
 
@@ -38,6 +38,17 @@ def test_split_sessions(spark, target):
         assert sorted((tuple(r) for r in out.collect()), key=str) == brute(rows, ms)
 
 
+def test_varying_gaps_cost_no_call_per_session(spark):
+    """Each row is a session of its own or joins the next one's by its own gap; none costs a call between Spark and Python."""
+    rows = [(i % 40, 10_000 * (i // 40), float(i), 10_001 if i // 40 % 3 else 1) for i in range(2400)]
+    df = frame(spark, rows, "k long, ms long, v double, gap long").repartition(3)
+    out = session_aggregate(df, "k", "ts", F.col("gap") * 1000, ["v"], RowsPerDistinct("v"), "double", "per", slot="1 second", target_rows=5)
+    assert "FlatMapGroups" not in out._jdf.queryExecution().toString()
+    # of a key's rows, ten seconds apart, the first is a session of its own; then three at a time reach each other
+    assert sorted((r.k, (r.session_end - r.session_start).total_seconds(), r.per) for r in out.collect()) == [
+        (k, s, 1.0) for k in range(40) for s in [0.001, *[20.001] * 20]]
+
+
 def test_sketches_per_pane(spark):
     rows = [(i % 3000, 1000 * i) for i in range(20_000)] + [(None, 5000), (1, None)]
     df = frame(spark, rows, "u long, ms long")
